@@ -26,7 +26,11 @@ UNK_TOKEN = "[UNK]"
 PAD_ID = 0
 UNK_ID = 1
 
-# Unicode whitespace as removed by Python's str.strip(): ASCII controls
+# The 29 characters Python's str.strip() removes (str.isspace()), as a set for trim().
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                 "\u2028\u2029\u202f\u205f\u3000")
+# The same set as a regex class: ASCII controls
 # \t \n \v \f \r, the separators \x1c-\x1f, NEL, and every Z* code point.
 WS_CLASS = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]"
 # Whitespace used to split standardized text into tokens (ASCII only).

@@ -45,3 +45,39 @@ def lookup_token_ids(tokens, vocab: pa.Array, first_id: int, unk_id: int) -> pa.
     idx = pc.index_in(flat, value_set=vocab)
     ids = pc.fill_null(pc.add(idx, pa.scalar(first_id, idx.type)), pa.scalar(unk_id, idx.type))
     return rebuild_list(tokens, ids.cast(pa.int32()))
+
+
+def padded_matrix(ids: pa.ListArray, seq_len: int, pad: int = 0):
+    """Ragged list<int> (each at most seq_len long) -> dense [N, seq_len] int64 matrix."""
+    import numpy as np
+
+    if isinstance(ids, pa.ChunkedArray):
+        ids = ids.combine_chunks()
+    n = len(ids)
+    out = np.full((n, seq_len), pad, dtype=np.int64)
+    if n == 0:
+        return out
+    offs = np.asarray(_normalized_offsets(ids))
+    lens = np.diff(offs)
+    vals = np.asarray(ids.flatten().fill_null(pad), dtype=np.int64)
+    keep = np.minimum(lens, seq_len)
+    rows = np.repeat(np.arange(n), lens)
+    pos = np.arange(len(vals)) - np.repeat(offs[:-1], lens)
+    m = pos < np.repeat(keep, lens)
+    out[rows[m], pos[m]] = vals[m]
+    return out
+
+
+def matrix_to_nested(like: pa.ListArray, mat) -> pa.ListArray:
+    """[N, L] matrix whose rows belong to the outer lists of ``like`` -> list<list<int32>>."""
+    import numpy as np
+
+    n, width = mat.shape
+    inner = pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)),
+                                     pa.array(mat.ravel().astype(np.int32)))
+    return rebuild_list(like, inner)
+
+
+def rows_to_nested(like: pa.ListArray, values) -> pa.ListArray:
+    """Per-inner-row values (one per element of the outer lists) -> list<value>."""
+    return rebuild_list(like, pa.array(values))

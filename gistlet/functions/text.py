@@ -24,9 +24,8 @@ def _col(c) -> Column:
 
 
 def py_strip(c) -> Column:
-    """Remove leading and trailing Unicode whitespace (M1)."""
-    ws = C.WS_CLASS
-    return F.regexp_replace(_col(c), f"^{ws}+|{ws}+$", "")
+    """Remove leading and trailing Unicode whitespace (M1), as str.strip()."""
+    return F.trim(_col(c), F.lit(C.PY_WHITESPACE))
 
 
 def default_strip(c) -> Column:

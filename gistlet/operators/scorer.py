@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,6 +149,21 @@ class ScorerWeights:
         return cls(emb, w1, b1, w2, 0.1, seq_len)
 
 
+def closed_form_forward(x: np.ndarray, seq_len: int = C.SEQ_LEN) -> np.ndarray:
+    """Closed-form scores of an [N, seq_len] id matrix, integer-exact up to the sigmoid
+    (same arithmetic as :func:`closed_form_logit`)."""
+    x = np.asarray(x, dtype=np.int64)
+    d = np.arange(CF_DIM, dtype=np.int64)
+    s = ((((x[:, :, None] * 31) + d[None, None, :] * 17) % 97) - 48).sum(axis=1)   # [N, D]
+    w1 = np.array([[cf_w1(a, h) for h in range(CF_HIDDEN)] for a in range(CF_DIM)], dtype=np.int64)
+    b1 = np.array([cf_b1(h) for h in range(CF_HIDDEN)], dtype=np.int64)
+    w2 = np.array([cf_w2(h) for h in range(CF_HIDDEN)], dtype=np.int64)
+    n = s @ w1 + 48 * seq_len * b1
+    m = np.maximum(n, 0) @ w2
+    z = m.astype(np.float64) / float(1440 * seq_len) + 0.1
+    return 1.0 / (1.0 + np.exp(-z))
+
+
 def forward(wt: ScorerWeights, x: np.ndarray) -> np.ndarray:
     """NumPy forward pass on an [N, seq_len] id matrix -> [N] probabilities."""
     x = np.clip(x, 0, wt.vocab_size - 1)
@@ -164,25 +180,30 @@ def ids_matrix(series: pd.Series, seq_len: int) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(np.int64).reshape(len(series), seq_len)
 
 
-def score_udf(spark: SparkSession, wt: ScorerWeights, nested: bool = False):
-    """Arrow-batched UDF scoring id arrays (or arrays of id arrays) with broadcast weights."""
-    bc = spark.sparkContext.broadcast(wt)
-    seq_len = wt.seq_len
+def score_udf(spark: SparkSession, wt: ScorerWeights | None, nested: bool = False):
+    """Arrow UDF scoring id arrays (``nested``: arrays of id arrays) in whole batches.
+
+    ``wt`` None selects the closed-form fixed weights; trained weights are
+    broadcast once and reused by every task of the executor.
+    """
+    from gistlet.functions.arrow_kernels import padded_matrix, rows_to_nested
+
+    bc = spark.sparkContext.broadcast(wt) if wt is not None else None
+    seq_len = wt.seq_len if wt is not None else C.SEQ_LEN
+
+    def _forward(mat):
+        return closed_form_forward(mat, seq_len) if bc is None else forward(bc.value, mat)
 
     if not nested:
-        @F.pandas_udf(T.DoubleType())
-        def _score(x: pd.Series) -> pd.Series:
-            return pd.Series(forward(bc.value, ids_matrix(x, seq_len)))
+        @F.arrow_udf(T.DoubleType())
+        def _score(x: pa.Array) -> pa.Array:
+            return pa.array(_forward(padded_matrix(x, seq_len)), type=pa.float64())
         return _score
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def _score_nested(xs: pd.Series) -> pd.Series:
-        lens = xs.map(len).to_numpy()
-        flat = [a for arr in xs for a in arr]
-        p = forward(bc.value, ids_matrix(pd.Series(flat, dtype=object), seq_len)) if flat else np.zeros(0)
-        out, i = [], 0
-        for n in lens:
-            out.append(p[i:i + n].tolist())
-            i += n
-        return pd.Series(out)
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def _score_nested(xs: pa.Array) -> pa.Array:
+        if isinstance(xs, pa.ChunkedArray):
+            xs = xs.combine_chunks()
+        p = _forward(padded_matrix(xs.flatten(), seq_len))
+        return rows_to_nested(xs, p.astype(np.float64))
     return _score_nested

@@ -15,24 +15,21 @@ from pyspark.sql import functions as F
 
 from gistlet import config as C
 from gistlet.operators.flatten import with_sentences
-from gistlet.operators.scorer import ScorerWeights, closed_form_scores, score_udf
+from gistlet.operators.scorer import ScorerWeights, score_udf
 from gistlet.operators.topk import pick, summary_text, topk_indices
-from gistlet.operators.vocab import Vocabulary, pad_ids, sentence_tokens
+from gistlet.operators.vocab import Vocabulary, sentence_tokens
 
 
 def encoded_sentences(sentences: Column, vocab: Vocabulary, seq_len: int | None = None) -> Column:
     """array<string> sentences -> array<array<int>> of fixed length seq_len."""
     seq_len = seq_len or vocab.seq_len
     toks = F.transform(sentences, lambda s: sentence_tokens(s, seq_len))
-    ids = vocab.encode_in_row(toks, nested=True)
-    return F.transform(ids, lambda a: pad_ids(a, seq_len))
+    return vocab.encode_in_row(toks, nested=True)
 
 
 def sentence_scores(x_arrays: Column, weights: ScorerWeights | None = None,
                     seq_len: int = C.SEQ_LEN) -> Column:
     """array<array<int>> -> array<double>; None = closed-form fixed weights."""
-    if weights is None:
-        return closed_form_scores(x_arrays, seq_len)
     from pyspark.sql import SparkSession
     return score_udf(SparkSession.getActiveSession(), weights, nested=True)(x_arrays)
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gistlet import config as C
-from gistlet.functions.arrow_kernels import lookup_token_ids
+from gistlet.functions.arrow_kernels import lookup_token_ids, matrix_to_nested, padded_matrix
 from gistlet.functions.text import text_tokens
 
 # A vocabulary above this many entries is not broadcast; the lookup falls back
@@ -70,7 +70,9 @@ class Vocabulary:
         return F.broadcast(t) if self.size <= BROADCAST_VOCAB_LIMIT else t
 
     def encode_in_row(self, token_lists: Column, nested: bool = True) -> Column:
-        """array<array<string>> (or array<string>) -> ids (unknown = 1), no shuffle."""
+        """array<array<string>> -> padded ids per sentence; array<string> -> ids (unknown = 1).
+
+        Row-local (no shuffle); tokens must already be truncated to seq_len."""
         return in_row_lookup(self, token_lists, nested)
 
 
@@ -123,9 +125,15 @@ def in_row_lookup(vocab: Vocabulary, token_lists: Column, nested: bool = True) -
             cache["v"] = a
         return a
 
+    seq_len = vocab.seq_len
+
     @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
     def _lookup_nested(tokens: pa.Array) -> pa.Array:
-        return lookup_token_ids(tokens, _vocab_array(), 2, C.UNK_ID)
+        # ids padded to seq_len in the same vectorized pass
+        if isinstance(tokens, pa.ChunkedArray):
+            tokens = tokens.combine_chunks()
+        ids = lookup_token_ids(tokens.flatten(), _vocab_array(), 2, C.UNK_ID)
+        return matrix_to_nested(tokens, padded_matrix(ids, seq_len, C.PAD_ID))
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def _lookup_flat(tokens: pa.Array) -> pa.Array:

@@ -29,7 +29,7 @@ AWS_RE = q(C.ASCII_WS_CLASS + "+")
 
 
 def strip(e: str) -> str:
-    return f"regexp_replace({e}, {STRIP_RE}, '', 'g')"
+    return f"trim({e}, {q(C.PY_WHITESPACE)})"
 
 
 def tokens(e: str) -> str:
