@@ -71,8 +71,10 @@ def join_text(arr, sep: str = " ") -> Column:
 def ngrams(tokens, n: int) -> Column:
     """Space-joined n-grams of a token array; empty when shorter than n."""
     t = _col(tokens)
-    return F.when(
-        F.size(t) >= n,
-        F.transform(F.sequence(F.lit(0), F.size(t) - n),
-                    lambda i: F.array_join(F.slice(t, i + 1, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+    if n == 1:
+        return t
+    grams = t
+    for k in range(1, n):
+        shifted = F.slice(t, k + 1, F.greatest(F.size(t) - k, F.lit(0)))
+        grams = F.zip_with(grams, shifted, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.slice(grams, 1, F.greatest(F.size(t) - (n - 1), F.lit(0)))

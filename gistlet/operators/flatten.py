@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gistlet import config as C
-from gistlet.functions.text import split_sentences
+from gistlet.functions.rows import posexplode_rows
+from gistlet.functions.text import py_strip, split_sentences
 
 # Articles per window bucket of the ordinal prefix sum: bounds the rows one
 # window task sorts, independent of the corpus size.
@@ -25,9 +26,11 @@ ORDINAL_BUCKET = 1 << 16
 def with_sentences(articles: DataFrame, max_sentences: int = C.MAX_SENTENCES,
                    text_col: str = "article") -> DataFrame:
     """Add ``sentences`` (capped) and drop articles with none."""
-    return (articles
-            .withColumn("sentences", split_sentences(F.col(text_col), max_sentences))
-            .where(F.size("sentences") > 0))
+    # "has a sentence" <=> some non-whitespace character besides the separator;
+    # tested on the text so the split itself is not evaluated twice.
+    has_text = F.length(py_strip(F.regexp_replace(F.col(text_col), "\u0001", ""))) > 0
+    return (articles.where(has_text)
+            .withColumn("sentences", split_sentences(F.col(text_col), max_sentences)))
 
 
 def aligned_label(labels: Column, index: Column) -> Column:
@@ -72,8 +75,9 @@ def flatten_sentences(labeled: DataFrame, with_ordinal: bool = True,
         src = add_ordinal_offset(src.withColumn("_n", F.size("sentences")), "_n").drop("_n")
     else:
         src = src.withColumn("_offset", F.lit(None).cast("bigint"))
-    flat = src.select("split", F.col(id_col).alias("article_id"), "_offset", "labels",
-                      F.posexplode("sentences").alias("sent_index", "sentence"))
+    src = src.withColumnRenamed(id_col, "article_id")
+    flat = posexplode_rows(src, ["split", "article_id", "_offset", "labels"], "sentences",
+                           "sent_index", "sentence")
     return flat.select(
         "split",
         (F.col("_offset") + F.col("sent_index")).cast("string").alias("id"),

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from gistlet import config as C
 from gistlet.functions.arrow_kernels import lookup_token_ids, matrix_to_nested, padded_matrix
+from gistlet.functions.rows import explode_rows
 from gistlet.functions.text import text_tokens
 
 # A vocabulary above this many entries is not broadcast; the lookup falls back
@@ -31,8 +32,7 @@ BROADCAST_VOCAB_LIMIT = 1_000_000
 
 def token_counts(sentences: DataFrame, text_col: str = "sentence") -> DataFrame:
     """(token, n) over all tokens of all sentences (full sentences, not truncated)."""
-    return (sentences
-            .select(F.explode(text_tokens(text_col)).alias("token"))
+    return (explode_rows(sentences, [], text_tokens(text_col), "token")
             .groupBy("token")
             .agg(F.count(F.lit(1)).alias("n")))
 

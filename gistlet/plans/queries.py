@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gistlet import config as C
+from gistlet.functions.rows import posexplode_rows
 from gistlet.functions.text import text_tokens
 from gistlet.operators import flatten as FL
 from gistlet.operators import summarize as SU
@@ -28,9 +29,8 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sentence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(split, article_id, pos, sent_index, sentence) for every kept sentence."""
-    a = FL.with_sentences(articles(spark, sf_dir))
-    return a.select("split", F.col("id").alias("article_id"), "pos",
-                    F.posexplode("sentences").alias("sent_index", "sentence"))
+    a = FL.with_sentences(articles(spark, sf_dir)).withColumnRenamed("id", "article_id")
+    return posexplode_rows(a, ["split", "article_id", "pos"], "sentences", "sent_index", "sentence")
 
 
 def vocabulary(spark: SparkSession, sf_dir: str, max_tokens: int = VOCAB_TOKENS) -> VO.Vocabulary:
@@ -101,8 +101,8 @@ def q_flatten_stats(spark, sf_dir):
 
 def scored_flat(spark, sf_dir):
     s = scored_articles(spark, sf_dir)
-    return s.select("split", F.col("id").alias("article_id"),
-                    F.posexplode("scores").alias("sent_index", "score"))
+    s = s.withColumnRenamed("id", "article_id")
+    return posexplode_rows(s, ["split", "article_id"], "scores", "sent_index", "score")
 
 
 def q_score_sentences(spark, sf_dir):
@@ -136,6 +136,66 @@ def q_limit_per_split(spark, sf_dir, n: int = 20):
         "split", "id", "pos", F.col("rank").cast("bigint").alias("rank"))
 
 
+# ------------------------------------------------------------------ ROUGE
+
+def _ids_string(c):
+    return F.array_join(F.transform(c, lambda i: i.cast("string")), ",")
+
+
+def q_rouge_tokens(spark, sf_dir):
+    from gistlet.operators.rouge import rouge_token_col
+    a = articles(spark, sf_dir).withColumn("_t", rouge_token_col("highlights", stem=False))
+    return a.select("split", "id", F.array_join("_t", " ").alias("tokens"),
+                    F.size("_t").cast("bigint").alias("n_tokens"))
+
+
+def q_porter_stem(spark, sf_dir):
+    from gistlet.operators.rouge import rouge_token_col
+    a = articles(spark, sf_dir).withColumn("_t", rouge_token_col("highlights", stem=True))
+    return a.select("split", "id", F.array_join("_t", " ").alias("stems"),
+                    F.size("_t").cast("bigint").alias("n_tokens"))
+
+
+def _rouge_n_query(spark, sf_dir, n):
+    from gistlet.operators.rouge import rouge_n, tokenized_pairs
+    pairs = tokenized_pairs(summaries(spark, sf_dir), "id", "highlights", "summary", stem=False)
+    r = rouge_n(pairs, "id", "ref_tokens", "cand_tokens", n)
+    return r.select("id", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "fmeasure")])
+
+
+def q_rouge1(spark, sf_dir):
+    return _rouge_n_query(spark, sf_dir, 1)
+
+
+def q_rouge2(spark, sf_dir):
+    return _rouge_n_query(spark, sf_dir, 2)
+
+
+def q_rougeL(spark, sf_dir):
+    from gistlet.operators.rouge import rouge_l_col, tokenized_pairs
+    pairs = tokenized_pairs(summaries(spark, sf_dir), "id", "highlights", "summary", stem=False)
+    r = pairs.select("id", rouge_l_col("ref_tokens", "cand_tokens").alias("_r"))
+    return r.select("id", *[F.round(F.col("_r")[c], 6).alias(c) for c in ("precision", "recall", "fmeasure")])
+
+
+def labeled_articles(spark, sf_dir, stem: bool = True):
+    from gistlet.operators.oracle import oracle_labels
+    return oracle_labels(articles(spark, sf_dir), C.ORACLE_K, stem=stem)
+
+
+def q_oracle_labels(spark, sf_dir):
+    lab = labeled_articles(spark, sf_dir)
+    return lab.select("split", "id", F.size("sentences").cast("bigint").alias("n_sentences"),
+                      _ids_string("labels").alias("labels"), _ids_string("chosen").alias("chosen"))
+
+
+def q_evaluate_rouge(spark, sf_dir):
+    from gistlet.operators.rouge import mean_f
+    test = summaries(spark, sf_dir).where(F.col("split") == "test")
+    return mean_f(test, "id", "highlights", "summary", stem=True).select(
+        "metric", "n_scored", F.round("mean_f", 6).alias("mean_f"))
+
+
 QUERIES = {
     "summarize_articles": q_summarize_articles,
     "normalize_articles": q_normalize_articles,
@@ -149,4 +209,11 @@ QUERIES = {
     "score_sentences": q_score_sentences,
     "topk_sentences": q_topk_sentences,
     "limit_per_split": q_limit_per_split,
+    "rouge_tokens": q_rouge_tokens,
+    "porter_stem": q_porter_stem,
+    "rouge1": q_rouge1,
+    "rouge2": q_rouge2,
+    "rougeL": q_rougeL,
+    "oracle_labels": q_oracle_labels,
+    "evaluate_rouge": q_evaluate_rouge,
 }

@@ -115,6 +115,38 @@ ranked AS (
   FROM scored)"""
 
 
+SUMM = f"""
+summ AS (
+  SELECT r.split, r.article_id AS id, any_value(s.highlights) AS highlights,
+         CAST(any_value(len(s.sentences)) AS BIGINT) AS n_sentences,
+         string_agg(CAST(r.sent_index AS VARCHAR), ',' ORDER BY r.sent_index) AS selected_indices,
+         string_agg(r.sentence, ' ' ORDER BY r.sent_index) AS summary
+  FROM ranked r JOIN sents2 s ON r.article_id = s.id
+  WHERE r.rk <= {K}
+  GROUP BY r.split, r.article_id)"""
+
+
+def rouge_n_sql(n: int) -> str:
+    def grams(t):
+        return f"list_transform(range(0, len({t}) - {n - 1}), lambda i: array_to_string({t}[i + 1:i + {n}], ' '))"
+    return with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, f"""
+pairs AS (SELECT id, {rouge_tokens('highlights')} AS rt, {rouge_tokens('summary')} AS ct FROM summ),
+g AS (SELECT id, {grams('rt')} AS rg, {grams('ct')} AS cg FROM pairs),
+gx AS (
+  SELECT id, unnest(rg) AS gram, 1 AS r, 0 AS c FROM g
+  UNION ALL SELECT id, unnest(cg) AS gram, 0 AS r, 1 AS c FROM g
+  UNION ALL SELECT id, NULL AS gram, 0 AS r, 0 AS c FROM g),
+per_gram AS (SELECT id, gram, sum(r) AS r, sum(c) AS c FROM gx GROUP BY id, gram),
+per_pair AS (
+  SELECT id, CAST(sum(least(r, c)) AS BIGINT) AS ov, CAST(sum(r) AS BIGINT) AS nr, CAST(sum(c) AS BIGINT) AS nc
+  FROM per_gram GROUP BY id),
+prf AS (SELECT id, ov::DOUBLE / greatest(nc, 1) AS p, ov::DOUBLE / greatest(nr, 1) AS r FROM per_pair)""",
+                     body="""
+SELECT id, round(p, 6) AS precision, round(r, 6) AS recall,
+       round(CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END, 6) AS fmeasure
+FROM prf""")
+
+
 def with_ctes(*blocks: str, body: str) -> str:
     return "WITH " + ",".join(b.strip("\n") for b in blocks) + "\n" + body
 
@@ -160,13 +192,16 @@ SELECT split, article_id, CAST(sent_index AS BIGINT) AS sent_index, round(score,
 SELECT split, article_id, CAST(sent_index AS BIGINT) AS sent_index, CAST(rk AS BIGINT) AS rank
 FROM ranked WHERE rk <= {K}""")
 
-    t["summarize_articles"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, body=f"""
-SELECT r.split, r.article_id AS id, CAST(any_value(len(s.sentences)) AS BIGINT) AS n_sentences,
-       string_agg(CAST(r.sent_index AS VARCHAR), ',' ORDER BY r.sent_index) AS selected_indices,
-       string_agg(r.sentence, ' ' ORDER BY r.sent_index) AS summary
-FROM ranked r JOIN sents2 s ON r.article_id = s.id
-WHERE r.rk <= {K}
-GROUP BY r.split, r.article_id""")
+    t["summarize_articles"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, body="""
+SELECT split, id, n_sentences, selected_indices, summary FROM summ""")
+
+    t["rouge_tokens"] = with_ctes(ARTICLES, body=f"""
+SELECT split, id, array_to_string({rouge_tokens('highlights')}, ' ') AS tokens,
+       CAST(len({rouge_tokens('highlights')}) AS BIGINT) AS n_tokens
+FROM articles""")
+
+    t["rouge1"] = rouge_n_sql(1)
+    t["rouge2"] = rouge_n_sql(2)
 
     t["limit_per_split"] = with_ctes(ARTICLES, body="""
 SELECT split, id, pos, rank FROM (
