@@ -196,6 +196,241 @@ def q_evaluate_rouge(spark, sf_dir):
         "metric", "n_scored", F.round("mean_f", 6).alias("mean_f"))
 
 
+# ------------------------------------------------------------------ flatten, class weights, losses
+
+def q_flatten_sentences(spark, sf_dir):
+    flat = FL.flatten_sentences(labeled_articles(spark, sf_dir))
+    return flat.select("split", "id", "sentence", F.col("label").cast("bigint").alias("label"),
+                       "article_id", F.col("sent_index").cast("bigint").alias("sent_index"))
+
+
+def q_class_weights(spark, sf_dir):
+    from gistlet.operators.train import class_weights
+    from gistlet.sources.corpus import read_table, split_of
+    lab = read_table(spark, sf_dir, "labels")
+    train = lab.where(split_of(F.col("doc_id")) == "train").select(F.col("quality").alias("y"))
+    return class_weights(train, "y").select(F.col("label").cast("bigint").alias("label"),
+                                            F.col("n").cast("bigint").alias("n"),
+                                            F.round("weight", 6).alias("weight"))
+
+
+def sentence_scores_with_labels(spark, sf_dir):
+    """(split, article_id, sent_index, score, y): closed-form scores and oracle labels."""
+    lab = labeled_articles(spark, sf_dir).withColumnRenamed("id", "article_id")
+    lab = lab.withColumn("x", SU.encoded_sentences(F.col("sentences"), vocabulary(spark, sf_dir)))
+    lab = lab.withColumn("scores", SU.sentence_scores(F.col("x")))
+    z = lab.select("split", "article_id",
+                   F.arrays_zip(F.col("scores").alias("score"), F.col("labels").alias("y")).alias("_z"))
+    rows = posexplode_rows(z, ["split", "article_id"], "_z", "sent_index", "_e")
+    return rows.select("split", "article_id", "sent_index", F.col("_e.score").alias("score"),
+                       F.col("_e.y").cast("int").alias("y"))
+
+
+def q_bce_loss(spark, sf_dir):
+    from gistlet.operators.train import bce_loss
+    return bce_loss(sentence_scores_with_labels(spark, sf_dir), "score", "y", by="split")
+
+
+def q_accuracy(spark, sf_dir):
+    from gistlet.operators.train import accuracy
+    return accuracy(sentence_scores_with_labels(spark, sf_dir), "score", "y", by="split")
+
+
+# ------------------------------------------------------------------ quantization (embeddings table)
+
+def embedding_values(spark, sf_dir):
+    from gistlet.sources.corpus import read_table
+    e = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return posexplode_rows(e, ["vec_id"], "embedding", "dim", "x").select(
+        "vec_id", F.col("dim").cast("bigint").alias("dim"), F.col("x").cast("double").alias("x"))
+
+
+def embedding_calibration(spark, sf_dir):
+    from gistlet.operators.quantize import calibrate
+    return calibrate(embedding_values(spark, sf_dir), "x", "embedding")
+
+
+def _calib_params(spark, sf_dir):
+    # one row, bounded: the two numbers of the affine map
+    r = embedding_calibration(spark, sf_dir).first()
+    return float(r["scale"]), int(r["zero_point"])
+
+
+def q_calibrate_activations(spark, sf_dir):
+    c = embedding_calibration(spark, sf_dir)
+    return c.select("tensor", F.round("min", 6).alias("min"), F.round("max", 6).alias("max"),
+                    F.round("scale", 9).alias("scale"), F.col("zero_point").cast("bigint").alias("zero_point"))
+
+
+def quantized_embeddings(spark, sf_dir):
+    from gistlet.operators.quantize import dequantize, quantize
+    scale, zp = _calib_params(spark, sf_dir)
+    v = embedding_values(spark, sf_dir).withColumn("q", quantize("x", scale, zp))
+    return v.withColumn("xd", dequantize("q", scale, zp))
+
+
+def q_quantize(spark, sf_dir):
+    return quantized_embeddings(spark, sf_dir).select("vec_id", "dim", F.col("q").cast("bigint").alias("q"))
+
+
+def q_dequantize(spark, sf_dir):
+    return quantized_embeddings(spark, sf_dir).select("vec_id", "dim", F.round("xd", 6).alias("value"))
+
+
+def q_quantization_drift(spark, sf_dir):
+    from gistlet.operators.quantize import drift
+    d = drift(quantized_embeddings(spark, sf_dir), "x", "xd")
+    return d.select("n", F.round("mse", 9).alias("mse"), F.round("pearson", 6).alias("pearson"),
+                    F.round("max_abs_err", 6).alias("max_abs_err"))
+
+
+def q_calibration_sample(spark, sf_dir):
+    from gistlet.operators.quantize import calibration_sample
+    train = sentence_rows(spark, sf_dir).where(F.col("split") == "train")
+    s = calibration_sample(train.select("article_id", "sent_index", "sentence"),
+                           ["article_id", "sent_index"], C.CALIBRATION_SAMPLES, seed=0)
+    return s.select("article_id", F.col("sent_index").cast("bigint").alias("sent_index"), "sentence")
+
+
+# ------------------------------------------------------------------ sources (round trips)
+
+def q_read_articles(spark, sf_dir):
+    from gistlet.session import new_work_path
+    from gistlet.sources import jsonl
+    raw = corpus.documents_to_raw_articles(
+        corpus.read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    path = new_work_path(spark, "raw-articles")
+    jsonl.write_raw_articles(raw, path)
+    back = jsonl.read_raw_articles(spark, path)
+    return back.select("split", "id", "article", "highlights")
+
+
+def q_read_text_articles(spark, sf_dir):
+    from gistlet.session import new_work_path
+    from gistlet.sources import jsonl
+    path = new_work_path(spark, "text-articles")
+    jsonl.write_text_articles(articles(spark, sf_dir), path)
+    return jsonl.read_text_articles(spark, path).select("id", "article")
+
+
+def q_labeled_roundtrip(spark, sf_dir):
+    from gistlet.session import new_work_path
+    from gistlet.sources import jsonl
+    path = new_work_path(spark, "labeled")
+    lab = labeled_articles(spark, sf_dir)
+    jsonl.write_labeled(lab, path)
+    back = jsonl.read_labeled(spark, path)
+    pos = F.regexp_extract("id", r"-(\d+)$", 1).cast("bigint")
+    flat = FL.flatten_sentences(back.withColumn("pos", pos))
+    return flat.select("split", "id", "sentence", F.col("label").cast("bigint").alias("label"),
+                       "article_id", F.col("sent_index").cast("bigint").alias("sent_index"))
+
+
+# ------------------------------------------------------------------ training, model, quantized model
+
+_MODELS: dict = {}
+
+
+def encoded_labeled(spark, sf_dir):
+    """(split, article_id, sent_index, ord, x, y): every sentence encoded, with its oracle label."""
+    lab = labeled_articles(spark, sf_dir).withColumnRenamed("id", "article_id")
+    lab = lab.withColumn("x", SU.encoded_sentences(F.col("sentences"), vocabulary(spark, sf_dir)))
+    z = lab.select("split", "article_id", "pos",
+                   F.arrays_zip(F.col("x").alias("x"), F.col("labels").alias("y")).alias("_z"))
+    rows = posexplode_rows(z, ["split", "article_id", "pos"], "_z", "sent_index", "_e")
+    return rows.select("split", "article_id", "sent_index",
+                       (F.col("pos") * 1000 + F.col("sent_index")).alias("ord"),
+                       F.col("_e.x").alias("x"), F.col("_e.y").cast("int").alias("y"))
+
+
+def trained_model(spark, sf_dir):
+    from gistlet.operators.train import ScorerTrainer
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        enc = encoded_labeled(spark, sf_dir)
+        v = vocabulary(spark, sf_dir)
+        trainer = ScorerTrainer(vocab_size=v.size, seq_len=v.seq_len, seed=0)
+        res = trainer.fit(enc.where(F.col("split") == "train"),
+                          enc.where(F.col("split") == "validation"))
+        _MODELS[key] = res
+    return _MODELS[key]
+
+
+def q_train_scorer(spark, sf_dir):
+    res = trained_model(spark, sf_dir)
+    rows = [(int(h["epoch"]), float(h["train_loss"]), h.get("val_loss"), h.get("val_accuracy"),
+             bool(h["epoch"] == res.best_epoch)) for h in res.history]
+    return spark.createDataFrame(
+        rows, "epoch BIGINT, train_loss DOUBLE, val_loss DOUBLE, val_accuracy DOUBLE, best BOOLEAN")
+
+
+def q_model_roundtrip(spark, sf_dir):
+    """Save, load, and predict the first 5 train sentences before and after (smoke test)."""
+    from gistlet.operators.limits import first_n
+    from gistlet.operators.scorer import score_udf
+    from gistlet.operators.train import load_weights, save_weights
+    from gistlet.session import new_work_path
+    wt = trained_model(spark, sf_dir).weights
+    path = new_work_path(spark, "model")
+    save_weights(spark, wt, path)
+    wt2 = load_weights(spark, path)
+    head = first_n(encoded_labeled(spark, sf_dir).where(F.col("split") == "train"), 5, "ord")
+    out = head.select("article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
+                      score_udf(spark, wt)(F.col("x")).alias("p_before"),
+                      score_udf(spark, wt2)(F.col("x")).alias("p_after"))
+    return out.withColumn("equal", F.col("p_before") == F.col("p_after"))
+
+
+def q_train_baseline(spark, sf_dir):
+    from gistlet.operators.train import accuracy, baseline_probability, bce_loss, train_baseline
+    from gistlet.operators.vocab import sentence_tokens
+    enc = encoded_labeled(spark, sf_dir)
+    sents = labeled_articles(spark, sf_dir).withColumnRenamed("id", "article_id")
+    flat = posexplode_rows(sents, ["split", "article_id", "labels"], "sentences", "sent_index", "sentence")
+    flat = flat.select("split", "article_id", "sent_index",
+                       sentence_tokens(F.col("sentence"), 1 << 20).alias("tokens"),
+                       F.coalesce(F.get("labels", F.col("sent_index")), F.lit(0)).cast("int").alias("y"))
+    del enc
+    v = vocabulary(spark, sf_dir)
+    model = train_baseline(flat.where(F.col("split") == "train"), v.size)
+    pred = baseline_probability(model, flat.where(F.col("split") != "train"))
+    return bce_loss(pred, "p", "y", by="split").join(
+        accuracy(pred, "p", "y", by="split").select("split", "accuracy"), "split")
+
+
+def quantized_model(spark, sf_dir):
+    from gistlet.operators.quantize import QuantizedScorer, calibration_sample
+    from gistlet.operators.scorer import ids_matrix
+    import pandas as pd
+    key = (id(spark), sf_dir, "q")
+    if key not in _MODELS:
+        wt = trained_model(spark, sf_dir).weights
+        train = encoded_labeled(spark, sf_dir).where(F.col("split") == "train")
+        sample = calibration_sample(train, ["article_id", "sent_index"], C.CALIBRATION_SAMPLES, seed=0)
+        xs = [r["x"] for r in sample.select("x").collect()]   # at most 500 rows
+        mat = ids_matrix(pd.Series(xs, dtype=object), wt.seq_len) if xs else []
+        _MODELS[key] = QuantizedScorer(wt, mat)
+    return _MODELS[key]
+
+
+def q_quantize_weights(spark, sf_dir):
+    qs = quantized_model(spark, sf_dir)
+    rows = [(t, float(s), int(z), d) for t, s, z, d in qs.params_rows()]
+    df = spark.createDataFrame(rows, "tensor STRING, scale DOUBLE, zero_point BIGINT, dtype STRING")
+    return df.withColumn("model_bytes", F.lit(qs.size_bytes()).cast("bigint"))
+
+
+def q_score_quantized(spark, sf_dir):
+    from gistlet.operators.quantize import quantized_score_udf
+    from gistlet.operators.scorer import score_udf
+    wt = trained_model(spark, sf_dir).weights
+    qs = quantized_model(spark, sf_dir)
+    test = encoded_labeled(spark, sf_dir).where(F.col("split") == "test")
+    return test.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
+                       score_udf(spark, wt)(F.col("x")).alias("score_float"),
+                       quantized_score_udf(spark, qs)(F.col("x")).alias("score_quant"))
+
+
 QUERIES = {
     "summarize_articles": q_summarize_articles,
     "normalize_articles": q_normalize_articles,
@@ -216,4 +451,21 @@ QUERIES = {
     "rougeL": q_rougeL,
     "oracle_labels": q_oracle_labels,
     "evaluate_rouge": q_evaluate_rouge,
+    "flatten_sentences": q_flatten_sentences,
+    "class_weights": q_class_weights,
+    "bce_loss": q_bce_loss,
+    "accuracy": q_accuracy,
+    "calibrate_activations": q_calibrate_activations,
+    "quantize": q_quantize,
+    "dequantize": q_dequantize,
+    "quantization_drift": q_quantization_drift,
+    "calibration_sample": q_calibration_sample,
+    "read_articles": q_read_articles,
+    "read_text_articles": q_read_text_articles,
+    "labeled_roundtrip": q_labeled_roundtrip,
+    "train_scorer": q_train_scorer,
+    "model_roundtrip": q_model_roundtrip,
+    "train_baseline": q_train_baseline,
+    "quantize_weights": q_quantize_weights,
+    "score_quantized": q_score_quantized,
 }

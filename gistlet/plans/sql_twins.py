@@ -203,6 +203,42 @@ FROM articles""")
     t["rouge1"] = rouge_n_sql(1)
     t["rouge2"] = rouge_n_sql(2)
 
+    t["class_weights"] = """
+WITH y AS (SELECT quality AS y FROM labels WHERE doc_id % 10 NOT IN (8, 9)),
+c AS (SELECT y AS label, count(*) AS n FROM y GROUP BY y)
+SELECT CAST(label AS BIGINT) AS label, CAST(n AS BIGINT) AS n,
+       round((SELECT sum(n) FROM c)::DOUBLE / ((SELECT count(*) FROM c) * n), 6) AS weight
+FROM c"""
+
+    emb = """
+ev AS (SELECT vec_id, CAST(unnest(range(len(embedding))) AS BIGINT) AS dim,
+              CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+mm AS (SELECT least(min(x), 0.0) AS mn, greatest(max(x), 0.0) AS mx FROM ev),
+cal AS (SELECT mn, mx, CASE WHEN mx - mn > 0 THEN (mx - mn) / 255.0 ELSE 1.0 END AS scale FROM mm),
+cal2 AS (SELECT mn, mx, scale,
+                CAST(greatest(least(round_even(-128.0 - mn / scale, 0), 127.0), -128.0) AS INTEGER) AS zp FROM cal),
+qv AS (SELECT vec_id, dim, x,
+              CAST(greatest(least(round_even(x / scale + zp, 0), 127.0), -128.0) AS BIGINT) AS q, scale, zp
+       FROM ev, cal2),
+dq AS (SELECT vec_id, dim, x, q, (q - zp) * scale AS xd FROM qv)"""
+    t["calibrate_activations"] = with_ctes(emb, body="""
+SELECT 'embedding' AS tensor, round(mn, 6) AS min, round(mx, 6) AS max, round(scale, 9) AS scale,
+       CAST(zp AS BIGINT) AS zero_point FROM cal2""")
+    t["quantize"] = with_ctes(emb, body="SELECT vec_id, dim, q FROM dq")
+    t["dequantize"] = with_ctes(emb, body="SELECT vec_id, dim, round(xd, 6) AS value FROM dq")
+    t["quantization_drift"] = with_ctes(emb, body="""
+SELECT CAST(count(*) AS BIGINT) AS n, round(avg(power(x - xd, 2)), 9) AS mse, round(corr(x, xd), 6) AS pearson,
+       round(max(abs(x - xd)), 6) AS max_abs_err FROM dq""")
+
+    t["calibration_sample"] = with_ctes(ARTICLES, body="""
+SELECT article_id, CAST(sent_index AS BIGINT) AS sent_index, sentence FROM flat
+WHERE split = 'train'
+ORDER BY md5(concat_ws('-', '0', article_id, CAST(sent_index AS VARCHAR))), article_id, sent_index
+LIMIT 500""")
+
+    t["read_articles"] = with_ctes(ARTICLES, body="SELECT split, id, article, highlights FROM articles")
+    t["read_text_articles"] = with_ctes(ARTICLES, body="SELECT id, article FROM articles")
+
     t["limit_per_split"] = with_ctes(ARTICLES, body="""
 SELECT split, id, pos, rank FROM (
   SELECT split, id, pos, CAST(row_number() OVER (PARTITION BY split ORDER BY pos) AS BIGINT) AS rank
