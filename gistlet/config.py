@@ -37,8 +37,11 @@ WS_CLASS = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]"
 ASCII_WS_CLASS = r"[ \t\n\x0B\f\r]"
 # Sentence end: terminal punctuation run, optional closing quotes/brackets.
 SENTENCE_END = r"""([.!?]+["')\]]*)"""
-# Punctuation deleted by the default text standardization.
+# Punctuation deleted by the default text standardization (32 ASCII characters).
+PUNCT_CHARS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'"
 PUNCT_CLASS = r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~']"""
+# ASCII whitespace that separates tokens of the standardized text.
+ASCII_WS_CHARS = " \t\n\x0b\x0c\r"
 UPPER_ASCII = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_ASCII = "abcdefghijklmnopqrstuvwxyz"
 # ROUGE tokenizer: anything but lower-case ASCII letters and digits separates.

@@ -431,6 +431,20 @@ def q_score_quantized(spark, sf_dir):
                        quantized_score_udf(spark, qs)(F.col("x")).alias("score_quant"))
 
 
+# ------------------------------------------------------------------ streaming
+
+def q_summarize_stream(spark, sf_dir):
+    """The documents file replayed as a stream, summarized, sunk to parquet and read back."""
+    from gistlet.session import new_work_path
+    from gistlet.streaming.summarize import document_stream, run_to_table, summary_stream
+    base = new_work_path(spark, "stream")
+    docs = document_stream(spark, f"{sf_dir.rstrip('/')}/documents*.parquet")
+    run_to_table(summary_stream(docs, vocabulary(spark, sf_dir)), f"{base}/out", f"{base}/checkpoint")
+    s = spark.read.parquet(f"{base}/out")
+    return s.select("split", "id", F.col("n_sentences").cast("bigint").alias("n_sentences"),
+                    _ids_string("selected_indices").alias("selected_indices"), "summary")
+
+
 QUERIES = {
     "summarize_articles": q_summarize_articles,
     "normalize_articles": q_normalize_articles,
@@ -468,4 +482,5 @@ QUERIES = {
     "train_baseline": q_train_baseline,
     "quantize_weights": q_quantize_weights,
     "score_quantized": q_score_quantized,
+    "summarize_stream": q_summarize_stream,
 }

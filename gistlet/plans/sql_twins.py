@@ -33,6 +33,7 @@ def strip(e: str) -> str:
 
 
 def tokens(e: str) -> str:
+    # Independent regex form of the same rule (the Spark side uses translate()).
     std = f"regexp_replace(translate({e}, {q(C.UPPER_ASCII)}, {q(C.LOWER_ASCII)}), {PUNCT_RE}, '', 'g')"
     return f"list_filter(regexp_split_to_array({std}, {AWS_RE}), lambda t: t <> '')"
 
@@ -239,6 +240,8 @@ LIMIT 500""")
     t["read_articles"] = with_ctes(ARTICLES, body="SELECT split, id, article, highlights FROM articles")
     t["read_text_articles"] = with_ctes(ARTICLES, body="SELECT id, article FROM articles")
 
+    t["summarize_stream"] = t["summarize_articles"]
+
     t["limit_per_split"] = with_ctes(ARTICLES, body="""
 SELECT split, id, pos, rank FROM (
   SELECT split, id, pos, CAST(row_number() OVER (PARTITION BY split ORDER BY pos) AS BIGINT) AS rank

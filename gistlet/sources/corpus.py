@@ -77,24 +77,3 @@ def load_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalized articles of the ``documents`` table."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return normalize_articles(documents_to_raw_articles(balanced(docs, "doc_id")))
-
-
-def conversations_to_raw_articles(conversations: DataFrame) -> DataFrame:
-    """Second article source: one article per conversation, turns in order.
-
-    The first turn plays the role of the reference summary, the rest is the
-    article body joined by newlines.  Grouping is by conversation id; a
-    conversation's turns are few, so each group is small.
-    """
-    g = (conversations
-         .groupBy("conv_id")
-         .agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("turns")))
-    split = split_of(F.col("conv_id"))
-    body = F.array_join(F.transform(F.slice("turns", 2, 1 << 30), lambda t: t["text"]), "\n")
-    return g.select(
-        split.alias("split"),
-        F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("id"),
-        F.col("conv_id").cast("bigint").alias("pos"),
-        body.alias("article"),
-        F.element_at("turns", 1)["text"].alias("highlights"),
-    )
