@@ -180,11 +180,12 @@ def ids_matrix(series: pd.Series, seq_len: int) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(np.int64).reshape(len(series), seq_len)
 
 
-def score_udf(spark: SparkSession, wt: ScorerWeights | None, nested: bool = False):
+def score_udf(spark: SparkSession, wt, nested: bool = False):
     """Arrow UDF scoring id arrays (``nested``: arrays of id arrays) in whole batches.
 
-    ``wt`` None selects the closed-form fixed weights; trained weights are
-    broadcast once and reused by every task of the executor.
+    ``wt`` None selects the closed-form fixed weights; trained ScorerWeights or a
+    QuantizedScorer (int8) are broadcast once (bounded by the model size) and
+    reused by every task of the executor.
     """
     from gistlet.functions.arrow_kernels import padded_matrix, rows_to_nested
 
@@ -192,7 +193,12 @@ def score_udf(spark: SparkSession, wt: ScorerWeights | None, nested: bool = Fals
     seq_len = wt.seq_len if wt is not None else C.SEQ_LEN
 
     def _forward(mat):
-        return closed_form_forward(mat, seq_len) if bc is None else forward(bc.value, mat)
+        if bc is None:
+            return closed_form_forward(mat, seq_len)
+        model = bc.value
+        if hasattr(model, "forward_q"):          # int8 model: dequantized output
+            return model.forward_q(mat)[1]
+        return forward(model, mat)
 
     if not nested:
         @F.arrow_udf(T.DoubleType())

@@ -431,6 +431,26 @@ def q_score_quantized(spark, sf_dir):
                        quantized_score_udf(spark, qs)(F.col("x")).alias("score_quant"))
 
 
+def q_model_drift(spark, sf_dir):
+    """D12 on the test split: MSE and Pearson of float vs int8 sentence scores, and the
+    mean ROUGE F of the summaries each model selects."""
+    from gistlet.operators.quantize import drift
+    from gistlet.operators.rouge import mean_f
+    wt = trained_model(spark, sf_dir).weights
+    qs = quantized_model(spark, sf_dir)
+    scores = q_score_quantized(spark, sf_dir)
+    d = drift(scores, "score_float", "score_quant").first()
+    test = articles(spark, sf_dir).where(F.col("split") == "test")
+    v = vocabulary(spark, sf_dir)
+    rows = [("n_sentences", float(d["n"])), ("mse", d["mse"]), ("pearson", d["pearson"]),
+            ("max_abs_err", d["max_abs_err"])]
+    for name, model in (("float", wt), ("int8", qs)):
+        summ = SU.summarize_articles(test, v, model)
+        for r in mean_f(summ, "id", "highlights", "summary", stem=True).collect():
+            rows.append((f"{r['metric']}_f_{name}", r["mean_f"]))
+    return spark.createDataFrame(rows, "measure STRING, value DOUBLE")
+
+
 # ------------------------------------------------------------------ streaming
 
 def q_summarize_stream(spark, sf_dir):
@@ -483,4 +503,5 @@ QUERIES = {
     "quantize_weights": q_quantize_weights,
     "score_quantized": q_score_quantized,
     "summarize_stream": q_summarize_stream,
+    "model_drift": q_model_drift,
 }

@@ -64,3 +64,31 @@ def test_summary_writer_keeps_nulls(spark):
     jsonl.write_summaries(df, path)
     r = spark.read.json(path).first()
     assert r["inference_elapsed_seconds"] is None and len(r["generated_at"]) == 19
+
+
+def test_vocab_and_encoded_store(spark):
+    from gistlet.operators.vocab import VocabularyBuilder
+    from gistlet.sources import store
+    s = spark.createDataFrame([("a b b c",), ("b c",)], "sentence STRING")
+    v = VocabularyBuilder(max_tokens=10).fit(s)
+    path = new_work_path(spark, "vocab")
+    store.save_vocab(v, path)
+    assert store.load_vocab(spark, path).tokens == v.tokens == ["", "[UNK]", "b", "c", "a"]
+    enc = spark.createDataFrame([("train", "t-1", 0, [2, 3] + [0] * 30, 1), ("test", "s-1", 0, [0] * 32, 0)],
+                                "split STRING, article_id STRING, sent_index INT, x ARRAY<INT>, y INT")
+    epath = new_work_path(spark, "enc")
+    store.write_encoded(enc, epath)
+    got = store.read_encoded(spark, epath, "train").collect()
+    assert len(got) == 1 and got[0]["x"][:3] == [2, 3, 0] and got[0]["y"] == 1
+    assert store.read_encoded(spark, epath, "validation").count() == 0      # missing split is fine
+
+
+def test_flat_writer_roundtrip(spark):
+    from gistlet.operators.flatten import flatten_sentences
+    lab = spark.createDataFrame([("train", "t-0", 0, ["A.", "B."], [1])],
+                                "split STRING, id STRING, pos BIGINT, sentences ARRAY<STRING>, labels ARRAY<TINYINT>")
+    path = new_work_path(spark, "flat")
+    jsonl.write_flat(flatten_sentences(lab), path)
+    back = sorted((r["id"], r["sentence"], r["label"], r["meta"]["sent_index"]) for r in jsonl.read_flat(spark, path).collect())
+    assert back == [("0", "A.", 1, 0), ("1", "B.", 0, 1)]
+    assert sorted(r["sentence"] for r in jsonl.read_sentences(spark, path).collect()) == ["A.", "B."]
