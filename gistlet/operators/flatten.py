@@ -6,6 +6,7 @@ B8  flatten_sentences    posexplode: one row per sentence
 B9  ordinal ids          position of the sentence in its split, as a string;
                          distributed prefix sum (per-bucket window + bucket offsets),
                          never one global window
+D9  regroup_articles     flat sentences -> articles (inverse of B8)
 D5  flatten_stats        sentence counts per split, vocabulary size, sequence length
 """
 
@@ -89,6 +90,18 @@ def flatten_sentences(labeled: DataFrame, with_ordinal: bool = True,
     )
 
 
+def regroup_articles(flat: DataFrame, article_col: str = "article_id") -> DataFrame:
+    """Flat sentences back to one row per article (sentences and labels in index order).
+
+    One exchange keyed by article; an article holds at most the capped number of
+    sentences, so no group grows with the corpus."""
+    g = flat.groupBy("split", article_col).agg(
+        F.array_sort(F.collect_list(F.struct("sent_index", "sentence", "label"))).alias("_s"))
+    return g.select("split", F.col(article_col).alias("id"),
+                    F.transform("_s", lambda e: e["sentence"]).alias("sentences"),
+                    F.transform("_s", lambda e: e["label"]).alias("labels"))
+
+
 def flatten_stats(flat: DataFrame, vocab_size: int, seq_len: int = C.SEQ_LEN) -> DataFrame:
     """One row (train_sentences, validation_sentences, test_sentences, vocab_size, seq_len)."""
     aggs = [F.sum(F.when(F.col("split") == s, 1).otherwise(0)).cast("bigint").alias(f"{s}_sentences")

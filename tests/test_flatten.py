@@ -44,3 +44,20 @@ def test_limits(spark):
     assert [(r["split"], r["pos"]) for r in got] == [("test", 0), ("test", 1), ("train", 0), ("train", 1)]
     assert limit_per_split(df, 0).count() == 13                 # 0 means no limit
     assert [r["pos"] for r in first_n(df.where("split = 'train'"), 3).collect()] == [0, 1, 2]
+
+
+def test_regroup_is_inverse_of_flatten(spark):
+    lab = labeled(spark)
+    back = FL.regroup_articles(FL.flatten_sentences(lab))
+    got = {r["id"]: (r["sentences"], r["labels"]) for r in back.collect()}
+    assert got["t-1"] == (["a", "b", "c"], [1, 0, 0])
+    assert got["t-0"] == (["x"], [0])
+    assert len(got) == 4
+
+
+def test_training_requires_train_rows(spark):
+    import pytest
+    from gistlet.operators.train import ScorerTrainer
+    empty = spark.createDataFrame([], "x ARRAY<INT>, y INT")
+    with pytest.raises(ValueError):
+        ScorerTrainer(vocab_size=5, epochs=1).fit(empty)
