@@ -39,8 +39,8 @@ def _definitions() -> dict:
     return {
         "strip_text": ("s STRING", "STRING", f"trim(BOTH {ws} FROM s)"),
         "split_sentences": ("s STRING, max_sentences INT", "ARRAY<STRING>",
-                            f"slice(filter(split(regexp_replace(replace(s, chr(1), ''), {sent_re}, "
-                            f"concat('$1', chr(1))), chr(1)), x -> trim(BOTH {ws} FROM x) <> ''), 1, max_sentences)"),
+                            f"slice(array_remove(split(regexp_replace(trim(BOTH {ws} FROM replace(s, chr(1), '')), "
+                            f"{sent_re}, concat('$1', chr(1))), chr(1)), ''), 1, max_sentences)"),
         "standardize_text": ("s STRING", "STRING", std),
         "text_tokens": ("s STRING", "ARRAY<STRING>", tokens),
         "rouge_tokens": ("s STRING", "ARRAY<STRING>",

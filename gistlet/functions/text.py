@@ -39,9 +39,12 @@ def split_sentences(c, max_sentences: int | None = C.MAX_SENTENCES) -> Column:
     The separator char(1) is removed from the text first so it cannot collide.
     Blank pieces are dropped; the result is capped at ``max_sentences``.
     """
-    text = F.regexp_replace(_col(c), _SEP, "")
+    # On stripped text every piece starts and ends with a non-space character (a
+    # boundary swallows the whole whitespace run), so only an empty text yields a
+    # blank piece: array_remove replaces a per-piece lambda.
+    text = py_strip(F.regexp_replace(_col(c), _SEP, ""))
     marked = F.regexp_replace(text, C.SENTENCE_END + C.WS_CLASS + "+", "$1" + _SEP)
-    parts = F.filter(F.split(marked, _SEP), lambda s: py_strip(s) != F.lit(""))
+    parts = F.array_remove(F.split(marked, _SEP), "")
     if max_sentences:
         parts = F.slice(parts, 1, int(max_sentences))
     return parts
