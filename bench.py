@@ -32,8 +32,12 @@ def main():
         df.write.format("noop").mode("overwrite").save()
 
     times: dict = {}
-    # untimed warm-up: JVM start, code generation, Python workers
-    run(Q.q_normalize_articles(spark, sf_dir))
+    # untimed warm-up on the smaller sibling table (same code paths: JIT, codegen,
+    # Python workers), as the reference's timing protocol warms up before timing
+    warm = os.path.join(os.path.dirname(sf_dir), "sf0.01")
+    warm = warm if os.path.isdir(warm) and warm != sf_dir else sf_dir
+    for q in (Q.q_build_vocab, Q.q_summarize_articles, Q.q_oracle_labels, Q.q_rouge1, Q.q_encode_tokens):
+        run(q(spark, warm))
 
     def timed(name, fn, repeat=1):
         vals = []
