@@ -59,6 +59,14 @@ class Vocabulary:
     table: DataFrame
     tokens: list  # index = id; tokens[0] = '', tokens[1] = '[UNK]'
     seq_len: int = C.SEQ_LEN
+    _bc: object = None  # broadcast of tokens[2:], created once per fitted vocabulary
+
+    def broadcast_tokens(self, spark: SparkSession):
+        if self.size > BROADCAST_VOCAB_LIMIT:
+            raise ValueError(f"vocabulary of {self.size} entries exceeds the broadcast bound")
+        if self._bc is None:
+            self._bc = spark.sparkContext.broadcast(self.tokens[2:])
+        return self._bc
 
     @property
     def size(self) -> int:
@@ -115,7 +123,7 @@ def vocabulary_from_table(table: DataFrame, seq_len: int = C.SEQ_LEN) -> Vocabul
 def in_row_lookup(vocab: Vocabulary, token_lists: Column, nested: bool = True) -> Column:
     """Arrow UDF: vectorized hash lookup (pyarrow index_in) against a broadcast vocabulary."""
     spark = SparkSession.getActiveSession()
-    bc = spark.sparkContext.broadcast(vocab.tokens[2:])
+    bc = vocab.broadcast_tokens(spark)
     cache = {}
 
     def _vocab_array():

@@ -384,13 +384,11 @@ def q_model_roundtrip(spark, sf_dir):
 def q_train_baseline(spark, sf_dir):
     from gistlet.operators.train import accuracy, baseline_probability, bce_loss, train_baseline
     from gistlet.operators.vocab import sentence_tokens
-    enc = encoded_labeled(spark, sf_dir)
     sents = labeled_articles(spark, sf_dir).withColumnRenamed("id", "article_id")
     flat = posexplode_rows(sents, ["split", "article_id", "labels"], "sentences", "sent_index", "sentence")
     flat = flat.select("split", "article_id", "sent_index",
                        sentence_tokens(F.col("sentence"), 1 << 20).alias("tokens"),
                        F.coalesce(F.get("labels", F.col("sent_index")), F.lit(0)).cast("int").alias("y"))
-    del enc
     v = vocabulary(spark, sf_dir)
     model = train_baseline(flat.where(F.col("split") == "train"), v.size)
     pred = baseline_probability(model, flat.where(F.col("split") != "train"))
