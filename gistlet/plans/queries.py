@@ -204,6 +204,13 @@ def q_flatten_sentences(spark, sf_dir):
                        "article_id", F.col("sent_index").cast("bigint").alias("sent_index"))
 
 
+def q_flatten_ordinals(spark, sf_dir):
+    """B8/B9 on unlabeled articles: ordinal ids from the bucketed distributed prefix sum."""
+    flat = FL.flatten_sentences(FL.with_sentences(articles(spark, sf_dir)))
+    return flat.select("split", "id", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
+                       "sentence", F.col("label").cast("bigint").alias("label"))
+
+
 def q_class_weights(spark, sf_dir):
     from gistlet.operators.train import class_weights
     from gistlet.sources.corpus import read_table, split_of
@@ -484,6 +491,7 @@ QUERIES = {
     "oracle_labels": q_oracle_labels,
     "evaluate_rouge": q_evaluate_rouge,
     "flatten_sentences": q_flatten_sentences,
+    "flatten_ordinals": q_flatten_ordinals,
     "class_weights": q_class_weights,
     "bce_loss": q_bce_loss,
     "accuracy": q_accuracy,

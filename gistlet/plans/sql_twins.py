@@ -204,6 +204,15 @@ FROM articles""")
     t["rouge1"] = rouge_n_sql(1)
     t["rouge2"] = rouge_n_sql(2)
 
+    t["flatten_ordinals"] = with_ctes(ARTICLES, body="""
+, offs AS (
+  SELECT id, coalesce(sum(len(sentences)) OVER (PARTITION BY split ORDER BY pos
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+  FROM sents2)
+SELECT f.split, CAST(o.off + f.sent_index AS VARCHAR) AS id, f.article_id, CAST(f.sent_index AS BIGINT) AS sent_index,
+       f.sentence, CAST(0 AS BIGINT) AS label
+FROM flat f JOIN offs o ON f.article_id = o.id""")
+
     t["class_weights"] = """
 WITH y AS (SELECT quality AS y FROM labels WHERE doc_id % 10 NOT IN (8, 9)),
 c AS (SELECT y AS label, count(*) AS n FROM y GROUP BY y)
