@@ -16,8 +16,6 @@ A14 read_sentences         ``sentence`` field only, '' when missing, tolerant
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,45 +46,30 @@ FLAT_SCHEMA = T.StructType([
 _CORRUPT = "_corrupt_record"
 
 
-def _hadoop_files(spark: SparkSession, path: str) -> list:
-    """Data files under ``path`` (listing only, no data is read on the driver)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    it = fs.listFiles(p, True)
-    out = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if not name.startswith(("_", ".")):
-            out.append(st.getPath().toString())
-    return sorted(out)
-
-
-def _split_from_path(path: str):
-    for part in path.split("/"):
-        if part.startswith("split="):
-            return part[len("split="):]
-    return None
-
-
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, split, line, value): every line of every file with its 0-based line number.
 
-    Line numbers come from ``zipWithIndex`` over each file's input splits, which
-    are in byte order, so they equal the position in the file.
+    One DataFrame job, any number of files: within a scan split rows keep file order and
+    ``monotonically_increasing_id`` is contiguous, so a line's number is the lines of the
+    file's earlier splits plus its offset inside its split.  The per-split table (one row
+    per input split) is small and joined back by broadcast.
     """
-    sc = spark.sparkContext
-    rdds = []
-    for f in _hadoop_files(spark, path):
-        base, split = os.path.basename(f), _split_from_path(f)
-        rdds.append(sc.textFile(f).zipWithIndex()
-                    .map(lambda t, b=base, s=split: (b, s, int(t[1]), t[0])))
-    schema = "file STRING, split STRING, line BIGINT, value STRING"
-    if not rdds:
-        return spark.createDataFrame([], schema)
-    return spark.createDataFrame(sc.union(rdds), schema)
+    from pyspark.sql import Window
+
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_mid"), "value")
+    blocks = raw.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    lines = raw.join(F.broadcast(blocks.select("_path", "_block", "_first", "_before")), ["_path", "_block"])
+    split = F.regexp_extract("_path", r"/split=([^/]+)/", 1)
+    return lines.select(
+        F.regexp_extract("_path", r"([^/]+)$", 1).alias("file"),
+        F.when(split != "", split).alias("split"),
+        (F.col("_before") + F.col("_mid") - F.col("_first")).cast("bigint").alias("line"),
+        "value")
 
 
 def parse_json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:

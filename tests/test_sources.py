@@ -92,3 +92,21 @@ def test_flat_writer_roundtrip(spark):
     back = sorted((r["id"], r["sentence"], r["label"], r["meta"]["sent_index"]) for r in jsonl.read_flat(spark, path).collect())
     assert back == [("0", "A.", 1, 0), ("1", "B.", 0, 1)]
     assert sorted(r["sentence"] for r in jsonl.read_sentences(spark, path).collect()) == ["A.", "B."]
+
+
+def test_line_numbers_span_input_splits(spark):
+    """Line numbers stay file positions when one file is read as several splits."""
+    base = new_work_path(spark, "lines").replace("file:", "")
+    lines = [f'{{"id": "r{i}", "article": "Text {i}.", "highlights": ""}}' if i % 7 else "bad line" for i in range(3000)]
+    write_lines(f"{base}/split=test", "big.jsonl", lines)
+    write_lines(f"{base}/split=train", "small.jsonl", ['{"article": "A."}', "", '{"article": "B."}'])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = {(r["file"], r["line"]): r["value"] for r in jsonl.numbered_lines(spark, base).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert all(got[("big.jsonl", i)] == lines[i] for i in range(3000))
+    rows = {r["id"]: r for r in jsonl.read_raw_articles(spark, base).collect()}
+    assert rows["small.jsonl-0"]["article"] == "A." and rows["small.jsonl-2"]["article"] == "B."
+    assert rows["r1"]["pos"] == 1 and "r7" not in rows and rows["r1"]["split"] == "test"
