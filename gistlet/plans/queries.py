@@ -320,6 +320,19 @@ def q_read_text_articles(spark, sf_dir):
     return jsonl.read_text_articles(spark, path).select("id", "article")
 
 
+def q_summarize_text_files(spark, sf_dir):
+    """One text file per article -> summaries -> summary JSON (T10) -> read back."""
+    from gistlet.session import new_work_path
+    from gistlet.sources import jsonl
+    base = new_work_path(spark, "text-summaries")
+    jsonl.write_text_articles(articles(spark, sf_dir), f"{base}/articles")
+    arts = jsonl.read_text_articles(spark, f"{base}/articles").withColumn("highlights", F.lit(""))
+    jsonl.write_summaries(SU.summarize_articles(arts, vocabulary(spark, sf_dir)), f"{base}/summaries")
+    back = spark.read.schema(jsonl.SUMMARY_SCHEMA).json(f"{base}/summaries")
+    return back.select("id", F.size("scores").cast("bigint").alias("n_sentences"),
+                       _ids_string("selected_indices").alias("selected_indices"), "summary")
+
+
 def q_labeled_roundtrip(spark, sf_dir):
     from gistlet.session import new_work_path
     from gistlet.sources import jsonl
@@ -502,6 +515,7 @@ QUERIES = {
     "calibration_sample": q_calibration_sample,
     "read_articles": q_read_articles,
     "read_text_articles": q_read_text_articles,
+    "summarize_text_files": q_summarize_text_files,
     "labeled_roundtrip": q_labeled_roundtrip,
     "train_scorer": q_train_scorer,
     "model_roundtrip": q_model_roundtrip,

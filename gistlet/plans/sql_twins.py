@@ -250,6 +250,8 @@ LIMIT 500""")
     t["read_text_articles"] = with_ctes(ARTICLES, body="SELECT id, article FROM articles")
 
     t["summarize_stream"] = t["summarize_articles"]
+    t["summarize_text_files"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, body="""
+SELECT id, n_sentences, selected_indices, summary FROM summ""")
 
     t["limit_per_split"] = with_ctes(ARTICLES, body="""
 SELECT split, id, pos, rank FROM (

@@ -43,6 +43,16 @@ FLAT_SCHEMA = T.StructType([
                                         T.StructField("sent_index", T.IntegerType())])),
 ])
 
+SUMMARY_SCHEMA = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("summary", T.StringType()),
+    T.StructField("selected_indices", T.ArrayType(T.IntegerType())),
+    T.StructField("selected_sentences", T.ArrayType(T.StringType())),
+    T.StructField("scores", T.ArrayType(T.DoubleType())),
+    T.StructField("inference_elapsed_seconds", T.DoubleType()),
+    T.StructField("generated_at", T.StringType()),
+])
+
 _CORRUPT = "_corrupt_record"
 
 
