@@ -42,7 +42,7 @@ def split_sentences(c, max_sentences: int | None = C.MAX_SENTENCES) -> Column:
     # On stripped text every piece starts and ends with a non-space character (a
     # boundary swallows the whole whitespace run), so only an empty text yields a
     # blank piece: array_remove replaces a per-piece lambda.
-    text = py_strip(F.regexp_replace(_col(c), _SEP, ""))
+    text = py_strip(F.replace(_col(c), F.lit(_SEP), F.lit("")))
     marked = F.regexp_replace(text, C.SENTENCE_END + C.WS_CLASS + "+", "$1" + _SEP)
     parts = F.array_remove(F.split(marked, _SEP), "")
     if max_sentences:

@@ -29,7 +29,7 @@ def with_sentences(articles: DataFrame, max_sentences: int = C.MAX_SENTENCES,
     """Add ``sentences`` (capped) and drop articles with none."""
     # "has a sentence" <=> some non-whitespace character besides the separator;
     # tested on the text so the split itself is not evaluated twice.
-    has_text = F.length(py_strip(F.regexp_replace(F.col(text_col), "\u0001", ""))) > 0
+    has_text = F.length(py_strip(F.replace(F.col(text_col), F.lit("\u0001"), F.lit("")))) > 0
     return (articles.where(has_text)
             .withColumn("sentences", split_sentences(F.col(text_col), max_sentences)))
 
