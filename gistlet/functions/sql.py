@@ -34,8 +34,8 @@ def _definitions() -> dict:
     ws = sql_lit(C.PY_WHITESPACE)
     sent_re = sql_lit(C.SENTENCE_END + C.WS_CLASS + "+")
     std = f"translate(s, {sql_lit(C.UPPER_ASCII + C.PUNCT_CHARS)}, {sql_lit(C.LOWER_ASCII)})"
-    tokens = (f"filter(split(translate({std}, {sql_lit(C.ASCII_WS_CHARS)}, "
-              f"{sql_lit(' ' * len(C.ASCII_WS_CHARS))}), ' '), t -> t <> '')")
+    tokens = (f"array_remove(split(translate({std}, {sql_lit(C.ASCII_WS_CHARS)}, "
+              f"{sql_lit(' ' * len(C.ASCII_WS_CHARS))}), ' '), '')")
     return {
         "strip_text": ("s STRING", "STRING", f"trim(BOTH {ws} FROM s)"),
         "split_sentences": ("s STRING, max_sentences INT", "ARRAY<STRING>",
@@ -44,8 +44,7 @@ def _definitions() -> dict:
         "standardize_text": ("s STRING", "STRING", std),
         "text_tokens": ("s STRING", "ARRAY<STRING>", tokens),
         "rouge_tokens": ("s STRING", "ARRAY<STRING>",
-                         f"filter(split(regexp_replace(lower(s), {sql_lit(C.ROUGE_NON_ALNUM)}, ' '), ' '), "
-                         "t -> t <> '')"),
+                         f"array_remove(split(regexp_replace(lower(s), {sql_lit(C.ROUGE_NON_ALNUM)}, ' '), ' '), '')"),
         "quantize_int8": ("x DOUBLE, scale DOUBLE, zero_point INT", "TINYINT",
                           "CAST(greatest(least(bround(x / (CASE WHEN scale <> 0 THEN scale ELSE "
                           "CAST(raise_error('quantized tensor with scale == 0') AS DOUBLE) END) "

@@ -59,13 +59,13 @@ def standardize(c) -> Column:
 def text_tokens(c) -> Column:
     """Standardize and split on ASCII whitespace, dropping empty tokens."""
     spaced = F.translate(standardize(c), C.ASCII_WS_CHARS, " " * len(C.ASCII_WS_CHARS))
-    return F.filter(F.split(spaced, " "), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def rouge_tokens(c) -> Column:
     """ROUGE tokens without stemming: lower-case, [^a-z0-9]+ separates."""
     spaced = F.regexp_replace(F.lower(_col(c)), C.ROUGE_NON_ALNUM, " ")
-    return F.filter(F.split(spaced, " "), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def join_text(arr, sep: str = " ") -> Column:
