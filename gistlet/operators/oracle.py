@@ -17,19 +17,27 @@ from gistlet import config as C
 from gistlet.functions import lcs as LCS
 from gistlet.functions.text import rouge_tokens
 from gistlet.operators.flatten import with_sentences
-from gistlet.operators.rouge import stem_token_lists, stem_tokens
+from gistlet.functions import porter
 
 ORACLE_TYPE = T.StructType([T.StructField("chosen", T.ArrayType(T.IntegerType())),
                             T.StructField("labels", T.ArrayType(T.ByteType()))])
 
 
-def _oracle_udf(k: int):
+def _stem_all(tokens):
+    return [porter.stem(t) if len(t) > 3 else t for t in tokens]
+
+
+def _oracle_udf(k: int, stem: bool):
+    # Stemming happens inside the same Python evaluation (memoized per worker), so
+    # the token lists cross the JVM/Python boundary once.
     @F.arrow_udf(ORACLE_TYPE)
     def _oracle(sent_tokens: pa.Array, ref_tokens: pa.Array) -> pa.Array:
         chosen_all, labels_all = [], []
         for st, rt in zip(sent_tokens.to_pylist(), ref_tokens.to_pylist()):
-            st = st or []
-            chosen = LCS.greedy_oracle(st, rt or [], k)
+            st, rt = st or [], rt or []
+            if stem:
+                st, rt = [_stem_all(s) for s in st], _stem_all(rt)
+            chosen = LCS.greedy_oracle(st, rt, k)
             chosen_all.append(chosen)
             labels_all.append(LCS.labels_from_chosen(len(st), chosen))
         return pa.StructArray.from_arrays(
@@ -48,9 +56,7 @@ def oracle_labels(articles: DataFrame, k: int = C.ORACLE_K, stem: bool = True,
     a = with_sentences(articles, max_sentences)
     st = F.transform("sentences", lambda s: rouge_tokens(s))
     rt = rouge_tokens(summary_col)
-    if stem:
-        st, rt = stem_token_lists(st), stem_tokens(rt)
-    a = a.withColumn("_oracle", _oracle_udf(k)(st, rt))
+    a = a.withColumn("_oracle", _oracle_udf(k, stem)(st, rt))
     keep = [c for c in a.columns if c not in ("article", "sentences", summary_col, "_oracle")]
     return a.select(*keep, "sentences", F.col("_oracle.labels").alias("labels"),
                     F.col(summary_col).alias("summary"), F.col("_oracle.chosen").alias("chosen"))
