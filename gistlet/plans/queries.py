@@ -370,8 +370,10 @@ def trained_model(spark, sf_dir):
         enc = encoded_labeled(spark, sf_dir)
         v = vocabulary(spark, sf_dir)
         trainer = ScorerTrainer(vocab_size=v.size, seq_len=v.seq_len, seed=0)
+        from gistlet.session import new_work_path
         res = trainer.fit(enc.where(F.col("split") == "train"),
-                          enc.where(F.col("split") == "validation"))
+                          enc.where(F.col("split") == "validation"),
+                          checkpoint_dir=new_work_path(spark, "train-state"))
         _MODELS[key] = res
     return _MODELS[key]
 

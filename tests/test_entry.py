@@ -22,3 +22,16 @@ def test_stream_equals_batch(spark):
     b = sorted(tuple(r) for r in q_summarize_articles(spark, SF_SMALL).collect())
     s = sorted(tuple(r) for r in q_summarize_stream(spark, SF_SMALL).collect())
     assert b == s
+
+
+def test_stream_restart_is_exactly_once(spark):
+    from gistlet.plans.queries import vocabulary
+    from gistlet.session import new_work_path
+    from gistlet.streaming.summarize import document_stream, run_to_table, summary_stream
+    base = new_work_path(spark, "stream-restart")
+    v = vocabulary(spark, SF_SMALL)
+    for _ in range(2):   # second run restarts from the checkpoint and finds nothing new
+        docs = document_stream(spark, f"{SF_SMALL}/documents*.parquet")
+        run_to_table(summary_stream(docs, v), f"{base}/out", f"{base}/ck")
+    out = spark.read.parquet(f"{base}/out")
+    assert out.count() == out.select("id").distinct().count() == 200

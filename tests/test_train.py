@@ -67,3 +67,14 @@ def test_model_roundtrip(spark):
     back = TR.load_weights(spark, path)
     x = np.random.default_rng(0).integers(0, 15, size=(5, 32))
     assert np.array_equal(forward(wt, x), forward(back, x))
+
+
+def test_resume_from_checkpoint_equals_uninterrupted(spark):
+    data = toy(spark, n=300, seed=2)
+    kw = dict(vocab_size=30, seq_len=32, emb_dim=6, dense_units=6, patience=10, learning_rate=0.01, seed=5, shards=2)
+    full = TR.ScorerTrainer(epochs=4, **kw).fit(data, data)
+    ck = new_work_path(spark, "train-ck")
+    TR.ScorerTrainer(epochs=2, **kw).fit(data, data, checkpoint_dir=ck)          # "lost" after 2 epochs
+    resumed = TR.ScorerTrainer(epochs=4, **kw).fit(data, data, checkpoint_dir=ck, resume=True)
+    assert [h["epoch"] for h in resumed.history] == [1, 2, 3, 4]
+    assert np.allclose(resumed.weights.flat(), full.weights.flat())
