@@ -1,0 +1,51 @@
+"""Randomized: the JVM text rules equal an independent pure-Python statement of the rules."""
+
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from gistlet import config as C
+from gistlet.functions.text import py_strip, rouge_tokens, split_sentences, text_tokens
+
+WS = "".join(re.escape(c) for c in C.PY_WHITESPACE)
+BOUNDARY = re.compile(r"""([.!?]+["')\]]*)[""" + WS + "]+")
+
+
+def py_split(text, cap=50):
+    t = text.replace("\u0001", "").strip()
+    pieces = BOUNDARY.sub(lambda m: m.group(1) + "\u0001", t).split("\u0001")
+    return [p for p in pieces if p.strip()][:cap]
+
+
+def py_tokens(text):
+    out = []
+    for ch in text:
+        if "A" <= ch <= "Z":
+            out.append(chr(ord(ch) + 32))
+        elif ch not in C.PUNCT_CHARS:
+            out.append(ch)
+    return [t for t in re.split("[ \t\n\x0b\x0c\r]+", "".join(out)) if t]
+
+
+def py_rouge_tokens(text):
+    return [t for t in re.sub(r"[^a-z0-9]+", " ", text.lower()).split(" ") if t]
+
+
+ALPHABET = list("abcXYZ09 .!?\"')]-,'") + list(C.PY_WHITESPACE) + ["\u0001", "é", "É", "​"]
+texts = st.lists(st.text(alphabet=st.sampled_from(ALPHABET), max_size=60), min_size=50, max_size=50)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batch=texts)
+def test_rules_match_python(spark, batch):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(batch)], "i INT, t STRING")
+    rows = df.select("i", split_sentences(F.col("t"), 5).alias("s"), text_tokens("t").alias("k"),
+                     rouge_tokens("t").alias("r"), py_strip("t").alias("p")).collect()
+    for r in rows:
+        t = batch[r["i"]]
+        assert r["s"] == py_split(t, 5), repr(t)
+        assert r["k"] == py_tokens(t), repr(t)
+        assert r["r"] == py_rouge_tokens(t), repr(t)
+        assert r["p"] == t.strip(), repr(t)
