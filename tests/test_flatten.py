@@ -61,3 +61,14 @@ def test_training_requires_train_rows(spark):
     empty = spark.createDataFrame([], "x ARRAY<INT>, y INT")
     with pytest.raises(ValueError):
         ScorerTrainer(vocab_size=5, epochs=1).fit(empty)
+
+
+def test_stats_written_as_one_json_object(spark):
+    from gistlet.session import new_work_path
+    from gistlet.sources.jsonl import write_stats
+    path = new_work_path(spark, "stats")
+    write_stats(FL.flatten_stats(FL.flatten_sentences(labeled(spark)), 2000, 32), path)
+    rows = spark.read.json(path).collect()
+    assert len(rows) == 1
+    assert rows[0].asDict() == {"train_sentences": 6, "validation_sentences": 0, "test_sentences": 1,
+                                "vocab_size": 2000, "seq_len": 32}
