@@ -20,6 +20,39 @@ DEFAULT_CONF = {
 }
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``gistlet`` importable in the Python workers (as ``--py-files`` would).
+
+    UDFs are pickled by reference to this package's modules; workers only see the
+    interpreter's own path, so the package is zipped once per application and
+    added with ``addPyFile`` (Spark serves the file to every executor).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    base = work_dir(spark)
+    target_dir = local_path(base) if (base.startswith("file:") or "://" not in base) else tempfile.mkdtemp(
+        prefix="gistlet-pyfiles-")
+    os.makedirs(target_dir, exist_ok=True)
+    zpath = os.path.join(target_dir, f"gistlet-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
 def get_spark(master: str | None = None, app: str = "gistlet",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
@@ -35,6 +68,7 @@ def get_spark(master: str | None = None, app: str = "gistlet",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
