@@ -56,13 +56,33 @@ SUMMARY_SCHEMA = T.StructType([
 _CORRUPT = "_corrupt_record"
 
 
+# Broadcast the per-split table only below this many input splits (~100 bytes a row).
+SPLITS_BROADCAST_LIMIT = 200_000
+
+
+def split_count_bound(spark: SparkSession, path: str) -> int:
+    """Upper bound on the number of input splits, from file sizes (listing only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    max_bytes = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    it = p.getFileSystem(conf).listFiles(p, True)
+    n = 0
+    while it.hasNext():
+        st = it.next()
+        if not st.getPath().getName().startswith(("_", ".")):
+            n += max(1, -(-int(st.getLen()) // max_bytes))
+    return n
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, split, line, value): every line of every file with its 0-based line number.
 
     One DataFrame job, any number of files: within a scan split rows keep file order and
     ``monotonically_increasing_id`` is contiguous, so a line's number is the lines of the
     file's earlier splits plus its offset inside its split.  The per-split table (one row
-    per input split) is small and joined back by broadcast.
+    per input split) is broadcast when the file listing bounds it below
+    ``SPLITS_BROADCAST_LIMIT`` rows; otherwise Spark plans the join.
     """
     from pyspark.sql import Window
 
@@ -73,7 +93,10 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     blocks = raw.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    lines = raw.join(F.broadcast(blocks.select("_path", "_block", "_first", "_before")), ["_path", "_block"])
+    small = blocks.select("_path", "_block", "_first", "_before")
+    if split_count_bound(spark, path) <= SPLITS_BROADCAST_LIMIT:
+        small = F.broadcast(small)
+    lines = raw.join(small, ["_path", "_block"])
     split = F.regexp_extract("_path", r"/split=([^/]+)/", 1)
     return lines.select(
         F.regexp_extract("_path", r"([^/]+)$", 1).alias("file"),
