@@ -46,12 +46,6 @@ def top_tokens(counts: DataFrame, max_tokens: int) -> DataFrame:
     return top.select("token", (rank + 1).cast("int").alias("id"), F.col("n").cast("bigint").alias("n"))
 
 
-def reserved_rows(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(C.PAD_TOKEN, C.PAD_ID, None), (C.UNK_TOKEN, C.UNK_ID, None)],
-        "token STRING, id INT, n BIGINT")
-
-
 @dataclass
 class Vocabulary:
     """Fitted vocabulary: a DataFrame (token, id, n) plus the token list by id."""

@@ -20,9 +20,6 @@ from gistlet.functions.text import default_strip
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-RAW_ARTICLE_SCHEMA = "split STRING, id STRING, pos BIGINT, article STRING, highlights STRING"
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
