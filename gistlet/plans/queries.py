@@ -445,15 +445,15 @@ def q_score_quantized(spark, sf_dir):
     from gistlet.operators.scorer import score_udf
     wt = trained_model(spark, sf_dir).weights
     qs = quantized_model(spark, sf_dir)
-    test = encoded_labeled(spark, sf_dir).where(F.col("split") == "test")
-    return test.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
+    enc = encoded_labeled(spark, sf_dir)
+    return enc.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
                        score_udf(spark, wt)(F.col("x")).alias("score_float"),
                        quantized_score_udf(spark, qs)(F.col("x")).alias("score_quant"))
 
 
 def q_model_drift(spark, sf_dir):
-    """D12 on the test split: MSE and Pearson of float vs int8 sentence scores, and the
-    mean ROUGE F of the summaries each model selects."""
+    """MSE and Pearson of float vs int8 scores over every sentence, and the mean
+    ROUGE F of the summaries each model selects on the test split (the evaluation set)."""
     from gistlet.operators.quantize import drift
     from gistlet.operators.rouge import mean_f
     wt = trained_model(spark, sf_dir).weights
