@@ -78,3 +78,16 @@ def test_resume_from_checkpoint_equals_uninterrupted(spark):
     resumed = TR.ScorerTrainer(epochs=4, **kw).fit(data, data, checkpoint_dir=ck, resume=True)
     assert [h["epoch"] for h in resumed.history] == [1, 2, 3, 4]
     assert np.allclose(resumed.weights.flat(), full.weights.flat())
+
+
+def test_spark_ml_baseline_learns(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(400):
+        y = int(rng.random() < 0.25)
+        words = ["alpha", "beta", "gamma"] if y else ["delta", "eps", "zeta"]
+        rows.append(([str(w) for w in rng.choice(words, 6)], y))
+    df = spark.createDataFrame(rows, "tokens ARRAY<STRING>, y INT")
+    model = TR.train_baseline(df, vocab_size=20)
+    acc = TR.accuracy(TR.baseline_probability(model, df), "p", "y").first()["accuracy"]
+    assert acc > 0.95

@@ -36,3 +36,19 @@ def test_encode_forms_agree_and_pad(spark):
     assert flat[("b", 1)] == [0] * 32                      # punctuation only: all padding
     assert flat[("c", 0)] == [2] * 32                      # truncated to 32
     assert VO.infer_vocab_size(VO.encode_flat(s, v, ["article_id", "sent_index"])).first()[0] == 5
+
+
+def test_encode_without_broadcast_beyond_the_bound(spark, monkeypatch):
+    s = sentences(spark)
+    v = VO.VocabularyBuilder(max_tokens=5).fit(s)
+    keys = ["article_id", "sent_index"]
+    with_bc = {tuple(r[:2]): r["x"] for r in VO.encode_flat(s, v, keys).collect()}
+    monkeypatch.setattr(VO, "BROADCAST_VOCAB_LIMIT", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = VO.encode_flat(s, v, keys)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan
+        assert {tuple(r[:2]): r["x"] for r in df.collect()} == with_bc
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
