@@ -169,12 +169,15 @@ def encode_flat(sentences: DataFrame, vocab: Vocabulary, keys: list,
     so only one row per sentence crosses the exchange.
     """
     seq_len = seq_len or vocab.seq_len
-    base = sentences.select(*keys, sentence_tokens(F.col(text_col), seq_len).alias("_toks"))
+    # Regrouped by a per-sentence row id (the caller's keys ride along), so repeated
+    # keys in the input neither merge sentences nor form one hot group.
+    base = sentences.select(*keys, F.monotonically_increasing_id().alias("_row"),
+                            sentence_tokens(F.col(text_col), seq_len).alias("_toks"))
     # posexplode_outer keeps sentences without tokens (they become all padding).
-    toks = base.select(*keys, F.posexplode_outer("_toks").alias("pos", "token"))
+    toks = base.select(*keys, "_row", F.posexplode_outer("_toks").alias("pos", "token"))
     ided = lookup_ids_join(toks, vocab)
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
-    grouped = ided.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_p"))
+    grouped = ided.groupBy("_row", *keys).agg(F.array_sort(F.collect_list(entry)).alias("_p"))
     return grouped.select(*keys, pad_ids(F.transform("_p", lambda e: e["id"]), seq_len).alias("x"))
 
 

@@ -52,3 +52,10 @@ def test_encode_without_broadcast_beyond_the_bound(spark, monkeypatch):
         assert {tuple(r[:2]): r["x"] for r in df.collect()} == with_bc
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_encode_keeps_sentences_with_repeated_keys_apart(spark):
+    s = spark.createDataFrame([("a", 0, "cat dog"), ("a", 0, "dog dog dog")], "article_id STRING, sent_index INT, sentence STRING")
+    v = VO.VocabularyBuilder(max_tokens=10).fit(s)
+    got = sorted(r["x"][:3] for r in VO.encode_flat(s, v, ["article_id", "sent_index"]).collect())
+    assert got == [[2, 2, 2], [3, 2, 0]]          # dog = 2, cat = 3
