@@ -100,9 +100,10 @@ def q_flatten_stats(spark, sf_dir):
 
 
 def scored_flat(spark, sf_dir):
+    """(split, article_id, _art, sent_index, score); _art is a per-article row id."""
     s = scored_articles(spark, sf_dir)
-    s = s.withColumnRenamed("id", "article_id")
-    return posexplode_rows(s, ["split", "article_id"], "scores", "sent_index", "score")
+    s = s.withColumnRenamed("id", "article_id").withColumn("_art", F.monotonically_increasing_id())
+    return posexplode_rows(s, ["split", "article_id", "_art"], "scores", "sent_index", "score")
 
 
 def q_score_sentences(spark, sf_dir):
@@ -112,7 +113,8 @@ def q_score_sentences(spark, sf_dir):
 
 
 def q_topk_sentences(spark, sf_dir):
-    top = TK.topk_window(scored_flat(spark, sf_dir), C.TOP_K)
+    # ranked within each article row (a repeated id never pools two articles)
+    top = TK.topk_window(scored_flat(spark, sf_dir), C.TOP_K, article_col="_art")
     return top.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
                       F.col("rank").cast("bigint").alias("rank"))
 
