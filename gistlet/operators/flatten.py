@@ -22,6 +22,8 @@ from gistlet.functions.text import py_strip, split_sentences
 # Articles per window bucket of the ordinal prefix sum: bounds the rows one
 # window task sorts, independent of the corpus size.
 ORDINAL_BUCKET = 1 << 16
+# Buckets per super-bucket: bounds the window over bucket totals the same way.
+ORDINAL_SUPER = 1 << 16
 
 
 def with_sentences(articles: DataFrame, max_sentences: int = C.MAX_SENTENCES,
@@ -43,20 +45,27 @@ def add_ordinal_offset(articles: DataFrame, count_col: str, part_col: str = "spl
                        order_col: str = "pos", out_col: str = "_offset") -> DataFrame:
     """Exclusive prefix sum of ``count_col`` in ``order_col`` order within ``part_col``.
 
-    Two levels: a window inside fixed-size buckets of ``order_col`` (bounded
-    groups), plus the prefix of bucket totals, which is a table of one row per
-    bucket; it is joined back by (part, bucket) and AQE broadcasts it when small.
+    Three levels, every window group bounded by a constant: rows inside fixed-size
+    buckets of ``order_col``; bucket totals inside super-buckets; super-bucket
+    totals (rows / 2^32 per part).  The offset tables are joined back by key and
+    AQE broadcasts them when small.
     """
     b = F.floor(F.col(order_col) / F.lit(ORDINAL_BUCKET)).cast("bigint")
     a = articles.withColumn("_bucket", b)
     w_in = (Window.partitionBy(part_col, "_bucket").orderBy(order_col)
             .rowsBetween(Window.unboundedPreceding, -1))
     a = a.withColumn("_in", F.coalesce(F.sum(count_col).over(w_in), F.lit(0)))
-    totals = a.groupBy(part_col, "_bucket").agg(F.sum(count_col).alias("_bt"))
-    w_b = (Window.partitionBy(part_col).orderBy("_bucket")
+    totals = (a.groupBy(part_col, "_bucket").agg(F.sum(count_col).alias("_bt"))
+              .withColumn("_super", F.floor(F.col("_bucket") / F.lit(ORDINAL_SUPER)).cast("bigint")))
+    w_b = (Window.partitionBy(part_col, "_super").orderBy("_bucket")
            .rowsBetween(Window.unboundedPreceding, -1))
-    offs = totals.select(part_col, "_bucket",
-                         F.coalesce(F.sum("_bt").over(w_b), F.lit(0)).alias("_bo"))
+    totals = totals.withColumn("_bin", F.coalesce(F.sum("_bt").over(w_b), F.lit(0)))
+    supers = totals.groupBy(part_col, "_super").agg(F.sum("_bt").alias("_st"))
+    w_s = (Window.partitionBy(part_col).orderBy("_super")
+           .rowsBetween(Window.unboundedPreceding, -1))
+    supers = supers.select(part_col, "_super", F.coalesce(F.sum("_st").over(w_s), F.lit(0)).alias("_so"))
+    offs = (totals.join(supers, [part_col, "_super"], "inner")
+            .select(part_col, "_bucket", (F.col("_so") + F.col("_bin")).alias("_bo")))
     return (a.join(offs, [part_col, "_bucket"], "inner")
             .withColumn(out_col, (F.col("_bo") + F.col("_in")).cast("bigint"))
             .drop("_bucket", "_in", "_bo"))

@@ -18,6 +18,7 @@ def labeled(spark):
 
 def test_flatten_alignment_and_ordinals(spark, monkeypatch):
     monkeypatch.setattr(FL, "ORDINAL_BUCKET", 2)   # several buckets even on tiny input
+    monkeypatch.setattr(FL, "ORDINAL_SUPER", 2)    # and several super-buckets
     flat = {(r["article_id"], r["sent_index"]): r for r in FL.flatten_sentences(labeled(spark)).collect()}
     assert [flat[("t-1", i)]["label"] for i in range(3)] == [1, 0, 0]
     assert flat[("t-0", 0)]["label"] == 0
@@ -72,3 +73,17 @@ def test_stats_written_as_one_json_object(spark):
     assert len(rows) == 1
     assert rows[0].asDict() == {"train_sentences": 6, "validation_sentences": 0, "test_sentences": 1,
                                 "vocab_size": 2000, "seq_len": 32}
+
+
+def test_ordinals_across_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(FL, "ORDINAL_BUCKET", 3)
+    monkeypatch.setattr(FL, "ORDINAL_SUPER", 2)
+    rows = [("train", f"t-{p}", p, ["s"] * (p % 4 + 1), []) for p in range(0, 60, 2)]
+    df = spark.createDataFrame(rows, "split STRING, id STRING, pos BIGINT, sentences ARRAY<STRING>, labels ARRAY<TINYINT>")
+    got = {(r["article_id"], r["sent_index"]): int(r["id"]) for r in FL.flatten_sentences(df).collect()}
+    expected, off = {}, 0
+    for _, aid, p, sents, _ in rows:
+        for i in range(len(sents)):
+            expected[(aid, i)] = off + i
+        off += len(sents)
+    assert got == expected
