@@ -134,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, id_col
                      pa.array([v.tobytes() for v in x], pa.binary())], names=["i", "y", "x"])
 
     got = rows.mapInArrow(run, "i long, y int, x binary").toPandas().sort_values(["i", "x"])
-    x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), -1)
+    x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(-1, 256 + EXTRA)
     good, bad = x[(got["y"] == 1).to_numpy()], x[(got["y"] == 0).to_numpy()]
     if not len(good) or not len(bad):
         return None
