@@ -5,7 +5,7 @@ reproduced; change the defaults block freely.
 """
 
 # ---------------------------------------------------------------- defaults
-MAX_SENTENCES = 50          # sentences kept per article, before labeling and scoring
+SENTENCE_CAP = 50           # of the optional cap on sentences per article; no cap unless one is asked for
 ORACLE_K = 3                # greedy oracle sentences
 TOP_K = 3                   # summary sentences
 MAX_TOKENS = 4000           # vocabulary size including the two reserved ids
@@ -33,6 +33,12 @@ PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
 # The same set as a regex class: ASCII controls
 # \t \n \v \f \r, the separators \x1c-\x1f, NEL, and every Z* code point.
 WS_CLASS = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]"
+# Words whose period never ends a sentence, and those whose period ends one only where no
+# lower-case letter or digit follows; the latter also holds for dotted letters ("p.m.", "U.S.").
+TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Gen", "Col", "Capt", "Lt", "Sgt", "Rev", "Hon", "Sen", "Rep", "Gov", "St",
+          "Mt", "vs")
+ABBREVIATIONS = ("etc", "Inc", "Corp", "Co", "Ltd", "Jr", "Sr", "approx", "dept", "est", "al", "No", "Jan", "Feb", "Mar",
+                 "Apr", "Jun", "Jul", "Aug", "Sep", "Sept", "Oct", "Nov", "Dec")
 # Whitespace used to split standardized text into tokens (ASCII only).
 ASCII_WS_CLASS = r"[ \t\n\x0B\f\r]"
 # Sentence end: terminal punctuation run, optional closing quotes/brackets.

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from gistlet import config as C
+from gistlet.functions.text import CONTINUES, NEVER_ENDS
 
 
 def sql_lit(s: str) -> str:
@@ -33,14 +34,16 @@ def sql_lit(s: str) -> str:
 def _definitions() -> dict:
     ws = sql_lit(C.PY_WHITESPACE)
     sent_re = sql_lit(C.SENTENCE_END + C.WS_CLASS + "+")
+    guarded = (f"regexp_replace(regexp_replace(trim(BOTH {ws} FROM translate(s, concat(chr(1), chr(2)), '')), "
+               f"{sql_lit(CONTINUES)}, concat('$1$2', chr(2), '$3')), {sql_lit(NEVER_ENDS)}, concat('$1$2', chr(2)))")
     std = f"translate(s, {sql_lit(C.UPPER_ASCII + C.PUNCT_CHARS)}, {sql_lit(C.LOWER_ASCII)})"
     tokens = (f"array_remove(split(translate({std}, {sql_lit(C.ASCII_WS_CHARS)}, "
               f"{sql_lit(' ' * len(C.ASCII_WS_CHARS))}), ' '), '')")
     return {
         "strip_text": ("s STRING", "STRING", f"trim(BOTH {ws} FROM s)"),
-        "split_sentences": ("s STRING, max_sentences INT", "ARRAY<STRING>",
-                            f"slice(array_remove(split(regexp_replace(trim(BOTH {ws} FROM replace(s, chr(1), '')), "
-                            f"{sent_re}, concat('$1', chr(1))), chr(1)), ''), 1, max_sentences)"),
+        "split_sentences": ("s STRING, max_sentences INT DEFAULT CAST(NULL AS INT)", "ARRAY<STRING>",
+                            f"slice(array_remove(split(translate(regexp_replace({guarded}, {sent_re}, concat('$1', chr(1))), "
+                            f"chr(2), '.'), chr(1)), ''), 1, coalesce(max_sentences, 2147483647))"),
         "standardize_text": ("s STRING", "STRING", std),
         "text_tokens": ("s STRING", "ARRAY<STRING>", tokens),
         "rouge_tokens": ("s STRING", "ARRAY<STRING>",

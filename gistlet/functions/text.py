@@ -2,7 +2,7 @@
 
 F1  py_strip            Unicode strip as Python's str.strip()
 B10 split_sentences     rule-based sentence split
-B11 (max_sentences)     cap on sentences per article
+B11 (max_sentences)     optional cap on sentences per article
 F2  standardize         ASCII lower-case, punctuation deleted
 F3  text_tokens         whitespace split of the standardized text
 F5  rouge_tokens        ROUGE tokenizer (without stemming)
@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from gistlet import config as C
 
-_SEP = "\u0001"
+_SEP, _DOT = "\u0001", "\u0002"
+_BEFORE = r"(^|[^\p{L}\p{N}.])"
+CONTINUES = (_BEFORE + r"((?:\p{L}\.)+\p{L}|" + "|".join(C.ABBREVIATIONS) + r")\.(" + C.WS_CLASS + r"+[\p{Ll}\p{N}])")
+NEVER_ENDS = _BEFORE + "(" + "|".join(C.TITLES) + r"|\p{Lu})\."
 
 
 def _col(c) -> Column:
@@ -33,18 +36,25 @@ def default_strip(c) -> Column:
     return py_strip(F.coalesce(_col(c), F.lit("")))
 
 
-def split_sentences(c, max_sentences: int | None = C.MAX_SENTENCES) -> Column:
+def sentence_text(c) -> Column:
+    """Text that the split works on: stripped, without the two marker characters."""
+    return py_strip(F.translate(_col(c), _SEP + _DOT, ""))
+
+
+def split_sentences(c, max_sentences: int | None = None) -> Column:
     """Split text after a terminal punctuation run followed by whitespace.
 
-    The separator char(1) is removed from the text first so it cannot collide.
-    Blank pieces are dropped; the result is capped at ``max_sentences``.
+    Periods of abbreviations and initials are hidden behind char(2) while the separator
+    char(1) is set; both are removed from the text first so they cannot collide. Blank
+    pieces are dropped; ``max_sentences`` is an optional cap.
     """
     # On stripped text every piece starts and ends with a non-space character (a
     # boundary swallows the whole whitespace run), so only an empty text yields a
     # blank piece: array_remove replaces a per-piece lambda.
-    text = py_strip(F.replace(_col(c), F.lit(_SEP), F.lit("")))
-    marked = F.regexp_replace(text, C.SENTENCE_END + C.WS_CLASS + "+", "$1" + _SEP)
-    parts = F.array_remove(F.split(marked, _SEP), "")
+    guarded = F.regexp_replace(sentence_text(c), CONTINUES, "$1$2" + _DOT + "$3")
+    guarded = F.regexp_replace(guarded, NEVER_ENDS, "$1$2" + _DOT)
+    marked = F.regexp_replace(guarded, C.SENTENCE_END + C.WS_CLASS + "+", "$1" + _SEP)
+    parts = F.array_remove(F.split(F.translate(marked, _DOT, "."), _SEP), "")
     if max_sentences:
         parts = F.slice(parts, 1, int(max_sentences))
     return parts
@@ -70,15 +80,3 @@ def rouge_tokens(c) -> Column:
 
 def join_text(arr, sep: str = " ") -> Column:
     return F.array_join(_col(arr), sep)
-
-
-def ngrams(tokens, n: int) -> Column:
-    """Space-joined n-grams of a token array; empty when shorter than n."""
-    t = _col(tokens)
-    if n == 1:
-        return t
-    grams = t
-    for k in range(1, n):
-        shifted = F.slice(t, k + 1, F.greatest(F.size(t) - k, F.lit(0)))
-        grams = F.zip_with(grams, shifted, lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.slice(grams, 1, F.greatest(F.size(t) - (n - 1), F.lit(0)))

@@ -2,8 +2,8 @@
 
 Per article: tokens of each sentence and of the reference summary are built
 natively; the greedy search runs in an Arrow UDF with the resumable
-bit-parallel LCS.  Everything is row-local (no shuffle); the article's work
-is bounded by the sentence cap, which is applied before labeling.
+bit-parallel LCS.  Everything is row-local (no shuffle); Arrow batches are bounded in
+bytes, and an optional sentence cap is applied before labeling.
 """
 
 from __future__ import annotations
@@ -47,10 +47,10 @@ def _oracle_udf(k: int, stem: bool):
 
 
 def oracle_labels(articles: DataFrame, k: int = C.ORACLE_K, stem: bool = True,
-                  max_sentences: int = C.MAX_SENTENCES, summary_col: str = "highlights") -> DataFrame:
+                  max_sentences: int | None = None, summary_col: str = "highlights") -> DataFrame:
     """T2 rows: split, id, pos, sentences, labels (TINYINT 0/1), summary, chosen (selection order).
 
-    Articles must be normalized (B1/B2); sentences are split and capped first (M6),
+    Articles must be normalized (B1/B2); sentences are split (and capped, M6) first,
     an empty reference leaves all labels 0 (M4).
     """
     a = with_sentences(articles, max_sentences)

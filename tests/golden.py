@@ -1,4 +1,7 @@
-"""Golden values of the sample article and its published summary (fixture spec)."""
+"""Golden values of the sample article and its published summary (fixture spec).
+
+Fixed values: the article's text, its eleven scores, and the expected selection and summary.
+"""
 
 ARTICLE = (
     "A team of researchers announced a significant breakthrough in renewable energy storage this week, "

@@ -11,10 +11,10 @@ def test_sql_functions_match_column_api(spark):
     register_functions(spark)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     docs.createOrReplaceTempView("docs_sql_test")
-    a = spark.sql("""SELECT doc_id, strip_text(text) AS st, split_sentences(text, 50) AS ss,
+    a = spark.sql("""SELECT doc_id, strip_text(text) AS st, split_sentences(text) AS ss, split_sentences(text, 50) AS s50,
                             text_tokens(text) AS tt, rouge_tokens(text) AS rt, standardize_text(text) AS sd
                      FROM docs_sql_test""")
-    b = docs.select("doc_id", TX.py_strip("text").alias("st"), TX.split_sentences("text").alias("ss"),
+    b = docs.select("doc_id", TX.py_strip("text").alias("st"), TX.split_sentences("text").alias("ss"), TX.split_sentences("text", 50).alias("s50"),
                     TX.text_tokens("text").alias("tt"), TX.rouge_tokens("text").alias("rt"),
                     TX.standardize("text").alias("sd"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

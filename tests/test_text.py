@@ -46,8 +46,9 @@ def test_split_edge_cases(spark):
     assert one(spark, split_sentences(F.col("s")), "One sentence only") == ["One sentence only"]
     assert one(spark, split_sentences(F.col("s")), "Hi!  \"Yes.\" Done?") == ["Hi!", "\"Yes.\"", "Done?"]
     many = " ".join(f"S{i}." for i in range(60))
-    got = one(spark, split_sentences(F.col("s")), many)
+    got = one(spark, split_sentences(F.col("s"), 50), many)
     assert len(got) == 50 and got[0] == "S0." and got[-1] == "S49."
+    assert len(one(spark, split_sentences(F.col("s")), many)) == 60      # no cap unless one is asked for
     assert one(spark, split_sentences(F.col("s")), "a\u0001b. c") == ["ab.", "c"]
 
 
@@ -60,3 +61,18 @@ def test_standardize_tokens(spark):
 
 def test_rouge_tokens(spark):
     assert one(spark, rouge_tokens(F.col("s")), "Héllo, World-42!") == ["h", "llo", "world", "42"]
+
+
+def test_abbreviations_do_not_end_sentences(spark):
+    cases = {
+        "Dr. Smith met Mr. Jones at 5 p.m. in the U.S. office. They talked.":
+            ["Dr. Smith met Mr. Jones at 5 p.m. in the U.S. office.", "They talked."],
+        "We left the U.S. They stayed.": ["We left the U.S.", "They stayed."],
+        "J. K. Smith, Jan. 5, e.g. here. Done": ["J. K. Smith, Jan. 5, e.g. here.", "Done"],
+        "Apples, pears etc. were sold. Plums etc. Then more.": ["Apples, pears etc. were sold.", "Plums etc.", "Then more."],
+        "the end. next starts small. ok": ["the end.", "next starts small.", "ok"],
+        "Mr.": ["Mr."],
+        "a\u0002b. c": ["ab.", "c"],
+    }
+    for text, want in cases.items():
+        assert one(spark, split_sentences(F.col("s")), text) == want
