@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -17,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Long articles: keep Arrow batches small enough for one Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    # Text work is bound by the CPU: more and smaller scan tasks than the default gives.
+    "spark.sql.files.maxPartitionBytes": "64m",
 }
 
 
@@ -27,8 +31,8 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``gistlet`` importable in the Python workers (as ``--py-files`` would).
 
     UDFs are pickled by reference to this package's modules; workers only see the
-    interpreter's own path, so the package is zipped once per application and
-    added with ``addPyFile`` (Spark serves the file to every executor).
+    interpreter's own path, so the package is zipped once per application and added with
+    ``addPyFile``: Spark serves the driver's file to every executor.
     """
     import zipfile
 
@@ -38,11 +42,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    base = work_dir(spark)
-    target_dir = local_path(base) if (base.startswith("file:") or "://" not in base) else tempfile.mkdtemp(
-        prefix="gistlet-pyfiles-")
-    os.makedirs(target_dir, exist_ok=True)
-    zpath = os.path.join(target_dir, f"gistlet-{uuid.uuid4().hex[:8]}.zip")
+    zpath = os.path.join(tempfile.mkdtemp(prefix="gistlet-pyfiles-"), f"gistlet-{uuid.uuid4().hex[:8]}.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for dirpath, _, files in os.walk(pkg):
             for f in files:
@@ -72,21 +72,24 @@ def get_spark(master: str | None = None, app: str = "gistlet",
     return spark
 
 
+_LOCAL_DIRS: dict = {}
+
+
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and intermediate tables.
+    """Shared folder for lineage cuts and intermediate tables: the one in ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a private temporary folder is created and registered.
+    Where the session names none, a local master gets a temporary folder of its own; on a
+    cluster that would be a different disk for each executor, so there it is an error.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if not d:
-            d = tempfile.mkdtemp(prefix="gistlet-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
-    return d
+    named = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {sc.master} share")
+    if sc.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="gistlet-work-")
+    return _LOCAL_DIRS[sc.applicationId]
 
 
 def new_work_path(spark: SparkSession, name: str) -> str:

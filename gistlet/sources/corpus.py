@@ -24,21 +24,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def balanced(df: DataFrame, key: str) -> DataFrame:
-    """Spread a text table over the cluster when its scan yields too few tasks.
-
-    Text work is CPU-bound per row; a small file (one parquet row group) is a
-    single task.  Large inputs already split into many scan tasks and are left
-    alone, so the hash exchange only happens when it is cheap and useful.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    if n >= target:
-        return df
-    return df.repartition(target, key)
-
-
 def split_of(doc_id) -> F.Column:
     m = F.pmod(doc_id, F.lit(10))
     return (F.when(m == 8, F.lit("validation"))
@@ -73,4 +58,4 @@ def normalize_articles(raw: DataFrame) -> DataFrame:
 def load_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalized articles of the ``documents`` table."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return normalize_articles(documents_to_raw_articles(balanced(docs, "doc_id")))
+    return normalize_articles(documents_to_raw_articles(docs))

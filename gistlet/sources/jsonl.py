@@ -16,11 +16,14 @@ A14 read_sentences         ``sentence`` field only, '' when missing, tolerant
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gistlet.functions.text import default_strip, py_strip
+from gistlet.session import new_work_path
 
 RAW_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -43,6 +46,14 @@ FLAT_SCHEMA = T.StructType([
                                         T.StructField("sent_index", T.IntegerType())])),
 ])
 
+def _with_type(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, kind if f.name == name else f.dataType) for f in schema.fields])
+
+
+# As the tolerant readers parse them: any JSON value is a label's text, made a number afterwards.
+LABELED_TEXT_SCHEMA = _with_type(LABELED_SCHEMA, "labels", T.ArrayType(T.StringType()))
+FLAT_TEXT_SCHEMA = _with_type(FLAT_SCHEMA, "label", T.StringType())
+
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("summary", T.StringType()),
@@ -56,33 +67,13 @@ SUMMARY_SCHEMA = T.StructType([
 _CORRUPT = "_corrupt_record"
 
 
-# Broadcast the per-split table only below this many input splits (~100 bytes a row).
-SPLITS_BROADCAST_LIMIT = 200_000
-
-
-def split_count_bound(spark: SparkSession, path: str) -> int:
-    """Upper bound on the number of input splits, from file sizes (listing only, no data read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    max_bytes = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b"))
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    it = p.getFileSystem(conf).listFiles(p, True)
-    n = 0
-    while it.hasNext():
-        st = it.next()
-        if not st.getPath().getName().startswith(("_", ".")):
-            n += max(1, -(-int(st.getLen()) // max_bytes))
-    return n
-
-
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, split, line, value): every line of every file with its 0-based line number.
 
     One DataFrame job, any number of files: within a scan split rows keep file order and
     ``monotonically_increasing_id`` is contiguous, so a line's number is the lines of the
-    file's earlier splits plus its offset inside its split.  The per-split table (one row
-    per input split) is broadcast when the file listing bounds it below
-    ``SPLITS_BROADCAST_LIMIT`` rows; otherwise Spark plans the join.
+    file's earlier splits plus its offset inside its split.  Spark plans the join with the
+    per-split table (one row per input split) by its measured size.
     """
     from pyspark.sql import Window
 
@@ -94,8 +85,6 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     small = blocks.select("_path", "_block", "_first", "_before")
-    if split_count_bound(spark, path) <= SPLITS_BROADCAST_LIMIT:
-        small = F.broadcast(small)
     lines = raw.join(small, ["_path", "_block"])
     split = F.regexp_extract("_path", r"/split=([^/]+)/", 1)
     return lines.select(
@@ -110,25 +99,36 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
     parsed = lines.withColumn(
         "_j", F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
+    # the corrupt-record field is only filled in where it is asked for, whatever else is selected
     ok = (F.col("_j").isNotNull() & F.col(f"_j.{_CORRUPT}").isNull()
           & F.ltrim(F.col("value")).startswith("{"))
     return parsed.where(ok)
 
 
+def _has_key(name: str) -> Column:
+    """Whether the line's JSON object has a top-level key, null or not."""
+    return F.array_contains(F.json_object_keys("value"), name)
+
+
 def read_raw_articles(spark: SparkSession, path: str, normalize: bool = True) -> DataFrame:
-    """A1 + B1/B2/B5: (split, id, pos, article, highlights) from JSONL files."""
+    """A1 + B1/B2/B5: (split, id, file, pos, article, highlights) from JSONL files.
+
+    ``pos`` is the line in its file, so (file, pos) is an article's place. A missing id becomes
+    '<file>-<line>'; one that is null stays null.
+    """
     lines = numbered_lines(spark, path)
     p = parse_json_lines(lines, RAW_SCHEMA)
     fallback = F.concat(F.col("file"), F.lit("-"), F.col("line").cast("string"))
     out = p.select(
         F.coalesce(F.col("split"), F.lit("train")).alias("split"),
-        F.coalesce(F.col("_j.id"), fallback).alias("id"),
+        F.when(F.col("_j.id").isNull() & ~_has_key("id"), fallback).otherwise(F.col("_j.id")).alias("id"),
+        "file",
         F.col("line").alias("pos"),
         F.col("_j.article").alias("article"),
         F.col("_j.highlights").alias("highlights"))
     if not normalize:
         return out
-    out = out.select("split", "id", "pos", default_strip("article").alias("article"),
+    out = out.select("split", "id", "file", "pos", default_strip("article").alias("article"),
                      default_strip("highlights").alias("highlights"))
     return out.where(F.length("article") > 0)
 
@@ -147,9 +147,22 @@ def write_labeled(labeled: DataFrame, path: str) -> None:
      .partitionBy("split").json(path))
 
 
+def _whole(label: Column) -> Column:
+    """A JSON label as an integer: numbers are cut to whole ones, true is 1 and false 0."""
+    return (F.when(label == "true", 1).when(label == "false", 0)
+            .otherwise(label.try_cast("double").cast("int")).cast("tinyint"))
+
+
 def read_labeled(spark: SparkSession, path: str) -> DataFrame:
-    """A4: tolerant read of labeled articles."""
-    return spark.read.schema(LABELED_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    """A4: tolerant read of labeled articles: each line is parsed once, lines that are no JSON object are
+    dropped whatever columns are asked for, a missing id is '' and labels may be any JSON number."""
+    lines = spark.read.text(path)
+    p = parse_json_lines(lines, LABELED_TEXT_SCHEMA)
+    labels = F.transform("_j.labels", _whole)
+    split = ["split"] if "split" in lines.columns else []
+    return p.select(F.when(F.col("_j.id").isNull() & ~_has_key("id"), "").otherwise(F.col("_j.id")).alias("id"),
+                    F.col("_j.sentences").alias("sentences"), labels.alias("labels"),
+                    F.col("_j.summary").alias("summary"), *split)
 
 
 def read_labeled_strict(spark: SparkSession, path: str) -> DataFrame:
@@ -165,13 +178,17 @@ def write_flat(flat: DataFrame, path: str) -> None:
 
 
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FLAT_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    lines = spark.read.text(path)
+    p = parse_json_lines(lines, FLAT_TEXT_SCHEMA)
+    split = ["split"] if "split" in lines.columns else []
+    return p.select(F.col("_j.id").alias("id"), F.col("_j.sentence").alias("sentence"),
+                    _whole(F.col("_j.label")).alias("label"), F.col("_j.meta").alias("meta"), *split)
 
 
 def read_sentences(spark: SparkSession, path: str) -> DataFrame:
     """The ``sentence`` field of flat JSONL ('' when missing), bad lines skipped."""
-    df = spark.read.schema("sentence STRING").option("mode", "DROPMALFORMED").json(path)
-    return df.select(F.coalesce("sentence", F.lit("")).alias("sentence"))
+    p = parse_json_lines(spark.read.text(path), T.StructType([T.StructField("sentence", T.StringType())]))
+    return p.select(F.coalesce("_j.sentence", F.lit("")).alias("sentence"))
 
 
 def write_stats(stats: DataFrame, path: str) -> None:
@@ -179,33 +196,74 @@ def write_stats(stats: DataFrame, path: str) -> None:
     stats.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_summaries(summaries: DataFrame, path: str, elapsed_col: str | None = None) -> None:
+def write_summaries(summaries: DataFrame, path: str) -> None:
     """T10 rows (summary, selected_indices, selected_sentences, scores,
-    inference_elapsed_seconds, generated_at) plus the article id."""
-    elapsed = F.col(elapsed_col) if elapsed_col else F.lit(None).cast("double")
-    out = summaries.select(
-        "id", "summary",
-        F.col("selected_indices").cast("array<int>").alias("selected_indices"),
-        "selected_sentences",
-        F.col("scores").cast("array<double>").alias("scores"),
-        elapsed.alias("inference_elapsed_seconds"),
+    inference_elapsed_seconds, generated_at) plus the article id.
+
+    ``inference_elapsed_seconds`` is the time that the batch took to compute, measured while it is
+    written to the work folder, divided by its articles.
+    """
+    spark = summaries.sparkSession
+    kept = new_work_path(spark, "summaries")
+    began = time.monotonic()
+    summaries.select("id", "summary", F.col("selected_indices").cast("array<int>").alias("selected_indices"),
+                     "selected_sentences", F.col("scores").cast("array<double>").alias("scores")).write.parquet(kept)
+    elapsed = time.monotonic() - began
+    rows = spark.read.parquet(kept)
+    out = rows.select(
+        "*", F.lit(elapsed / max(rows.count(), 1)).alias("inference_elapsed_seconds"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("generated_at"))
     out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_text_articles(articles: DataFrame, path: str) -> None:
-    """One text file per article under id=<id>/ (the reader's input layout)."""
+    """One text file per article under id=<id>/ (the whole-text reader's input layout)."""
     articles.select("id", F.col("article").alias("value")).write.mode("overwrite") \
         .partitionBy("id").text(path)
 
 
 def read_text_articles(spark: SparkSession, path: str) -> DataFrame:
-    """(id, article) from one-article-per-file text; id from the id=<..> folder when
-    present, else the file path.  Stripped; empty files dropped."""
-    df = spark.read.text(path, wholetext=True)
-    if "id" in df.columns:
-        ident = F.col("id").cast("string")
-    else:
-        ident = F.col("_metadata.file_path")
-    out = df.select(ident.alias("id"), py_strip("value").alias("article"))
+    """(id, article) from one-article-per-file text.  Stripped; empty files dropped.
+
+    The id is the text of the id=<..> folder, else the file path; it is taken from the path, since
+    the folder's value as a partition column would be read as a number where it looks like one.
+    """
+    file = F.col("_metadata.file_path")
+    named = F.regexp_extract(file, r"/id=([^/]*)/[^/]*$", 1)
+    # the folder's name is escaped, and the path that holds it once more; "+" stands for itself
+    plus = F.lit("%2B")
+    once = F.url_decode(F.replace(named, F.lit("+"), plus))
+    ident = F.when(named != "", F.url_decode(F.replace(once, F.lit("+"), plus))).otherwise(file)
+    out = spark.read.text(path, wholetext=True).select(ident.alias("id"), py_strip("value").alias("article"))
+    return out.where(F.length("article") > 0)
+
+
+# Packed text: records end in RS, id and article are parted by US; ESC and a letter stand for the three.
+_RS, _US, _ESC = "\u001e", "\u001f", "\u001b"
+_ESCAPES = ((_ESC, "e"), (_RS, "r"), (_US, "u"))
+
+
+def _escaped(c: Column) -> Column:
+    for sign, letter in _ESCAPES:
+        c = F.replace(c, F.lit(sign), F.lit(_ESC + letter))
+    return c
+
+
+def _plain(c: Column) -> Column:
+    for sign, letter in reversed(_ESCAPES):
+        c = F.replace(c, F.lit(_ESC + letter), F.lit(sign))
+    return c
+
+
+def write_packed_articles(articles: DataFrame, path: str) -> None:
+    """Many whole-text articles per file, for corpora in which a file each would be too many files."""
+    articles.select(F.concat(_escaped(F.col("id")), F.lit(_US), _escaped(F.col("article"))).alias("value")) \
+        .write.mode("overwrite").option("lineSep", _RS).text(path)
+
+
+def read_packed_articles(spark: SparkSession, path: str) -> DataFrame:
+    """A12 from packed files: (id, article).  Stripped; empty articles dropped."""
+    part = F.split("value", _US, 2)
+    rows = spark.read.option("lineSep", _RS).text(path)
+    out = rows.select(_plain(part[0]).alias("id"), py_strip(_plain(part[1])).alias("article"))
     return out.where(F.length("article") > 0)
