@@ -4,8 +4,7 @@ B3  with_sentences       split + cap, drop articles without sentences
 B6  aligned_label        labels padded with 0 / surplus ignored, as TINYINT
 B8  flatten_sentences    posexplode: one row per sentence
 B9  ordinal ids          position of the sentence in its split, as a string;
-                         distributed prefix sum (per-bucket window + bucket offsets),
-                         never one global window
+                         prefix sum of the sentence counts over range partitions
 D9  regroup_articles     flat sentences -> articles (inverse of B8)
 D5  flatten_stats        sentence counts per split, vocabulary size, sequence length
 """
@@ -17,21 +16,15 @@ from pyspark.sql import functions as F
 
 from gistlet import config as C
 from gistlet.functions.rows import posexplode_rows
-from gistlet.functions.text import py_strip, split_sentences
+from gistlet.functions.text import sentence_text, split_sentences
+from gistlet.session import new_work_path
 
-# Articles per window bucket of the ordinal prefix sum: bounds the rows one
-# window task sorts, independent of the corpus size.
-ORDINAL_BUCKET = 1 << 16
-# Buckets per super-bucket: bounds the window over bucket totals the same way.
-ORDINAL_SUPER = 1 << 16
-
-
-def with_sentences(articles: DataFrame, max_sentences: int = C.MAX_SENTENCES,
+def with_sentences(articles: DataFrame, max_sentences: int | None = None,
                    text_col: str = "article") -> DataFrame:
-    """Add ``sentences`` (capped) and drop articles with none."""
-    # "has a sentence" <=> some non-whitespace character besides the separator;
+    """Add ``sentences`` (of an optional cap) and drop articles with none."""
+    # "has a sentence" <=> some non-whitespace character besides the markers;
     # tested on the text so the split itself is not evaluated twice.
-    has_text = F.length(py_strip(F.replace(F.col(text_col), F.lit("\u0001"), F.lit("")))) > 0
+    has_text = F.length(sentence_text(text_col)) > 0
     return (articles.where(has_text)
             .withColumn("sentences", split_sentences(F.col(text_col), max_sentences)))
 
@@ -41,34 +34,47 @@ def aligned_label(labels: Column, index: Column) -> Column:
     return F.coalesce(F.get(labels, index), F.lit(0)).cast("tinyint")
 
 
+def ordinal_offsets(counts: DataFrame, count_col: str, part_col: str, order_cols: list, out_col: str) -> DataFrame:
+    """``counts`` with the exclusive prefix sum of ``count_col`` in the order of ``order_cols`` within ``part_col``.
+
+    The rows are dealt out by ranges of (part, order), of equal numbers of rows whatever the values
+    of the order are, and written with their range's number. Each range sums up its own rows, and
+    starts at the sum of the ranges before it in its part: one row per part and range.
+    """
+    spark = counts.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_work_path(spark, "ordinals")
+    (counts.repartitionByRange(ranges, part_col, *order_cols).withColumn("_range", F.spark_partition_id())
+     .write.parquet(path))
+    rows = spark.read.parquet(path)
+    earlier = Window.partitionBy(part_col).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (rows.groupBy(part_col, "_range").agg(F.sum(count_col).alias("_sum"))
+              .withColumn("_start", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum"))
+    own = Window.partitionBy(part_col, "_range").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_own", F.coalesce(F.sum(count_col).over(own), F.lit(0)))
+    return (rows.join(starts, [part_col, "_range"])
+            .withColumn(out_col, (F.col("_start") + F.col("_own")).cast("bigint")).drop("_start", "_own", "_range"))
+
+
+def order_columns(df: DataFrame) -> list:
+    """Columns that give an article its place in its split: the file, where there is one, and the position."""
+    return [c for c in ("file", "pos") if c in df.columns]
+
+
 def add_ordinal_offset(articles: DataFrame, count_col: str, part_col: str = "split",
-                       order_col: str = "pos", out_col: str = "_offset") -> DataFrame:
-    """Exclusive prefix sum of ``count_col`` in ``order_col`` order within ``part_col``.
+                       out_col: str = "_offset") -> DataFrame:
+    """Exclusive prefix sum of ``count_col`` in source order within ``part_col``, joined to the articles.
 
-    Three levels, every window group bounded by a constant: rows inside fixed-size
-    buckets of ``order_col``; bucket totals inside super-buckets; super-bucket
-    totals (rows / 2^32 per part).  The offset tables are joined back by key and
-    AQE broadcasts them when small.
+    The articles are written once, with a row number that is data from then on; only part, place, row
+    number and count go through the prefix sum. Articles of one place follow each other by that number.
     """
-    b = F.floor(F.col(order_col) / F.lit(ORDINAL_BUCKET)).cast("bigint")
-    a = articles.withColumn("_bucket", b)
-    w_in = (Window.partitionBy(part_col, "_bucket").orderBy(order_col)
-            .rowsBetween(Window.unboundedPreceding, -1))
-    a = a.withColumn("_in", F.coalesce(F.sum(count_col).over(w_in), F.lit(0)))
-    totals = (a.groupBy(part_col, "_bucket").agg(F.sum(count_col).alias("_bt"))
-              .withColumn("_super", F.floor(F.col("_bucket") / F.lit(ORDINAL_SUPER)).cast("bigint")))
-    w_b = (Window.partitionBy(part_col, "_super").orderBy("_bucket")
-           .rowsBetween(Window.unboundedPreceding, -1))
-    totals = totals.withColumn("_bin", F.coalesce(F.sum("_bt").over(w_b), F.lit(0)))
-    supers = totals.groupBy(part_col, "_super").agg(F.sum("_bt").alias("_st"))
-    w_s = (Window.partitionBy(part_col).orderBy("_super")
-           .rowsBetween(Window.unboundedPreceding, -1))
-    supers = supers.select(part_col, "_super", F.coalesce(F.sum("_st").over(w_s), F.lit(0)).alias("_so"))
-    offs = (totals.join(supers, [part_col, "_super"], "inner")
-            .select(part_col, "_bucket", (F.col("_so") + F.col("_bin")).alias("_bo")))
-    return (a.join(offs, [part_col, "_bucket"], "inner")
-            .withColumn(out_col, (F.col("_bo") + F.col("_in")).cast("bigint"))
-            .drop("_bucket", "_in", "_bo"))
+    spark = articles.sparkSession
+    path = new_work_path(spark, "articles")
+    articles.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    kept = spark.read.parquet(path)
+    order = [*order_columns(articles), "_row"]
+    offsets = ordinal_offsets(kept.select(part_col, *order, count_col), count_col, part_col, order, out_col)
+    return kept.join(offsets.select("_row", out_col), "_row").drop("_row")
 
 
 def flatten_sentences(labeled: DataFrame, with_ordinal: bool = True,
@@ -86,13 +92,16 @@ def flatten_sentences(labeled: DataFrame, with_ordinal: bool = True,
     else:
         src = src.withColumn("_offset", F.lit(None).cast("bigint"))
     src = src.withColumnRenamed(id_col, "article_id")
-    flat = posexplode_rows(src, ["split", "article_id", "_offset", "labels"], "sentences",
-                           "sent_index", "sentence")
+    # each sentence with its own label, so that the array of labels is not copied onto every row
+    labels, sents = F.col("labels"), F.col("sentences")
+    zipped = F.transform(sents, lambda s, i: F.struct(s.alias("s"), aligned_label(labels, i).alias("l")))
+    flat = posexplode_rows(src.withColumn("_z", zipped), ["split", "article_id", "_offset"], "_z", "sent_index", "_e")
+    flat = flat.withColumn("sentence", F.col("_e.s")).withColumn("label", F.col("_e.l"))
     return flat.select(
         "split",
         (F.col("_offset") + F.col("sent_index")).cast("string").alias("id"),
         "sentence",
-        aligned_label(F.col("labels"), F.col("sent_index")).alias("label"),
+        "label",
         F.struct(F.col("article_id"), F.col("sent_index").cast("int").alias("sent_index")).alias("meta"),
         "article_id",
         F.col("sent_index").cast("int").alias("sent_index"),
@@ -102,8 +111,7 @@ def flatten_sentences(labeled: DataFrame, with_ordinal: bool = True,
 def regroup_articles(flat: DataFrame, article_col: str = "article_id") -> DataFrame:
     """Flat sentences back to one row per article (sentences and labels in index order).
 
-    One exchange keyed by article; an article holds at most the capped number of
-    sentences, so no group grows with the corpus."""
+    One exchange keyed by article; a group is one article's sentences."""
     g = flat.groupBy("split", article_col).agg(
         F.array_sort(F.collect_list(F.struct("sent_index", "sentence", "label"))).alias("_s"))
     return g.select("split", F.col(article_col).alias("id"),

@@ -16,9 +16,7 @@ def labeled(spark):
     return spark.createDataFrame(rows, "split STRING, id STRING, pos BIGINT, sentences ARRAY<STRING>, labels ARRAY<TINYINT>")
 
 
-def test_flatten_alignment_and_ordinals(spark, monkeypatch):
-    monkeypatch.setattr(FL, "ORDINAL_BUCKET", 2)   # several buckets even on tiny input
-    monkeypatch.setattr(FL, "ORDINAL_SUPER", 2)    # and several super-buckets
+def test_flatten_alignment_and_ordinals(spark):
     flat = {(r["article_id"], r["sent_index"]): r for r in FL.flatten_sentences(labeled(spark)).collect()}
     assert [flat[("t-1", i)]["label"] for i in range(3)] == [1, 0, 0]
     assert flat[("t-0", 0)]["label"] == 0
@@ -75,15 +73,50 @@ def test_stats_written_as_one_json_object(spark):
                                 "vocab_size": 2000, "seq_len": 32}
 
 
-def test_ordinals_across_many_buckets(spark, monkeypatch):
-    monkeypatch.setattr(FL, "ORDINAL_BUCKET", 3)
-    monkeypatch.setattr(FL, "ORDINAL_SUPER", 2)
-    rows = [("train", f"t-{p}", p, ["s"] * (p % 4 + 1), []) for p in range(0, 60, 2)]
-    df = spark.createDataFrame(rows, "split STRING, id STRING, pos BIGINT, sentences ARRAY<STRING>, labels ARRAY<TINYINT>")
-    got = {(r["article_id"], r["sent_index"]): int(r["id"]) for r in FL.flatten_sentences(df).collect()}
-    expected, off = {}, 0
-    for _, aid, p, sents, _ in rows:
-        for i in range(len(sents)):
-            expected[(aid, i)] = off + i
-        off += len(sents)
-    assert got == expected
+def expected_ordinals(rows, place):
+    """Ordinals of (id, index) when the articles of a split stand in order of ``place``."""
+    out, after = {}, {}
+    for r in sorted(rows, key=place):
+        for i in range(len(r[3])):
+            out[r[1], i] = after.get(r[0], 0)
+            after[r[0]] = out[r[1], i] + 1
+    return out
+
+
+def ordinals(df):
+    return {(r["article_id"], r["sent_index"]): int(r["id"]) for r in FL.flatten_sentences(df).collect()}
+
+
+SCHEMA = "split STRING, id STRING, pos BIGINT, sentences ARRAY<STRING>, file STRING"
+
+
+def test_ordinals_of_sparse_positions(spark):
+    """Positions anywhere in 64 bits, one split far larger than the other."""
+    rows = [("train" if p % 9 else "test", f"a{p}", (p * 7919 % 61) * 10 ** 16 - 3 * 10 ** 17, ["s"] * (p % 4 + 1), "f") for p in range(60)]
+    got = ordinals(spark.createDataFrame(rows, SCHEMA).repartition(5).drop("file"))
+    assert got == expected_ordinals(rows, lambda r: r[2])
+
+
+def test_ordinals_over_files_whose_line_numbers_repeat(spark):
+    rows = [("train", f"f{f}-{p}", p, ["s"] * ((f + p) % 3 + 1), f"file{f:02}") for f in range(20) for p in range(12)]
+    got = ordinals(spark.createDataFrame(rows, SCHEMA).repartition(7))
+    assert got == expected_ordinals(rows, lambda r: (r[4], r[2]))
+
+
+def test_ordinals_of_articles_at_one_place_do_not_meet(spark):
+    rows = [("train", f"a{i % 3}", 5, ["s", "t"], "f") for i in range(9)]
+    flat = FL.flatten_sentences(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(int(r["id"]) for r in flat.collect()) == list(range(18))
+
+
+def test_ordinals_scan_the_articles_once(spark):
+    df = spark.createDataFrame([("train", "a", 1, ["s"], "f")], SCHEMA)
+    plan = FL.add_ordinal_offset(df.withColumn("_n", F.size("sentences")), "_n")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line or "Scan parquet" in line]
+    assert sum("sentences" in s for s in scans) == 1
+
+
+def test_limit_without_end_ranks_all(spark):
+    df = spark.createDataFrame([("train", i * 3) for i in range(50)] + [("test", 5)], "split STRING, pos BIGINT").repartition(4)
+    got = sorted((r["split"], r["pos"], r["rank"]) for r in limit_per_split(df, None).collect())
+    assert got == [("test", 5, 1)] + [("train", i * 3, i + 1) for i in range(50)]

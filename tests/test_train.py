@@ -91,3 +91,66 @@ def test_spark_ml_baseline_learns(spark):
     model = TR.train_baseline(df, vocab_size=20)
     acc = TR.accuracy(TR.baseline_probability(model, df), "p", "y").first()["accuracy"]
     assert acc > 0.95
+
+
+def test_empty_validation_runs_all_epochs(spark):
+    data = toy(spark, n=120)
+    kw = dict(vocab_size=30, seq_len=32, emb_dim=4, dense_units=4, epochs=5, patience=2, shards=2, seed=1)
+    with_none = TR.ScorerTrainer(**kw).fit(data)
+    empty = TR.ScorerTrainer(**kw).fit(data, data.where("ord < 0"))
+    assert [h["epoch"] for h in empty.history] == [1, 2, 3, 4, 5] and empty.best_epoch == 5
+    assert np.array_equal(empty.weights.flat(), with_none.weights.flat())
+
+
+def test_weights_do_not_depend_on_the_partitions(spark):
+    data = toy(spark, n=200)
+    kw = dict(vocab_size=30, seq_len=32, emb_dim=4, dense_units=4, epochs=2, shards=3, seed=1)
+    a, b = (TR.ScorerTrainer(**kw).fit(data.repartition(n)).weights.flat() for n in (1, 7))
+    assert np.array_equal(a, b)
+
+
+def test_one_shard_is_plain_adam(spark):
+    data = toy(spark, n=100)
+    t = TR.ScorerTrainer(vocab_size=30, seq_len=32, emb_dim=4, dense_units=4, epochs=1, shards=1, seed=1, dropout=0.0,
+                         batch_size=1000, learning_rate=0.01)
+    got = t.fit(data.repartition(6), class_weight=None).weights.flat()
+    rows = data.collect()
+    state = TR.AdamState(TR.init_weights(30, 4, 4, 1, 32).flat().astype(np.float32).astype(float), 0.0, 0.0)
+    TR.train_shard(state, np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows]), None, (30, 4, 4, 32), 1000, 0.0,
+                   0.01, np.random.default_rng(0))
+    assert np.allclose(got, state.params, atol=1e-6)
+
+
+def test_averaging_over_many_shards_equals_one_mean(spark):
+    data = toy(spark, n=400).repartition(1)
+    kw = dict(vocab_size=30, seq_len=32, emb_dim=4, dense_units=4, epochs=1, seed=1, dropout=0.0, batch_size=1000)
+    t = TR.ScorerTrainer(shards=20, **kw)
+    sharded = t._sharded(data)
+    parts = sharded.rdd.glom().collect()
+    assert len(parts) == 20
+    total, n = 0.0, 0
+    start = TR.init_weights(30, 4, 4, 1, 32).flat().astype(np.float32).astype(float)
+    for rows in parts:
+        if rows:
+            state = TR.AdamState(start.copy(), np.zeros_like(start), np.zeros_like(start))
+            TR.train_shard(state, np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows]), None, (30, 4, 4, 32), 1000,
+                           0.0, 1e-3, np.random.default_rng(0))
+            total, n = total + state.params * len(rows), n + len(rows)
+    assert np.allclose(t.fit(data, class_weight=None).weights.flat(), total / n, atol=1e-6)
+
+
+def test_half_written_epoch_is_not_a_checkpoint(spark):
+    data = toy(spark, n=100)
+    kw = dict(vocab_size=30, seq_len=32, emb_dim=4, dense_units=4, shards=2, seed=1)
+    ck = new_work_path(spark, "train-ck")
+    assert TR.load_train_state(spark, ck) is None
+    TR.ScorerTrainer(epochs=2, **kw).fit(data, checkpoint_dir=ck)
+    spark.range(1).write.parquet(f"{ck}/epoch=000003/state")          # lost before its meta was written
+    assert len(TR.load_train_state(spark, ck)["history"]) == 2
+    spark.range(1).selectExpr("'{broken' AS value").coalesce(1).write.text(f"{ck}/epoch=000004/meta")
+    try:
+        TR.load_train_state(spark, ck)
+    except ValueError:
+        pass
+    else:
+        raise AssertionError("a broken checkpoint is an error, not a new start")
