@@ -81,3 +81,43 @@ def matrix_to_nested(like: pa.ListArray, mat) -> pa.ListArray:
 def rows_to_nested(like: pa.ListArray, values) -> pa.ListArray:
     """Per-inner-row values (one per element of the outer lists) -> list<value>."""
     return rebuild_list(like, pa.array(values))
+
+
+def _grams(codes, offs, n: int, base: int):
+    """Row and number of each n-gram of the rows ``offs`` of ``codes`` (values below ``base``)."""
+    import numpy as np
+
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+    if n == 1:
+        return row, codes
+    size = max(len(codes) - n + 1, 0)
+    inside = row[:size] == row[n - 1:]
+    gram = codes[:size]
+    for k in range(1, n):
+        # renumbered at each step, so that the numbers stay small for any n
+        gram = np.unique(gram * base + codes[k:size + k], return_inverse=True)[1]
+    return row[:size][inside], gram[inside]
+
+
+def gram_overlap(ref, cand, n: int):
+    """(overlap, n_ref, n_cand) per row of two list<string> columns; overlap is clipped per gram."""
+    import numpy as np
+
+    sides = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (ref, cand)]
+    rows = len(sides[0])
+    values = pa.concat_arrays([s.flatten().cast(pa.string()) for s in sides])
+    codes = values.dictionary_encode().indices.to_numpy().astype(np.int64)
+    base = int(codes.max(initial=0)) + 1
+    lengths = [pc.fill_null(pc.list_value_length(s), 0).to_numpy(zero_copy_only=False).astype(np.int64) for s in sides]
+    # both sides as rows of one list, so that equal grams get equal numbers
+    offs = np.append(0, np.cumsum(np.concatenate(lengths)))
+    row, gram = _grams(codes, offs, n, base)
+    width = int(gram.max(initial=0)) + 1
+    counted = []
+    for side in range(2):
+        own = (row >= rows * side) & (row < rows * (side + 1))
+        counted.append(np.unique((row[own] - rows * side) * width + gram[own], return_counts=True))
+    (kr, cr), (kc, cc) = counted
+    both, i, j = np.intersect1d(kr, kc, assume_unique=True, return_indices=True)
+    overlap = np.bincount(both // width, np.minimum(cr[i], cc[j]), rows)
+    return overlap, *(np.maximum(x - n + 1, 0) for x in lengths)

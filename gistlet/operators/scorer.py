@@ -3,13 +3,9 @@
 Model: Embedding[V, D] -> mean over all seq_len positions (padding included)
 -> Dense(H, relu) -> Dense(1, sigmoid).
 
-Two forms:
-
-* ``closed_form_score``: the fixed test weights of the fixture spec (D = 8, H = 8),
-  as native array expressions.  Exact integer arithmetic up to the final sigmoid,
-  so the DuckDB twin gives the same value.
-* ``ScorerModel.score``: trained NumPy weights in an Arrow-batched pandas UDF with
-  the weights broadcast once per executor.
+``forward`` is the NumPy pass over a batch; ``score_udf`` runs it on Arrow batches with the
+weights broadcast. The weights' size is a parameter of the model (vocabulary x dimension), not
+of the data, and is checked against ``MAX_MODEL_BYTES`` before it is broadcast.
 """
 
 from __future__ import annotations
@@ -25,66 +21,6 @@ from pyspark.sql import types as T
 
 from gistlet import config as C
 
-# Fixed test weights (fixture spec), as integer numerators:
-#   E[id][d] = (((id*31 + d*17) % 97) - 48) / 48
-#   W1[d][h] = (((d*13 + h*7) % 11) - 5) / 10,   b1[h] = ((h % 3) - 1) / 10
-#   W2[h]    = (((h*5) % 7) - 3) / 3,            b2 = 0.1
-CF_DIM = 8
-CF_HIDDEN = 8
-
-
-def cf_w1(d: int, h: int) -> int:
-    return ((d * 13 + h * 7) % 11) - 5
-
-
-def cf_b1(h: int) -> int:
-    return (h % 3) - 1
-
-
-def cf_w2(h: int) -> int:
-    return ((h * 5) % 7) - 3
-
-
-def closed_form_sums(x, seq_len: int = C.SEQ_LEN) -> Column:
-    """array(S_0 .. S_7) with S_d = sum_i (((x_i*31 + d*17) % 97) - 48), unrolled over
-    the fixed seq_len positions (no lambda, so it stays cheap even when interpreted)."""
-    x = F.col(x) if isinstance(x, str) else x
-    items = [x.getItem(p).cast("bigint") for p in range(seq_len)]
-    sums = []
-    for d in range(CF_DIM):
-        acc = None
-        for it in items:
-            t = ((it * 31 + d * 17) % 97) - 48
-            acc = t if acc is None else acc + t
-        sums.append(acc)
-    return F.array(*sums)
-
-
-def closed_form_logit_from_sums(s, seq_len: int = C.SEQ_LEN) -> Column:
-    """Pre-sigmoid value from the pooled sums (integer arithmetic up to one division).
-
-    pooled_d = S_d / (48*seq_len)
-    N_h = sum_d S_d*w1[d][h] + (48*seq_len)*b1[h]        so pre_h = N_h / (480*seq_len)
-    M   = sum_h max(N_h, 0) * w2[h]                      so z     = M / (1440*seq_len) + 0.1
-    """
-    s = F.col(s) if isinstance(s, str) else s
-    sd = [s.getItem(d) for d in range(CF_DIM)]
-    m = None
-    for h in range(CF_HIDDEN):
-        n_h = F.lit(48 * seq_len * cf_b1(h)).cast("bigint")
-        for d in range(CF_DIM):
-            w = cf_w1(d, h)
-            if w:
-                n_h = n_h + sd[d] * w
-        term = F.greatest(n_h, F.lit(0)) * cf_w2(h)
-        m = term if m is None else m + term
-    return m.cast("double") / F.lit(float(1440 * seq_len)) + F.lit(0.1)
-
-
-def closed_form_logit(x, seq_len: int = C.SEQ_LEN) -> Column:
-    return closed_form_logit_from_sums(closed_form_sums(x, seq_len), seq_len)
-
-
 def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
@@ -93,18 +29,10 @@ def relu(z: Column) -> Column:
     return F.greatest(z, F.lit(0.0))
 
 
-def closed_form_score(x, seq_len: int = C.SEQ_LEN) -> Column:
-    return sigmoid(closed_form_logit(x, seq_len))
-
-
-def closed_form_scores(x_arrays, seq_len: int = C.SEQ_LEN) -> Column:
-    """array<array<int>> -> array<double>; the sums are built once per sentence."""
-    x_arrays = F.col(x_arrays) if isinstance(x_arrays, str) else x_arrays
-    sums = F.transform(x_arrays, lambda x: closed_form_sums(x, seq_len))
-    return F.transform(sums, lambda s: sigmoid(closed_form_logit_from_sums(s, seq_len)))
+# ------------------------------------------------------------------ trained model
 
+MAX_MODEL_BYTES = 1 << 30
 
-# ------------------------------------------------------------------ trained model
 
 @dataclass
 class ScorerWeights:
@@ -122,6 +50,10 @@ class ScorerWeights:
     def vocab_size(self) -> int:
         return int(self.emb.shape[0])
 
+    @property
+    def nbytes(self) -> int:
+        return sum(np.asarray(a).nbytes for a in (self.emb, self.w1, self.b1, self.w2))
+
     def flat(self) -> np.ndarray:
         return np.concatenate([self.emb.ravel(), self.w1.ravel(), self.b1, self.w2,
                                np.array([self.b2])]).astype(np.float64)
@@ -138,31 +70,6 @@ class ScorerWeights:
         b2 = float(v[i])
         return cls(emb, w1, b1, w2, b2, seq_len)
 
-    @classmethod
-    def closed_form(cls, vocab_size: int, seq_len: int = C.SEQ_LEN) -> "ScorerWeights":
-        ids = np.arange(vocab_size)[:, None]
-        d = np.arange(CF_DIM)[None, :]
-        emb = (((ids * 31 + d * 17) % 97) - 48) / 48.0
-        w1 = np.array([[cf_w1(a, h) for h in range(CF_HIDDEN)] for a in range(CF_DIM)]) / 10.0
-        b1 = np.array([cf_b1(h) for h in range(CF_HIDDEN)]) / 10.0
-        w2 = np.array([cf_w2(h) for h in range(CF_HIDDEN)]) / 3.0
-        return cls(emb, w1, b1, w2, 0.1, seq_len)
-
-
-def closed_form_forward(x: np.ndarray, seq_len: int = C.SEQ_LEN) -> np.ndarray:
-    """Closed-form scores of an [N, seq_len] id matrix, integer-exact up to the sigmoid
-    (same arithmetic as :func:`closed_form_logit`)."""
-    x = np.asarray(x, dtype=np.int64)
-    d = np.arange(CF_DIM, dtype=np.int64)
-    s = ((((x[:, :, None] * 31) + d[None, None, :] * 17) % 97) - 48).sum(axis=1)   # [N, D]
-    w1 = np.array([[cf_w1(a, h) for h in range(CF_HIDDEN)] for a in range(CF_DIM)], dtype=np.int64)
-    b1 = np.array([cf_b1(h) for h in range(CF_HIDDEN)], dtype=np.int64)
-    w2 = np.array([cf_w2(h) for h in range(CF_HIDDEN)], dtype=np.int64)
-    n = s @ w1 + 48 * seq_len * b1
-    m = np.maximum(n, 0) @ w2
-    z = m.astype(np.float64) / float(1440 * seq_len) + 0.1
-    return 1.0 / (1.0 + np.exp(-z))
-
 
 def forward(wt: ScorerWeights, x: np.ndarray) -> np.ndarray:
     """NumPy forward pass on an [N, seq_len] id matrix -> [N] probabilities."""
@@ -180,21 +87,25 @@ def ids_matrix(series: pd.Series, seq_len: int) -> np.ndarray:
     return np.stack(series.to_numpy()).astype(np.int64).reshape(len(series), seq_len)
 
 
-def score_udf(spark: SparkSession, wt, nested: bool = False):
+def share(spark: SparkSession, wt):
+    """Broadcast a model; the caller may release it with ``unpersist``."""
+    if getattr(wt, "nbytes", 0) > MAX_MODEL_BYTES:
+        raise ValueError(f"a model of {wt.nbytes} bytes is more than an executor is given ({MAX_MODEL_BYTES})")
+    return spark.sparkContext.broadcast(wt)
+
+
+def score_udf(spark: SparkSession, wt, nested: bool = False, shared=None):
     """Arrow UDF scoring id arrays (``nested``: arrays of id arrays) in whole batches.
 
-    ``wt`` None selects the closed-form fixed weights; trained ScorerWeights or a
-    QuantizedScorer (int8) are broadcast once (bounded by the model size) and
-    reused by every task of the executor.
+    ``wt``: ScorerWeights or a QuantizedScorer (int8), broadcast once and reused by every
+    task of the executor; ``shared``: a broadcast of it that the caller releases.
     """
     from gistlet.functions.arrow_kernels import padded_matrix, rows_to_nested
 
-    bc = spark.sparkContext.broadcast(wt) if wt is not None else None
-    seq_len = wt.seq_len if wt is not None else C.SEQ_LEN
+    bc = shared if shared is not None else share(spark, wt)
+    seq_len = wt.seq_len
 
     def _forward(mat):
-        if bc is None:
-            return closed_form_forward(mat, seq_len)
         model = bc.value
         if hasattr(model, "forward_q"):          # int8 model: dequantized output
             return model.forward_q(mat)[1]

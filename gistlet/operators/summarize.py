@@ -1,11 +1,12 @@
 """Articles -> extractive summaries, one narrow stage per article row.
 
 split + cap (native) -> tokens (native) -> ids (Arrow lookup, broadcast vocabulary)
--> pad (native) -> scores (native closed form, or Arrow UDF for trained weights)
+-> pad (native) -> scores (Arrow UDF with the weights broadcast)
 -> top-k in document order (native array sort) -> summary (native join).
 
-Nothing here shuffles: every article is processed inside the task that read it,
-and an article's work is bounded by max_sentences x seq_len tokens.
+Nothing here shuffles: every article is processed inside the task that read it. Arrow batches
+are bounded in bytes, so long articles make smaller batches, and ``max_sentences`` is an
+optional cap.
 """
 
 from __future__ import annotations
@@ -17,33 +18,24 @@ from gistlet import config as C
 from gistlet.operators.flatten import with_sentences
 from gistlet.operators.scorer import ScorerWeights, score_udf
 from gistlet.operators.topk import pick, summary_text, topk_indices
-from gistlet.operators.vocab import Vocabulary, sentence_tokens
+from gistlet.operators.vocab import Vocabulary, encode_articles
 
 
-def encoded_sentences(sentences: Column, vocab: Vocabulary, seq_len: int | None = None) -> Column:
-    """array<string> sentences -> array<array<int>> of fixed length seq_len."""
-    seq_len = seq_len or vocab.seq_len
-    toks = F.transform(sentences, lambda s: sentence_tokens(s, seq_len))
-    return vocab.encode_in_row(toks, nested=True)
-
-
-def sentence_scores(x_arrays: Column, weights: ScorerWeights | None = None,
-                    seq_len: int = C.SEQ_LEN) -> Column:
-    """array<array<int>> -> array<double>; None = closed-form fixed weights."""
+def sentence_scores(x_arrays: Column, weights: ScorerWeights) -> Column:
+    """array<array<int>> -> array<double>."""
     from pyspark.sql import SparkSession
     return score_udf(SparkSession.getActiveSession(), weights, nested=True)(x_arrays)
 
 
-def score_articles(articles: DataFrame, vocab: Vocabulary, weights: ScorerWeights | None = None,
-                   max_sentences: int = C.MAX_SENTENCES) -> DataFrame:
+def score_articles(articles: DataFrame, vocab: Vocabulary, weights: ScorerWeights,
+                   max_sentences: int | None = None) -> DataFrame:
     """Articles with ``sentences``, ``x`` (ids per sentence) and ``scores`` arrays."""
     a = with_sentences(articles, max_sentences)
-    a = a.withColumn("x", encoded_sentences(F.col("sentences"), vocab))
-    return a.withColumn("scores", sentence_scores(F.col("x"), weights, vocab.seq_len))
+    return encode_articles(a, vocab).withColumn("scores", sentence_scores(F.col("x"), weights))
 
 
-def summarize_articles(articles: DataFrame, vocab: Vocabulary, weights: ScorerWeights | None = None,
-                       top_k: int = C.TOP_K, max_sentences: int = C.MAX_SENTENCES) -> DataFrame:
+def summarize_articles(articles: DataFrame, vocab: Vocabulary, weights: ScorerWeights,
+                       top_k: int = C.TOP_K, max_sentences: int | None = None) -> DataFrame:
     """T10 rows: one summary per article (all splits that are present)."""
     s = score_articles(articles, vocab, weights, max_sentences)
     sel = topk_indices(F.col("scores"), top_k)

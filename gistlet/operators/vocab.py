@@ -4,17 +4,17 @@ D1  token_counts       explode + hash aggregate (partial aggregation map-side)
 E6  top tokens         orderBy(n desc, token desc).limit(N) -> TakeOrderedAndProject,
                        then ids on those N rows only (never a global window)
 G2  VocabularyBuilder  Estimator-style fit() -> Vocabulary model
-C1  lookup_ids_join    broadcast hash join on a size-checked vocabulary
-G3  encode_flat        C1 + regroup per sentence + pad/truncate (F4)
-    encode_in_row      the same lookup done row-locally in an Arrow UDF, so per-article
-                       pipelines never shuffle text
+C1  lookup_ids_join    left join of tokens with the vocabulary
+G3  encode_flat        token ids of each sentence row, padded or cut to seq_len (F4)
+    encode_articles    the same for an array of sentences in each article row
 D6  infer_vocab_size   max id + 1
+
+Both encoders look tokens up in a broadcast list, without a shuffle, while the vocabulary has
+at most ``BROADCAST_VOCAB_LIMIT`` entries, and by the join C1 beyond it; results are the same.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,9 +24,9 @@ from gistlet import config as C
 from gistlet.functions.arrow_kernels import lookup_token_ids, matrix_to_nested, padded_matrix
 from gistlet.functions.rows import explode_rows
 from gistlet.functions.text import text_tokens
+from gistlet.session import new_work_path
 
-# A vocabulary above this many entries is not broadcast; the lookup falls back
-# to a shuffled join.  max_tokens bounds the table by construction.
+# Entries of a vocabulary that is broadcast (some tens of MB); larger ones are joined.
 BROADCAST_VOCAB_LIMIT = 1_000_000
 
 
@@ -46,36 +46,35 @@ def top_tokens(counts: DataFrame, max_tokens: int) -> DataFrame:
     return top.select("token", (rank + 1).cast("int").alias("id"), F.col("n").cast("bigint").alias("n"))
 
 
-@dataclass
 class Vocabulary:
-    """Fitted vocabulary: a DataFrame (token, id, n) plus the token list by id."""
+    """Fitted vocabulary: a table (token, id, n), its size with the two reserved entries, and seq_len."""
+
+    def __init__(self, table: DataFrame, size: int, seq_len: int = C.SEQ_LEN):
+        self.table, self.size, self.seq_len = table, size, seq_len
+        self._tokens: list | None = None
+        self._bc = None
+
+    @property
+    def fits(self) -> bool:
+        return self.size <= BROADCAST_VOCAB_LIMIT
 
-    table: DataFrame
-    tokens: list  # index = id; tokens[0] = '', tokens[1] = '[UNK]'
-    seq_len: int = C.SEQ_LEN
-    _bc: object = None  # broadcast of tokens[2:], created once per fitted vocabulary
+    @property
+    def tokens(self) -> list:
+        """Tokens by id; only of a vocabulary that may be broadcast."""
+        if not self.fits:
+            raise ValueError(f"{self.size} tokens are not brought to the driver")
+        if self._tokens is None:
+            self._tokens = [r["token"] for r in self.table.select("token", "id").orderBy("id").collect()]
+        return self._tokens
 
     def broadcast_tokens(self, spark: SparkSession):
-        if self.size > BROADCAST_VOCAB_LIMIT:
-            raise ValueError(f"vocabulary of {self.size} entries exceeds the broadcast bound")
         if self._bc is None:
             self._bc = spark.sparkContext.broadcast(self.tokens[2:])
         return self._bc
 
-    @property
-    def size(self) -> int:
-        return len(self.tokens)
-
     def lookup_table(self) -> DataFrame:
-        """(token, id) for ids >= 2, broadcast when within the size bound."""
-        t = self.table.where(F.col("id") >= 2).select("token", "id")
-        return F.broadcast(t) if self.size <= BROADCAST_VOCAB_LIMIT else t
-
-    def encode_in_row(self, token_lists: Column, nested: bool = True) -> Column:
-        """array<array<string>> -> padded ids per sentence; array<string> -> ids (unknown = 1).
-
-        Row-local (no shuffle); tokens must already be truncated to seq_len."""
-        return in_row_lookup(self, token_lists, nested)
+        """(token, id) for ids >= 2."""
+        return self.table.where(F.col("id") >= 2).select("token", "id")
 
 
 class VocabularyBuilder:
@@ -89,32 +88,23 @@ class VocabularyBuilder:
 
     def fit(self, sentences: DataFrame) -> Vocabulary:
         spark = sentences.sparkSession
-        top = top_tokens(token_counts(sentences, self.text_col), self.max_tokens)
-        # Bounded by max_tokens rows: safe to bring to the driver once.
-        rows = top.orderBy("id").collect()
-        tokens = [C.PAD_TOKEN, C.UNK_TOKEN] + [r["token"] for r in rows]
-        table = spark.createDataFrame(
-            [(C.PAD_TOKEN, C.PAD_ID, None), (C.UNK_TOKEN, C.UNK_ID, None)]
-            + [(r["token"], int(r["id"]), int(r["n"])) for r in rows],
-            "token STRING, id INT, n BIGINT")
-        return Vocabulary(table=table, tokens=tokens, seq_len=self.seq_len)
+        reserved = spark.createDataFrame([(C.PAD_TOKEN, C.PAD_ID, None), (C.UNK_TOKEN, C.UNK_ID, None)],
+                                         "token STRING, id INT, n BIGINT")
+        path = new_work_path(spark, "vocabulary")
+        reserved.unionByName(top_tokens(token_counts(sentences, self.text_col), self.max_tokens)) \
+            .write.parquet(path)
+        return vocabulary_from_table(spark.read.parquet(path), self.seq_len)
 
 
 def vocabulary_from_table(table: DataFrame, seq_len: int = C.SEQ_LEN) -> Vocabulary:
-    """Load a stored (token, id[, n]) table as a Vocabulary."""
-    n_rows = table.count()
-    if n_rows > BROADCAST_VOCAB_LIMIT:
-        raise ValueError(f"vocabulary of {n_rows} entries exceeds the broadcast bound")
-    rows = table.select("token", "id").orderBy("id").collect()
-    tokens = [r["token"] for r in rows]
+    """A stored (token, id[, n]) table as a Vocabulary."""
     if "n" not in table.columns:
         table = table.withColumn("n", F.lit(None).cast("bigint"))
-    return Vocabulary(table=table.select("token", F.col("id").cast("int").alias("id"),
-                                         F.col("n").cast("bigint").alias("n")),
-                      tokens=tokens, seq_len=seq_len)
+    table = table.select("token", F.col("id").cast("int").alias("id"), F.col("n").cast("bigint").alias("n"))
+    return Vocabulary(table, table.count(), seq_len)
 
 
-def in_row_lookup(vocab: Vocabulary, token_lists: Column, nested: bool = True) -> Column:
+def in_row_lookup(vocab: Vocabulary, token_lists: Column, nested: bool = True, seq_len: int | None = None) -> Column:
     """Arrow UDF: vectorized hash lookup (pyarrow index_in) against a broadcast vocabulary."""
     spark = SparkSession.getActiveSession()
     bc = vocab.broadcast_tokens(spark)
@@ -127,7 +117,7 @@ def in_row_lookup(vocab: Vocabulary, token_lists: Column, nested: bool = True) -
             cache["v"] = a
         return a
 
-    seq_len = vocab.seq_len
+    seq_len = seq_len or vocab.seq_len
 
     @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
     def _lookup_nested(tokens: pa.Array) -> pa.Array:
@@ -155,30 +145,48 @@ def sentence_tokens(sentence: Column, seq_len: int = C.SEQ_LEN) -> Column:
 
 
 def lookup_ids_join(tokens: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """tokens(…, token) left-joined to the vocabulary; unmatched -> UNK id."""
+    """tokens(..., token) left-joined to the vocabulary; unmatched -> UNK id."""
     j = tokens.join(vocab.lookup_table(), "token", "left")
     return j.withColumn("id", F.coalesce(F.col("id"), F.lit(C.UNK_ID)).cast("int"))
 
 
 def encode_flat(sentences: DataFrame, vocab: Vocabulary, keys: list,
                 text_col: str = "sentence", seq_len: int | None = None) -> DataFrame:
-    """G3 in relational form: one row per sentence with x ARRAY<INT> of length seq_len.
-
-    posexplode -> broadcast join -> regroup by the sentence key.  The regroup runs
-    partial aggregation map-side (all tokens of a sentence sit in one partition),
-    so only one row per sentence crosses the exchange.
-    """
+    """One row per sentence row with x ARRAY<INT> of length seq_len; repeated rows stay apart."""
     seq_len = seq_len or vocab.seq_len
-    # Regrouped by a per-sentence row id (the caller's keys ride along), so repeated
-    # keys in the input neither merge sentences nor form one hot group.
-    base = sentences.select(*keys, F.monotonically_increasing_id().alias("_row"),
-                            sentence_tokens(F.col(text_col), seq_len).alias("_toks"))
-    # posexplode_outer keeps sentences without tokens (they become all padding).
-    toks = base.select(*keys, "_row", F.posexplode_outer("_toks").alias("pos", "token"))
-    ided = lookup_ids_join(toks, vocab)
+    if vocab.fits:
+        toks = F.array(sentence_tokens(F.col(text_col), seq_len))
+        return sentences.select(*keys, in_row_lookup(vocab, toks, True, seq_len)[0].alias("x"))
+    # grouped by the whole row: rows that are equal in keys and text have equal ids, so one
+    # set of (position, id) serves them all and is given out as often as they occur
+    base = sentences.select(*keys, F.col(text_col).alias("_text"))
+    rows = base.groupBy(*keys, "_text").agg(F.count("*").alias("_copies"))
+    toks = rows.select(*keys, "_text", "_copies",
+                       F.posexplode_outer(sentence_tokens(F.col("_text"), seq_len)).alias("pos", "token"))
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
-    grouped = ided.groupBy("_row", *keys).agg(F.array_sort(F.collect_list(entry)).alias("_p"))
-    return grouped.select(*keys, pad_ids(F.transform("_p", lambda e: e["id"]), seq_len).alias("x"))
+    grouped = (lookup_ids_join(toks, vocab).groupBy(*keys, "_text", "_copies")
+               .agg(F.array_sort(F.collect_list(entry)).alias("_p")))
+    x = pad_ids(F.transform("_p", lambda e: e["id"]), seq_len).alias("x")
+    return grouped.select(*keys, x, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))).alias("_c")).drop("_c")
+
+
+def encode_articles(articles: DataFrame, vocab: Vocabulary, sentences_col: str = "sentences",
+                    out_col: str = "x") -> DataFrame:
+    """Article rows with ``out_col``: the padded ids of each sentence, as array<array<int>>."""
+    seq_len = vocab.seq_len
+    if vocab.fits:
+        toks = F.transform(sentences_col, lambda s: sentence_tokens(s, seq_len))
+        return articles.withColumn(out_col, in_row_lookup(vocab, toks, True, seq_len))
+    # equal lists of sentences have equal ids: each distinct list is encoded once, by its hash
+    # and itself, and joined back
+    lists = articles.select(F.col(sentences_col).alias("_list")).distinct()
+    flat = lists.select("_list", F.posexplode("_list").alias("_i", "sentence"))
+    ids = (encode_flat(flat, vocab, ["_list", "_i"]).groupBy("_list")
+           .agg(F.array_sort(F.collect_list(F.struct("_i", "x"))).alias("_e"))
+           .select("_list", F.transform("_e", lambda e: e["x"]).alias("_ids")))
+    none = F.array().cast("array<array<int>>")
+    return (articles.join(ids, articles[sentences_col] == ids["_list"], "left")
+            .withColumn(out_col, F.coalesce("_ids", none)).drop("_list", "_ids"))
 
 
 def infer_vocab_size(encoded: DataFrame, x_col: str = "x") -> DataFrame:

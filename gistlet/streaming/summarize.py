@@ -28,7 +28,7 @@ def document_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     return r.parquet(path)
 
 
-def summary_stream(docs: DataFrame, vocab: Vocabulary, weights: ScorerWeights | None = None,
+def summary_stream(docs: DataFrame, vocab: Vocabulary, weights: ScorerWeights,
                    top_k: int = C.TOP_K) -> DataFrame:
     """Streaming DataFrame of summaries (same function body as the batch form)."""
     arts = normalize_articles(documents_to_raw_articles(docs.select("doc_id", "text")))

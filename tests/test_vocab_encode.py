@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from gistlet.operators import vocab as VO
-from gistlet.operators.summarize import encoded_sentences
 
 
 def sentences(spark):
@@ -27,7 +26,7 @@ def test_encode_forms_agree_and_pad(spark):
             for r in VO.encode_flat(s, v, ["article_id", "sent_index"]).collect()}
     arts = s.groupBy("article_id").agg(F.array_sort(F.collect_list(F.struct("sent_index", "sentence"))).alias("p"))
     arts = arts.select("article_id", F.transform("p", lambda e: e["sentence"]).alias("sentences"))
-    inrow = arts.select("article_id", encoded_sentences(F.col("sentences"), v).alias("x")).collect()
+    inrow = VO.encode_articles(arts, v).collect()
     for r in inrow:
         for i, x in enumerate(r["x"]):
             assert x == flat[(r["article_id"], i)]
@@ -38,24 +37,45 @@ def test_encode_forms_agree_and_pad(spark):
     assert VO.infer_vocab_size(VO.encode_flat(s, v, ["article_id", "sent_index"])).first()[0] == 5
 
 
-def test_encode_without_broadcast_beyond_the_bound(spark, monkeypatch):
-    s = sentences(spark)
+def repeated(spark):
+    """Sentences and articles of which some rows are the same in all, or in their keys only."""
+    rows = [("a", 0, "cat dog"), ("a", 0, "cat dog"), ("a", 0, "dog dog dog"), ("b", 0, "..."), ("b", 1, "zebra cat")]
+    return spark.createDataFrame(rows, "article_id STRING, sent_index INT, sentence STRING")
+
+
+def test_both_ways_of_encoding_agree(spark, monkeypatch):
+    s = repeated(spark).unionByName(sentences(spark))
     v = VO.VocabularyBuilder(max_tokens=5).fit(s)
     keys = ["article_id", "sent_index"]
-    with_bc = {tuple(r[:2]): r["x"] for r in VO.encode_flat(s, v, keys).collect()}
+    arts = spark.createDataFrame([("p", ["cat dog", "zebra"]), ("p", ["cat dog", "zebra"]), ("q", []), ("r", ["..."])],
+                                 "id STRING, sentences ARRAY<STRING>")
+
+    def both():
+        return (sorted((r["article_id"], r["sent_index"], r["x"]) for r in VO.encode_flat(s, v, keys).collect()),
+                sorted((r["id"], r["x"]) for r in VO.encode_articles(arts, v).collect()))
+
+    small = both()
+    assert len(small[0]) == s.count() and len(small[1]) == 4
     monkeypatch.setattr(VO, "BROADCAST_VOCAB_LIMIT", 1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = VO.encode_flat(s, v, keys)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not v.fits
+        plan = VO.encode_flat(s, v, keys)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastExchange" not in plan
-        assert {tuple(r[:2]): r["x"] for r in df.collect()} == with_bc
+        assert both() == small
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_encoding_in_the_row_does_not_shuffle(spark):
+    s = sentences(spark)
+    v = VO.VocabularyBuilder(max_tokens=5).fit(s)
+    plan = VO.encode_flat(s, v, ["article_id", "sent_index"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_encode_keeps_sentences_with_repeated_keys_apart(spark):
-    s = spark.createDataFrame([("a", 0, "cat dog"), ("a", 0, "dog dog dog")], "article_id STRING, sent_index INT, sentence STRING")
+    s = repeated(spark).where("article_id = 'a'")
     v = VO.VocabularyBuilder(max_tokens=10).fit(s)
     got = sorted(r["x"][:3] for r in VO.encode_flat(s, v, ["article_id", "sent_index"]).collect())
-    assert got == [[2, 2, 2], [3, 2, 0]]          # dog = 2, cat = 3
+    assert got == [[2, 2, 2], [3, 2, 0], [3, 2, 0]]          # dog = 2, cat = 3
