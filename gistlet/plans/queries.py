@@ -17,10 +17,27 @@ from gistlet.operators import flatten as FL
 from gistlet.operators import summarize as SU
 from gistlet.operators import topk as TK
 from gistlet.operators import vocab as VO
+from gistlet.plans.fixture_model import fixture_weights
 from gistlet.plans.sql_twins import VOCAB_TOKENS
 from gistlet.sources import corpus
 
-_VOCABS: dict = {}
+_MADE: dict = {}
+
+
+def made_once(kind: str, spark: SparkSession, sf_dir: str, make):
+    """What ``make()`` gives, made once per application and state of the input files.
+
+    The key holds the files' paths, sizes and times, so changed files are learned from anew.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/documents.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [fs.getFileStatus(path), *fs.listStatus(path)]
+    state = tuple((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in files)
+    key = (kind, spark.sparkContext.applicationId, sf_dir, state)
+    if key not in _MADE:
+        _MADE[key] = make()
+    return _MADE[key]
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,18 +51,20 @@ def sentence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession, sf_dir: str, max_tokens: int = VOCAB_TOKENS) -> VO.Vocabulary:
-    """Vocabulary learned from the train split (memoized per session and input)."""
-    key = (id(spark), sf_dir, max_tokens)
-    v = _VOCABS.get(key)
-    if v is None:
+    """Vocabulary learned from the train split."""
+    def fit():
         train = sentence_rows(spark, sf_dir).where(F.col("split") == "train")
-        v = VO.VocabularyBuilder(max_tokens=max_tokens).fit(train)
-        _VOCABS[key] = v
-    return v
+        return VO.VocabularyBuilder(max_tokens=max_tokens).fit(train)
+
+    return made_once(f"vocabulary-{max_tokens}", spark, sf_dir, fit)
+
+
+def weights(spark: SparkSession, sf_dir: str):
+    return fixture_weights(vocabulary(spark, sf_dir).size)
 
 
 def scored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SU.score_articles(articles(spark, sf_dir), vocabulary(spark, sf_dir))
+    return SU.score_articles(articles(spark, sf_dir), vocabulary(spark, sf_dir), weights(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ queries
@@ -99,43 +118,63 @@ def q_flatten_stats(spark, sf_dir):
     return FL.flatten_stats(flat, v.size, v.seq_len)
 
 
-def scored_flat(spark, sf_dir):
-    """(split, article_id, _art, sent_index, score); _art is a per-article row id."""
-    s = scored_articles(spark, sf_dir)
-    s = s.withColumnRenamed("id", "article_id").withColumn("_art", F.monotonically_increasing_id())
-    return posexplode_rows(s, ["split", "article_id", "_art"], "scores", "sent_index", "score")
+def q_cap_sentences(spark, sf_dir):
+    """The optional cap on sentences per article."""
+    a = FL.with_sentences(articles(spark, sf_dir), C.SENTENCE_CAP).withColumnRenamed("id", "article_id")
+    rows = posexplode_rows(a, ["split", "article_id"], "sentences", "sent_index", "sentence")
+    return rows.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"), "sentence")
 
 
 def q_score_sentences(spark, sf_dir):
-    return scored_flat(spark, sf_dir).select(
+    s = scored_articles(spark, sf_dir).withColumnRenamed("id", "article_id")
+    return posexplode_rows(s, ["split", "article_id"], "scores", "sent_index", "score").select(
         "split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
         F.round("score", 6).alias("score"))
 
 
 def q_topk_sentences(spark, sf_dir):
-    # ranked within each article row (a repeated id never pools two articles)
-    top = TK.topk_window(scored_flat(spark, sf_dir), C.TOP_K, article_col="_art")
-    return top.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
-                      F.col("rank").cast("bigint").alias("rank"))
+    # ranked within each article row, which holds all its scores
+    s = scored_articles(spark, sf_dir).withColumnRenamed("id", "article_id")
+    s = s.withColumn("top", TK.ranked_indices("scores", C.TOP_K))
+    return posexplode_rows(s, ["split", "article_id"], "top", "rank", "sent_index").select(
+        "split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
+        (F.col("rank") + 1).cast("bigint").alias("rank"))
 
 
 def summaries(spark, sf_dir):
-    return SU.summarize_articles(articles(spark, sf_dir), vocabulary(spark, sf_dir))
+    return SU.summarize_articles(articles(spark, sf_dir), vocabulary(spark, sf_dir), weights(spark, sf_dir))
 
 
 def q_summarize_articles(spark, sf_dir):
     s = summaries(spark, sf_dir)
     return s.select("split", "id", F.col("n_sentences").cast("bigint").alias("n_sentences"),
-                    F.array_join(F.transform("selected_indices", lambda i: i.cast("string")), ",")
-                    .alias("selected_indices"),
-                    "summary")
+                    _ids_string("selected_indices").alias("selected_indices"), "summary")
 
 
-def q_limit_per_split(spark, sf_dir, n: int = 20):
+def _limited(spark, sf_dir, n):
     from gistlet.operators.limits import limit_per_split
     a = articles(spark, sf_dir).select("split", "id", "pos")
-    return limit_per_split(a, n, order_col="pos").select(
-        "split", "id", "pos", F.col("rank").cast("bigint").alias("rank"))
+    return limit_per_split(a, n).select("split", "id", "pos", F.col("rank").cast("bigint").alias("rank"))
+
+
+def q_limit_per_split(spark, sf_dir):
+    return _limited(spark, sf_dir, 20)
+
+
+def q_limit_per_split_2000(spark, sf_dir):
+    return _limited(spark, sf_dir, 2000)
+
+
+def q_limit_per_split_none(spark, sf_dir):
+    return _limited(spark, sf_dir, None)
+
+
+def q_first_train_sentences(spark, sf_dir):
+    """The first 500 training sentences in source order."""
+    from gistlet.operators.limits import first_n
+    train = sentence_rows(spark, sf_dir).where(F.col("split") == "train")
+    return first_n(train, 500, ["pos", "sent_index"]).select(
+        "article_id", F.col("sent_index").cast("bigint").alias("sent_index"), "sentence")
 
 
 # ------------------------------------------------------------------ ROUGE
@@ -180,37 +219,73 @@ def q_rougeL(spark, sf_dir):
     return r.select("id", *[F.round(F.col("_r")[c], 6).alias(c) for c in ("precision", "recall", "fmeasure")])
 
 
-def labeled_articles(spark, sf_dir, stem: bool = True):
+def labeled_articles(spark, sf_dir, stem: bool = False):
     from gistlet.operators.oracle import oracle_labels
     return oracle_labels(articles(spark, sf_dir), C.ORACLE_K, stem=stem)
 
 
-def q_oracle_labels(spark, sf_dir):
-    lab = labeled_articles(spark, sf_dir)
+def _oracle_query(spark, sf_dir, stem):
+    lab = labeled_articles(spark, sf_dir, stem)
     return lab.select("split", "id", F.size("sentences").cast("bigint").alias("n_sentences"),
                       _ids_string("labels").alias("labels"), _ids_string("chosen").alias("chosen"))
 
 
-def q_evaluate_rouge(spark, sf_dir):
+def q_oracle_labels(spark, sf_dir):
+    return _oracle_query(spark, sf_dir, stem=False)
+
+
+def q_oracle_labels_stemmed(spark, sf_dir):
+    return _oracle_query(spark, sf_dir, stem=True)
+
+
+def _evaluate_query(spark, sf_dir, stem):
     from gistlet.operators.rouge import mean_f
     test = summaries(spark, sf_dir).where(F.col("split") == "test")
-    return mean_f(test, "id", "highlights", "summary", stem=True).select(
+    return mean_f(test, "id", "highlights", "summary", stem=stem).select(
         "metric", "n_scored", F.round("mean_f", 6).alias("mean_f"))
 
 
+def q_evaluate_rouge(spark, sf_dir):
+    return _evaluate_query(spark, sf_dir, stem=False)
+
+
+def q_evaluate_rouge_stemmed(spark, sf_dir):
+    return _evaluate_query(spark, sf_dir, stem=True)
+
+
 # ------------------------------------------------------------------ flatten, class weights, losses
 
-def q_flatten_sentences(spark, sf_dir):
-    flat = FL.flatten_sentences(labeled_articles(spark, sf_dir))
+def _flat_columns(flat):
     return flat.select("split", "id", "sentence", F.col("label").cast("bigint").alias("label"),
                        "article_id", F.col("sent_index").cast("bigint").alias("sent_index"))
 
 
+def q_flatten_sentences(spark, sf_dir):
+    return _flat_columns(FL.flatten_sentences(labeled_articles(spark, sf_dir)))
+
+
 def q_flatten_ordinals(spark, sf_dir):
-    """B8/B9 on unlabeled articles: ordinal ids from the bucketed distributed prefix sum."""
-    flat = FL.flatten_sentences(FL.with_sentences(articles(spark, sf_dir)))
-    return flat.select("split", "id", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
-                       "sentence", F.col("label").cast("bigint").alias("label"))
+    """B8/B9 on unlabeled articles: ordinal ids from the prefix sum over range partitions."""
+    return _flat_columns(FL.flatten_sentences(FL.with_sentences(articles(spark, sf_dir))))
+
+
+def lead_labeled(spark, sf_dir):
+    """Articles labeled by a rule on the given tables: the first three sentences of documents of quality 1.
+    The list of labels ends there (the flattening fills it up), and is empty for other documents."""
+    good = (corpus.read_table(spark, sf_dir, "labels").where("quality = 1")
+            .select(F.col("doc_id").alias("_good")).distinct())
+    a = FL.with_sentences(articles(spark, sf_dir))
+    a = a.join(good, a["pos"] == good["_good"], "left")
+    ones = F.transform(F.slice("sentences", 1, 3), lambda s: F.lit(1).cast("tinyint"))
+    return a.select("split", "id", "pos", "sentences", F.col("highlights").alias("summary"),
+                    F.when(F.col("_good").isNotNull(), ones).otherwise(F.array().cast("array<tinyint>")).alias("labels"))
+
+
+def q_regroup_articles(spark, sf_dir):
+    """Flat sentences back to articles."""
+    back = FL.regroup_articles(FL.flatten_sentences(lead_labeled(spark, sf_dir), with_ordinal=False))
+    return back.select("split", "id", F.size("sentences").cast("bigint").alias("n_sentences"),
+                       F.array_join("sentences", "|").alias("sentences"), _ids_string("labels").alias("labels"))
 
 
 def q_class_weights(spark, sf_dir):
@@ -224,15 +299,12 @@ def q_class_weights(spark, sf_dir):
 
 
 def sentence_scores_with_labels(spark, sf_dir):
-    """(split, article_id, sent_index, score, y): closed-form scores and oracle labels."""
-    lab = labeled_articles(spark, sf_dir).withColumnRenamed("id", "article_id")
-    lab = lab.withColumn("x", SU.encoded_sentences(F.col("sentences"), vocabulary(spark, sf_dir)))
-    lab = lab.withColumn("scores", SU.sentence_scores(F.col("x")))
-    z = lab.select("split", "article_id",
-                   F.arrays_zip(F.col("scores").alias("score"), F.col("labels").alias("y")).alias("_z"))
-    rows = posexplode_rows(z, ["split", "article_id"], "_z", "sent_index", "_e")
-    return rows.select("split", "article_id", "sent_index", F.col("_e.score").alias("score"),
-                       F.col("_e.y").cast("int").alias("y"))
+    """(split, article_id, sent_index, score, y): scores, and the quality label of the sentence's document."""
+    lab = corpus.read_table(spark, sf_dir, "labels").where("quality is not null").groupBy("doc_id") \
+        .agg(F.max("quality").alias("y"))
+    s = scored_articles(spark, sf_dir).select("split", F.col("id").alias("article_id"), "pos", "scores")
+    rows = s.join(lab, s["pos"] == lab["doc_id"])
+    return posexplode_rows(rows, ["split", "article_id", "y"], "scores", "sent_index", "score")
 
 
 def q_bce_loss(spark, sf_dir):
@@ -318,66 +390,166 @@ def q_read_text_articles(spark, sf_dir):
     from gistlet.session import new_work_path
     from gistlet.sources import jsonl
     path = new_work_path(spark, "text-articles")
-    jsonl.write_text_articles(articles(spark, sf_dir), path)
-    return jsonl.read_text_articles(spark, path).select("id", "article")
+    jsonl.write_packed_articles(articles(spark, sf_dir), path)
+    return jsonl.read_packed_articles(spark, path).select("id", "article")
 
 
 def q_summarize_text_files(spark, sf_dir):
-    """One text file per article -> summaries -> summary JSON (T10) -> read back."""
+    """Text articles -> summaries -> summary JSON (T10) -> read back."""
     from gistlet.session import new_work_path
     from gistlet.sources import jsonl
     base = new_work_path(spark, "text-summaries")
-    jsonl.write_text_articles(articles(spark, sf_dir), f"{base}/articles")
-    arts = jsonl.read_text_articles(spark, f"{base}/articles").withColumn("highlights", F.lit(""))
-    jsonl.write_summaries(SU.summarize_articles(arts, vocabulary(spark, sf_dir)), f"{base}/summaries")
+    jsonl.write_packed_articles(articles(spark, sf_dir), f"{base}/articles")
+    arts = jsonl.read_packed_articles(spark, f"{base}/articles").withColumn("highlights", F.lit(""))
+    jsonl.write_summaries(SU.summarize_articles(arts, vocabulary(spark, sf_dir), weights(spark, sf_dir)), f"{base}/summaries")
     back = spark.read.schema(jsonl.SUMMARY_SCHEMA).json(f"{base}/summaries")
     return back.select("id", F.size("scores").cast("bigint").alias("n_sentences"),
-                       _ids_string("selected_indices").alias("selected_indices"), "summary")
+                       _ids_string("selected_indices").alias("selected_indices"), "summary",
+                       (F.col("inference_elapsed_seconds") > 0).alias("timed"))
 
 
-def q_labeled_roundtrip(spark, sf_dir):
+def _number_in_id():
+    return F.regexp_extract("id", r"-(\d+)$", 1).cast("bigint")
+
+
+def _through_labeled_files(spark, labeled, read):
     from gistlet.session import new_work_path
     from gistlet.sources import jsonl
     path = new_work_path(spark, "labeled")
-    lab = labeled_articles(spark, sf_dir)
-    jsonl.write_labeled(lab, path)
-    back = jsonl.read_labeled(spark, path)
-    pos = F.regexp_extract("id", r"-(\d+)$", 1).cast("bigint")
-    flat = FL.flatten_sentences(back.withColumn("pos", pos))
-    return flat.select("split", "id", "sentence", F.col("label").cast("bigint").alias("label"),
-                       "article_id", F.col("sent_index").cast("bigint").alias("sent_index"))
+    jsonl.write_labeled(labeled, path)
+    return _flat_columns(FL.flatten_sentences(read(spark, path).withColumn("pos", _number_in_id())))
+
+
+def q_labeled_roundtrip(spark, sf_dir):
+    from gistlet.sources import jsonl
+    return _through_labeled_files(spark, labeled_articles(spark, sf_dir), jsonl.read_labeled)
+
+
+def q_read_labeled_strict(spark, sf_dir):
+    from gistlet.sources import jsonl
+    return _through_labeled_files(spark, lead_labeled(spark, sf_dir), jsonl.read_labeled_strict)
+
+
+def _flat_files(spark, sf_dir):
+    from gistlet.session import new_work_path
+    from gistlet.sources import jsonl
+    path = new_work_path(spark, "flat")
+    jsonl.write_flat(FL.flatten_sentences(lead_labeled(spark, sf_dir)), path)
+    return path
+
+
+def q_flat_roundtrip(spark, sf_dir):
+    """Flat sentences as JSON and back."""
+    from gistlet.sources import jsonl
+    back = jsonl.read_flat(spark, _flat_files(spark, sf_dir))
+    return _flat_columns(back.withColumn("article_id", F.col("meta.article_id"))
+                         .withColumn("sent_index", F.col("meta.sent_index")))
+
+
+def q_read_sentences(spark, sf_dir):
+    """How often each sentence occurs in the flat files."""
+    from gistlet.sources import jsonl
+    return jsonl.read_sentences(spark, _flat_files(spark, sf_dir)).groupBy("sentence").agg(F.count("*").alias("n"))
+
+
+def q_read_dirty_articles(spark, sf_dir):
+    """Raw lines of which some are broken, blank, no object, or without an id or with a null one."""
+    from gistlet.session import new_work_path
+    from gistlet.sources import jsonl
+    raw = corpus.documents_to_raw_articles(corpus.read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kind = F.pmod("pos", F.lit(8))
+    body = F.to_json(F.struct("article", "highlights"), {"ignoreNullFields": "false"})
+    line = (F.when(kind == 0, F.concat(F.lit("{broken "), F.col("id"))).when(kind == 1, body)
+            .when(kind == 2, F.concat(F.lit('{"id": null, '), F.substring(body, F.lit(2), F.length(body))))
+            .when(kind == 3, "[1, 2]").when(kind == 4, "  ")
+            .otherwise(F.to_json(F.struct("id", "article", "highlights"), {"ignoreNullFields": "false"})))
+    path = new_work_path(spark, "dirty")
+    raw.select("split", line.alias("value")).write.partitionBy("split").text(path)
+    back = jsonl.read_raw_articles(spark, path)
+    # the fallback holds the file's name, which Spark chooses
+    ident = F.when(F.col("id") == F.concat("file", F.lit("-"), F.col("pos")), "fallback").otherwise(F.col("id"))
+    return back.select("split", ident.alias("id"), "article", "highlights")
+
+
+def q_read_dirty_labeled(spark, sf_dir):
+    """A4: labels as any JSON numbers, missing ids, null labels and broken lines."""
+    from gistlet.session import new_work_path
+    from gistlet.sources import jsonl
+    n = F.col("doc_id").cast("string")
+    kind = F.pmod("doc_id", F.lit(4))
+    sentences = F.concat(F.lit('"sentences": ["a'), n, F.lit('", "b", "c"], "labels": '))
+    line = (F.when(kind == 0, F.concat(F.lit('{"id": "'), n, F.lit('", "labels": ['))) 
+            .when(kind == 1, F.concat(F.lit('{"id": "'), n, F.lit('", '), sentences, F.lit("[1.0, true, 0]}")))
+            .when(kind == 2, F.concat(F.lit("{"), sentences, F.lit("[0, 1]}")))
+            .otherwise(F.concat(F.lit('{"id": null, '), sentences, F.lit('null, "summary": "s"}'))))
+    path = new_work_path(spark, "dirty-labeled")
+    corpus.read_table(spark, sf_dir, "documents").select(line.alias("value")).write.text(path)
+    flat = FL.flatten_sentences(jsonl.read_labeled(spark, path).withColumn("split", F.lit("train")), with_ordinal=False)
+    return flat.select("article_id", F.col("sent_index").cast("bigint").alias("sent_index"), "sentence",
+                       F.col("label").cast("bigint").alias("label"))
+
+
+def q_vocab_store(spark, sf_dir):
+    """A vocabulary saved, loaded, and used to encode."""
+    from gistlet.session import new_work_path
+    from gistlet.sources import store
+    path = new_work_path(spark, "vocab")
+    store.save_vocab(vocabulary(spark, sf_dir), path)
+    rows = VO.encode_flat(sentence_rows(spark, sf_dir), store.load_vocab(spark, path), ["split", "article_id", "sent_index"])
+    return rows.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
+                       F.array_join("x", ",").alias("x"))
+
+
+def q_encoded_store(spark, sf_dir):
+    """Encoded sentences with labels written by split, and one split read back."""
+    from gistlet.session import new_work_path
+    from gistlet.sources import store
+    lab = lead_labeled(spark, sf_dir)
+    enc = VO.encode_articles(lab, vocabulary(spark, sf_dir)).withColumnRenamed("id", "article_id")
+    labels = F.col("labels")
+    z = F.transform("x", lambda x, i: F.struct(x.alias("x"), FL.aligned_label(labels, i).alias("y")))
+    rows = posexplode_rows(enc.withColumn("_z", z), ["split", "article_id"], "_z", "sent_index", "_e")
+    path = new_work_path(spark, "encoded")
+    store.write_encoded(rows.select("split", "article_id", "sent_index", F.col("_e.x").alias("x"), F.col("_e.y").alias("y")), path)
+    back = store.read_encoded(spark, path, "validation")
+    return back.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
+                       F.array_join("x", ",").alias("x"), F.col("y").cast("bigint").alias("y"))
 
 
 # ------------------------------------------------------------------ training, model, quantized model
 
-_MODELS: dict = {}
+def encoded_rows(spark, sf_dir):
+    """(split, article_id, pos, sent_index, x): every sentence encoded."""
+    a = VO.encode_articles(FL.with_sentences(articles(spark, sf_dir)), vocabulary(spark, sf_dir))
+    return posexplode_rows(a.withColumnRenamed("id", "article_id").withColumnRenamed("x", "xs"),
+                           ["split", "article_id", "pos"], "xs", "sent_index", "x")
 
 
 def encoded_labeled(spark, sf_dir):
-    """(split, article_id, sent_index, ord, x, y): every sentence encoded, with its oracle label."""
-    lab = labeled_articles(spark, sf_dir).withColumnRenamed("id", "article_id")
-    lab = lab.withColumn("x", SU.encoded_sentences(F.col("sentences"), vocabulary(spark, sf_dir)))
-    z = lab.select("split", "article_id", "pos",
+    """(split, article_id, pos, sent_index, x, y): every sentence encoded, with its oracle label."""
+    lab = VO.encode_articles(labeled_articles(spark, sf_dir, stem=True), vocabulary(spark, sf_dir))
+    z = lab.select("split", F.col("id").alias("article_id"), "pos",
                    F.arrays_zip(F.col("x").alias("x"), F.col("labels").alias("y")).alias("_z"))
     rows = posexplode_rows(z, ["split", "article_id", "pos"], "_z", "sent_index", "_e")
-    return rows.select("split", "article_id", "sent_index",
-                       (F.col("pos") * 1000 + F.col("sent_index")).alias("ord"),
-                       F.col("_e.x").alias("x"), F.col("_e.y").cast("int").alias("y"))
+    return rows.select("split", "article_id", "pos", "sent_index", F.col("_e.x").alias("x"),
+                       F.col("_e.y").cast("int").alias("y"))
 
 
 def trained_model(spark, sf_dir):
     from gistlet.operators.train import ScorerTrainer
-    key = (id(spark), sf_dir)
-    if key not in _MODELS:
-        enc = encoded_labeled(spark, sf_dir)
+    from gistlet.session import new_work_path
+
+    def fit():
         v = vocabulary(spark, sf_dir)
-        trainer = ScorerTrainer(vocab_size=v.size, seq_len=v.seq_len, seed=0)
-        from gistlet.session import new_work_path
-        res = trainer.fit(enc.where(F.col("split") == "train"),
-                          enc.where(F.col("split") == "validation"),
-                          checkpoint_dir=new_work_path(spark, "train-state"))
-        _MODELS[key] = res
-    return _MODELS[key]
+        # labeled once, and read again for the training and the validation rows
+        path = new_work_path(spark, "encoded-labeled")
+        encoded_labeled(spark, sf_dir).where(F.col("split") != "test").write.partitionBy("split").parquet(path)
+        enc = spark.read.parquet(path)
+        return ScorerTrainer(vocab_size=v.size, seq_len=v.seq_len, seed=0).fit(
+            enc.where(F.col("split") == "train"), enc.where(F.col("split") == "validation"),
+            checkpoint_dir=new_work_path(spark, "train-state"))
+
+    return made_once("model", spark, sf_dir, fit)
 
 
 def q_train_scorer(spark, sf_dir):
@@ -398,7 +570,7 @@ def q_model_roundtrip(spark, sf_dir):
     path = new_work_path(spark, "model")
     save_weights(spark, wt, path)
     wt2 = load_weights(spark, path)
-    head = first_n(encoded_labeled(spark, sf_dir).where(F.col("split") == "train"), 5, "ord")
+    head = first_n(encoded_rows(spark, sf_dir).where(F.col("split") == "train"), 5, ["pos", "sent_index"])
     out = head.select("article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
                       score_udf(spark, wt)(F.col("x")).alias("p_before"),
                       score_udf(spark, wt2)(F.col("x")).alias("p_after"))
@@ -406,40 +578,39 @@ def q_model_roundtrip(spark, sf_dir):
 
 
 def q_train_baseline(spark, sf_dir):
-    from gistlet.operators.train import accuracy, baseline_probability, bce_loss, train_baseline
-    from gistlet.operators.vocab import sentence_tokens
-    sents = labeled_articles(spark, sf_dir).withColumnRenamed("id", "article_id")
-    flat = posexplode_rows(sents, ["split", "article_id", "labels"], "sentences", "sent_index", "sentence")
-    flat = flat.select("split", "article_id", "sent_index",
-                       sentence_tokens(F.col("sentence"), 1 << 20).alias("tokens"),
-                       F.coalesce(F.get("labels", F.col("sent_index")), F.lit(0)).cast("int").alias("y"))
-    v = vocabulary(spark, sf_dir)
-    model = train_baseline(flat.where(F.col("split") == "train"), v.size)
-    pred = baseline_probability(model, flat.where(F.col("split") != "train"))
-    return bce_loss(pred, "p", "y", by="split").join(
-        accuracy(pred, "p", "y", by="split").select("split", "accuracy"), "split")
+    from gistlet.operators.train import baseline_probability, losses, train_baseline
+    from gistlet.session import new_work_path
+    lab = labeled_articles(spark, sf_dir, stem=True).withColumnRenamed("id", "article_id")
+    z = F.arrays_zip(F.col("sentences").alias("s"), F.col("labels").alias("y"))
+    flat = posexplode_rows(lab.withColumn("_z", z), ["split", "article_id"], "_z", "sent_index", "_e")
+    path = new_work_path(spark, "baseline")     # labeled once: class weights, vocabulary and model read it again
+    flat.select("split", "article_id", "sent_index", text_tokens(F.col("_e.s")).alias("tokens"),
+                F.col("_e.y").cast("int").alias("y")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    model = train_baseline(rows.where(F.col("split") == "train"), vocabulary(spark, sf_dir).size)
+    return losses(baseline_probability(model, rows.where(F.col("split") != "train")), "p", "y", by="split")
 
 
 def quantized_model(spark, sf_dir):
     from gistlet.operators.quantize import QuantizedScorer, calibration_sample
     from gistlet.operators.scorer import ids_matrix
     import pandas as pd
-    key = (id(spark), sf_dir, "q")
-    if key not in _MODELS:
+
+    def calibrated():
         wt = trained_model(spark, sf_dir).weights
-        train = encoded_labeled(spark, sf_dir).where(F.col("split") == "train")
+        train = encoded_rows(spark, sf_dir).where(F.col("split") == "train")
         sample = calibration_sample(train, ["article_id", "sent_index"], C.CALIBRATION_SAMPLES, seed=0)
         xs = [r["x"] for r in sample.select("x").collect()]   # at most 500 rows
-        mat = ids_matrix(pd.Series(xs, dtype=object), wt.seq_len) if xs else []
-        _MODELS[key] = QuantizedScorer(wt, mat)
-    return _MODELS[key]
+        return QuantizedScorer(wt, ids_matrix(pd.Series(xs, dtype=object), wt.seq_len) if xs else [])
+
+    return made_once("quantized", spark, sf_dir, calibrated)
 
 
 def q_quantize_weights(spark, sf_dir):
-    qs = quantized_model(spark, sf_dir)
-    rows = [(t, float(s), int(z), d) for t, s, z, d in qs.params_rows()]
-    df = spark.createDataFrame(rows, "tensor STRING, scale DOUBLE, zero_point BIGINT, dtype STRING")
-    return df.withColumn("model_bytes", F.lit(qs.size_bytes()).cast("bigint"))
+    """G11 as a table transform: int8 values per column, here of the embeddings as a weight matrix."""
+    from gistlet.operators.quantize import quantize_columns
+    q = quantize_columns(embedding_values(spark, sf_dir), ["dim"], "x")
+    return q.select("vec_id", "dim", F.round("scale", 9).alias("scale"), F.col("q").cast("bigint").alias("q"))
 
 
 def q_score_quantized(spark, sf_dir):
@@ -447,7 +618,7 @@ def q_score_quantized(spark, sf_dir):
     from gistlet.operators.scorer import score_udf
     wt = trained_model(spark, sf_dir).weights
     qs = quantized_model(spark, sf_dir)
-    enc = encoded_labeled(spark, sf_dir)
+    enc = encoded_rows(spark, sf_dir)
     return enc.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
                        score_udf(spark, wt)(F.col("x")).alias("score_float"),
                        quantized_score_udf(spark, qs)(F.col("x")).alias("score_quant"))
@@ -481,7 +652,7 @@ def q_summarize_stream(spark, sf_dir):
     from gistlet.streaming.summarize import document_stream, run_to_table, summary_stream
     base = new_work_path(spark, "stream")
     docs = document_stream(spark, f"{sf_dir.rstrip('/')}/documents*.parquet")
-    run_to_table(summary_stream(docs, vocabulary(spark, sf_dir)), f"{base}/out", f"{base}/checkpoint")
+    run_to_table(summary_stream(docs, vocabulary(spark, sf_dir), weights(spark, sf_dir)), f"{base}/out", f"{base}/checkpoint")
     s = spark.read.parquet(f"{base}/out")
     return s.select("split", "id", F.col("n_sentences").cast("bigint").alias("n_sentences"),
                     _ids_string("selected_indices").alias("selected_indices"), "summary")
@@ -499,7 +670,11 @@ QUERIES = {
     "flatten_stats": q_flatten_stats,
     "score_sentences": q_score_sentences,
     "topk_sentences": q_topk_sentences,
+    "cap_sentences": q_cap_sentences,
     "limit_per_split": q_limit_per_split,
+    "limit_per_split_2000": q_limit_per_split_2000,
+    "limit_per_split_none": q_limit_per_split_none,
+    "first_train_sentences": q_first_train_sentences,
     "rouge_tokens": q_rouge_tokens,
     "porter_stem": q_porter_stem,
     "rouge1": q_rouge1,
@@ -507,8 +682,11 @@ QUERIES = {
     "rougeL": q_rougeL,
     "oracle_labels": q_oracle_labels,
     "evaluate_rouge": q_evaluate_rouge,
+    "oracle_labels_stemmed": q_oracle_labels_stemmed,
+    "evaluate_rouge_stemmed": q_evaluate_rouge_stemmed,
     "flatten_sentences": q_flatten_sentences,
     "flatten_ordinals": q_flatten_ordinals,
+    "regroup_articles": q_regroup_articles,
     "class_weights": q_class_weights,
     "bce_loss": q_bce_loss,
     "accuracy": q_accuracy,
@@ -521,6 +699,13 @@ QUERIES = {
     "read_text_articles": q_read_text_articles,
     "summarize_text_files": q_summarize_text_files,
     "labeled_roundtrip": q_labeled_roundtrip,
+    "read_labeled_strict": q_read_labeled_strict,
+    "flat_roundtrip": q_flat_roundtrip,
+    "read_sentences": q_read_sentences,
+    "read_dirty_articles": q_read_dirty_articles,
+    "read_dirty_labeled": q_read_dirty_labeled,
+    "vocab_store": q_vocab_store,
+    "encoded_store": q_encoded_store,
     "train_scorer": q_train_scorer,
     "model_roundtrip": q_model_roundtrip,
     "train_baseline": q_train_baseline,

@@ -2,18 +2,22 @@
 
 Each twin is written from the same rules as the Spark operators, over the raw
 given tables (documents, labels, embeddings, ...), so the check covers the
-whole path from the source table to the result.
+whole path from the source table to the result.  The rules' constants are written
+out here once more, and nothing of the operators is imported, so that a wrong
+constant on one side does not agree with itself.
 """
 
 from __future__ import annotations
 
-from gistlet import config as C
-from gistlet.operators.scorer import CF_DIM, CF_HIDDEN, cf_b1, cf_w1, cf_w2
-
 VOCAB_TOKENS = 2000       # vocabulary size used by the registered queries
-SEQ = C.SEQ_LEN
-MAXS = C.MAX_SENTENCES
-K = C.TOP_K
+SEQ = 32                  # token ids per sentence
+CAP = 50                  # of the optional cap on sentences
+K = 3                     # sentences of a summary, and of the oracle
+
+# The 29 white-space characters that are stripped from texts.
+SPACES = "".join(map(chr, [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, 0x2000, 0x2001, 0x2002, 0x2003, 0x2004,
+                           0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+WS = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]"
 
 
 def q(s: str) -> str:
@@ -21,43 +25,48 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-WS = C.WS_CLASS
-STRIP_RE = q(f"^{WS}+|{WS}+$")
-SENT_RE = q(C.SENTENCE_END + WS + "+")
-PUNCT_RE = q(C.PUNCT_CLASS)
-AWS_RE = q(C.ASCII_WS_CLASS + "+")
+SENT_RE = q(r"""([.!?]+["')\]]*)""" + WS + "+")
+# Words after whose period a sentence goes on.
+CONTINUES_RE = q(r"(^|[^\p{L}\p{N}.])((?:\p{L}\.)+\p{L}|etc|Inc|Corp|Co|Ltd|Jr|Sr|approx|dept|est|al|No|Jan|Feb|Mar|Apr|Jun|Jul"
+                 r"|Aug|Sep|Sept|Oct|Nov|Dec)\.(" + WS + r"+[\p{Ll}\p{N}])")
+NEVER_RE = q(r"(^|[^\p{L}\p{N}.])(Mr|Mrs|Ms|Dr|Prof|Gen|Col|Capt|Lt|Sgt|Rev|Hon|Sen|Rep|Gov|St|Mt|vs|\p{Lu})\.")
+PUNCT_RE = q(r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~']""")
+AWS_RE = q(r"[ \t\n\x0B\f\r]+")
+ALPHABET = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
 def strip(e: str) -> str:
-    return f"trim({e}, {q(C.PY_WHITESPACE)})"
+    return f"trim({e}, {q(SPACES)})"
 
 
 def tokens(e: str) -> str:
     # Independent regex form of the same rule (the Spark side uses translate()).
-    std = f"regexp_replace(translate({e}, {q(C.UPPER_ASCII)}, {q(C.LOWER_ASCII)}), {PUNCT_RE}, '', 'g')"
+    std = f"regexp_replace(translate({e}, {ALPHABET}), {PUNCT_RE}, '', 'g')"
     return f"list_filter(regexp_split_to_array({std}, {AWS_RE}), lambda t: t <> '')"
 
 
 def rouge_tokens(e: str) -> str:
-    spaced = f"regexp_replace(lower({e}), {q(C.ROUGE_NON_ALNUM)}, ' ', 'g')"
+    spaced = f"regexp_replace(lower({e}), '[^a-z0-9]+', ' ', 'g')"
     return f"list_filter(string_split({spaced}, ' '), lambda t: t <> '')"
 
 
 def sentences(e: str) -> str:
-    marked = f"regexp_replace(replace({e}, chr(1), ''), {SENT_RE}, '\\1' || chr(1), 'g')"
-    return (f"list_filter(string_split({marked}, chr(1)), lambda s: {strip('s')} <> '')"
-            f"[1:{MAXS}]")
+    text = strip(f"replace(replace({e}, chr(1), ''), chr(2), '')")
+    hidden = f"regexp_replace({text}, {CONTINUES_RE}, '\\1\\2' || chr(2) || '\\3', 'g')"
+    hidden = f"regexp_replace({hidden}, {NEVER_RE}, '\\1\\2' || chr(2), 'g')"
+    marked = f"replace(regexp_replace({hidden}, {SENT_RE}, '\\1' || chr(1), 'g'), chr(2), '.')"
+    return f"list_filter(string_split({marked}, chr(1)), lambda s: {strip('s')} <> '')"
 
 
-def closed_form_score(x: str) -> str:
-    s = [f"list_sum(list_transform({x}, lambda i: ((i*31 + {d*17}) % 97) - 48))::BIGINT"
-         for d in range(CF_DIM)]
-    terms = []
-    for h in range(CF_HIDDEN):
-        parts = [f"{48*SEQ*cf_b1(h)}"] + [f"({s[d]}) * ({cf_w1(d, h)})" for d in range(CF_DIM) if cf_w1(d, h)]
-        terms.append(f"greatest({' + '.join(parts)}, 0) * ({cf_w2(h)})")
-    m = " + ".join(terms)
-    return f"(1.0 / (1.0 + exp(-((({m})::DOUBLE) / {float(1440*SEQ)} + 0.1))))"
+def score(x: str) -> str:
+    """The forward pass for the fixture weights: whole numbers, divided once at the end."""
+    pooled = [f"list_sum(list_transform({x}, lambda i: ((i * 31 + {d * 17}) % 97) - 48))::BIGINT" for d in range(8)]
+    units = []
+    for h in range(8):
+        # 64 * 32 * 16 times the unit's input
+        first = [f"({pooled[d]}) * ({(d * 13 + h * 7) % 11 - 5})" for d in range(8)]
+        units.append(f"greatest({' + '.join(first)} + ({(h % 3 - 1) * 64 * SEQ * 2}), 0) * ({(h * 5) % 7 - 3})")
+    return f"(1.0 / (1.0 + exp(-((({' + '.join(units)})::DOUBLE) / {64 * SEQ * 16 * 4}.0 + 0.125))))"
 
 
 # ---------------------------------------------------------------- CTE building blocks
@@ -109,7 +118,7 @@ enc AS (
 
 SCORED = f"""
 scored AS (
-  SELECT e.split, e.article_id, e.sent_index, f.sentence, {closed_form_score('e.x')} AS score
+  SELECT e.split, e.article_id, e.sent_index, f.sentence, {score('e.x')} AS score
   FROM enc e JOIN flat f ON e.article_id = f.article_id AND e.sent_index = f.sent_index),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY score DESC, sent_index DESC) AS rk
@@ -127,25 +136,113 @@ summ AS (
   GROUP BY r.split, r.article_id)"""
 
 
-def rouge_n_sql(n: int) -> str:
+def f_measure(p: str, r: str) -> str:
+    return f"CASE WHEN {p} + {r} > 0 THEN 2.0 * {p} * {r} / ({p} + {r}) ELSE 0.0 END"
+
+
+PAIRS = f"""
+pairs AS MATERIALIZED (SELECT split, id, {rouge_tokens('highlights')} AS rt, {rouge_tokens('summary')} AS ct FROM summ)"""
+
+
+def rouge_n_ctes(n: int) -> str:
     def grams(t):
         return f"list_transform(range(0, len({t}) - {n - 1}), lambda i: array_to_string({t}[i + 1:i + {n}], ' '))"
-    return with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, f"""
-pairs AS (SELECT id, {rouge_tokens('highlights')} AS rt, {rouge_tokens('summary')} AS ct FROM summ),
-g AS (SELECT id, {grams('rt')} AS rg, {grams('ct')} AS cg FROM pairs),
-gx AS (
-  SELECT id, unnest(rg) AS gram, 1 AS r, 0 AS c FROM g
-  UNION ALL SELECT id, unnest(cg) AS gram, 0 AS r, 1 AS c FROM g
-  UNION ALL SELECT id, NULL AS gram, 0 AS r, 0 AS c FROM g),
-per_gram AS (SELECT id, gram, sum(r) AS r, sum(c) AS c FROM gx GROUP BY id, gram),
-per_pair AS (
+    return f"""
+g{n} AS (SELECT id, {grams('rt')} AS rg, {grams('ct')} AS cg FROM pairs),
+gx{n} AS (
+  SELECT id, unnest(rg) AS gram, 1 AS r, 0 AS c FROM g{n}
+  UNION ALL SELECT id, unnest(cg) AS gram, 0 AS r, 1 AS c FROM g{n}
+  UNION ALL SELECT id, NULL AS gram, 0 AS r, 0 AS c FROM g{n}),
+per_gram{n} AS (SELECT id, gram, sum(r) AS r, sum(c) AS c FROM gx{n} GROUP BY id, gram),
+per_pair{n} AS (
   SELECT id, CAST(sum(least(r, c)) AS BIGINT) AS ov, CAST(sum(r) AS BIGINT) AS nr, CAST(sum(c) AS BIGINT) AS nc
-  FROM per_gram GROUP BY id),
-prf AS (SELECT id, ov::DOUBLE / greatest(nc, 1) AS p, ov::DOUBLE / greatest(nr, 1) AS r FROM per_pair)""",
-                     body="""
-SELECT id, round(p, 6) AS precision, round(r, 6) AS recall,
-       round(CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END, 6) AS fmeasure
-FROM prf""")
+  FROM per_gram{n} GROUP BY id),
+rouge{n} AS (SELECT id, ov::DOUBLE / greatest(nc, 1) AS p, ov::DOUBLE / greatest(nr, 1) AS r FROM per_pair{n})"""
+
+
+def last_places(r: str) -> str:
+    """Map of each token of the list ``r`` to the list whose j-th entry is the token's last place up to j (0: none)."""
+    return (f"map_from_entries(list_transform(list_distinct({r}), lambda t: struct_pack(k := t, v := "
+            f"list_transform(range(1, len({r}) + 1), lambda j: coalesce(list_max(list_filter(range(1, j + 1), "
+            f"lambda k: {r}[k] = t)), 0)))))")
+
+
+def lcs_row(row: str, places: str) -> str:
+    """The row of the LCS table after the tokens of ``places`` (their last places): a token at place k of the
+    reference continues what the row holds before k."""
+    return (f"list_reduce({places}, lambda prev, x: list_transform(range(1, len(prev) + 1), lambda j: greatest(prev[j], "
+            f"CASE WHEN x[j] = 0 THEN 0 WHEN x[j] = 1 THEN 1 ELSE prev[x[j] - 1] + 1 END)), {row})")
+
+
+def token_places(t: str, m: str) -> str:
+    return f"list_transform(list_filter({t}, lambda t: map_contains({m}, t)), lambda t: {m}[t])"
+
+
+ROUGE_L = f"""
+places AS MATERIALIZED (SELECT *, {last_places('rt')} AS l FROM pairs),
+lcs AS (
+  SELECT id, len(rt) AS nr, len(ct) AS nc,
+         coalesce({lcs_row("list_transform(range(0, len(rt)), lambda i: 0::BIGINT)", token_places('ct', 'l'))}[len(rt)], 0) AS ov
+  FROM places),
+rougel AS (SELECT id, CASE WHEN nc > 0 THEN ov::DOUBLE / nc ELSE 0.0 END AS p,
+                  CASE WHEN nr > 0 THEN ov::DOUBLE / nr ELSE 0.0 END AS r FROM lcs)"""
+
+
+def rouge_sql(name: str, blocks: str) -> str:
+    return with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, PAIRS, blocks, body=f"""
+SELECT id, round(p, 6) AS precision, round(r, 6) AS recall, round({f_measure('p', 'r')}, 6) AS fmeasure FROM {name}""")
+
+
+def _oracle_round(k: int) -> str:
+    """State of each article after round k, from that after round k - 1."""
+    f = f_measure("p", "r")
+    row = lcs_row("s.row", "c.xs")
+    return f"""
+try{k} AS MATERIALIZED (
+  SELECT *, CASE WHEN n > 0 AND m > 0 THEN coalesce(row[m], 0)::DOUBLE / n ELSE 0.0 END AS p,
+         CASE WHEN n > 0 AND m > 0 THEN coalesce(row[m], 0)::DOUBLE / m ELSE 0.0 END AS r
+  FROM (SELECT c.id, c.sent_index, s.m, s.n + c.n AS n, {row} AS row, s.f AS before, s.chosen
+        FROM cand c JOIN state{k - 1} s ON c.id = s.id WHERE NOT list_contains(s.chosen, c.sent_index))),
+best{k} AS (
+  SELECT * FROM (SELECT *, {f} AS f, row_number() OVER (PARTITION BY id ORDER BY {f} DESC, sent_index) AS place FROM try{k})
+  WHERE place = 1 AND f > before),
+state{k} AS MATERIALIZED (
+  SELECT s.id, s.m, coalesce(b.row, s.row) AS row, coalesce(b.n, s.n) AS n, coalesce(b.f, s.f) AS f,
+         CASE WHEN b.id IS NULL THEN s.chosen ELSE list_append(s.chosen, b.sent_index) END AS chosen
+  FROM state{k - 1} s LEFT JOIN best{k} b ON s.id = b.id)"""
+
+
+ORACLE = f"""
+refs AS (SELECT id, {rouge_tokens('highlights')} AS r FROM sents2),
+places AS MATERIALIZED (SELECT id, r, {last_places('r')} AS l FROM refs),
+ctoks AS (SELECT article_id AS id, sent_index, {rouge_tokens('sentence')} AS t FROM flat),
+cand AS MATERIALIZED (
+  SELECT c.id, c.sent_index, len(c.t) AS n, {token_places('c.t', 'l')} AS xs FROM ctoks c JOIN places p ON c.id = p.id),
+state0 AS (
+  SELECT id, len(r) AS m, list_transform(range(0, len(r)), lambda i: 0::BIGINT) AS row, 0::BIGINT AS n, 0.0::DOUBLE AS f,
+         []::BIGINT[] AS chosen
+  FROM places),""" + ",".join(_oracle_round(k) for k in range(1, K + 1)) + f""",
+labeled AS (
+  SELECT s.split, s.id, s.pos, s.sentences, s.highlights, o.chosen,
+         list_transform(range(len(s.sentences)), lambda i: CASE WHEN list_contains(o.chosen, i) THEN 1 ELSE 0 END) AS labels
+  FROM sents2 s JOIN state{K} o ON s.id = o.id)"""
+
+LEAD = """
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+labeled AS (
+  SELECT s.split, s.id, s.pos, s.sentences,
+         list_transform(range(len(s.sentences)), lambda i: CASE WHEN g.doc_id IS NOT NULL AND i < 3 THEN 1 ELSE 0 END) AS labels
+  FROM sents2 s LEFT JOIN good g ON s.pos = g.doc_id)"""
+
+FLATTENED = """
+offs AS (
+  SELECT id, coalesce(sum(len(sentences)) OVER (PARTITION BY split ORDER BY pos
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+  FROM labeled),
+flattened AS (
+  SELECT l.split, CAST(o.off + i AS VARCHAR) AS id, l.sentences[i + 1] AS sentence, CAST(l.labels[i + 1] AS BIGINT) AS label,
+         l.id AS article_id, CAST(i AS BIGINT) AS sent_index
+  FROM (SELECT *, unnest(range(len(sentences))) AS i FROM labeled) l JOIN offs o ON l.id = o.id)"""
 
 
 def with_ctes(*blocks: str, body: str) -> str:
@@ -201,14 +298,66 @@ SELECT split, id, array_to_string({rouge_tokens('highlights')}, ' ') AS tokens,
        CAST(len({rouge_tokens('highlights')}) AS BIGINT) AS n_tokens
 FROM articles""")
 
-    t["rouge1"] = rouge_n_sql(1)
-    t["rouge2"] = rouge_n_sql(2)
-
-    t["flatten_ordinals"] = with_ctes(ARTICLES, body="""
-, offs AS (
+    t["rouge1"] = rouge_sql("rouge1", rouge_n_ctes(1))
+    t["rouge2"] = rouge_sql("rouge2", rouge_n_ctes(2))
+    t["rougeL"] = rouge_sql("rougel", ROUGE_L)
+    means = " UNION ALL ".join(
+        f"SELECT '{name}' AS metric, count(*) AS n_scored, round(avg({f_measure('x.p', 'x.r')}), 6) AS mean_f "
+        f"FROM {cte} x JOIN pairs USING (id) WHERE split = 'test'"
+        for name, cte in (("rouge1", "rouge1"), ("rouge2", "rouge2"), ("rougeL", "rougel")))
+    t["evaluate_rouge"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, PAIRS, rouge_n_ctes(1), rouge_n_ctes(2), ROUGE_L,
+                                    body=means)
+
+    listed = "array_to_string({}, ',')"
+    t["oracle_labels"] = with_ctes(ARTICLES, ORACLE, body=f"""
+SELECT split, id, CAST(len(sentences) AS BIGINT) AS n_sentences, {listed.format('labels')} AS labels,
+       {listed.format('chosen')} AS chosen FROM labeled""")
+    everything = "SELECT split, id, sentence, label, article_id, sent_index FROM flattened"
+    t["flatten_sentences"] = with_ctes(ARTICLES, ORACLE, FLATTENED, body=everything)
+    t["labeled_roundtrip"] = t["flatten_sentences"]
+    t["read_labeled_strict"] = with_ctes(ARTICLES, LEAD, FLATTENED, body=everything)
+    t["flat_roundtrip"] = t["read_labeled_strict"]
+    t["read_sentences"] = with_ctes(ARTICLES, body="SELECT sentence, count(*) AS n FROM flat GROUP BY sentence")
+    t["regroup_articles"] = with_ctes(ARTICLES, LEAD, body=f"""
+SELECT split, id, CAST(len(sentences) AS BIGINT) AS n_sentences, array_to_string(sentences, '|') AS sentences,
+       {listed.format('labels')} AS labels FROM labeled""")
+    t["vocab_store"] = with_ctes(ARTICLES, VOCAB, ENCODE, body="""
+SELECT split, article_id, CAST(sent_index AS BIGINT) AS sent_index, array_to_string(x, ',') AS x FROM enc""")
+    t["encoded_store"] = with_ctes(ARTICLES, VOCAB, ENCODE, LEAD, body="""
+SELECT e.split, e.article_id, CAST(e.sent_index AS BIGINT) AS sent_index, array_to_string(e.x, ',') AS x,
+       CAST(l.labels[e.sent_index + 1] AS BIGINT) AS y
+FROM enc e JOIN labeled l ON e.article_id = l.id WHERE e.split = 'validation'""")
+    t["cap_sentences"] = with_ctes(ARTICLES, body=f"""
+SELECT split, article_id, CAST(sent_index AS BIGINT) AS sent_index, sentence FROM flat WHERE sent_index < {CAP}""")
+    t["first_train_sentences"] = with_ctes(ARTICLES, body="""
+SELECT article_id, CAST(sent_index AS BIGINT) AS sent_index, sentence FROM flat WHERE split = 'train'
+ORDER BY pos, sent_index LIMIT 500""")
+    quality = """
+y AS (SELECT doc_id, max(quality) AS y FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+scored_y AS (
+  SELECT s.split, s.score, y.y FROM scored s JOIN sents2 a ON s.article_id = a.id JOIN y ON a.pos = y.doc_id)"""
+    clipped = "least(greatest(score, 1e-7), 1 - 1e-7)"
+    t["bce_loss"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, quality, body=f"""
+SELECT split, count(*) AS n, round(avg(-(y * ln({clipped}) + (1 - y) * ln(1 - {clipped}))), 6) AS bce
+FROM scored_y GROUP BY split""")
+    t["accuracy"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, quality, body="""
+SELECT split, count(*) AS n, round(avg(CASE WHEN (score > 0.5) = (y = 1) THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM scored_y GROUP BY split""")
+    t["read_dirty_articles"] = with_ctes(ARTICLES, body="""
+SELECT split, CASE pos % 8 WHEN 1 THEN 'fallback' WHEN 2 THEN NULL ELSE id END AS id, article, highlights
+FROM articles WHERE pos % 8 NOT IN (0, 3, 4)""")
+    t["read_dirty_labeled"] = """
+SELECT CASE doc_id % 4 WHEN 1 THEN CAST(doc_id AS VARCHAR) WHEN 2 THEN '' ELSE NULL END AS article_id,
+       CAST(i AS BIGINT) AS sent_index, CASE i WHEN 0 THEN 'a' || CAST(doc_id AS VARCHAR) WHEN 1 THEN 'b' ELSE 'c' END AS sentence,
+       CAST(CASE WHEN doc_id % 4 = 1 THEN CASE WHEN i < 2 THEN 1 ELSE 0 END
+                 WHEN doc_id % 4 = 2 THEN CASE WHEN i = 1 THEN 1 ELSE 0 END ELSE 0 END AS BIGINT) AS label
+FROM documents, (SELECT unnest(range(3)) AS i) WHERE doc_id % 4 <> 0"""
+
+    t["flatten_ordinals"] = with_ctes(ARTICLES, """
+offs AS (
   SELECT id, coalesce(sum(len(sentences)) OVER (PARTITION BY split ORDER BY pos
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
-  FROM sents2)
+  FROM sents2)""", body="""
 SELECT f.split, CAST(o.off + f.sent_index AS VARCHAR) AS id, f.article_id, CAST(f.sent_index AS BIGINT) AS sent_index,
        f.sentence, CAST(0 AS BIGINT) AS label
 FROM flat f JOIN offs o ON f.article_id = o.id""")
@@ -236,6 +385,12 @@ SELECT 'embedding' AS tensor, round(mn, 6) AS min, round(mx, 6) AS max, round(sc
        CAST(zp AS BIGINT) AS zero_point FROM cal2""")
     t["quantize"] = with_ctes(emb, body="SELECT vec_id, dim, q FROM dq")
     t["dequantize"] = with_ctes(emb, body="SELECT vec_id, dim, round(xd, 6) AS value FROM dq")
+    t["quantize_weights"] = """
+WITH ev AS (SELECT vec_id, CAST(unnest(range(len(embedding))) AS BIGINT) AS dim, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+top AS (SELECT dim, max(abs(x)) AS top FROM ev GROUP BY dim),
+sc AS (SELECT dim, CASE WHEN top > 0 THEN top / 127.0 ELSE 1.0 END AS scale FROM top)
+SELECT vec_id, ev.dim, round(scale, 9) AS scale, CAST(greatest(least(round_even(x / scale, 0), 127.0), -128.0) AS BIGINT) AS q
+FROM ev JOIN sc ON ev.dim = sc.dim"""
     t["quantization_drift"] = with_ctes(emb, body="""
 SELECT CAST(count(*) AS BIGINT) AS n, round(avg(power(x - xd, 2)), 9) AS mse, round(corr(x, xd), 6) AS pearson,
        round(max(abs(x - xd)), 6) AS max_abs_err FROM dq""")
@@ -251,10 +406,13 @@ LIMIT 500""")
 
     t["summarize_stream"] = t["summarize_articles"]
     t["summarize_text_files"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, body="""
-SELECT id, n_sentences, selected_indices, summary FROM summ""")
+SELECT id, n_sentences, selected_indices, summary, true AS timed FROM summ""")
 
-    t["limit_per_split"] = with_ctes(ARTICLES, body="""
+    ranked = """
 SELECT split, id, pos, rank FROM (
   SELECT split, id, pos, CAST(row_number() OVER (PARTITION BY split ORDER BY pos) AS BIGINT) AS rank
-  FROM articles) WHERE rank <= 20""")
+  FROM articles)"""
+    t["limit_per_split"] = with_ctes(ARTICLES, body=f"{ranked} WHERE rank <= 20")
+    t["limit_per_split_2000"] = with_ctes(ARTICLES, body=f"{ranked} WHERE rank <= 2000")
+    t["limit_per_split_none"] = with_ctes(ARTICLES, body=ranked)
     return t
