@@ -218,7 +218,7 @@ def identify(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
-def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def accepted(docs: DataFrame, least: float = 0.4) -> DataFrame:
     """The documents whose language is known with a score of at least ``least``, with all their columns."""
     net = train(docs.where(learnable()))
     p = predicted(docs, net)
