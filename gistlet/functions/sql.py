@@ -35,7 +35,7 @@ def _definitions() -> dict:
     ws = sql_lit(C.PY_WHITESPACE)
     sent_re = sql_lit(C.SENTENCE_END + C.WS_CLASS + "+")
     guarded = (f"regexp_replace(regexp_replace(trim(BOTH {ws} FROM translate(s, concat(chr(1), chr(2)), '')), "
-               f"{sql_lit(CONTINUES)}, concat('$1$2', chr(2), '$3')), {sql_lit(NEVER_ENDS)}, concat('$1$2', chr(2)))")
+               f"{sql_lit(CONTINUES)}, concat('$1$2', chr(2))), {sql_lit(NEVER_ENDS)}, concat('$1$2', chr(2)))")
     std = f"translate(s, {sql_lit(C.UPPER_ASCII + C.PUNCT_CHARS)}, {sql_lit(C.LOWER_ASCII)})"
     tokens = (f"array_remove(split(translate({std}, {sql_lit(C.ASCII_WS_CHARS)}, "
               f"{sql_lit(' ' * len(C.ASCII_WS_CHARS))}), ' '), '')")

@@ -18,7 +18,7 @@ from gistlet import config as C
 
 _SEP, _DOT = "\u0001", "\u0002"
 _BEFORE = r"(^|[^\p{L}\p{N}.])"
-CONTINUES = (_BEFORE + r"((?:\p{L}\.)+\p{L}|" + "|".join(C.ABBREVIATIONS) + r")\.(" + C.WS_CLASS + r"+[\p{Ll}\p{N}])")
+CONTINUES = (_BEFORE + r"((?:\p{L}\.)+\p{L}|" + "|".join(C.ABBREVIATIONS) + r")\.(?=" + C.WS_CLASS + r"+[\p{Ll}\p{N}])")
 NEVER_ENDS = _BEFORE + "(" + "|".join(C.TITLES) + r"|\p{Lu})\."
 
 
@@ -38,7 +38,13 @@ def default_strip(c) -> Column:
 
 def sentence_text(c) -> Column:
     """Text that the split works on: stripped, without the two marker characters."""
-    return py_strip(F.translate(_col(c), _SEP + _DOT, ""))
+    # replace() searches for one character; translate() would look up every one
+    return py_strip(F.replace(F.replace(_col(c), F.lit(_SEP), F.lit("")), F.lit(_DOT), F.lit("")))
+
+
+def has_sentence(c) -> Column:
+    """Whether any character is left besides white space and the markers; looks at the ends only."""
+    return F.length(F.trim(_col(c), F.lit(C.PY_WHITESPACE + _SEP + _DOT))) > 0
 
 
 def split_sentences(c, max_sentences: int | None = None) -> Column:
@@ -51,10 +57,10 @@ def split_sentences(c, max_sentences: int | None = None) -> Column:
     # On stripped text every piece starts and ends with a non-space character (a
     # boundary swallows the whole whitespace run), so only an empty text yields a
     # blank piece: array_remove replaces a per-piece lambda.
-    guarded = F.regexp_replace(sentence_text(c), CONTINUES, "$1$2" + _DOT + "$3")
+    guarded = F.regexp_replace(sentence_text(c), CONTINUES, "$1$2" + _DOT)
     guarded = F.regexp_replace(guarded, NEVER_ENDS, "$1$2" + _DOT)
     marked = F.regexp_replace(guarded, C.SENTENCE_END + C.WS_CLASS + "+", "$1" + _SEP)
-    parts = F.array_remove(F.split(F.translate(marked, _DOT, "."), _SEP), "")
+    parts = F.array_remove(F.split(F.replace(marked, F.lit(_DOT), F.lit(".")), _SEP), "")
     if max_sentences:
         parts = F.slice(parts, 1, int(max_sentences))
     return parts
@@ -68,7 +74,9 @@ def standardize(c) -> Column:
 
 def text_tokens(c) -> Column:
     """Standardize and split on ASCII whitespace, dropping empty tokens."""
-    spaced = F.translate(standardize(c), C.ASCII_WS_CHARS, " " * len(C.ASCII_WS_CHARS))
+    # standardize() and white space to spaces in one pass
+    spaced = F.translate(_col(c), C.UPPER_ASCII + C.ASCII_WS_CHARS + C.PUNCT_CHARS,
+                         C.LOWER_ASCII + " " * len(C.ASCII_WS_CHARS))
     return F.array_remove(F.split(spaced, " "), "")
 
 

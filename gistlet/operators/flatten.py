@@ -16,16 +16,14 @@ from pyspark.sql import functions as F
 
 from gistlet import config as C
 from gistlet.functions.rows import posexplode_rows
-from gistlet.functions.text import sentence_text, split_sentences
+from gistlet.functions.text import has_sentence, split_sentences
 from gistlet.session import new_work_path
 
 def with_sentences(articles: DataFrame, max_sentences: int | None = None,
                    text_col: str = "article") -> DataFrame:
     """Add ``sentences`` (of an optional cap) and drop articles with none."""
-    # "has a sentence" <=> some non-whitespace character besides the markers;
-    # tested on the text so the split itself is not evaluated twice.
-    has_text = F.length(sentence_text(text_col)) > 0
-    return (articles.where(has_text)
+    # tested on the text, so the split itself is not evaluated twice
+    return (articles.where(has_sentence(text_col))
             .withColumn("sentences", split_sentences(F.col(text_col), max_sentences)))
 
 

@@ -52,7 +52,9 @@ def rouge_tokens(e: str) -> str:
 
 def sentences(e: str) -> str:
     text = strip(f"replace(replace({e}, chr(1), ''), chr(2), '')")
-    hidden = f"regexp_replace({text}, {CONTINUES_RE}, '\\1\\2' || chr(2) || '\\3', 'g')"
+    hidden = text
+    for _ in range(2):      # a match takes the letter after it along, which may begin the next one
+        hidden = f"regexp_replace({hidden}, {CONTINUES_RE}, '\\1\\2' || chr(2) || '\\3', 'g')"
     hidden = f"regexp_replace({hidden}, {NEVER_RE}, '\\1\\2' || chr(2), 'g')"
     marked = f"replace(regexp_replace({hidden}, {SENT_RE}, '\\1' || chr(1), 'g'), chr(2), '.')"
     return f"list_filter(string_split({marked}, chr(1)), lambda s: {strip('s')} <> '')"
