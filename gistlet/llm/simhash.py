@@ -284,10 +284,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if not seen[0]:
             break
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        # what a step joins with is written, so that both sides of the join are dealt out anew and a hub's edges can be split
+        low = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "low")
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.where("a <> b").distinct(), "large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))))
         now = written(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "small")
