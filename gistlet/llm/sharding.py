@@ -23,6 +23,7 @@ from pyspark.sql import Window
 from gistlet.llm.common import mix, written
 
 BUCKETS = 4096
+COPIES = 1 << 12        # of one row that are numbered at once
 ROUNDS = 8
 KEY = 0x5DEECE66D1234567
 
@@ -67,9 +68,12 @@ def numbered(rows: DataFrame, *key: str) -> tuple[DataFrame, int]:
     before = Window.partitionBy("bucket").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
     placed = entries.withColumn("before", F.coalesce(F.sum("copies").over(before), F.lit(0)))
     placed = placed.join(F.broadcast(starts), "bucket")
-    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
-    out = placed.select(*key, "base", "before", copy)
-    return out.select(*key, (F.col("base") + F.col("before") + F.col("copy")).alias("number")), total
+    # the copies in two steps, so that no array grows with them
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))).alias("block")
+    out = placed.select(*key, "copies", (F.col("base") + F.col("before")).alias("at"), block)
+    last = F.least(F.col("copies"), F.col("block") + COPIES) - 1
+    out = out.select(*key, "at", F.explode(F.sequence("block", last)).alias("copy"))
+    return out.select(*key, (F.col("at") + F.col("copy")).alias("number")), total
 
 
 def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", key: int = KEY) -> DataFrame:

@@ -155,7 +155,7 @@ def test_shards(spark):
     assert check_shards(docs, 24) == check_shards(docs.repartition(9, "source"), 24)
     check_shards(odd_docs(spark), 24)
     check_shards(odd_docs(spark), 5)
-    copies = spark.createDataFrame([(7, "same")] * 500 + [(i, "x") for i in range(9)], "doc_id long, text string")
+    copies = spark.createDataFrame([(7, "same")] * (2 * sharding.COPIES + 500) + [(i, "x") for i in range(9)], "doc_id long, text string")
     check_shards(copies, 24)
     assert sharding.shard(no_docs(spark)).count() == 0
 
