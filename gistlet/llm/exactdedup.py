@@ -4,10 +4,11 @@ A text, each run of white space made one space, is cut into chunks of ``CHUNK``
 chunk's hash is sum(byte_i * B^i) modulo a prime, for two primes; all chunks of a batch
 are hashed side by side, a block of bounded size at a time however long a document is, and
 hashes of neighbouring chunks combine by hash(a + b) = hash(a) + B^len(a) * hash(b).
-Documents with equal fingerprints (both hashes and the length) are then compared: their chunks meet by (fingerprint, chunk number), and every chunk must have its
-smallest value equal to its largest; partial aggregation leaves one smallest and one
-largest chunk per task, however many copies there are. A fingerprint whose texts differ is
-divided by the SHA-256 that each row carries.
+Documents with equal fingerprints (both hashes and the length) are then compared: their
+chunks meet by (fingerprint, chunk number), and every chunk must have its smallest value
+equal to its largest; partial aggregation leaves one smallest and one largest chunk per
+task, however many copies there are. A fingerprint whose texts differ is divided by the
+SHA-256 that each row carries.
 
 Null counts as empty; empty texts are equal to each other. Rows that repeat a doc_id and
 text are copies of each other and all of them kept or dropped as ``doc_id = keep_id`` says.
