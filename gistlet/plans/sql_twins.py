@@ -9,6 +9,8 @@ constant on one side does not agree with itself.
 
 from __future__ import annotations
 
+from gistlet.plans.stem_twin import stem_ctes
+
 VOCAB_TOKENS = 2000       # vocabulary size used by the registered queries
 SEQ = 32                  # token ids per sentence
 CAP = 50                  # of the optional cap on sentences
@@ -142,8 +144,12 @@ def f_measure(p: str, r: str) -> str:
     return f"CASE WHEN {p} + {r} > 0 THEN 2.0 * {p} * {r} / ({p} + {r}) ELSE 0.0 END"
 
 
-PAIRS = f"""
-pairs AS MATERIALIZED (SELECT split, id, {rouge_tokens('highlights')} AS rt, {rouge_tokens('summary')} AS ct FROM summ)"""
+def pairs_of(name: str) -> str:
+    return f"""
+{name} AS MATERIALIZED (SELECT split, id, {rouge_tokens('highlights')} AS rt, {rouge_tokens('summary')} AS ct FROM summ)"""
+
+
+PAIRS = pairs_of("pairs")
 
 
 def rouge_n_ctes(n: int) -> str:
@@ -214,10 +220,31 @@ state{k} AS MATERIALIZED (
   FROM state{k - 1} s LEFT JOIN best{k} b ON s.id = b.id)"""
 
 
-ORACLE = f"""
-refs AS (SELECT id, {rouge_tokens('highlights')} AS r FROM sents2),
+def stemmed(name: str, source: str, keys: str, col: str) -> str:
+    """``source`` with the tokens of its list ``col`` stemmed (``stems`` holds those of over three characters)."""
+    return f"""
+{name}_x AS (SELECT {keys}, unnest({col}) AS token, unnest(range(len({col}))) AS p FROM {source}),
+{name}_s AS (
+  SELECT {keys}, list(coalesce(stem, x.token) ORDER BY p) AS stemmed FROM {name}_x x LEFT JOIN stems s ON x.token = s.token
+  GROUP BY {keys}),
+{name} AS MATERIALIZED (
+  SELECT o.* EXCLUDE ({col}), coalesce(stemmed, []::VARCHAR[]) AS {col} FROM {source} o LEFT JOIN {name}_s USING ({keys}))"""
+
+
+def stems_of(*lists: tuple[str, str]) -> str:
+    """``stems`` for the tokens of the list columns given as (table, column)."""
+    every = " UNION ALL ".join(f"SELECT unnest({col}) AS token FROM {t}" for t, col in lists)
+    return stem_ctes(f"SELECT DISTINCT token FROM ({every}) WHERE length(token) > 3")
+
+
+def oracle_tokens(end: str = "") -> str:
+    return f"""
+refs{end} AS (SELECT id, {rouge_tokens('highlights')} AS r FROM sents2),
+ctoks{end} AS (SELECT article_id AS id, sent_index, {rouge_tokens('sentence')} AS t FROM flat)"""
+
+
+ORACLE_ROUNDS = f"""
 places AS MATERIALIZED (SELECT id, r, {last_places('r')} AS l FROM refs),
-ctoks AS (SELECT article_id AS id, sent_index, {rouge_tokens('sentence')} AS t FROM flat),
 cand AS MATERIALIZED (
   SELECT c.id, c.sent_index, len(c.t) AS n, {token_places('c.t', 'l')} AS xs FROM ctoks c JOIN places p ON c.id = p.id),
 state0 AS (
@@ -228,6 +255,10 @@ labeled AS (
   SELECT s.split, s.id, s.pos, s.sentences, s.highlights, o.chosen,
          list_transform(range(len(s.sentences)), lambda i: CASE WHEN list_contains(o.chosen, i) THEN 1 ELSE 0 END) AS labels
   FROM sents2 s JOIN state{K} o ON s.id = o.id)"""
+ORACLE = oracle_tokens() + "," + ORACLE_ROUNDS
+ORACLE_STEMMED = ",".join([
+    oracle_tokens("0"), stems_of(("refs0", "r"), ("ctoks0", "t")), stemmed("refs", "refs0", "id", "r"),
+    stemmed("ctoks", "ctoks0", "id, sent_index", "t"), ORACLE_ROUNDS])
 
 LEAD = """
 good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
@@ -310,8 +341,18 @@ FROM articles""")
     t["evaluate_rouge"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, PAIRS, rouge_n_ctes(1), rouge_n_ctes(2), ROUGE_L,
                                     body=means)
 
+    stemmed_pairs = ",".join([pairs_of("pairs0"), stems_of(("pairs0", "rt"), ("pairs0", "ct")),
+                              stemmed("pairs1", "pairs0", "id", "rt"), stemmed("pairs", "pairs1", "id", "ct")])
+    t["evaluate_rouge_stemmed"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, stemmed_pairs, rouge_n_ctes(1),
+                                            rouge_n_ctes(2), ROUGE_L, body=means)
+    t["porter_stem"] = with_ctes(ARTICLES, f"""
+said0 AS (SELECT split, id, {rouge_tokens('highlights')} AS t FROM articles)""", stems_of(("said0", "t")),
+                                 stemmed("said", "said0", "id", "t"), body="""
+SELECT split, id, array_to_string(t, ' ') AS stems, CAST(len(t) AS BIGINT) AS n_tokens FROM said""")
+
     listed = "array_to_string({}, ',')"
-    t["oracle_labels"] = with_ctes(ARTICLES, ORACLE, body=f"""
+    for key, block in (("oracle_labels", ORACLE), ("oracle_labels_stemmed", ORACLE_STEMMED)):
+        t[key] = with_ctes(ARTICLES, block, body=f"""
 SELECT split, id, CAST(len(sentences) AS BIGINT) AS n_sentences, {listed.format('labels')} AS labels,
        {listed.format('chosen')} AS chosen FROM labeled""")
     everything = "SELECT split, id, sentence, label, article_id, sent_index FROM flattened"
