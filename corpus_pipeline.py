@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes every stage's
 rows to the shared folder and reads them again for the next. All stages but the last keep the
-columns of ``documents``; the last returns the packed pieces.
+columns of ``documents``; the last returns the packed pieces with their token ids.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents that are left, packed into sequences."""
+    """The pieces of all documents that are left, with their ids, packed into sequences."""
     ship_package(spark)
     return packing.pack(docs, tokenizer_path())
 

@@ -7,8 +7,10 @@ sequences' free places are the leaves of a tournament tree whose inner nodes hol
 child, so that the first fitting leaf is found by one walk from the root. A group is one
 task's work, of bounded size, and its result does not depend on where it runs.
 
-Null and empty texts are the end token alone. Ties of piece length go by doc_id, then start.
-Rows that repeat a doc_id are packed each for itself.
+The ids go with their piece into its sequence: a sequence is its pieces' ids in the order of
+their offsets. Null and empty texts are the end token alone. Ties of piece length go by
+doc_id, then start, then the CRC-32 of the ids. Rows that repeat a doc_id are packed each
+for itself.
 """
 
 from __future__ import annotations
@@ -17,8 +19,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +31,10 @@ GROUP_TOKENS = 1 << 22
 MEMO_TOKENS = 1 << 20       # distinct pre-tokens a worker remembers before it starts anew
 TOKEN_BLOCK = 1 << 18       # pre-tokens looked up at once
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, seed long"
-PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PIECES = "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, seed long"
+PACKED = ("doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, sequence_id long, "
+          "offset long")
+DIGEST = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 # ------------------------------------------------------------------ tokens
@@ -215,9 +219,20 @@ class WordTokenizer:
 _LOADED: dict[str, WordTokenizer] = {}
 
 
+def id_lists(at: np.ndarray, flat: np.ndarray) -> pa.Array:
+    """The ids between each two offsets as one list."""
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32()))
+
+
+def checksums(at: np.ndarray, flat: np.ndarray) -> pa.Array:
+    """CRC-32 of the ids between each two offsets, four little-endian bytes each."""
+    raw = flat.astype("<u4")
+    return pa.array([zlib.crc32(raw[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.int64())
+
+
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pieces of every document with the CRC-32 of their ids, and a keyed random number of the document."""
+    """The pieces of every document with their ids and the ids' CRC-32, and a keyed random number of the piece."""
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,16 +248,13 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END,
                 row = np.repeat(np.arange(len(sizes)), parts)
                 start = (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * length
                 size = np.minimum(length, sizes[row] - start)
-                last = start + size == sizes[row]
-                lo = first[row] + start
-                wide = ids.astype("<u4")
-                tail = np.array([end], "<u4").tobytes()
-                crc = [zlib.crc32(tail, zlib.crc32(wide[a:a + n - 1])) if z else zlib.crc32(wide[a:a + n])
-                       for a, n, z in zip(lo.tolist(), size.tolist(), last.tolist(), strict=True)]
+                # a document's pieces lie end to end, with the end token after its ids
+                flat = np.insert(ids.astype("<i4"), first[1:], end)
+                at = np.append(0, np.cumsum(size))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i).take(pa.array(row)), pa.array(start), pa.array(size),
-                     pa.array(crc, pa.int64()), pa.array(sizes[row])],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                     id_lists(at, flat), checksums(at, flat), pa.array(sizes[row])],
+                    names=["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
     cut = rows.mapInArrow(run, PIECES.rsplit(",", 1)[0])
@@ -302,15 +314,34 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 def pack(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, group_tokens: int = GROUP_TOKENS,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
+    """doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset of every piece; a sequence's pieces in order."""
     cut = written(pieces(docs, path, length, end, id_col, text_col), "pieces")
     tokens = cut.agg(F.sum("length")).first()[0] or 0
     groups = max(1, -(-tokens // group_tokens))
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
-        bins, offset = first_fit_decreasing(rows["length"].to_numpy(), length)
-        return rows.drop(columns=["grp"]).assign(sequence_id=(int(key[0]) << 24) + bins, offset=offset)
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        order = pc.sort_indices(rows, [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"),
+                                       ("ids_crc32", "ascending")]).to_numpy()
+        bins, offset = first_fit_decreasing(rows["length"].to_numpy()[order], length)
+        laid = np.lexsort((offset, bins))
+        out = rows.drop_columns(["grp"]).take(pa.array(order[laid]))
+        out = out.append_column("sequence_id", pa.array((key[0].as_py() << 24) + bins[laid]))
+        return out.append_column("offset", pa.array(offset[laid]))
 
     dealt = cut.withColumn("grp", F.pmod("seed", F.lit(groups))).drop("seed")
-    return dealt.groupBy("grp").applyInPandas(run, PACKED)
+    return dealt.groupBy("grp").applyInArrow(run, PACKED)
+
+
+def digest(packed: DataFrame) -> DataFrame:
+    """``packed`` with the CRC-32 of the ids that each row holds, in place of the ids."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            at = np.append(0, np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False)))
+            crc = checksums(at, ids.flatten().to_numpy())
+            yield pa.RecordBatch.from_arrays([crc if k == "ids_crc32" else batch.column(k) for k in names], names=names)
+
+    names = [c.split()[0] for c in DIGEST.split(", ")]
+    kept = [c for c in names if c != "ids_crc32"]
+    bound_batches(packed.sparkSession)
+    return packed.select(*kept, "ids").mapInArrow(run, DIGEST)

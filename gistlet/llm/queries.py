@@ -33,7 +33,7 @@ def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
 def op4_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
