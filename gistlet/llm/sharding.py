@@ -8,6 +8,9 @@ four; a result of N or more is permuted again until it is below N, which is a pe
 0 .. N - 1. Row p of the shuffled order is in shard p mod S at slot p div S, so shard sizes
 differ by at most one and any row's place can be computed from its number alone.
 
+The documents themselves, with all their columns, are joined to their numbers and dealt out
+in the order of shard and slot.
+
 A null text has no bytes (checksum 0), a null doc_id is numbered first in its bucket, and
 repeated rows take as many places as they are. An empty table has no rows.
 """
@@ -24,6 +27,7 @@ from gistlet.llm.common import mix, written
 
 BUCKETS = 4096
 COPIES = 1 << 12        # of one row that are numbered at once
+RUN = 1 << 9            # slots of a shard that lie in one partition, in order
 ROUNDS = 8
 KEY = 0x5DEECE66D1234567
 
@@ -54,9 +58,12 @@ def permuted(number: Column, n: int, key: int = KEY) -> Column:
     return run(number)
 
 
-def numbered(rows: DataFrame, *key: str) -> tuple[DataFrame, int]:
-    """``rows`` with a global row number ``number`` that depends on the rows alone, and how many there are."""
-    entries = rows.groupBy(*key).agg(F.count("*").alias("copies"))
+def numbered(rows: DataFrame, *key: str, within: str) -> tuple[DataFrame, int]:
+    """The distinct (``key``, ``within``) with their ``copies`` and the first of their numbers, ``at``; how many rows there are.
+
+    The numbers of a key depend on the rows alone, and not on ``within``.
+    """
+    entries = rows.groupBy(*key, within).agg(F.count("*").alias("copies"))
     entries = entries.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int"))
     entries = written(entries, "entries")
     sizes = {r["bucket"]: r["n"] for r in entries.groupBy("bucket").agg(F.sum("copies").alias("n")).collect()}
@@ -65,23 +72,58 @@ def numbered(rows: DataFrame, *key: str) -> tuple[DataFrame, int]:
         base.append((b, total))
         total += sizes.get(b, 0)
     starts = rows.sparkSession.createDataFrame(base, "bucket int, base long")       # BUCKETS rows
-    before = Window.partitionBy("bucket").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("bucket").orderBy(*key, within).rowsBetween(Window.unboundedPreceding, -1)
     placed = entries.withColumn("before", F.coalesce(F.sum("copies").over(before), F.lit(0)))
     placed = placed.join(F.broadcast(starts), "bucket")
-    # the copies in two steps, so that no array grows with them
+    return placed.select(*key, within, "copies", (F.col("base") + F.col("before")).alias("at")), total
+
+
+def each_copy(entries: DataFrame) -> DataFrame:
+    """A row with its ``number`` for each of the ``copies`` from ``at``, in two steps, so that no array grows with them."""
+    columns = [c for c in entries.columns if c not in ("at", "copies")]
     block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))).alias("block")
-    out = placed.select(*key, "copies", (F.col("base") + F.col("before")).alias("at"), block)
+    out = entries.select(*columns, "copies", "at", block)
     last = F.least(F.col("copies"), F.col("block") + COPIES) - 1
-    out = out.select(*key, "at", F.explode(F.sequence("block", last)).alias("copy"))
-    return out.select(*key, (F.col("at") + F.col("copy")).alias("number")), total
+    out = out.select(*columns, "at", F.explode(F.sequence("block", last)).alias("copy"))
+    return out.select(*columns, (F.col("at") + F.col("copy")).alias("number"))
+
+
+def _described(row: Column, id_col: str, text_col: str) -> list[Column]:
+    """doc_id, size and text_crc32 of a document held as a struct."""
+    text = F.coalesce(row[text_col].cast("string"), F.lit(""))
+    return [row[id_col].cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
+            F.crc32(F.encode(text, "UTF-8")).alias("text_crc32")]
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """64-bit hash of all columns of ``row``; which of them are null counts too."""
+    row = F.col("row")
+    plain = [F.to_json(F.struct(row[f.name])) if "map<" in f.dataType.simpleString() else row[f.name]
+             for f in docs.schema["row"].dataType.fields]
+    return F.xxhash64(*[c.isNull() for c in plain], *plain)
+
+
+def shuffled(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", key: int = KEY) -> DataFrame:
+    """number, shard, slot and ``row``, the whole document as a struct, of every row.
+
+    The rows are dealt out by shard and run of ``RUN`` slots, and a partition's rows are in the
+    order of shard and slot. Rows equal in all columns are moved as one and copied at the end.
+    """
+    docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = docs.select("row", *_described(F.col("row"), id_col, text_col), _row_hash(docs).alias("row_hash"))
+    entries, n = numbered(rows.drop("row"), "doc_id", "size", "text_crc32", within="row_hash")
+    # no null in the key of the join: the hash tells a null doc_id from 0
+    entry = [F.coalesce("doc_id", F.lit(0)).alias("entry_id"), "size", "text_crc32", "row_hash"]
+    names = ["entry_id", "size", "text_crc32", "row_hash"]
+    whole = rows.select(*entry, "row").dropDuplicates(names)
+    out = each_copy(whole.join(entries.select(*entry, "copies", "at"), names).select("row", "copies", "at"))
+    out = out.withColumn("place", permuted(F.col("number"), n, key))
+    out = out.select("number", F.pmod("place", F.lit(shards)).cast("int").alias("shard"),
+                     F.floor(F.col("place") / shards).cast("long").alias("slot"), "row")
+    return out.repartition("shard", F.floor(F.col("slot") / RUN)).sortWithinPartitions("shard", "slot")
 
 
 def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", key: int = KEY) -> DataFrame:
-    """doc_id, size, text_crc32, number, shard, slot of every row."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
-                       F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-    out, n = numbered(rows, "doc_id", "size", "text_crc32")
-    place = out.withColumn("place", permuted(F.col("number"), n, key))
-    return place.select("doc_id", "size", "text_crc32", "number", F.pmod("place", F.lit(shards)).cast("int").alias("shard"),
-                        F.floor(F.col("place") / shards).cast("long").alias("slot"))
+    """doc_id, size, text_crc32, number, shard, slot of every document in ``shuffled``, from the text that it holds."""
+    out = shuffled(docs, shards, id_col, text_col, key)
+    return out.select(*_described(F.col("row"), id_col, text_col), "number", "shard", "slot")

@@ -2,12 +2,13 @@
 
 import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from llm_cases import docs_of, odd_docs, plain
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gistlet.llm import packing
+from gistlet.llm import packing, sharding
 from gistlet.llm.queries import op3_first_fit_packing, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -48,3 +49,19 @@ def test_pipeline_ends_in_sequences_of_ids(spark):
     rows = plain(corpus_pipeline.run(spark, SF), "length", "start", "ids", "sequence_id", "offset")
     assert rows and all(len(r[2]) == r[0] for r in rows)
     assert all(len(x) <= packing.LENGTH for x in laid_out(rows).values())
+
+
+def test_shards_hold_the_whole_documents_in_slot_order(spark):
+    copies = spark.createDataFrame([(7, "same", i % 2) for i in range(6000)] + [(None, "same", 1), (0, "same", 1), (0, None, None)],
+                                   "doc_id long, text string, number int").selectExpr("*", "map('k', number) AS tags")
+    for docs in (docs_of(spark, SF), odd_docs(spark), copies):
+        out = sharding.shuffled(docs, 5)
+        assert out.schema["row"].dataType.fieldNames() == docs.columns
+        rows = out.withColumn("part", F.spark_partition_id()).collect()
+        assert Counter(repr(r["row"]) for r in rows) == Counter(repr(r) for r in docs.collect())
+        assert sorted(r["number"] for r in rows) == list(range(len(rows)))
+        by = defaultdict(list)
+        for r in rows:
+            by[r["part"]].append((r["shard"], r["slot"]))
+        assert all(x == sorted(x) for x in by.values())
+        assert sorted(x for p in by.values() for x in p) == sorted((i % 5, i // 5) for i in range(len(rows)))
