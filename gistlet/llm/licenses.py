@@ -3,8 +3,11 @@
 Text and template are aligned on the words that occur once in each of them: of these the
 longest sequence that ascends in both is taken, and the stretches between its words are aligned
 in the same way. Coverage is the share of the template's words that are aligned. A document is
-first narrowed to the stretches that hold enough different words of a template, so that
-the words of a notice are not made common by the rest of the text or by a second copy of it.
+first narrowed to the stretches that hold enough different words of a template, and these to
+windows of bounded reach that hold no word (or, for altered copies, few) more often than the
+template does. Each window is aligned by itself, so that the words of a notice are not made
+common by the rest of the text or by a second copy beside it. A stretch without a find in
+its windows is aligned as a whole.
 
 Words are runs of letters and digits, lower-cased (A-Z). Null and empty texts hold no
 license. Overlapping finds of templates are reduced to the one with more aligned words, then the higher
@@ -133,6 +136,80 @@ def stretches(at: np.ndarray, word: np.ndarray, need: int, reach: int) -> list[t
     return [(a, b) for a, b in found]
 
 
+def windows(words: list[int], limit: dict[int, int], need: int, reach: int, spare: int) -> Iterator[tuple[int, int]]:
+    """The longest ranges of ``words`` within ``reach`` in which at most ``spare`` words go beyond ``limit``.
+
+    Words that are not in ``limit`` are free, and ranges with fewer than ``need`` different words are left out. A range
+    begins and ends with a word of ``limit``. The start that is sent back, if any, is where the next range may begin.
+    """
+    seen: Counter = Counter()
+    over = i = 0
+    floor = 0
+    last = -1                    # end of the range that stands open, if it was not given out yet
+
+    def drop() -> None:
+        nonlocal i, over
+        w = words[i]
+        if w in limit:
+            over -= seen[w] > limit[w]
+            seen[w] -= 1
+            if not seen[w]:
+                del seen[w]
+        i += 1
+
+    j = 0
+    while j <= len(words):
+        w = words[j] if j < len(words) else None
+        if w is not None and w not in limit:
+            j += 1
+            continue
+        full = w is None or j - i >= reach or over + (seen[w] >= limit[w]) > spare
+        if full and last > i and len(seen) >= need:
+            while i < last and words[i] not in limit:
+                i += 1
+            floor = yield i, last
+            last = -1
+            while floor is not None and i < min(floor, j):
+                drop()
+        if w is None:
+            return
+        while i < j and (j - i >= reach or over + (seen[w] >= limit[w]) > spare):
+            drop()
+        over += seen[w] >= limit[w]
+        seen[w] += 1
+        j += 1
+        last = j
+
+
+def aligned(words: list[int], template: list[int], need: int, least: float) -> list[tuple[int, float, int, int]]:
+    """(aligned words, coverage, start, stop) of the finds in a stretch; they may overlap."""
+    limit = Counter(template)
+    out = []
+
+    def align(a: int, b: int) -> tuple[int, float, int, int] | None:
+        pairs = patience(words[a:b], template)
+        share = len(pairs) / len(template)
+        return (len(pairs), share, a + pairs[0][0], a + pairs[-1][0] + 1) if share >= least else None
+
+    for spare in sorted({0, int(len(template) * (1 - least) + 1e-9)}):
+        ranges = windows(words, limit, need, 2 * len(template), spare)
+        found = next(ranges, None)
+        while found:
+            find = align(*found)
+            if find:
+                out.append(find)
+            # an unaltered copy is closed: nothing aligns better, and the next begins after it
+            whole = find and find[0] == len(template) == find[3] - find[2]
+            try:
+                found = ranges.send(find[3] if whole else None)
+            except StopIteration:
+                break
+    if not out:
+        find = align(0, len(words))
+        out = [find] if find else []
+    return sorted(set(out))
+
+
 class Scanner:
     """Templates as numbered words; made in each task."""
 
@@ -186,10 +263,8 @@ class Scanner:
                 m = self.member[t][own]
                 text = {int(p): int(w) for p, w in zip(here[m], own[m], strict=True)}
                 for a, b in stretches(here[m], own[m], self.need[t], 2 * len(template)):
-                    pairs = patience([text.get(p, -1) for p in range(a, b)], template)
-                    share = len(pairs) / len(template)
-                    if share >= self.least:
-                        finds.append((-len(pairs), -share, self.names[t], a + pairs[0][0], a + pairs[-1][0] + 1))
+                    for n_words, share, c, d in aligned([text.get(p, -1) for p in range(a, b)], template, self.need[t], self.least):
+                        finds.append((-n_words, -share, self.names[t], a + c, a + d))
             taken: list[tuple[int, int]] = []
             for _, share, name, a, b in sorted(finds):
                 if all(b <= c or d <= a for c, d in taken):
