@@ -29,8 +29,23 @@ from gistlet.llm.common import ALNUM, LOWER, bound_batches, row_slices, span_has
 
 COVERAGE = 0.8
 
-# The wording of license notices.
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution.")
+
+
+def _gnu(name: str, version: str) -> str:
+    return (f"This program is free software: you can redistribute it and/or modify it under the terms of the {name} as "
+            f"published by the Free Software Foundation, either version {version} of the License, or (at your option) "
+            "any later version.")
+
+
+# The wording of license notices. A name is that of the license, with the wording's kind after it.
 TEMPLATES = {
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-3.0-notice": _gnu("GNU Affero General Public License", "3"),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
@@ -38,14 +53,46 @@ TEMPLATES = {
         "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
         "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
         "CONDITIONS OF ANY KIND, either express or implied."),
+    "Apache-2.0-spdx": "SPDX-License-Identifier: Apache-2.0",
+    "BSD-2-Clause-notice": _BSD,
+    "BSD-2-Clause-spdx": "SPDX-License-Identifier: BSD-2-Clause",
+    "BSD-3-Clause-notice": _BSD + (
+        " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."),
+    "BSD-3-Clause-spdx": "SPDX-License-Identifier: BSD-3-Clause",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-4.0-long": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "CC-BY-ND-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-SA-3.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "CC0-1.0-notice": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work."),
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-notice": _gnu("GNU General Public License", "2"),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."),
+    "ISC-notice": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "LGPL-2.1-notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+        "your option) any later version."),
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0-notice": _gnu("GNU Lesser General Public License", "3") + (
+        " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public "
+        "License for more details."),
     "MIT": "Released under the MIT License.",
+    "MIT-licensed": "Licensed under the MIT License.",
     "MIT-notice": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
@@ -53,6 +100,14 @@ TEMPLATES = {
         "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
         "conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."),
+    "MIT-spdx": "SPDX-License-Identifier: MIT",
+    "MPL-2.0-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "Unlicense-notice": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."),
 }
 
 FOUND = "doc_id long, license string, coverage double, start long, stop long"
@@ -111,8 +166,11 @@ def patience(text: list, template: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def stretches(at: np.ndarray, word: np.ndarray, need: int, reach: int) -> list[tuple[int, int]]:
-    """Disjoint ranges of positions in which ``need`` different template words stand within ``reach``."""
+def stretches(at: np.ndarray, word: np.ndarray, need: int, reach: int) -> list[tuple[int, int, int]]:
+    """Disjoint ranges of positions in which ``need`` different template words stand within ``reach``.
+
+    Of each its first position, the first without words that come again in it, and its end.
+    """
     seen: Counter = Counter()
     found: list[list[int]] = []
     i = 0
@@ -124,16 +182,17 @@ def stretches(at: np.ndarray, word: np.ndarray, need: int, reach: int) -> list[t
                 del seen[word[i]]
             i += 1
         if len(seen) >= need:
+            first = int(at[i])
             # drop what the range does not need at its start, so that it begins at the notice
             while seen[word[i]] > 1:
                 seen[word[i]] -= 1
                 i += 1
             lo, hi = int(at[i]), int(at[j]) + 1
-            if found and lo < found[-1][1]:
-                found[-1][1] = hi
+            if found and lo < found[-1][2]:
+                found[-1][2] = hi
             else:
-                found.append([lo, hi])
-    return [(a, b) for a, b in found]
+                found.append([max(first, found[-1][2] if found else 0), lo, hi])
+    return [(a, b, c) for a, b, c in found]
 
 
 def windows(words: list[int], limit: dict[int, int], need: int, reach: int, spare: int) -> Iterator[tuple[int, int]]:
@@ -181,8 +240,8 @@ def windows(words: list[int], limit: dict[int, int], need: int, reach: int, spar
         last = j
 
 
-def aligned(words: list[int], template: list[int], need: int, least: float) -> list[tuple[int, float, int, int]]:
-    """(aligned words, coverage, start, stop) of the finds in a stretch; they may overlap."""
+def aligned(words: list[int], lead: int, template: list[int], need: int, least: float) -> list[tuple[int, float, int, int]]:
+    """(aligned words, coverage, start, stop) of the finds in a stretch, which may overlap; ``lead`` words may be left out."""
     limit = Counter(template)
     out = []
 
@@ -205,7 +264,7 @@ def aligned(words: list[int], template: list[int], need: int, least: float) -> l
             except StopIteration:
                 break
     if not out:
-        find = align(0, len(words))
+        find = align(lead, len(words))
         out = [find] if find else []
     return sorted(set(out))
 
@@ -262,8 +321,9 @@ class Scanner:
                 template = self.templates[t]
                 m = self.member[t][own]
                 text = {int(p): int(w) for p, w in zip(here[m], own[m], strict=True)}
-                for a, b in stretches(here[m], own[m], self.need[t], 2 * len(template)):
-                    for n_words, share, c, d in aligned([text.get(p, -1) for p in range(a, b)], template, self.need[t], self.least):
+                for a, lo, b in stretches(here[m], own[m], self.need[t], 2 * len(template)):
+                    words = [text.get(p, -1) for p in range(a, b)]
+                    for n_words, share, c, d in aligned(words, lo - a, template, self.need[t], self.least):
                         finds.append((-n_words, -share, self.names[t], a + c, a + d))
             taken: list[tuple[int, int]] = []
             for _, share, name, a, b in sorted(finds):
