@@ -176,17 +176,23 @@ def in_filter(words: np.ndarray, h: np.ndarray, bits: int = FILTER_BITS) -> np.n
 
 # ------------------------------------------------------------------ bounded samples
 
-def bounded_sample(rows: DataFrame, label: str, per_label: int, *key: str) -> DataFrame:
+def bounded_sample(rows: DataFrame, label: str, per_label: int, *key: str, distinct: bool = False) -> DataFrame:
     """At most ``per_label`` rows of each value of ``label``: those with the smallest hash of ``key``.
 
     A count by label gives the share of rows that the hash lets through, about twice what is
-    needed, so that the ranking sees a bounded number of rows however many there are.
+    needed, so that the ranking sees a bounded number of rows however many there are. With
+    ``distinct``, rows that are equal in label and key count, and are taken, as one.
     """
-    counts = {r[0]: r[1] for r in rows.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
+    known = rows.where(F.col(label).isNotNull())
+    if distinct:
+        known = known.select(label, F.xxhash64(F.lit("sample"), *key).alias("_u")).distinct()
+    counts = {r[0]: r[1] for r in known.groupBy(label).count().collect()}
     if not counts:
         return rows.where(F.lit(False))
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, float(2 * per_label + 200) / n)])
     hashed = rows.where(F.col(label).isNotNull()).withColumn("_u", F.xxhash64(F.lit("sample"), *key))
     chosen = hashed.where(F.shiftrightunsigned("_u", 11) / F.lit(float(1 << 53)) < share[F.col(label)])
+    if distinct:
+        chosen = chosen.dropDuplicates([label, "_u", *key])
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_u", *key))
     return chosen.withColumn("_k", rank).where(F.col("_k") <= per_label).drop("_u", "_k")

@@ -5,8 +5,8 @@ its maximum over the window, then softmax over the languages of the training row
 filters are trained in NumPy by Adam on windows of labelled texts. A prediction runs the
 network over every window of the whole text and averages the windows' probabilities.
 
-The training sample is bounded: at most ``per_language`` texts of each language, those with
-the smallest keyed hash, and ``windows`` windows of each. What is trained on depends on the
+The training sample is bounded: at most ``per_language`` distinct texts of each language, those
+with the smallest keyed hash, and ``windows`` windows of each. What is trained on depends on the
 rows alone, not on their order. A text that is null or has no letter is ``und`` with score
 0, as is every text when no row can be learned from. Only the text is an input.
 """
@@ -153,7 +153,7 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, windows: int = WIN
     """lang, window: a bounded sample of training windows, the same for the same rows in any order."""
     rows = (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
             .where(F.col("lang").isNotNull() & F.col("t").rlike("\\p{L}")))
-    rows = bounded_sample(rows, "lang", per_language, "t")
+    rows = bounded_sample(rows, "lang", per_language, "t", distinct=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
