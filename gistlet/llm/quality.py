@@ -4,11 +4,12 @@ A document's strength is a linear function of features of its whole text: shares
 values, and how words and lines repeat, how long they are and how they are cased. It is learned
 from preference pairs (a document of label 1 over one of label 0): the probability that the
 first wins is the logistic function of the difference of strengths, so the loss is logistic
-on differences of features. The threshold is the quantile of the training strengths at the
-share of label 0, and ``score`` is the logistic function of the distance from it.
+on differences of features. The threshold is the quantile, at the share of label 0, of the
+strengths of all documents whose labels may be learned from, and ``score`` is the logistic
+function of the distance from it.
 
-Training takes at most ``PER_LABEL`` labelled documents of each label, those with the
-smallest keyed hash, and ``PAIRS`` pairs of them. With one label or none every score is 0.5.
+The fit takes at most ``PER_LABEL`` labelled documents of each label, those with the smallest
+keyed hash, and ``PAIRS`` pairs of them; the threshold leaves none out. With one label or none every score is 0.5.
 Null and empty texts have all features zero. Repeated rows are scored each for itself.
 """
 
@@ -22,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gistlet.llm.common import (SPACES, bound_batches, bounded_sample, row_slices, span_hashes, text_bytes, word_spans)
+from gistlet.llm.common import (SPACES, bound_batches, bounded_sample, row_slices, span_hashes, text_bytes,
+                               word_spans, written)
 
 PER_LABEL, PAIRS, RIDGE = 3000, 30000, 1.0
 EXTRA = 10
+BINS = 4096         # counted in one pass of the search for a quantile
 
 
 def _distinct(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -103,8 +106,11 @@ class BradleyTerry:
         self.threshold = float(s[order[k]] + s[order[k + 1]]) / 2
         self.scale = max(float(s.std()) / 4, 1e-9)
 
+    def strengths(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.std, -5, 5) @ self.weights
+
     def scores(self, x: np.ndarray) -> np.ndarray:
-        s = np.clip((x - self.mean) / self.std, -5, 5) @ self.weights
+        s = self.strengths(x)
         return 1 / (1 + np.exp(-np.clip((s - self.threshold) / self.scale, -30, 30)))
 
 
@@ -138,7 +144,44 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, id_col
     good, bad = x[(got["y"] == 1).to_numpy()], x[(got["y"] == 0).to_numpy()]
     if not len(good) or not len(bad):
         return None
-    return BradleyTerry(good, bad, counts[0] / (counts[0] + counts[1]))
+    model = BradleyTerry(good, bad, counts[0] / (counts[0] + counts[1]))
+    model.threshold = threshold(docs, known, model, id_col, text_col)
+    return model
+
+
+def ranked(values: DataFrame, rank: int) -> float:
+    """The value of the column ``s`` at ``rank`` (from 0) in ascending order, exactly; the driver sees ``BINS`` counts a pass."""
+    lo, hi = values.agg(F.min("s"), F.max("s")).first()
+    while lo < hi:
+        place = F.floor((F.col("s") - F.lit(lo)) / F.lit(hi - lo) * BINS)
+        bins = (values.where(F.col("s").between(lo, hi)).groupBy(F.least(place, F.lit(BINS - 1)).alias("b"))
+                .agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy("b").collect())
+        for r in bins:
+            if rank < r["n"]:
+                lo, hi = r["lo"], r["hi"]
+                break
+            rank -= r["n"]
+    return lo
+
+
+def threshold(docs: DataFrame, known: DataFrame, model: BradleyTerry, id_col: str = "doc_id", text_col: str = "text") -> float:
+    """Between the strengths of all documents in ``known`` (k, y) where as many are below as have label 0."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offs = text_bytes(batch.column(1))
+            for i, j in row_slices(offs):
+                s = shared.value.strengths(features(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(s, pa.float64())], names=["i", "s"])
+
+    rows = (docs.where(learnable(id_col)).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
+            .mapInArrow(run, "i long, s double"))
+    # strengths, not texts, are dealt out for the join
+    values = written(rows.join(known, F.col("i") == F.col("k")).select("y", "s"), "strengths")
+    n, bad = values.agg(F.count("*"), F.count_if(F.col("y") == 0)).first()
+    k = max(0, min(bad - 1, n - 2))
+    return (ranked(values, k) + ranked(values, k + 1)) / 2
 
 
 def scored(docs: DataFrame, model: BradleyTerry | None, text_col: str = "text") -> Column:
