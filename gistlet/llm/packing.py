@@ -19,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -314,22 +315,21 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 def pack(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, group_tokens: int = GROUP_TOKENS,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset of every piece; a sequence's pieces in order."""
-    cut = written(pieces(docs, path, length, end, id_col, text_col), "pieces")
+    """doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
+    cut = pieces(docs, path, length, end, id_col, text_col).withColumn("piece", F.monotonically_increasing_id())
+    cut = written(cut, "pieces")        # the pieces' numbers are read from the files, so they hold
     tokens = cut.agg(F.sum("length")).first()[0] or 0
     groups = max(1, -(-tokens // group_tokens))
 
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        order = pc.sort_indices(rows, [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"),
-                                       ("ids_crc32", "ascending")]).to_numpy()
-        bins, offset = first_fit_decreasing(rows["length"].to_numpy()[order], length)
-        laid = np.lexsort((offset, bins))
-        out = rows.drop_columns(["grp"]).take(pa.array(order[laid]))
-        out = out.append_column("sequence_id", pa.array((key[0].as_py() << 24) + bins[laid]))
-        return out.append_column("offset", pa.array(offset[laid]))
-
-    dealt = cut.withColumn("grp", F.pmod("seed", F.lit(groups))).drop("seed")
-    return dealt.groupBy("grp").applyInArrow(run, PACKED)
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
+        bins, offset = first_fit_decreasing(rows["length"].to_numpy(), length)
+        return pd.DataFrame({"placed": rows["piece"], "sequence_id": (int(key[0]) << 24) + bins, "offset": offset})
+
+    dealt = cut.select("piece", "doc_id", "start", "length", "ids_crc32", F.pmod("seed", F.lit(groups)).alias("grp"))
+    places = dealt.groupBy("grp").applyInPandas(run, "placed long, sequence_id long, offset long")
+    # the ids meet their places in a join, so that no worker holds a group's ids
+    return cut.join(places, F.col("piece") == F.col("placed")).select(*[c.split()[0] for c in PACKED.split(", ")])
 
 
 def digest(packed: DataFrame) -> DataFrame:
