@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gistlet.llm import (decontaminate, exactdedup, langid, licenses, packing, pii, prefixtrie, quality, sharding,
+from gistlet.llm import (decontaminate, exactdedup, hosttext, langid, licenses, packing, pii, prefixtrie, quality, sharding,
                          simhash, urlfilter, vectorcodes)
 
 TOKENIZER = "word_bpe_49k.json"
@@ -74,6 +74,10 @@ def op12_dual_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorcodes.vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op13_host_suffix_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosttext.main_text(table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +87,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_feistel_pseudonyms, op2_winnowing, op3_first_fit_packing, op4_byte_network, op5_feistel_shards, op6_bradley_terry,
     op7_url_ratio, op8_simhash_trie, op9_polynomial_dedup, op10_patience_licenses, op11_prefix_trie,
-    op12_dual_tree_codes, pipeline)}
+    op12_dual_tree_codes, op13_host_suffix_text, pipeline)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
