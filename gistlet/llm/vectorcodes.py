@@ -105,12 +105,13 @@ def dual(points: Tree, entries: Tree, names: np.ndarray) -> tuple[list, list]:
         single, bottom = le == len(entries.starts) - 1, lp == len(points.starts) - 1
         if single:
             one = np.repeat(sizes == 1, sizes)
-            whole += zip(at[p[one]].tolist(), at[p[one] + 1].tolist(), names[e[one]].tolist(), strict=True)
-            p, e = p[~one], e[~one]
-            if bottom:
-                first = np.flatnonzero(np.append(True, p[1:] != p[:-1])) if len(p) else np.zeros(0, np.int64)
-                for i, j in zip(first.tolist(), np.append(first[1:], len(p)).tolist(), strict=True):
-                    leaves.append((int(at[p[i]]), int(at[p[i] + 1]), np.sort(names[e[i:j]])))
+            entry = names[entries.starts[le][e]]
+            whole += zip(at[p[one]].tolist(), at[p[one] + 1].tolist(), entry[one].tolist(), strict=True)
+            p, e, entry = p[~one], e[~one], entry[~one]
+            if bottom or not len(p):
+                ends = np.flatnonzero(np.append(p[1:] != p[:-1], True))[:len(p)] + 1
+                for i, j in zip([0, *ends.tolist()], ends.tolist(), strict=False):
+                    leaves.append((int(at[p[i]]), int(at[p[i] + 1]), np.sort(entry[i:j])))
                 break
         if not single:
             p, e, le = np.repeat(p, 2), (2 * np.repeat(e, 2)) + np.tile([0, 1], len(e)), le + 1
