@@ -9,6 +9,11 @@ template does. Each window is aligned by itself, so that the words of a notice a
 common by the rest of the text or by a second copy beside it. A stretch without a find in
 its windows is aligned as a whole.
 
+Much of a notice's wording is shared by licenses, so a find must also hold the template's deciding phrases
+(``DECIDES``: name, kind, version), each aligned as it stands, and none of the phrases that would make it
+another license, in the aligned stretch and ``BEYOND`` words after it. Templates of fewer than ``SHORT`` words must be
+aligned whole, whatever the coverage asked for.
+
 Words are runs of letters and digits, lower-cased (A-Z). Null and empty texts hold no
 license. Overlapping finds of templates are reduced to the one with more aligned words, then the higher
 coverage, then the smaller name. Repeated rows are scanned each for itself.
@@ -18,7 +23,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +33,8 @@ from pyspark.sql import functions as F
 from gistlet.llm.common import ALNUM, LOWER, bound_batches, row_slices, span_hashes, text_bytes, word_spans
 
 COVERAGE = 0.8
+SHORT = 12          # words below which a template must be aligned whole
+BEYOND = 40         # words after a find in which a phrase can still make it another license
 
 _BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
@@ -61,9 +68,17 @@ TEMPLATES = {
         "products derived from this software without specific prior written permission."),
     "BSD-3-Clause-spdx": "SPDX-License-Identifier: BSD-3-Clause",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-NC-4.0-long": (
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "CC-BY-NC-ND-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    "CC-BY-NC-ND-4.0-short": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-SA-4.0": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "CC-BY-NC-SA-4.0-short": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-ND-4.0-short": "Licensed under CC BY-ND 4.0.",
     "CC-BY-ND-4.0": (
         "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -87,6 +102,7 @@ TEMPLATES = {
         "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
         "your option) any later version."),
     "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0-grant": _gnu("GNU Lesser General Public License", "3"),
     "LGPL-3.0-notice": _gnu("GNU Lesser General Public License", "3") + (
         " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
         "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public "
@@ -110,6 +126,49 @@ TEMPLATES = {
         "for any purpose, commercial or non-commercial, and by any means."),
 }
 
+# Phrases that a find must hold ("|": either), and after "not" those that it must not. The GNU, Creative Commons and
+# version phrases stand as they do in the wording, so that "Lesser" or "NoDerivatives" between their words decides, too.
+DECIDES = {
+    "AGPL-3.0": "affero general, version 3",
+    "AGPL-3.0-notice": "affero general, version 3",
+    "Apache-2.0": "apache license, version 2 0",
+    "Apache-2.0-notice": "apache license | apache org, version 2 0 | license 2 0",
+    "Apache-2.0-spdx": "identifier apache 2 0",
+    "BSD-2-Clause-notice": "redistributions of source, redistributions in binary not endorse or promote, advertising materials",
+    "BSD-2-Clause-spdx": "identifier bsd 2 clause not clause patent",
+    "BSD-3-Clause-notice": "redistributions of source, redistributions in binary, endorse or promote not advertising materials",
+    "BSD-3-Clause-spdx": "identifier bsd 3 clause not clause clear, clause attribution, clause no, clause lbnl, clause modification",
+    "CC-BY-4.0": "commons attribution 4 0",
+    "CC-BY-4.0-short": "by 4 0",
+    "CC-BY-NC-4.0": "by nc 4 0",
+    "CC-BY-NC-4.0-long": "attribution noncommercial 4 0",
+    "CC-BY-NC-ND-4.0": "noncommercial noderivatives 4 0",
+    "CC-BY-NC-ND-4.0-short": "by nc nd 4 0",
+    "CC-BY-NC-SA-4.0": "noncommercial sharealike 4 0",
+    "CC-BY-NC-SA-4.0-short": "by nc sa 4 0",
+    "CC-BY-ND-4.0": "attribution noderivatives 4 0",
+    "CC-BY-ND-4.0-short": "by nd 4 0",
+    "CC-BY-SA-3.0": "attribution sharealike 3 0",
+    "CC-BY-SA-4.0": "attribution sharealike 4 0",
+    "CC-BY-SA-4.0-short": "by sa 4 0",
+    "CC0-1.0-notice": "waived all copyright",
+    "GPL-2.0": "gnu general, version 2",
+    "GPL-2.0-notice": "gnu general, version 2",
+    "GPL-3.0": "gnu general, version 3",
+    "GPL-3.0-notice": "gnu general, version 3",
+    "ISC-notice": "with or without fee",
+    "LGPL-2.1-notice": "lesser general, version 2 1",
+    "LGPL-3.0": "lesser general, version 3",
+    "LGPL-3.0-grant": "lesser general, version 3",
+    "LGPL-3.0-notice": "lesser general, version 3",
+    "MIT": "mit license not apache, bsd, gnu, gpl, isc, mozilla, zlib, artistic, no attribution",
+    "MIT-licensed": "mit license not apache, bsd, gnu, gpl, isc, mozilla, zlib, artistic, no attribution",
+    "MIT-notice": "free of charge, without restriction",
+    "MIT-spdx": "identifier mit not mit 0, mit advertising, mit cmu, mit feh, mit modern",
+    "MPL-2.0-notice": "mozilla public license v 2 0",
+    "Unlicense-notice": "free and unencumbered, public domain",
+}
+
 FOUND = "doc_id long, license string, coverage double, start long, stop long"
 
 
@@ -240,15 +299,31 @@ def windows(words: list[int], limit: dict[int, int], need: int, reach: int, spar
         last = j
 
 
-def aligned(words: list[int], lead: int, template: list[int], need: int, least: float) -> list[tuple[int, float, int, int]]:
-    """(aligned words, coverage, start, stop) of the finds in a stretch, which may overlap; ``lead`` words may be left out."""
+def phrases(text: str) -> list[list[list[str]]]:
+    """The phrases between commas, each as its wordings."""
+    return [[w.split() for w in p.split("|")] for p in text.split(",") if p.strip()]
+
+
+def stands(phrase: list[int], words: Callable[[int], int], places: Iterable[int]) -> bool:
+    """Whether ``phrase`` begins at one of ``places``."""
+    return any(all(words(p + i) == w for i, w in enumerate(phrase)) for p in places)
+
+
+def aligned(words: list[int], lead: int, template: list[int], need: int, least: float,
+            fits: Callable = lambda pairs: True) -> list[tuple[int, float, int, int]]:
+    """(aligned words, coverage, start, stop) of the finds in a stretch, which may overlap; ``lead`` words may be left out.
+
+    ``fits`` says of the aligned (stretch, template) positions whether they may be a find.
+    """
     limit = Counter(template)
     out = []
 
     def align(a: int, b: int) -> tuple[int, float, int, int] | None:
         pairs = patience(words[a:b], template)
         share = len(pairs) / len(template)
-        return (len(pairs), share, a + pairs[0][0], a + pairs[-1][0] + 1) if share >= least else None
+        if share < least or not fits([(a + p, q) for p, q in pairs]):
+            return None
+        return len(pairs), share, a + pairs[0][0], a + pairs[-1][0] + 1
 
     for spare in sorted({0, int(len(template) * (1 - least) + 1e-9)}):
         ranges = windows(words, limit, need, 2 * len(template), spare)
@@ -272,10 +347,12 @@ def aligned(words: list[int], lead: int, template: list[int], need: int, least:
 class Scanner:
     """Templates as numbered words; made in each task."""
 
-    def __init__(self, templates: dict[str, str], coverage: float):
+    def __init__(self, templates: dict[str, str], coverage: float, decides: dict[str, str] | None = None):
         self.names = sorted(templates)
         lists = [words_of(templates[k]) for k in self.names]
-        vocabulary = sorted({w for x in lists for w in x})
+        rules = [(DECIDES if decides is None else decides).get(k, "").partition(" not ") for k in self.names]
+        must, never = [phrases(r[0]) for r in rules], [phrases(r[2]) for r in rules]
+        vocabulary = sorted({w for x in lists for w in x} | {w for x in [*must, *never] for p in x for either in p for w in either})
         number = {w: i for i, w in enumerate(vocabulary)}
         raw = "".join(vocabulary).encode()
         ends = np.cumsum([len(w.encode()) for w in vocabulary])
@@ -283,15 +360,16 @@ class Scanner:
         self.order = np.argsort(h)
         self.hashes = h[self.order]
         self.templates = [[number[w] for w in x] for x in lists]
-        self.least = coverage
+        self.must, self.never = ([[[[number[w] for w in either] for either in p] for p in x] for x in side] for side in (must, never))
+        self.least = [1.0 if len(x) < SHORT else coverage for x in lists]
         member = np.zeros((len(lists), len(vocabulary)), bool)
         for k, x in enumerate(self.templates):
             member[k, x] = True
         self.member = member
         # enough different words to reach the coverage, whichever of the repeated words are missing
         self.need = []
-        for x in self.templates:
-            spare = int(len(x) * (1 - coverage) + 1e-9)
+        for x, least in zip(self.templates, self.least, strict=True):
+            spare = int(len(x) * (1 - least) + 1e-9)
             sizes = sorted(Counter(x).values())
             gone = 0
             while sizes and spare >= sizes[0]:
@@ -299,6 +377,19 @@ class Scanner:
                 gone += 1
             self.need.append(max(1, len(set(x)) - gone))
 
+    def fits(self, t: int, pairs: list[tuple[int, int]], word_at: Callable[[int], int]) -> bool:
+        """Whether the find of template ``t`` is of its license: ``pairs`` of (text, template) places; words of the text."""
+        template, meet = self.templates[t], {q: p for p, q in pairs}
+
+        def whole(phrase: list[int]) -> bool:
+            own = [q for q in range(len(template)) if template[q:q + len(phrase)] == phrase]
+            return any(all(meet.get(q + i) == meet[q] + i for i in range(len(phrase))) for q in own if q in meet)
+
+        if not all(any(whole(w) for w in wordings) for wordings in self.must[t]):
+            return False
+        a, b = pairs[0][0], pairs[-1][0] + 1
+        return not any(stands(w, word_at, range(a, b + BEYOND)) for wordings in self.never[t] for w in wordings)
+
     def rows(self, data: np.ndarray, offs: np.ndarray) -> list[tuple[int, str, float, int, int]]:
         """(row, license, coverage, start, stop) of all finds; start and stop are words of the row."""
         low = LOWER[data]
@@ -317,13 +408,21 @@ class Scanner:
             lo, hi = np.searchsorted(row, [r, r + 1])
             here, own = at[lo:hi] - first[r], word[lo:hi]
             finds = []
+            every = {int(p): int(w) for p, w in zip(here, own, strict=True)}
+
+            def word_at(p: int, every: dict = every) -> int:
+                return every.get(p, -1)
+
             for t in np.flatnonzero(have[r] >= self.need).tolist():
                 template = self.templates[t]
                 m = self.member[t][own]
                 text = {int(p): int(w) for p, w in zip(here[m], own[m], strict=True)}
                 for a, lo, b in stretches(here[m], own[m], self.need[t], 2 * len(template)):
                     words = [text.get(p, -1) for p in range(a, b)]
-                    for n_words, share, c, d in aligned(words, lo - a, template, self.need[t], self.least):
+                    def fits(pairs: list, t: int = t, a: int = a, word_at: Callable = word_at) -> bool:
+                        return self.fits(t, [(a + p, q) for p, q in pairs], word_at)
+
+                    for n_words, share, c, d in aligned(words, lo - a, template, self.need[t], self.least[t], fits):
                         finds.append((-n_words, -share, self.names[t], a + c, a + d))
             taken: list[tuple[int, int]] = []
             for _, share, name, a, b in sorted(finds):
