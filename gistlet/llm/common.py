@@ -7,9 +7,10 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -33,11 +34,69 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def without(docs: DataFrame, key: str, drop: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``key`` is not in the one column of ``drop``; every column and null keys are kept."""
-    name = f"_drop_{uuid.uuid4().hex[:8]}"
-    right = drop.toDF(name)
-    return docs.join(right, docs[key] == right[name], "left_anti")
+#: Row keys that are sent to every task; more are joined.
+KEYS = 200_000
+
+
+def row_key(docs: DataFrame, *columns: str) -> Column:
+    """32 bytes that are equal for rows equal in ``columns``; a null is not an empty string."""
+    parts = [F.coalesce(F.concat(F.lit("="), docs[c].cast("string")), F.lit("-")) for c in columns]
+    framed = [x for p in parts for x in (F.octet_length(p).cast("string"), F.lit(":"), p)]
+    return F.unhex(F.sha2(F.concat(*framed), 256))
+
+
+def _marked(keys: DataFrame, count: int, bits: int):
+    """A column function: whether a long may be among the 64-bit hashes of ``keys``; none is missed."""
+    words = keys.sparkSession.sparkContext.broadcast(filter_bits(keys.select(F.xxhash64("key").alias("h")), bits))
+
+    @F.pandas_udf("boolean")
+    def hit(h: pd.Series) -> pd.Series:
+        return pd.Series(in_filter(words.value, h.to_numpy().view(np.uint64), bits))
+
+    return hit
+
+
+def without(docs: DataFrame, key: Column, drop: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``key`` (see ``row_key``) is not in ``drop`` (key); all columns are kept.
+
+    Up to ``KEYS`` keys are broadcast. Of more, a bitmap sized by their number lets rows through that are
+    surely not among them, so that only the rows to drop, and few others, are shuffled for the join.
+    """
+    drop = written(drop.select("key"), "drop")
+    n = drop.count()
+    if not n:
+        return docs
+    name = f"_key_{uuid.uuid4().hex[:8]}"
+    given = docs.withColumn(name, key)
+    if n <= KEYS:
+        return given.join(F.broadcast(drop), F.col(name) == drop["key"], "left_anti").drop(name)
+    hit = _marked(drop, n, bitmap_bits(n))(F.xxhash64(name))
+    doubt = given.where(hit).join(drop, F.col(name) == drop["key"], "left_anti")
+    return given.where(~hit).unionByName(doubt).drop(name)
+
+
+def one_of_each(docs: DataFrame, key: Column, rows: DataFrame, *group: str) -> DataFrame:
+    """One row of ``docs`` for each ``group`` of ``rows`` (group, doc_id, key; a row for each of ``docs``).
+
+    The row with the smallest doc_id stays (null last), of several the one with the smallest key, and of rows
+    with that same key, which agree in the columns that it is made of, the one whose columns have the smallest hash.
+    """
+    least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key")))
+    first = rows.groupBy(*group).agg(least.alias("f"), F.count("*").alias("n")).where("n > 1")
+    first = written(first.select(*[F.col(g).alias(f"of_{g}") for g in group], F.col("f.key").alias("first")), "first")
+    shared = rows.join(first, [rows[g].eqNullSafe(first[f"of_{g}"]) for g in group])
+    marked = written(shared.select("key", (F.col("key") == F.col("first")).alias("stays")), "marked")
+    out = without(docs, key, marked.where("not stays").select("key").distinct())
+    twice = written(marked.where("stays").groupBy("key").count().where("count > 1").select("key"), "twice")
+    n = twice.count()
+    if not n:
+        return out
+    name, keys = f"_key_{uuid.uuid4().hex[:8]}", F.broadcast(twice) if n <= KEYS else twice
+    given = out.withColumn(name, key)
+    hashed = F.xxhash64(F.to_json(F.struct(*[given[f"`{c}`"] for c in docs.columns]), {"ignoreNullFields": "false"}))
+    copies = given.join(keys, F.col(name) == twice["key"], "left_semi")
+    one = copies.groupBy(name).agg(F.min_by(F.struct(*[given[f"`{c}`"] for c in docs.columns]), hashed).alias("row")).select("row.*")
+    return given.join(keys, F.col(name) == twice["key"], "left_anti").drop(name).unionByName(one)
 
 
 # ------------------------------------------------------------------ byte views
@@ -157,6 +216,11 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
 FILTER_BITS = 26    # 2^26 bits: 8 MiB, whatever it is built from
 
 
+def bitmap_bits(n: int) -> int:
+    """Bits (as a power of two) of a bitmap for ``n`` hashes: 16 to 32 for each, up to 2^30 in all (128 MiB)."""
+    return min(max(n.bit_length() + 4, 16), 30)
+
+
 def filter_bits(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     """Bitmap of 2^bits bits of the long column ``h``: set by Spark, so at most 2^(bits - 6) words reach the driver."""
     cell = F.shiftrightunsigned("h", 64 - bits)

@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gistlet.llm.common import (ALNUM, LOWER, bound_batches, filter_bits, gram_hashes, in_filter, row_slices,
-                                span_hashes, text_bytes, without, word_spans, written)
+from gistlet.llm.common import (ALNUM, LOWER, bound_batches, filter_bits, gram_hashes, in_filter, row_key,
+                                row_slices, span_hashes, text_bytes, without, word_spans, written)
 
 WINDOW, GRAM = 10, 8
 SPAN = WINDOW - GRAM + 1
@@ -131,14 +131,18 @@ def fingerprints(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
 
 def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """A row for each document, and one for each hit: id, body, n_words, start, stop (words; null without hit), items."""
+         item_col: str = "item_id", item_text: str = "text", key: Column | None = None) -> DataFrame:
+    """A row for each document, and one for each hit: id, body, n_words, start, stop (words; null without hit), items.
+
+    ``id`` is the document's id, or its ``key`` where one is given."""
     spark = docs.sparkSession
     bound_batches(spark)
     bench, short = fingerprints(items, item_col, item_text)
     bits = spark.sparkContext.broadcast(filter_bits(bench.select("h")))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    left = rows.mapInArrow(_batches(short, bits, False), FINGERPRINTS)
+    ident = F.col(id_col).cast("long") if key is None else key
+    rows = docs.select(ident.alias("id"), F.col(text_col).cast("string").alias("t"))
+    kind = FINGERPRINTS if key is None else FINGERPRINTS.replace("id long", "id binary", 1)
+    left = rows.mapInArrow(_batches(short, bits, False), kind)
     right = bench.select(F.col("kind").alias("k"), F.col("h").alias("gh"), F.col("ahead").alias("to"),
                          F.col("behind").alias("back"), "items")
     joined = left.join(right, (left.kind == right.k) & (left.h == right.gh), "left")
@@ -174,6 +178,7 @@ def digest(result: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without a hit, with all their columns."""
-    bad = hits(docs, items).where(F.col("start").isNotNull()).select("id").distinct()
-    return without(docs, "doc_id", bad)
+    """The rows whose text has no hit, with all their columns; rows of one doc_id are judged each by its own text."""
+    key = row_key(docs, "text")
+    bad = hits(docs, items, key=key).where(F.col("start").isNotNull()).select(F.col("id").alias("key")).distinct()
+    return without(docs, key, bad)

@@ -11,7 +11,8 @@ task, however many copies there are. A fingerprint whose texts differ is divided
 SHA-256 that each row carries.
 
 Null counts as empty; empty texts are equal to each other. Rows that repeat a doc_id and
-text are copies of each other and all of them kept or dropped as ``doc_id = keep_id`` says.
+text are copies of each other, and ``kept`` is true for all of them or none, as ``doc_id = keep_id`` says;
+``keep_first`` drops by row and not by id, and leaves one row of each set of equal texts.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gistlet.llm.common import (SPACES, blocks, bound_batches, filter_bits, in_filter, mix, row_slices, text_bytes,
-                                without, written)
+from gistlet.llm.common import (SPACES, bitmap_bits, blocks, bound_batches, filter_bits, in_filter, mix, one_of_each,
+                                row_key, row_slices, text_bytes, written)
 
 CHUNK = 1 << 15
 BLOCK = 64       # chunks hashed at once
@@ -102,14 +103,14 @@ def _key(length: np.ndarray, f1: np.ndarray, f2: np.ndarray) -> np.ndarray:
                + f2.astype(np.uint64))
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _rows(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"), *more)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 primes: tuple[int, int] = PRIMES) -> DataFrame:
-    """doc_id, len, f1, f2, h (one number of the three), sha (SHA-256 of the normalised text) of every row."""
+                 primes: tuple[int, int] = PRIMES, key: Column | None = None) -> DataFrame:
+    """doc_id, len, f1, f2, h (one number of the three), sha (SHA-256 of the normalised text) and key, if given, of every row."""
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,19 +122,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 f = poly.rows(d, o)
                 view = memoryview(np.ascontiguousarray(d))
                 sha = [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)]
+                more = [batch.column(2).slice(i, j - i)] if batch.num_columns > 2 else []
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(o)),
                                                   pa.array(f[:, 0]), pa.array(f[:, 1]),
                                                   pa.array(_key(np.diff(o), f[:, 0], f[:, 1]).view(np.int64)),
-                                                  pa.array(sha, pa.string())],
-                                                 names=["doc_id", *PRINT, "h", "sha"])
+                                                  pa.array(sha, pa.string()), *more],
+                                                 names=["doc_id", *PRINT, "h", "sha", "key"][:6 + len(more)])
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, PRINTS)
+    if key is None:
+        return _rows(docs, id_col, text_col).mapInArrow(run, PRINTS)
+    return _rows(docs, id_col, text_col, key.alias("key")).mapInArrow(run, PRINTS + ", key binary")
 
 
 def differing(docs: DataFrame, repeated: DataFrame, id_col: str, text_col: str, primes: tuple[int, int]) -> DataFrame:
     """Fingerprints of ``repeated`` (len, f1, f2, h) below which some chunk differs between documents."""
     spark = docs.sparkSession
-    words = spark.sparkContext.broadcast(filter_bits(repeated.select("h")))
+    repeated = written(repeated.select("h"), "repeated")
+    bits = bitmap_bits(repeated.count())
+    words = spark.sparkContext.broadcast(filter_bits(repeated, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         poly = Polynomial(primes)
@@ -143,7 +149,7 @@ def differing(docs: DataFrame, repeated: DataFrame, id_col: str, text_col: str,
                 d, o = one_space(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
                 f, size = poly.rows(d, o), np.diff(o)
                 text = d.tobytes()
-                hit = np.flatnonzero(in_filter(words.value, _key(size, f[:, 0], f[:, 1])))
+                hit = np.flatnonzero(in_filter(words.value, _key(size, f[:, 0], f[:, 1]), bits))
                 cuts = [(r, k, x) for r in hit.tolist() for k, x in
                         enumerate(range(int(o[r]), max(int(o[r + 1]), int(o[r]) + 1), CHUNK))]
                 r = np.array([c[0] for c in cuts], np.int64)
@@ -157,19 +163,23 @@ def differing(docs: DataFrame, repeated: DataFrame, id_col: str, text_col: str,
             .where("lo <> hi").select(*PRINT).distinct())
 
 
+def grouped(prints: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            primes: tuple[int, int] = PRIMES) -> DataFrame:
+    """``prints`` with ``part``: rows of equal len, f1, f2 and part have equal texts."""
+    repeated = prints.groupBy(*PRINT, "h").count().where("count > 1")
+    mixed = written(differing(docs, repeated, id_col, text_col, primes), "differing")
+    if mixed.isEmpty():
+        return prints.withColumn("part", F.lit(""))
+    # a collision: its texts are told apart by their SHA-256
+    marked = prints.join(mixed.withColumn("collides", F.lit(True)), PRINT, "left")
+    return marked.withColumn("part", F.when(F.col("collides"), F.col("sha")).otherwise("")).drop("collides")
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      primes: tuple[int, int] = PRIMES) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256."""
     prints = written(fingerprints(docs, id_col, text_col, primes), "fingerprints")
-    repeated = prints.groupBy(*PRINT, "h").count().where("count > 1")
-    mixed = written(differing(docs, repeated, id_col, text_col, primes), "differing")
-    marked = prints
-    if not mixed.isEmpty():      # a collision: its texts are told apart by their SHA-256
-        marked = prints.join(mixed.withColumn("collides", F.lit(True)), PRINT, "left")
-        part = F.when(F.col("collides"), F.col("sha"))
-    else:
-        part = F.lit(None).cast("string")
-    marked = marked.withColumn("part", F.coalesce(part, F.lit("")))
+    marked = grouped(prints, docs, id_col, text_col, primes)
     key = [*PRINT, "part"]
     groups = written(marked.groupBy(*key).agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
                      .select(*[F.col(c).alias(f"g_{c}") for c in key], "keep_id", "group_size"), "groups")
@@ -180,6 +190,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    drop = exact_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return without(docs, "doc_id", drop)
+    """One row of each set of equal texts, with all its columns: the one with the smallest doc_id, see ``one_of_each``."""
+    key = row_key(docs, "doc_id", "text")
+    prints = written(fingerprints(docs, key=key), "fingerprints")
+    return one_of_each(docs, key, grouped(prints, docs), *PRINT, "part")

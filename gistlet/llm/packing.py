@@ -1,8 +1,8 @@
 """Packing documents into sequences: first-fit decreasing over a tournament tree.
 
 A document's tokens are cut into pieces of at most ``length``; only its last piece is
-shorter. Documents fall by a keyed hash into random groups of about ``GROUP_TOKENS``
-tokens; in each group the pieces go, longest first, to the first sequence with room. The
+shorter. Pieces fall by a keyed hash into random groups of about ``GROUP_TOKENS``
+tokens, where more than ``COPIES`` are equal each by the hash of its number; in each group the pieces go, longest first, to the first sequence with room. The
 sequences' free places are the leaves of a tournament tree whose inner nodes hold the larger
 child, so that the first fitting leaf is found by one walk from the root. A group is one
 task's work, of bounded size, and its result does not depend on where it runs.
@@ -25,10 +25,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gistlet.llm.common import bound_batches, row_slices, span_hashes, text_bytes, written
+from gistlet.llm.common import KEYS, bound_batches, row_slices, span_hashes, text_bytes, written
 
 LENGTH, END = 4096, 2
 GROUP_TOKENS = 1 << 22
+COPIES = 1 << 10           # equal pieces that may go to a group together
 MEMO_TOKENS = 1 << 20       # distinct pre-tokens a worker remembers before it starts anew
 TOKEN_BLOCK = 1 << 18       # pre-tokens looked up at once
 
@@ -259,7 +260,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END,
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
     cut = rows.mapInArrow(run, PIECES.rsplit(",", 1)[0])
-    # all pieces go by their own number: equal rows fall apart, and a long document is no group of its own
+    # pieces go by a number of their own, so that a long document is no group of its own
     return cut.withColumn("seed", F.xxhash64(F.lit("packing"), "doc_id", "start", "ids_crc32"))
 
 
@@ -326,7 +327,12 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, group
         bins, offset = first_fit_decreasing(rows["length"].to_numpy(), length)
         return pd.DataFrame({"placed": rows["piece"], "sequence_id": (int(key[0]) << 24) + bins, "offset": offset})
 
-    dealt = cut.select("piece", "doc_id", "start", "length", "ids_crc32", F.pmod("seed", F.lit(groups)).alias("grp"))
+    # equal pieces have one seed; where they are many, their own numbers deal them out over all groups
+    hot = written(cut.groupBy("seed").count().where(F.col("count") > COPIES).select(F.col("seed").alias("hot")), "hot-pieces")
+    hot = F.broadcast(hot) if hot.count() <= KEYS else hot
+    dealt = cut.select("piece", "doc_id", "start", "length", "ids_crc32", "seed").join(hot, F.col("seed") == F.col("hot"), "left")
+    seed = F.when(F.col("hot").isNull(), F.col("seed")).otherwise(F.xxhash64("seed", "piece"))
+    dealt = dealt.select("piece", "doc_id", "start", "length", "ids_crc32", F.pmod(seed, F.lit(groups)).alias("grp"))
     places = dealt.groupBy("grp").applyInPandas(run, "placed long, sequence_id long, offset long")
     # the ids meet their places in a join, so that no worker holds a group's ids
     return cut.join(places, F.col("piece") == F.col("placed")).select(*[c.split()[0] for c in PACKED.split(", ")])

@@ -95,12 +95,9 @@ def _described(row: Column, id_col: str, text_col: str) -> list[Column]:
             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32")]
 
 
-def _row_hash(docs: DataFrame) -> Column:
-    """64-bit hash of all columns of ``row``; which of them are null counts too."""
-    row = F.col("row")
-    plain = [F.to_json(F.struct(row[f.name])) if "map<" in f.dataType.simpleString() else row[f.name]
-             for f in docs.schema["row"].dataType.fields]
-    return F.xxhash64(*[c.isNull() for c in plain], *plain)
+def _row_hash() -> Column:
+    """256-bit hash of all columns of ``row`` as JSON, in which every null, also one inside an array, has its place."""
+    return F.unhex(F.sha2(F.to_json("row", {"ignoreNullFields": "false"}), 256))
 
 
 def shuffled(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", key: int = KEY) -> DataFrame:
@@ -110,7 +107,7 @@ def shuffled(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col
     order of shard and slot. Rows equal in all columns are moved as one and copied at the end.
     """
     docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = docs.select("row", *_described(F.col("row"), id_col, text_col), _row_hash(docs).alias("row_hash"))
+    rows = docs.select("row", *_described(F.col("row"), id_col, text_col), _row_hash().alias("row_hash"))
     entries, n = numbered(rows.drop("row"), "doc_id", "size", "text_crc32", within="row_hash")
     # no null in the key of the join: the hash tells a null doc_id from 0
     entry = [F.coalesce("doc_id", F.lit(0)).alias("entry_id"), "size", "text_crc32", "row_hash"]

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gistlet.llm.common import LOWER, SPACES, bound_batches, row_slices, text_bytes, without, word_spans, written
+from gistlet.llm.common import LOWER, SPACES, bound_batches, one_of_each, row_key, row_slices, text_bytes, word_spans, written
 
 SHINGLE, DISTANCE, SEED = 3, 2, 42
 SPLIT = 1 << 13
@@ -111,8 +111,8 @@ def simhashes(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> np.
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long) of every row."""
+                 shingle: int = SHINGLE, key: Column | None = None) -> DataFrame:
+    """doc_id, fp (the 64 bits as a long) and key, if given, of every row."""
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,10 +120,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             data, offs = text_bytes(batch.column(1))
             out = [simhashes(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], shingle) for i, j in row_slices(offs)]
             fp = np.concatenate(out) if out else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            more = [batch.column(2)] if batch.num_columns > 2 else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), *more],
+                                             names=["doc_id", "fp", "key"][:2 + len(more)])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")]
+    if key is None:
+        return docs.select(*rows).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(*rows, key.alias("key")).mapInArrow(run, "doc_id long, fp long, key binary")
 
 
 # ------------------------------------------------------------------ trie self-join
@@ -300,13 +304,19 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _linked(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of each fingerprint: (of, root), where linked ones share the root; and (fp, least): its smallest doc_id."""
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    roots = components(links(distinct.select("fp")))
+    member = distinct.join(roots, distinct.fp == roots.node, "left")
+    return member.select(F.col("fp").alias("of"), F.coalesce("root", "fp").alias("root")), distinct
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable over links) of every row."""
     prints = written(fingerprints(docs, id_col, text_col), "simhash")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fp")))
-    member = (distinct.join(roots, distinct.fp == roots.node, "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    linked, distinct = _linked(prints)
+    member = distinct.join(linked, distinct.fp == linked.of).select("fp", "least", "root")
     named = member.groupBy("root").agg(F.min("least").alias("component_id"))
     # written, so that the last join deals out both sides itself and can split a hot fingerprint
     names = written(member.join(named, "root").select(F.col("fp").alias("of"), "component_id"), "components")
@@ -318,7 +328,8 @@ def hexed(result: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns: the one whose doc_id names it."""
-    found = near_duplicates(docs)
-    drop = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return without(docs, "doc_id", drop)
+    """One row of each component, with all its columns: the one with the smallest doc_id, see ``one_of_each``."""
+    key = row_key(docs, "doc_id", "text")
+    prints = written(fingerprints(docs, key=key), "simhash")
+    linked = written(_linked(prints)[0], "linked")
+    return one_of_each(docs, key, prints.join(linked, prints.fp == linked.of), "root")
