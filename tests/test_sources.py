@@ -188,6 +188,7 @@ def test_no_shuffle_key_comes_from_a_row_number():
     """monotonically_increasing_id only where its value is written before it is used, or inside one scan."""
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     found = []
-    for d, _, files in os.walk(os.path.join(top, "gistlet")):
+    for d, parts, files in os.walk(os.path.join(top, "gistlet")):
+        parts[:] = [x for x in parts if x != "llm"]         # has its own test
         found += [f for f in files if f.endswith(".py") and "monotonically_increasing_id()" in open(os.path.join(d, f)).read()]
     assert sorted(found) == ["flatten.py", "jsonl.py"]
