@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,9 +48,9 @@ def _marked(keys: DataFrame, count: int, bits: int):
     """A column function: whether a long may be among the 64-bit hashes of ``keys``; none is missed."""
     words = keys.sparkSession.sparkContext.broadcast(filter_bits(keys.select(F.xxhash64("key").alias("h")), bits))
 
-    @F.pandas_udf("boolean")
-    def hit(h: pd.Series) -> pd.Series:
-        return pd.Series(in_filter(words.value, h.to_numpy().view(np.uint64), bits))
+    @F.arrow_udf("boolean")
+    def hit(h: pa.Array) -> pa.Array:
+        return pa.array(in_filter(words.value, h.to_numpy(zero_copy_only=False).view(np.uint64), bits))
 
     return hit
 

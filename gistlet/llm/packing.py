@@ -31,6 +31,7 @@ LENGTH, END = 4096, 2
 GROUP_TOKENS = 1 << 22
 COPIES = 1 << 10           # equal pieces that may go to a group together
 MEMO_TOKENS = 1 << 20       # distinct pre-tokens a worker remembers before it starts anew
+WORDS = 1 << 14             # new words handed to the library at once
 TOKEN_BLOCK = 1 << 18       # pre-tokens looked up at once
 
 PIECES = "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, seed long"
@@ -92,35 +93,39 @@ class WordTokenizer:
         self.flat = np.zeros(1 << 18, np.uint16 if len(self.closes) <= 1 << 16 else np.int32)
         self.used = 0
 
-    def _encode(self, words: list[bytes], whole: np.ndarray) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(words)
-        plain = np.flatnonzero(~whole).tolist()
-        if plain:
-            ids = np.array(self.tokenizer.encode(" ".join(words[i].decode() for i in plain),
-                                                 add_special_tokens=False).ids, np.int64)
-            cut = np.flatnonzero(self.closes[ids]) + 1
-            if len(cut) == len(plain):
-                for i, part in zip(plain, np.split(ids, cut[:-1]), strict=True):
-                    out[i] = part.tolist()
+    def _encode(self, words: list[bytes], whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word the place and number of its ids, and all ids."""
+        start, length = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        plain, flat = np.flatnonzero(~whole), np.zeros(0, self.flat.dtype)
+        if len(plain):
+            # many words to a text (and texts of bounded size): the ids of a word end with one that closes words
+            texts = [b" ".join([words[i] for i in plain[a:a + WORDS].tolist()]).decode() for a in range(0, len(plain), WORDS)]
+            ids = np.concatenate([np.array(e.ids, self.flat.dtype) for t in texts
+                                  for e in self.tokenizer.encode_batch_fast([t], add_special_tokens=False)])
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(plain):
+                flat = ids
+                length[plain] = np.diff(ends, prepend=0)
+                start[plain] = ends - length[plain]
             else:
                 whole = np.ones(len(words), bool)
-        rest = np.flatnonzero(whole).tolist()
-        texts = [words[i].decode("utf-8", "replace") for i in rest]
-        for i, e in zip(rest, self.tokenizer.encode_batch(texts, add_special_tokens=False) if texts else [], strict=True):
-            out[i] = e.ids
-        return out
+        rest = np.flatnonzero(whole)
+        texts = [words[i].decode("utf-8", "replace") for i in rest.tolist()]
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+        length[rest] = [len(x) for x in lists]
+        start[rest] = len(flat) + np.cumsum(length[rest]) - length[rest]
+        return start, length, np.concatenate([flat, np.array([i for x in lists for i in x], self.flat.dtype)])
 
     def _learn(self, h: np.ndarray, words: list[bytes], whole: np.ndarray) -> None:
-        lists = self._encode(words, whole)
-        lengths = np.array([len(x) for x in lists], np.int64)
-        n, total = len(lists), int(lengths.sum())
+        start, lengths, flat = self._encode(words, whole)
+        n, total = len(words), len(flat)
         while self.count + n > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.start[self.count:self.count + n] = self.used + np.cumsum(lengths) - lengths
+        self.start[self.count:self.count + n] = self.used + start
         self.length[self.count:self.count + n] = lengths
-        self.flat[self.used:self.used + total] = [i for x in lists for i in x]
+        self.flat[self.used:self.used + total] = flat
         self.used += total
         code = np.arange(self.count, self.count + n, dtype=np.int32)
         self.count += n
