@@ -11,6 +11,8 @@ F9  join_text           ' '.join
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,17 +49,19 @@ def has_sentence(c) -> Column:
     return F.length(F.trim(_col(c), F.lit(C.PY_WHITESPACE + _SEP + _DOT))) > 0
 
 
-def split_sentences(c, max_sentences: int | None = None) -> Column:
+def split_sentences(c, max_sentences: int | None = None, guard: Callable[[Column], Column] | None = None) -> Column:
     """Split text after a terminal punctuation run followed by whitespace.
 
     Periods of abbreviations and initials are hidden behind char(2) while the separator
     char(1) is set; both are removed from the text first so they cannot collide. Blank
-    pieces are dropped; ``max_sentences`` is an optional cap.
+    pieces are dropped; ``max_sentences`` is an optional cap. ``guard`` may hide further periods
+    of the text in the same way.
     """
     # On stripped text every piece starts and ends with a non-space character (a
     # boundary swallows the whole whitespace run), so only an empty text yields a
     # blank piece: array_remove replaces a per-piece lambda.
-    guarded = F.regexp_replace(sentence_text(c), CONTINUES, "$1$2" + _DOT)
+    text = sentence_text(c)
+    guarded = F.regexp_replace(guard(text) if guard else text, CONTINUES, "$1$2" + _DOT)
     guarded = F.regexp_replace(guarded, NEVER_ENDS, "$1$2" + _DOT)
     marked = F.regexp_replace(guarded, C.SENTENCE_END + C.WS_CLASS + "+", "$1" + _SEP)
     parts = F.array_remove(F.split(F.replace(marked, F.lit(_DOT), F.lit(".")), _SEP), "")
