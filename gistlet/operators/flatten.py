@@ -11,8 +11,14 @@ D5  flatten_stats        sentence counts per split, vocabulary size, sequence le
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gistlet import config as C
 from gistlet.functions.rows import posexplode_rows
@@ -32,26 +38,56 @@ def aligned_label(labels: Column, index: Column) -> Column:
     return F.coalesce(F.get(labels, index), F.lit(0)).cast("tinyint")
 
 
-def ordinal_offsets(counts: DataFrame, count_col: str, part_col: str, order_cols: list, out_col: str) -> DataFrame:
-    """``counts`` with the exclusive prefix sum of ``count_col`` in the order of ``order_cols`` within ``part_col``.
+def _running(part_at: int, count_at: int, names: list[str]):
+    """Adds to rows that are in order the sum of the counts before them in their part and task, and the task's number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, last, seen, begun = TaskContext.get().partitionId(), None, 0, False
+        for b in batches:
+            if not b.num_rows:
+                continue
+            part = np.array(b.column(part_at).to_pylist() + [None], dtype=object)[:-1]
+            n = b.column(count_at).cast(pa.int64()).fill_null(0).to_numpy()
+            before = np.cumsum(n) - n
+            first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            own = before - np.repeat(before[first], np.diff(np.append(first, len(n))))
+            if begun and part[0] == last:
+                own[:first[1] if len(first) > 1 else len(n)] += seen
+            last, seen, begun = part[-1], int(own[-1] + n[-1]), True
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own), pa.array(np.full(len(n), task, np.int32))], names=names)
+
+    return run
+
+
+#: Rows of the table of sums by part and range that are broadcast; more are joined.
+STARTS = 100_000
 
-    The rows are dealt out by ranges of (part, order), of equal numbers of rows whatever the values
-    of the order are, and written with their range's number. Each range sums up its own rows, and
-    starts at the sum of the ranges before it in its part: one row per part and range.
+
+def ordinal_offsets(rows: DataFrame, count_col: str, part_col: str, order_cols: list, out_col: str) -> DataFrame:
+    """``rows`` with the exclusive prefix sum of ``count_col`` in the order of ``order_cols`` within ``part_col``.
+
+    The rows are dealt out once, by ranges of (part, order), and written with the running sum of their own
+    range and its number. Each range starts at the sum of the ranges before it in its part: one row per part
+    and range, which meets the written rows where they lie, so that they are not moved again. A null
+    part is a part; rows of one place follow each other in any order, fixed by the writing.
     """
-    spark = counts.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark = rows.sparkSession
     path = new_work_path(spark, "ordinals")
-    (counts.repartitionByRange(ranges, part_col, *order_cols).withColumn("_range", F.spark_partition_id())
-     .write.parquet(path))
-    rows = spark.read.parquet(path)
-    earlier = Window.partitionBy(part_col).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (rows.groupBy(part_col, "_range").agg(F.sum(count_col).alias("_sum"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("_own", T.LongType()), T.StructField("_range", T.IntegerType())])
+    dealt = rows.repartitionByRange(part_col, *order_cols).sortWithinPartitions(part_col, *order_cols)
+    dealt.mapInArrow(_running(rows.columns.index(part_col), rows.columns.index(count_col), schema.names), schema).write.parquet(path)
+    kept = spark.read.schema(schema).parquet(path)
+    earlier = Window.partitionBy("_part").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (kept.groupBy(F.col(part_col).alias("_part"), F.col("_range").alias("_of")).agg(F.sum(count_col).alias("_sum"))
               .withColumn("_start", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum"))
-    own = Window.partitionBy(part_col, "_range").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_own", F.coalesce(F.sum(count_col).over(own), F.lit(0)))
-    return (rows.join(starts, [part_col, "_range"])
-            .withColumn(out_col, (F.col("_start") + F.col("_own")).cast("bigint")).drop("_start", "_own", "_range"))
+    path = new_work_path(spark, "range-starts")
+    starts.write.parquet(path)
+    starts = spark.read.parquet(path)
+    if starts.count() <= STARTS:
+        starts = F.broadcast(starts)
+    joined = kept.join(starts, kept[part_col].eqNullSafe(F.col("_part")) & (kept["_range"] == F.col("_of")))
+    return (joined.withColumn(out_col, (F.col("_start") + F.col("_own")).cast("bigint"))
+            .drop("_start", "_own", "_range", "_part", "_of"))
 
 
 def order_columns(df: DataFrame) -> list:
@@ -61,18 +97,8 @@ def order_columns(df: DataFrame) -> list:
 
 def add_ordinal_offset(articles: DataFrame, count_col: str, part_col: str = "split",
                        out_col: str = "_offset") -> DataFrame:
-    """Exclusive prefix sum of ``count_col`` in source order within ``part_col``, joined to the articles.
-
-    The articles are written once, with a row number that is data from then on; only part, place, row
-    number and count go through the prefix sum. Articles of one place follow each other by that number.
-    """
-    spark = articles.sparkSession
-    path = new_work_path(spark, "articles")
-    articles.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
-    kept = spark.read.parquet(path)
-    order = [*order_columns(articles), "_row"]
-    offsets = ordinal_offsets(kept.select(part_col, *order, count_col), count_col, part_col, order, out_col)
-    return kept.join(offsets.select("_row", out_col), "_row").drop("_row")
+    """Exclusive prefix sum of ``count_col`` in source order within ``part_col``, on the articles."""
+    return ordinal_offsets(articles, count_col, part_col, order_columns(articles), out_col)
 
 
 def flatten_sentences(labeled: DataFrame, with_ordinal: bool = True,
