@@ -6,6 +6,7 @@ A1  read_raw_articles      tolerant line JSON (malformed, blank, array and scala
 A2  write_raw_articles     one JSONL set per split (partitionBy split)
 A3  write_labeled          labeled articles, nulls kept (ignoreNullFields=false)
 A4  read_labeled           tolerant (DROPMALFORMED)
+B4  read_with_rejects      one pass into accepted and rejected lines, with counts
 A5  read_labeled_strict    strict (FAILFAST): a bad line fails the job
 A6  write_flat             flat sentences with nested meta
 A11 write_stats            the one-row stats table as JSON
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,6 +106,40 @@ def parse_json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     return parsed.where(ok)
 
 
+def read_with_rejects(spark: SparkSession, path: str, out: str, schema: T.StructType = RAW_SCHEMA) -> dict[str, int]:
+    """One pass over JSON lines into two tables below ``out``; returns how many lines went into each.
+
+    ``accepted_lines`` reads the parsed lines, ``rejected_lines`` the others with file, line, reason and the line itself.
+    The counts are observed while the tables are written, so no line is read for them, and whatever
+    columns are asked for later, accepted and rejected lines are all lines.
+    """
+    with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
+    lines = numbered_lines(spark, path).withColumn(
+        "_j", F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
+    reason = (F.when(F.trim("value") == "", "blank").when(~F.ltrim("value").startswith("{"), "no object")
+              .when(F.col("_j").isNull() | F.col(f"_j.{_CORRUPT}").isNotNull(), "malformed"))
+    rows = lines.withColumn("reason", reason).withColumn("accepted", F.col("reason").isNull())
+    rows = rows.select("file", "split", "line", *[F.when(F.col("accepted"), F.col(f"_j.{f.name}")).alias(f"json_{f.name}") for f in schema.fields],
+                       "reason", F.when(~F.col("accepted"), F.col("value")).alias("value"),
+                       F.when(F.col("accepted"), "accepted").otherwise("rejected").alias("went"))
+    seen = Observation()
+    rows = rows.observe(seen, F.count_if(F.col("went") == "accepted").alias("accepted"),
+                        F.count_if(F.col("went") == "rejected").alias("rejected"))
+    rows.write.partitionBy("went").parquet(out)
+    return {k: int(v) for k, v in seen.get.items()}
+
+
+def accepted_lines(spark: SparkSession, out: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """file, split, line and the fields of the lines that were accepted."""
+    rows = spark.read.parquet(out).where("went = 'accepted'")
+    return rows.select("file", "split", "line", *[F.col(f"json_{f.name}").alias(f.name) for f in schema.fields])
+
+
+def rejected_lines(spark: SparkSession, out: str) -> DataFrame:
+    """file, split, line, reason (blank, no object, malformed) and text of the lines that were not."""
+    return spark.read.parquet(out).where("went = 'rejected'").select("file", "split", "line", "reason", "value")
+
+
 def _has_key(name: str) -> Column:
     """Whether the line's JSON object has a top-level key, null or not."""
     return F.array_contains(F.json_object_keys("value"), name)
@@ -148,9 +183,9 @@ def write_labeled(labeled: DataFrame, path: str) -> None:
 
 
 def _whole(label: Column) -> Column:
-    """A JSON label as an integer: numbers are cut to whole ones, true is 1 and false 0."""
+    """A JSON label as an integer: numbers are cut to whole ones, true is 1 and false 0; null where it is no number of a byte."""
     return (F.when(label == "true", 1).when(label == "false", 0)
-            .otherwise(label.try_cast("double").cast("int")).cast("tinyint"))
+            .otherwise(label.try_cast("double").try_cast("int")).try_cast("tinyint"))
 
 
 def read_labeled(spark: SparkSession, path: str) -> DataFrame:
