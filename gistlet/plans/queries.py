@@ -161,6 +161,13 @@ def q_limit_per_split(spark, sf_dir):
     return _limited(spark, sf_dir, 20)
 
 
+def q_limit_four_splits(spark, sf_dir):
+    """E1 on splits that are not the usual three: the documents' sources, and none."""
+    from gistlet.operators.limits import limit_per_split
+    docs = corpus.read_table(spark, sf_dir, "documents").select(F.col("source").alias("split"), F.col("doc_id").alias("pos"))
+    return limit_per_split(docs, 10).select("split", "pos", F.col("rank").cast("bigint").alias("rank"))
+
+
 def q_limit_per_split_2000(spark, sf_dir):
     return _limited(spark, sf_dir, 2000)
 
@@ -185,14 +192,14 @@ def _ids_string(c):
 
 def q_rouge_tokens(spark, sf_dir):
     from gistlet.operators.rouge import rouge_token_col
-    a = articles(spark, sf_dir).withColumn("_t", rouge_token_col("highlights", stem=False))
+    a = articles(spark, sf_dir).withColumn("_t", rouge_token_col("article", stem=False))
     return a.select("split", "id", F.array_join("_t", " ").alias("tokens"),
                     F.size("_t").cast("bigint").alias("n_tokens"))
 
 
 def q_porter_stem(spark, sf_dir):
     from gistlet.operators.rouge import rouge_token_col
-    a = articles(spark, sf_dir).withColumn("_t", rouge_token_col("highlights", stem=True))
+    a = articles(spark, sf_dir).withColumn("_t", rouge_token_col("article", stem=True))
     return a.select("split", "id", F.array_join("_t", " ").alias("stems"),
                     F.size("_t").cast("bigint").alias("n_tokens"))
 
@@ -394,6 +401,15 @@ def q_read_text_articles(spark, sf_dir):
     return jsonl.read_packed_articles(spark, path).select("id", "article")
 
 
+def q_read_whole_text_articles(spark, sf_dir):
+    """One file for each article."""
+    from gistlet.session import new_work_path
+    from gistlet.sources import jsonl
+    path = new_work_path(spark, "whole-text")
+    jsonl.write_text_articles(articles(spark, sf_dir), path)
+    return jsonl.read_text_articles(spark, path).select("id", "article")
+
+
 def q_summarize_text_files(spark, sf_dir):
     """Text articles -> summaries -> summary JSON (T10) -> read back."""
     from gistlet.session import new_work_path
@@ -452,10 +468,9 @@ def q_read_sentences(spark, sf_dir):
     return jsonl.read_sentences(spark, _flat_files(spark, sf_dir)).groupBy("sentence").agg(F.count("*").alias("n"))
 
 
-def q_read_dirty_articles(spark, sf_dir):
-    """Raw lines of which some are broken, blank, no object, or without an id or with a null one."""
+def _dirty_files(spark, sf_dir):
+    """Raw lines of which some are broken, blank, no object, or without an id or with a null one."""
     from gistlet.session import new_work_path
-    from gistlet.sources import jsonl
     raw = corpus.documents_to_raw_articles(corpus.read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     kind = F.pmod("pos", F.lit(8))
     body = F.to_json(F.struct("article", "highlights"), {"ignoreNullFields": "false"})
@@ -465,30 +480,93 @@ def q_read_dirty_articles(spark, sf_dir):
             .otherwise(F.to_json(F.struct("id", "article", "highlights"), {"ignoreNullFields": "false"})))
     path = new_work_path(spark, "dirty")
     raw.select("split", line.alias("value")).write.partitionBy("split").text(path)
-    back = jsonl.read_raw_articles(spark, path)
+    return path
+
+
+def q_read_dirty_articles(spark, sf_dir):
+    """Dirty raw lines, read tolerant."""
+    from gistlet.sources import jsonl
+    back = jsonl.read_raw_articles(spark, _dirty_files(spark, sf_dir))
     # the fallback holds the file's name, which Spark chooses
     ident = F.when(F.col("id") == F.concat("file", F.lit("-"), F.col("pos")), "fallback").otherwise(F.col("id"))
     return back.select("split", ident.alias("id"), "article", "highlights")
 
 
+def q_reject_table(spark, sf_dir):
+    """Every dirty line, from the table that it went into, with the observed size of that table."""
+    from gistlet.session import new_work_path
+    from gistlet.sources import jsonl
+    out = new_work_path(spark, "sorted-out")
+    counts = jsonl.read_with_rejects(spark, _dirty_files(spark, sf_dir), out)
+    good = jsonl.accepted_lines(spark, out).select("split", F.lit("accepted").alias("reason"), F.col("article").alias("value"),
+                                                   F.lit(counts["accepted"]).cast("bigint").alias("n"))
+    bad = jsonl.rejected_lines(spark, out).select("split", "reason", "value", F.lit(counts["rejected"]).cast("bigint").alias("n"))
+    return good.unionByName(bad)
+
+
 def q_read_dirty_labeled(spark, sf_dir):
-    """A4: labels as any JSON numbers, missing ids, null labels and broken lines."""
+    """A4: sentences of whole texts with labels as any JSON values, missing ids, null labels and broken lines."""
     from gistlet.session import new_work_path
     from gistlet.sources import jsonl
-    n = F.col("doc_id").cast("string")
-    kind = F.pmod("doc_id", F.lit(4))
-    sentences = F.concat(F.lit('"sentences": ["a'), n, F.lit('", "b", "c"], "labels": '))
-    line = (F.when(kind == 0, F.concat(F.lit('{"id": "'), n, F.lit('", "labels": ['))) 
-            .when(kind == 1, F.concat(F.lit('{"id": "'), n, F.lit('", '), sentences, F.lit("[1.0, true, 0]}")))
+    a = FL.with_sentences(articles(spark, sf_dir))
+    kind = F.pmod("pos", F.lit(4))
+    sentences = F.concat(F.lit('"sentences": '), F.to_json("sentences"), F.lit(', "labels": '))
+    line = (F.when(kind == 0, F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", "labels": [')))
+            .when(kind == 1, F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", '), sentences, F.lit('[1.0, true, 0, 300, "x", -1]}')))
             .when(kind == 2, F.concat(F.lit("{"), sentences, F.lit("[0, 1]}")))
             .otherwise(F.concat(F.lit('{"id": null, '), sentences, F.lit('null, "summary": "s"}'))))
     path = new_work_path(spark, "dirty-labeled")
-    corpus.read_table(spark, sf_dir, "documents").select(line.alias("value")).write.text(path)
+    a.select(line.alias("value")).write.text(path)
     flat = FL.flatten_sentences(jsonl.read_labeled(spark, path).withColumn("split", F.lit("train")), with_ordinal=False)
     return flat.select("article_id", F.col("sent_index").cast("bigint").alias("sent_index"), "sentence",
                        F.col("label").cast("bigint").alias("label"))
 
 
+def q_aligned_stores(spark, sf_dir):
+    """Sentences, ids, labels and scores, each stored as a table of its own, put together by their key; no scores of
+    the validation split are stored."""
+    from gistlet.operators.align import aligned, store_aligned
+    keys = ["split", "article_id", "sent_index"]
+    lab = lead_labeled(spark, sf_dir).withColumnRenamed("id", "article_id")
+    labels = F.transform("sentences", lambda s, i: FL.aligned_label(F.col("labels"), i))
+    scores = scored_articles(spark, sf_dir).where("split <> 'validation'").withColumnRenamed("id", "article_id")
+    tables = {"sentences": sentence_rows(spark, sf_dir).select(*keys, "sentence"),
+              "ids": encoded_flat(spark, sf_dir).select(*keys, "x"),
+              "labels": posexplode_rows(lab.withColumn("_l", labels), ["split", "article_id"], "_l", "sent_index", "label"),
+              "scores": posexplode_rows(scores, ["split", "article_id"], "scores", "sent_index", "score")}
+    out = aligned(spark, {label: store_aligned(df) for label, df in tables.items()}, how="outer")
+    return out.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"), "sentence",
+                      F.array_join("x", ",").alias("x"), F.col("label").cast("bigint").alias("label"),
+                      F.round("score", 6).alias("score"), "missing")
+
+
+# ------------------------------------------------------------------ learned sentence boundaries
+
+def learned_boundaries(spark, sf_dir):
+    from gistlet.operators.boundaries import Boundaries
+    return made_once("boundaries", spark, sf_dir, lambda: Boundaries.fit(corpus.read_table(spark, sf_dir, "documents")))
+
+
+def q_boundary_type_counts(spark, sf_dir):
+    """Types with and without a period, by language."""
+    from gistlet.operators.boundaries import type_counts
+    return type_counts(corpus.read_table(spark, sf_dir, "documents"))
+
+
+def q_learned_abbreviations(spark, sf_dir):
+    from gistlet.operators.boundaries import abbreviations, type_counts
+    found = abbreviations(type_counts(corpus.read_table(spark, sf_dir, "documents")))
+    return found.select("lang", "type", F.round("score", 6).alias("score"), "n_with", "n_lower", "never")
+
+
+def q_split_sentences_learned(spark, sf_dir):
+    """Sentences of whole texts by the rule and what was learned for their language."""
+    docs = corpus.read_table(spark, sf_dir, "documents").select(
+        "doc_id", learned_boundaries(spark, sf_dir).split("text", "lang").alias("_s"))
+    rows = posexplode_rows(docs, ["doc_id"], "_s", "sent_index", "sentence")
+    return rows.select("doc_id", F.col("sent_index").cast("bigint").alias("sent_index"), "sentence")
+
+
 def q_vocab_store(spark, sf_dir):
     """A vocabulary saved, loaded, and used to encode."""
     from gistlet.session import new_work_path
@@ -561,20 +639,20 @@ def q_train_scorer(spark, sf_dir):
 
 
 def q_model_roundtrip(spark, sf_dir):
-    """Save, load, and predict the first 5 train sentences before and after (smoke test)."""
+    """Save and load a model, and predict the first 5 train sentences before and after (smoke test)."""
     from gistlet.operators.limits import first_n
     from gistlet.operators.scorer import score_udf
     from gistlet.operators.train import load_weights, save_weights
     from gistlet.session import new_work_path
-    wt = trained_model(spark, sf_dir).weights
+    wt = weights(spark, sf_dir)
     path = new_work_path(spark, "model")
     save_weights(spark, wt, path)
     wt2 = load_weights(spark, path)
     head = first_n(encoded_rows(spark, sf_dir).where(F.col("split") == "train"), 5, ["pos", "sent_index"])
     out = head.select("article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
-                      score_udf(spark, wt)(F.col("x")).alias("p_before"),
-                      score_udf(spark, wt2)(F.col("x")).alias("p_after"))
-    return out.withColumn("equal", F.col("p_before") == F.col("p_after"))
+                      score_udf(spark, wt)(F.col("x")).alias("before"), score_udf(spark, wt2)(F.col("x")).alias("after"))
+    return out.select("article_id", "sent_index", F.round("before", 6).alias("p_before"), F.round("after", 6).alias("p_after"),
+                      (F.col("before") == F.col("after")).alias("equal"))
 
 
 def q_train_baseline(spark, sf_dir):
@@ -712,5 +790,12 @@ QUERIES = {
     "quantize_weights": q_quantize_weights,
     "score_quantized": q_score_quantized,
     "summarize_stream": q_summarize_stream,
+    "limit_four_splits": q_limit_four_splits,
+    "read_whole_text_articles": q_read_whole_text_articles,
+    "reject_table": q_reject_table,
+    "aligned_stores": q_aligned_stores,
+    "boundary_type_counts": q_boundary_type_counts,
+    "learned_abbreviations": q_learned_abbreviations,
+    "split_sentences_learned": q_split_sentences_learned,
     "model_drift": q_model_drift,
 }

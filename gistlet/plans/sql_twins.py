@@ -52,9 +52,12 @@ def rouge_tokens(e: str) -> str:
     return f"list_filter(string_split({spaced}, ' '), lambda t: t <> '')"
 
 
-def sentences(e: str) -> str:
-    text = strip(f"replace(replace({e}, chr(1), ''), chr(2), '')")
-    hidden = text
+def stripped(e: str) -> str:
+    return strip(f"replace(replace({e}, chr(1), ''), chr(2), '')")
+
+
+def sentences(e: str, raw: bool = True) -> str:
+    hidden = stripped(e) if raw else e
     for _ in range(2):      # a match takes the letter after it along, which may begin the next one
         hidden = f"regexp_replace({hidden}, {CONTINUES_RE}, '\\1\\2' || chr(2) || '\\3', 'g')"
     hidden = f"regexp_replace({hidden}, {NEVER_RE}, '\\1\\2' || chr(2), 'g')"
@@ -140,6 +143,56 @@ summ AS (
   GROUP BY r.split, r.article_id)"""
 
 
+# Learned sentence boundaries: counts by type, their scores, pairs, and the texts with the learned periods hidden.
+BOUNDARIES = f"""
+doc_words AS MATERIALIZED (
+  SELECT doc_id, coalesce(lang, '') AS lang, list_transform(list_filter(regexp_split_to_array({stripped('text')}, {q(WS + '+')}),
+         lambda w: w <> ''), lambda w: trim(w, {q(chr(34) + "'()[]{},;:!?“”‘’«»")})) AS w
+  FROM documents WHERE text IS NOT NULL),
+each_word AS MATERIALIZED (
+  SELECT lang, w[i] AS w, coalesce(w[i + 1], '') AS next FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM doc_words)),
+types AS MATERIALIZED (
+  SELECT lang, lower(rtrim(w, '.')) AS type, count(*) FILTER (WHERE w LIKE '%.') AS n_with,
+         count(*) FILTER (WHERE w NOT LIKE '%.') AS n_without,
+         count(*) FILTER (WHERE w LIKE '%.' AND regexp_matches(next, '^[\\p{{Ll}}\\p{{N}}]')) AS n_lower
+  FROM each_word WHERE rtrim(w, '.') <> '' GROUP BY ALL),
+totals AS (SELECT lang, sum(n_with)::DOUBLE AS dots, sum(n_with + n_without)::DOUBLE AS words FROM types GROUP BY lang),
+rated AS (
+  SELECT t.*, 2 * (n_with * ln(0.99) + n_without * ln(0.01) - n_with * ln(greatest(dots / words, 1e-12))
+                   - n_without * ln(greatest(1 - dots / words, 1e-12)))
+         * exp(-(length(replace(type, '.', '')))) * (length(type) - length(replace(type, '.', '')) + 1)
+         * power(length(replace(type, '.', ''))::DOUBLE, -n_without) AS score
+  FROM types t JOIN totals USING (lang) WHERE n_with >= 3 AND regexp_matches(type, '\\p{{L}}')),
+learned AS MATERIALIZED (
+  SELECT lang, type, score, n_with, n_lower, n_with >= 5 AND n_lower >= 0.9 * n_with AS never
+  FROM rated WHERE score >= 0.3 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, type) <= 400)"""
+
+BOUNDARY_PAIRS = f"""
+pairs AS (
+  SELECT lang, lower(rtrim(w, '.')) AS type, lower(rtrim(next, '.')) AS next, count(*)::DOUBLE AS k FROM each_word
+  WHERE w LIKE '%.' AND rtrim(next, '.') <> '' GROUP BY ALL HAVING count(*) >= 2),
+known AS (
+  SELECT p.*, (a.n_with + a.n_without)::DOUBLE AS a, (b.n_with + b.n_without)::DOUBLE AS b, words AS n
+  FROM pairs p JOIN learned USING (lang, type) JOIN types a ON a.lang = p.lang AND a.type = p.type
+  JOIN types b ON b.lang = p.lang AND b.type = p.next JOIN totals t ON t.lang = p.lang),
+together AS (
+  SELECT lang, type, next, 2 * (
+      k * ln(greatest(k / a, 1e-12)) + (a - k) * ln(greatest(1 - k / a, 1e-12))
+      + (b - k) * ln(greatest((b - k) / (n - a), 1e-12)) + (n - a - b + k) * ln(greatest(1 - (b - k) / (n - a), 1e-12))
+      - k * ln(b / n) - (a - k) * ln(1 - b / n) - (b - k) * ln(b / n) - (n - a - b + k) * ln(1 - b / n)) AS ratio
+  FROM known WHERE k / a > b / n),
+ends_nothing AS (
+  SELECT lang, regexp_escape(type) AS t, CASE WHEN never THEN '' ELSE '[\\p{{Ll}}\\p{{N}}]' END AS ahead FROM learned
+  UNION ALL SELECT lang, regexp_escape(type), '(?i:' || regexp_escape(next) || ')(?:$|[^\\p{{L}}\\p{{N}}])' FROM (
+    SELECT * FROM together WHERE ratio >= 7.88 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY ratio DESC, type, next) <= 400)),
+rules AS (
+  SELECT lang, list('(^|[^\\p{{L}}\\p{{N}}.])((?i:' || t || '))\\.(' || {q(WS + '+')} || ahead || ')') AS rule FROM ends_nothing GROUP BY lang),
+guarded AS MATERIALIZED (
+  SELECT doc_id, list_reduce(list_concat([{stripped('text')}], list_concat(coalesce(rule, []), coalesce(rule, []))),
+         lambda acc, p: regexp_replace(acc, p, '\\1\\2' || chr(2) || '\\3', 'g')) AS hidden
+  FROM documents d LEFT JOIN rules r ON r.lang = coalesce(d.lang, ''))"""
+
+
 def f_measure(p: str, r: str) -> str:
     return f"CASE WHEN {p} + {r} > 0 THEN 2.0 * {p} * {r} / ({p} + {r}) ELSE 0.0 END"
 
@@ -327,8 +380,8 @@ FROM ranked WHERE rk <= {K}""")
 SELECT split, id, n_sentences, selected_indices, summary FROM summ""")
 
     t["rouge_tokens"] = with_ctes(ARTICLES, body=f"""
-SELECT split, id, array_to_string({rouge_tokens('highlights')}, ' ') AS tokens,
-       CAST(len({rouge_tokens('highlights')}) AS BIGINT) AS n_tokens
+SELECT split, id, array_to_string({rouge_tokens('article')}, ' ') AS tokens,
+       CAST(len({rouge_tokens('article')}) AS BIGINT) AS n_tokens
 FROM articles""")
 
     t["rouge1"] = rouge_sql("rouge1", rouge_n_ctes(1))
@@ -346,7 +399,7 @@ FROM articles""")
     t["evaluate_rouge_stemmed"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, stemmed_pairs, rouge_n_ctes(1),
                                             rouge_n_ctes(2), ROUGE_L, body=means)
     t["porter_stem"] = with_ctes(ARTICLES, f"""
-said0 AS (SELECT split, id, {rouge_tokens('highlights')} AS t FROM articles)""", stems_of(("said0", "t")),
+said0 AS (SELECT split, id, {rouge_tokens('article')} AS t FROM articles)""", stems_of(("said0", "t")),
                                  stemmed("said", "said0", "id", "t"), body="""
 SELECT split, id, array_to_string(t, ' ') AS stems, CAST(len(t) AS BIGINT) AS n_tokens FROM said""")
 
@@ -389,12 +442,38 @@ FROM scored_y GROUP BY split""")
     t["read_dirty_articles"] = with_ctes(ARTICLES, body="""
 SELECT split, CASE pos % 8 WHEN 1 THEN 'fallback' WHEN 2 THEN NULL ELSE id END AS id, article, highlights
 FROM articles WHERE pos % 8 NOT IN (0, 3, 4)""")
-    t["read_dirty_labeled"] = """
-SELECT CASE doc_id % 4 WHEN 1 THEN CAST(doc_id AS VARCHAR) WHEN 2 THEN '' ELSE NULL END AS article_id,
-       CAST(i AS BIGINT) AS sent_index, CASE i WHEN 0 THEN 'a' || CAST(doc_id AS VARCHAR) WHEN 1 THEN 'b' ELSE 'c' END AS sentence,
-       CAST(CASE WHEN doc_id % 4 = 1 THEN CASE WHEN i < 2 THEN 1 ELSE 0 END
-                 WHEN doc_id % 4 = 2 THEN CASE WHEN i = 1 THEN 1 ELSE 0 END ELSE 0 END AS BIGINT) AS label
-FROM documents, (SELECT unnest(range(3)) AS i) WHERE doc_id % 4 <> 0"""
+    t["read_dirty_labeled"] = with_ctes(ARTICLES, body="""
+SELECT CASE pos % 4 WHEN 1 THEN article_id WHEN 2 THEN '' ELSE NULL END AS article_id, CAST(sent_index AS BIGINT) AS sent_index, sentence,
+       CAST(CASE WHEN pos % 4 = 1 THEN CASE sent_index WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 5 THEN -1 ELSE 0 END
+                 WHEN pos % 4 = 2 AND sent_index = 1 THEN 1 ELSE 0 END AS BIGINT) AS label
+FROM flat WHERE pos % 4 <> 0""")
+    t["reject_table"] = with_ctes(ARTICLES, body="""
+SELECT split, CASE pos % 8 WHEN 0 THEN 'malformed' WHEN 3 THEN 'no object' WHEN 4 THEN 'blank' ELSE 'accepted' END AS reason,
+       CASE pos % 8 WHEN 0 THEN '{broken ' || id WHEN 3 THEN '[1, 2]' WHEN 4 THEN '  ' ELSE article END AS value,
+       count(*) OVER (PARTITION BY pos % 8 IN (0, 3, 4)) AS n
+FROM raw2""")
+    t["read_whole_text_articles"] = with_ctes(ARTICLES, body="SELECT id, article FROM articles")
+    t["aligned_stores"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, LEAD, body="""
+SELECT f.split, f.article_id, CAST(f.sent_index AS BIGINT) AS sent_index, f.sentence, array_to_string(e.x, ',') AS x,
+       CAST(l.labels[f.sent_index + 1] AS BIGINT) AS label,
+       CASE WHEN f.split <> 'validation' THEN round(s.score, 6) END AS score,
+       CASE WHEN f.split = 'validation' THEN 'scores' ELSE '' END AS missing
+FROM flat f JOIN enc e ON f.article_id = e.article_id AND f.sent_index = e.sent_index
+JOIN scored s ON f.article_id = s.article_id AND f.sent_index = s.sent_index JOIN labeled l ON f.article_id = l.id""")
+    t["model_roundtrip"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, body="""
+SELECT f.article_id, CAST(f.sent_index AS BIGINT) AS sent_index, round(score, 6) AS p_before, round(score, 6) AS p_after, true AS equal
+FROM scored s JOIN flat f ON s.article_id = f.article_id AND s.sent_index = f.sent_index
+WHERE f.split = 'train' ORDER BY pos, f.sent_index LIMIT 5""")
+    t["limit_four_splits"] = """
+SELECT split, pos, rank FROM (SELECT source AS split, doc_id AS pos, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rank
+                              FROM documents) WHERE rank <= 10"""
+    t["boundary_type_counts"] = with_ctes(BOUNDARIES, body="SELECT lang, type, n_with, n_without, n_lower FROM types")
+    t["learned_abbreviations"] = with_ctes(BOUNDARIES, body="""
+SELECT lang, type, round(score, 6) AS score, n_with, n_lower, never FROM learned""")
+    t["split_sentences_learned"] = with_ctes(BOUNDARIES, BOUNDARY_PAIRS, body=f"""
+SELECT doc_id, sent_index, sentence FROM (
+  SELECT doc_id, unnest(s) AS sentence, CAST(unnest(range(len(s))) AS BIGINT) AS sent_index
+  FROM (SELECT doc_id, {sentences('hidden', raw=False)} AS s FROM guarded))""")
 
     t["flatten_ordinals"] = with_ctes(ARTICLES, """
 offs AS (
