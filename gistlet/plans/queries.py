@@ -132,6 +132,15 @@ def q_score_sentences(spark, sf_dir):
         F.round("score", 6).alias("score"))
 
 
+def q_score_sentences_joined(spark, sf_dir):
+    """Scores through a joined embedding, of which only the first 64 rows are broadcast."""
+    from gistlet.operators.scorer_join import embedding_table, score_joined
+    wt = weights(spark, sf_dir)
+    scored = score_joined(encoded_flat(spark, sf_dir), embedding_table(spark, wt), wt, head=64)
+    return scored.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
+                         F.round("score", 6).alias("score"))
+
+
 def q_topk_sentences(spark, sf_dir):
     # ranked within each article row, which holds all its scores
     s = scored_articles(spark, sf_dir).withColumnRenamed("id", "article_id")
@@ -747,6 +756,7 @@ QUERIES = {
     "infer_vocab_size": q_infer_vocab_size,
     "flatten_stats": q_flatten_stats,
     "score_sentences": q_score_sentences,
+    "score_sentences_joined": q_score_sentences_joined,
     "topk_sentences": q_topk_sentences,
     "cap_sentences": q_cap_sentences,
     "limit_per_split": q_limit_per_split,

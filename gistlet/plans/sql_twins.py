@@ -372,6 +372,8 @@ FROM flat""")
     t["score_sentences"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, body="""
 SELECT split, article_id, CAST(sent_index AS BIGINT) AS sent_index, round(score, 6) AS score FROM scored""")
 
+    t["score_sentences_joined"] = t["score_sentences"]
+
     t["topk_sentences"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, body=f"""
 SELECT split, article_id, CAST(sent_index AS BIGINT) AS sent_index, CAST(rk AS BIGINT) AS rank
 FROM ranked WHERE rk <= {K}""")
