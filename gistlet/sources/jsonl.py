@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,8 +110,9 @@ def read_with_rejects(spark: SparkSession, path: str, out: str, schema: T.Struct
     """One pass over JSON lines into two tables below ``out``; returns how many lines went into each.
 
     ``accepted_lines`` reads the parsed lines, ``rejected_lines`` the others with file, line, reason and the line itself.
-    The counts are observed while the tables are written, so no line is read for them, and whatever
-    columns are asked for later, accepted and rejected lines are all lines.
+    The counts are those of the written rows, so whatever columns are asked for later, accepted and rejected
+    lines are all lines. (An ``Observation`` would count in the same pass, but a session that has used one can
+    no longer send Spark ML's closures to its tasks.)
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
     lines = numbered_lines(spark, path).withColumn(
@@ -122,11 +123,10 @@ def read_with_rejects(spark: SparkSession, path: str, out: str, schema: T.Struct
     rows = rows.select("file", "split", "line", *[F.when(F.col("accepted"), F.col(f"_j.{f.name}")).alias(f"json_{f.name}") for f in schema.fields],
                        "reason", F.when(~F.col("accepted"), F.col("value")).alias("value"),
                        F.when(F.col("accepted"), "accepted").otherwise("rejected").alias("went"))
-    seen = Observation()
-    rows = rows.observe(seen, F.count_if(F.col("went") == "accepted").alias("accepted"),
-                        F.count_if(F.col("went") == "rejected").alias("rejected"))
     rows.write.partitionBy("went").parquet(out)
-    return {k: int(v) for k, v in seen.get.items()}
+    # the folder's name alone: the files' footers know how many rows they hold
+    counts = spark.read.parquet(out).groupBy("went").count().collect() if not rows.isEmpty() else []
+    return {"accepted": 0, "rejected": 0} | {r["went"]: int(r["count"]) for r in counts}
 
 
 def accepted_lines(spark: SparkSession, out: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
