@@ -15,6 +15,13 @@ def _normalized_offsets(arr: pa.ListArray) -> pa.Array:
     return pc.subtract(offs, pa.scalar(first, offs.type)) if first else offs
 
 
+def list_starts(arr: pa.ListArray):
+    """Where each list begins in the flattened values, and where the last one ends (null lists are empty)."""
+    import numpy as np
+
+    return np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+
 def list_values(arr) -> pa.Array:
     """Flattened child values of a (possibly sliced) list array."""
     if isinstance(arr, pa.ChunkedArray):

@@ -71,13 +71,17 @@ class ScorerWeights:
         return cls(emb, w1, b1, w2, b2, seq_len)
 
 
-def forward(wt: ScorerWeights, x: np.ndarray) -> np.ndarray:
-    """NumPy forward pass on an [N, seq_len] id matrix -> [N] probabilities."""
+def layers(wt: ScorerWeights, x: np.ndarray) -> dict[str, np.ndarray]:
+    """NumPy activations of each layer on an [N, seq_len] id matrix."""
     x = np.clip(x, 0, wt.vocab_size - 1)
     pooled = wt.emb[x].mean(axis=1)
-    h = np.maximum(pooled @ wt.w1 + wt.b1, 0.0)
-    z = h @ wt.w2 + wt.b2
-    return 1.0 / (1.0 + np.exp(-z))
+    hidden = np.maximum(pooled @ wt.w1 + wt.b1, 0.0)
+    return {"pooled": pooled, "hidden": hidden, "logit": hidden @ wt.w2 + wt.b2}
+
+
+def forward(wt: ScorerWeights, x: np.ndarray) -> np.ndarray:
+    """NumPy forward pass on an [N, seq_len] id matrix -> [N] probabilities."""
+    return 1.0 / (1.0 + np.exp(-layers(wt, x)["logit"]))
 
 
 def ids_matrix(series: pd.Series, seq_len: int) -> np.ndarray:

@@ -4,24 +4,32 @@ D1  token_counts       explode + hash aggregate (partial aggregation map-side)
 E6  top tokens         orderBy(n desc, token desc).limit(N) -> TakeOrderedAndProject,
                        then ids on those N rows only (never a global window)
 G2  VocabularyBuilder  Estimator-style fit() -> Vocabulary model
-C1  lookup_ids_join    left join of tokens with the vocabulary
+C1  encode_by_join     token ids by a join, for vocabularies that are too large to broadcast
 G3  encode_flat        token ids of each sentence row, padded or cut to seq_len (F4)
     encode_articles    the same for an array of sentences in each article row
 D6  infer_vocab_size   max id + 1
 
 Both encoders look tokens up in a broadcast list, without a shuffle, while the vocabulary has
 at most ``BROADCAST_VOCAB_LIMIT`` entries, and by the join C1 beyond it; results are the same.
+
+The join moves neither text nor lists of sentences by their content. The first ``HEAD`` entries, which are the
+most frequent ones, are looked up in the row as before. What they lack becomes (row number, place, token), and of
+these the hot tokens, each more than 1 of ``HOT`` of them all and so fewer than ``HOT``, get their ids from the driver.
+The others have no hot key left: they meet the vocabulary in a join on the token, and ids go back
+to their row by its number, which is written before it is used.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gistlet import config as C
-from gistlet.functions.arrow_kernels import lookup_token_ids, matrix_to_nested, padded_matrix
+from gistlet.functions.arrow_kernels import list_starts, lookup_token_ids, matrix_to_nested, padded_matrix, rebuild_list
 from gistlet.functions.rows import explode_rows
 from gistlet.functions.text import text_tokens
 from gistlet.session import new_work_path
@@ -29,6 +37,12 @@ from gistlet.session import new_work_path
 # Entries of a vocabulary that is broadcast (some tens of MB); larger ones are joined.
 BROADCAST_VOCAB_LIMIT = 1_000_000
 
+# Entries of a larger vocabulary that are looked up in the row.
+HEAD = 100_000
+
+# A token is hot in a join if it is more than 1 of this many.
+HOT = 1000
+
 
 def token_counts(sentences: DataFrame, text_col: str = "sentence") -> DataFrame:
     """(token, n) over all tokens of all sentences (full sentences, not truncated)."""
@@ -144,49 +158,103 @@ def sentence_tokens(sentence: Column, seq_len: int = C.SEQ_LEN) -> Column:
     return F.slice(text_tokens(sentence), 1, seq_len)
 
 
-def lookup_ids_join(tokens: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """tokens(..., token) left-joined to the vocabulary; unmatched -> UNK id."""
-    j = tokens.join(vocab.lookup_table(), "token", "left")
-    return j.withColumn("id", F.coalesce(F.col("id"), F.lit(C.UNK_ID)).cast("int"))
+def _same_batch(*arrays):
+    return [a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays]
+
+
+def _head_lookup(known, seq_len: int, tokens: Column) -> Column:
+    """Arrow UDF: padded ids of nested tokens by the broadcast entries ``known`` (tokens, ids), and the (place, token) of
+    those that are not among them. A place counts through the row's sentences of ``seq_len`` places each."""
+    cache = {}
+
+    @F.arrow_udf("struct<x: array<array<int>>, rest: array<struct<place: bigint, token: string>>>")
+    def _look_up(lists: pa.Array) -> pa.Array:
+        if not cache:
+            cache["tokens"], cache["ids"] = pa.array(known.value[0], pa.string()), pa.array(known.value[1], pa.int32())
+        (lists,) = _same_batch(lists)
+        sentences = lists.flatten()
+        flat = sentences.flatten()
+        at = pc.index_in(flat, value_set=cache["tokens"])
+        ids = pc.fill_null(pc.take(cache["ids"], at), C.UNK_ID)
+        of_row, of_sentence = list_starts(lists), list_starts(sentences)
+        missing = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        sentence = np.searchsorted(of_sentence, missing, side="right") - 1
+        row = np.searchsorted(of_row, sentence, side="right") - 1
+        place = (sentence - of_row[row]) * seq_len + missing - of_sentence[sentence]
+        entries = pa.StructArray.from_arrays([pa.array(place, pa.int64()), flat.take(pa.array(missing, pa.int64()))], ["place", "token"])
+        rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(lists) + 1)), pa.int32()), entries)
+        x = matrix_to_nested(lists, padded_matrix(rebuild_list(sentences, ids), seq_len, C.PAD_ID))
+        return pa.StructArray.from_arrays([x, rest], ["x", "rest"])
+    return _look_up(tokens)
+
+
+def _put_ids(hot, seq_len: int, x: Column, rest: Column, found: Column) -> Column:
+    """Arrow UDF: ``x`` with the ids of ``rest``'s hot tokens, and those of ``found`` (place, id), at their places."""
+    @F.arrow_udf("array<array<int>>")
+    def _put(x: pa.Array, rest: pa.Array, found: pa.Array) -> pa.Array:
+        x, rest, found = _same_batch(x, rest, found)
+        flat = np.array(x.flatten().flatten(), dtype=np.int64)
+        start = list_starts(x) * seq_len
+
+        def put(entries, ids):
+            places = np.asarray(entries.flatten().field("place"), dtype=np.int64)
+            known = np.asarray(pc.is_valid(ids))
+            row = np.repeat(np.arange(len(entries)), np.diff(list_starts(entries)))
+            flat[start[row[known]] + places[known]] = np.asarray(ids.drop_null(), dtype=np.int64)
+
+        at = pc.index_in(rest.flatten().field("token"), value_set=pa.array(list(hot.value), pa.string()))
+        put(rest, pc.take(pa.array(list(hot.value.values()), pa.int32()), at))
+        put(found, found.flatten().field("id"))
+        return matrix_to_nested(x, flat.reshape(-1, seq_len))
+    return _put(x, rest, found)
+
+
+def encode_by_join(rows: DataFrame, vocab: Vocabulary, tokens: Column, out_col: str, seq_len: int, head: int | None = None,
+                   hot: int | None = None) -> DataFrame:
+    """``rows`` with ``out_col``, the padded ids of ``tokens`` (an array of token arrays, each at most ``seq_len``
+    long). A token that the vocabulary lacks is unknown; null tokens give null, an empty array an empty one. Repeated rows
+    stay apart; all columns are kept."""
+    spark, head, hot = rows.sparkSession, HEAD if head is None else head, HOT if hot is None else hot
+    table = vocab.lookup_table()
+    first = table.where(F.col("id") < 2 + head).orderBy("id").collect()         # at most ``head`` entries
+    known = spark.sparkContext.broadcast(([r["token"] for r in first], [r["id"] for r in first]))
+    path = new_work_path(spark, "rows-to-encode")
+    rows.select("*", _head_lookup(known, seq_len, tokens).alias("_looked"), F.monotonically_increasing_id().alias("_row")) \
+        .write.parquet(path)
+    kept = spark.read.parquet(path)
+    rest = explode_rows(kept, ["_row"], "_looked.rest", "_e").select("_row", "_e.place", "_e.token")
+    total = kept.agg(F.sum(F.size("_looked.rest"))).first()[0] or 0
+    often = rest.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > total / hot)
+    tail = table.where(F.col("id") >= 2 + head)
+    hot_ids = {r["token"]: r["id"] for r in often.join(tail, "token", "left").collect()}     # fewer than ``hot``
+    cold = rest.where(~F.col("token").isin(list(hot_ids))) if hot_ids else rest
+    found = (cold.join(tail, "token").groupBy(F.col("_row").alias("_of"))
+             .agg(F.collect_list(F.struct("place", "id")).alias("_found")))      # of one row
+    none = F.array().cast("array<struct<place: bigint, id: int>>")
+    x = _put_ids(spark.sparkContext.broadcast(hot_ids), seq_len, F.col("_looked.x"), F.col("_looked.rest"), F.coalesce("_found", none))
+    return (kept.join(found, F.col("_row") == F.col("_of"), "left").withColumn(out_col, x)
+            .drop("_looked", "_row", "_of", "_found"))
 
 
 def encode_flat(sentences: DataFrame, vocab: Vocabulary, keys: list,
                 text_col: str = "sentence", seq_len: int | None = None) -> DataFrame:
     """One row per sentence row with x ARRAY<INT> of length seq_len; repeated rows stay apart."""
     seq_len = seq_len or vocab.seq_len
+    toks = F.array(sentence_tokens(F.col(text_col), seq_len))
     if vocab.fits:
-        toks = F.array(sentence_tokens(F.col(text_col), seq_len))
         return sentences.select(*keys, in_row_lookup(vocab, toks, True, seq_len)[0].alias("x"))
-    # grouped by the whole row: rows that are equal in keys and text have equal ids, so one
-    # set of (position, id) serves them all and is given out as often as they occur
-    base = sentences.select(*keys, F.col(text_col).alias("_text"))
-    rows = base.groupBy(*keys, "_text").agg(F.count("*").alias("_copies"))
-    toks = rows.select(*keys, "_text", "_copies",
-                       F.posexplode_outer(sentence_tokens(F.col("_text"), seq_len)).alias("pos", "token"))
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "id"))
-    grouped = (lookup_ids_join(toks, vocab).groupBy(*keys, "_text", "_copies")
-               .agg(F.array_sort(F.collect_list(entry)).alias("_p")))
-    x = pad_ids(F.transform("_p", lambda e: e["id"]), seq_len).alias("x")
-    return grouped.select(*keys, x, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))).alias("_c")).drop("_c")
+    rows = sentences.select(*keys, toks.alias("_tokens"))
+    return encode_by_join(rows, vocab, F.col("_tokens"), "_x", seq_len).select(*keys, F.col("_x")[0].alias("x"))
 
 
 def encode_articles(articles: DataFrame, vocab: Vocabulary, sentences_col: str = "sentences",
                     out_col: str = "x") -> DataFrame:
     """Article rows with ``out_col``: the padded ids of each sentence, as array<array<int>>."""
     seq_len = vocab.seq_len
+    toks = F.transform(sentences_col, lambda s: sentence_tokens(s, seq_len))
     if vocab.fits:
-        toks = F.transform(sentences_col, lambda s: sentence_tokens(s, seq_len))
         return articles.withColumn(out_col, in_row_lookup(vocab, toks, True, seq_len))
-    # equal lists of sentences have equal ids: each distinct list is encoded once, by its hash
-    # and itself, and joined back
-    lists = articles.select(F.col(sentences_col).alias("_list")).distinct()
-    flat = lists.select("_list", F.posexplode("_list").alias("_i", "sentence"))
-    ids = (encode_flat(flat, vocab, ["_list", "_i"]).groupBy("_list")
-           .agg(F.array_sort(F.collect_list(F.struct("_i", "x"))).alias("_e"))
-           .select("_list", F.transform("_e", lambda e: e["x"]).alias("_ids")))
-    none = F.array().cast("array<array<int>>")
-    return (articles.join(ids, articles[sentences_col] == ids["_list"], "left")
-            .withColumn(out_col, F.coalesce("_ids", none)).drop("_list", "_ids"))
+    return encode_by_join(articles, vocab, toks, out_col, seq_len)
 
 
 def infer_vocab_size(encoded: DataFrame, x_col: str = "x") -> DataFrame:

@@ -108,6 +108,15 @@ def q_encode_tokens(spark, sf_dir):
         F.array_join("x", ",").alias("x"))
 
 
+def q_encode_tokens_joined(spark, sf_dir):
+    """The same through the join, of which only the first 64 entries are looked up in the row."""
+    keys = ["split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index")]
+    v = vocabulary(spark, sf_dir)
+    rows = sentence_rows(spark, sf_dir).select(*keys, F.array(VO.sentence_tokens(F.col("sentence"), v.seq_len)).alias("tokens"))
+    enc = VO.encode_by_join(rows, v, F.col("tokens"), "x", v.seq_len, head=64)
+    return enc.select("split", "article_id", "sent_index", F.array_join(F.col("x")[0], ",").alias("x"))
+
+
 def q_infer_vocab_size(spark, sf_dir):
     return VO.infer_vocab_size(encoded_flat(spark, sf_dir).where(F.col("split") == "train"))
 
@@ -678,17 +687,26 @@ def q_train_baseline(spark, sf_dir):
     return losses(baseline_probability(model, rows.where(F.col("split") != "train")), "p", "y", by="split")
 
 
+def sampled_ranges(spark, sf_dir, wt):
+    """D8 of a model, on E7's sample of training sentences."""
+    from gistlet.operators.quantize import activation_ranges, calibration_sample
+    train = encoded_rows(spark, sf_dir).where(F.col("split") == "train")
+    return activation_ranges(calibration_sample(train, ["article_id", "sent_index"], C.CALIBRATION_SAMPLES, seed=0), wt)
+
+
+def q_calibrate_model(spark, sf_dir):
+    """Ranges of a model's own activations, layer by layer."""
+    r = sampled_ranges(spark, sf_dir, weights(spark, sf_dir))
+    return r.select("tensor", F.round("min", 6).alias("min"), F.round("max", 6).alias("max"), F.round("scale", 9).alias("scale"),
+                    F.col("zero_point").cast("bigint").alias("zero_point"))
+
+
 def quantized_model(spark, sf_dir):
-    from gistlet.operators.quantize import QuantizedScorer, calibration_sample
-    from gistlet.operators.scorer import ids_matrix
-    import pandas as pd
+    from gistlet.operators.quantize import QuantizedScorer, layer_grids
 
     def calibrated():
         wt = trained_model(spark, sf_dir).weights
-        train = encoded_rows(spark, sf_dir).where(F.col("split") == "train")
-        sample = calibration_sample(train, ["article_id", "sent_index"], C.CALIBRATION_SAMPLES, seed=0)
-        xs = [r["x"] for r in sample.select("x").collect()]   # at most 500 rows
-        return QuantizedScorer(wt, ids_matrix(pd.Series(xs, dtype=object), wt.seq_len) if xs else [])
+        return QuantizedScorer(wt, layer_grids(sampled_ranges(spark, sf_dir, wt)))
 
     return made_once("quantized", spark, sf_dir, calibrated)
 
@@ -753,6 +771,7 @@ QUERIES = {
     "token_counts": q_token_counts,
     "build_vocab": q_build_vocab,
     "encode_tokens": q_encode_tokens,
+    "encode_tokens_joined": q_encode_tokens_joined,
     "infer_vocab_size": q_infer_vocab_size,
     "flatten_stats": q_flatten_stats,
     "score_sentences": q_score_sentences,
@@ -782,6 +801,7 @@ QUERIES = {
     "quantize": q_quantize,
     "dequantize": q_dequantize,
     "quantization_drift": q_quantization_drift,
+    "calibrate_model": q_calibrate_model,
     "calibration_sample": q_calibration_sample,
     "read_articles": q_read_articles,
     "read_text_articles": q_read_text_articles,

@@ -65,15 +65,24 @@ def sentences(e: str, raw: bool = True) -> str:
     return f"list_filter(string_split({marked}, chr(1)), lambda s: {strip('s')} <> '')"
 
 
-def score(x: str) -> str:
-    """The forward pass for the fixture weights: whole numbers, divided once at the end."""
+def scorer_layers(x: str) -> tuple[list, list, str]:
+    """The fixture weights' layers as whole numbers: pooled times 64 * 32, hidden times 64 * 32 * 16, and the logit
+    without its bias times 64 * 32 * 16 * 4."""
     pooled = [f"list_sum(list_transform({x}, lambda i: ((i * 31 + {d * 17}) % 97) - 48))::BIGINT" for d in range(8)]
-    units = []
+    hidden = []
     for h in range(8):
-        # 64 * 32 * 16 times the unit's input
         first = [f"({pooled[d]}) * ({(d * 13 + h * 7) % 11 - 5})" for d in range(8)]
-        units.append(f"greatest({' + '.join(first)} + ({(h % 3 - 1) * 64 * SEQ * 2}), 0) * ({(h * 5) % 7 - 3})")
-    return f"(1.0 / (1.0 + exp(-((({' + '.join(units)})::DOUBLE) / {64 * SEQ * 16 * 4}.0 + 0.125))))"
+        hidden.append(f"greatest({' + '.join(first)} + ({(h % 3 - 1) * 64 * SEQ * 2}), 0)")
+    return pooled, hidden, " + ".join(f"{u} * ({(h * 5) % 7 - 3})" for h, u in enumerate(hidden))
+
+
+def logit(x: str) -> str:
+    return f"((({scorer_layers(x)[2]})::DOUBLE) / {64 * SEQ * 16 * 4}.0 + 0.125)"
+
+
+def score(x: str) -> str:
+    """The forward pass for the fixture weights, divided once at the end."""
+    return f"(1.0 / (1.0 + exp(-{logit(x)})))"
 
 
 # ---------------------------------------------------------------- CTE building blocks
@@ -358,6 +367,7 @@ SELECT token, id, CAST(coalesce(n, 0) AS BIGINT) AS n FROM vocab""")
     t["encode_tokens"] = with_ctes(ARTICLES, VOCAB, ENCODE, body="""
 SELECT split, article_id, CAST(sent_index AS BIGINT) AS sent_index, array_to_string(x, ',') AS x FROM enc""")
 
+    t["encode_tokens_joined"] = t["encode_tokens"]
     t["infer_vocab_size"] = with_ctes(ARTICLES, VOCAB, ENCODE, body="""
 SELECT CAST(max(list_max(x)) + 1 AS BIGINT) AS vocab_size FROM enc WHERE split = 'train'""")
 
@@ -507,6 +517,19 @@ dq AS (SELECT vec_id, dim, x, q, (q - zp) * scale AS xd FROM qv)"""
     t["calibrate_activations"] = with_ctes(emb, body="""
 SELECT 'embedding' AS tensor, round(mn, 6) AS min, round(mx, 6) AS max, round(scale, 9) AS scale,
        CAST(zp AS BIGINT) AS zero_point FROM cal2""")
+    pooled, hidden, _ = scorer_layers("x")
+    t["calibrate_model"] = with_ctes(ARTICLES, VOCAB, ENCODE, f"""
+sample AS MATERIALIZED (
+  SELECT x FROM enc WHERE split = 'train'
+  ORDER BY md5(concat_ws('-', '0', article_id, CAST(sent_index AS VARCHAR))), article_id, sent_index LIMIT 500),
+act AS (
+  SELECT 'pooled' AS tensor, unnest([{', '.join(pooled)}]) / {64 * SEQ}.0::DOUBLE AS v FROM sample
+  UNION ALL SELECT 'hidden', unnest([{', '.join(hidden)}]) / {64 * SEQ * 16}.0::DOUBLE FROM sample
+  UNION ALL SELECT 'logit', {logit('x')} FROM sample),
+layer AS (SELECT tensor, least(min(v), 0.0) AS mn, greatest(max(v), 0.0) AS mx FROM act GROUP BY tensor),
+grid AS (SELECT *, CASE WHEN mx > mn THEN (mx - mn) / 255.0 ELSE 1.0 END AS scale FROM layer)""", body="""
+SELECT tensor, round(mn, 6) AS min, round(mx, 6) AS max, round(scale, 9) AS scale,
+       CAST(greatest(least(round_even(-128.0 - mn / scale, 0), 127.0), -128.0) AS BIGINT) AS zero_point FROM grid""")
     t["quantize"] = with_ctes(emb, body="SELECT vec_id, dim, q FROM dq")
     t["dequantize"] = with_ctes(emb, body="SELECT vec_id, dim, round(xd, 6) AS value FROM dq")
     t["quantize_weights"] = """

@@ -191,4 +191,4 @@ def test_no_shuffle_key_comes_from_a_row_number():
     for d, parts, files in os.walk(os.path.join(top, "gistlet")):
         parts[:] = [x for x in parts if x != "llm"]         # has its own test
         found += [f for f in files if f.endswith(".py") and "monotonically_increasing_id()" in open(os.path.join(d, f)).read()]
-    assert sorted(found) == ["jsonl.py", "scorer_join.py"]
+    assert sorted(found) == ["jsonl.py", "scorer_join.py", "vocab.py"]

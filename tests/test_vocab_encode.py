@@ -1,5 +1,6 @@
 """G2 vocabulary, C1/G3 encoding (join form == in-row form), F4 padding, D6."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from gistlet.operators import vocab as VO
@@ -79,3 +80,31 @@ def test_encode_keeps_sentences_with_repeated_keys_apart(spark):
     v = VO.VocabularyBuilder(max_tokens=10).fit(s)
     got = sorted(r["x"][:3] for r in VO.encode_flat(s, v, ["article_id", "sent_index"]).collect())
     assert got == [[2, 2, 2], [3, 2, 0], [3, 2, 0]]          # dog = 2, cat = 3
+
+
+@pytest.mark.parametrize("head", [0, 1, 100])
+@pytest.mark.parametrize("hot", [1, 4, 10**6])
+def test_join_gives_each_row_the_ids_of_the_lookup(spark, head, hot):
+    v = VO.VocabularyBuilder(max_tokens=6).fit(repeated(spark).unionByName(sentences(spark)))
+    lists = [["cat dog", "zebra unheard of"], ["cat dog", "zebra unheard of"], [], None, [None, "", "dog"], ["..."],
+             ["the " * 50] * 3, ["new new new cat"] * 40]
+    rows = spark.createDataFrame([(i % 2, s) for i, s in enumerate(lists)], "id INT, sentences ARRAY<STRING>").repartition(3)
+    toks = F.transform("sentences", lambda s: VO.sentence_tokens(s, v.seq_len))
+    want = sorted(map(str, VO.encode_articles(rows, v).collect()))
+    got = VO.encode_by_join(rows, v, toks, "x", v.seq_len, head=head, hot=hot)
+    assert got.columns == ["id", "sentences", "x"]
+    assert sorted(map(str, got.collect())) == want
+    assert VO.encode_by_join(rows.limit(0), v, toks, "x", v.seq_len, head=head, hot=hot).collect() == []
+
+
+def test_large_vocabularies_are_not_brought_to_the_driver_and_move_no_text(spark, monkeypatch):
+    s = sentences(spark)
+    v = VO.VocabularyBuilder(max_tokens=6).fit(s)
+    want = sorted(map(str, VO.encode_flat(s, v, ["article_id", "sent_index"]).collect()))
+    monkeypatch.setattr(VO, "BROADCAST_VOCAB_LIMIT", 1)
+    monkeypatch.setattr(VO, "HEAD", 1)
+    v._tokens = None
+    out = VO.encode_flat(s, v, ["article_id", "sent_index"])
+    assert sorted(map(str, out.collect())) == want and v._tokens is None
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "sentence#" not in plan and "Join" in plan
