@@ -763,6 +763,19 @@ def q_summarize_stream(spark, sf_dir):
                     _ids_string("selected_indices").alias("selected_indices"), "summary")
 
 
+def q_summarize_line_stream(spark, sf_dir):
+    """H1 on dirty JSON lines: a file for each micro-batch, bad lines dropped, ids from file and byte place."""
+    from gistlet.session import new_work_path
+    from gistlet.streaming.articles import summarize_lines
+    base = new_work_path(spark, "line-stream")
+    summarize_lines(spark, _dirty_files(spark, sf_dir), vocabulary(spark, sf_dir), weights(spark, sf_dir), f"{base}/out",
+                    f"{base}/checkpoint", max_files_per_trigger=1)
+    s = spark.read.parquet(f"{base}/out")
+    ident = F.when(F.col("id").rlike(r"\.txt-\d+$"), "fallback").otherwise(F.col("id"))     # the file's name is Spark's choice
+    return s.select("split", ident.alias("id"), F.col("n_sentences").cast("bigint").alias("n_sentences"),
+                    _ids_string("selected_indices").alias("selected_indices"), "summary")
+
+
 QUERIES = {
     "summarize_articles": q_summarize_articles,
     "normalize_articles": q_normalize_articles,
@@ -828,4 +841,5 @@ QUERIES = {
     "learned_abbreviations": q_learned_abbreviations,
     "split_sentences_learned": q_split_sentences_learned,
     "model_drift": q_model_drift,
+    "summarize_line_stream": q_summarize_line_stream,
 }

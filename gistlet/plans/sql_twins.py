@@ -552,6 +552,9 @@ LIMIT 500""")
     t["read_text_articles"] = with_ctes(ARTICLES, body="SELECT id, article FROM articles")
 
     t["summarize_stream"] = t["summarize_articles"]
+    t["summarize_line_stream"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, body="""
+SELECT a.split, CASE pos % 8 WHEN 1 THEN 'fallback' WHEN 2 THEN NULL ELSE a.id END AS id, n_sentences, selected_indices, summary
+FROM summ JOIN articles a ON a.id = summ.id WHERE pos % 8 NOT IN (0, 3, 4)""")
     t["summarize_text_files"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, body="""
 SELECT id, n_sentences, selected_indices, summary, true AS timed FROM summ""")
 

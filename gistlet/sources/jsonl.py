@@ -95,15 +95,24 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         "value")
 
 
+def parsed_line(schema: T.StructType) -> Column:
+    """The column ``value`` as a struct of ``schema`` and the corrupt-record field."""
+    with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
+    return F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def line_fault() -> Column:
+    """Why a line with ``value`` and ``_j`` (its ``parsed_line``) is rejected; null for a good one."""
+    return (F.when(F.trim("value") == "", "blank").when(~F.ltrim("value").startswith("{"), "no object")
+            .when(F.col("_j").isNull() | F.col(f"_j.{_CORRUPT}").isNotNull(), "malformed"))
+
+
 def parse_json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Parse the ``value`` column; malformed, blank and non-object lines are dropped."""
-    with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
-    parsed = lines.withColumn(
-        "_j", F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
     # the corrupt-record field is only filled in where it is asked for, whatever else is selected
     ok = (F.col("_j").isNotNull() & F.col(f"_j.{_CORRUPT}").isNull()
           & F.ltrim(F.col("value")).startswith("{"))
-    return parsed.where(ok)
+    return lines.withColumn("_j", parsed_line(schema)).where(ok)
 
 
 def read_with_rejects(spark: SparkSession, path: str, out: str, schema: T.StructType = RAW_SCHEMA) -> dict[str, int]:
@@ -114,12 +123,8 @@ def read_with_rejects(spark: SparkSession, path: str, out: str, schema: T.Struct
     lines are all lines. (An ``Observation`` would count in the same pass, but a session that has used one can
     no longer send Spark ML's closures to its tasks.)
     """
-    with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
-    lines = numbered_lines(spark, path).withColumn(
-        "_j", F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
-    reason = (F.when(F.trim("value") == "", "blank").when(~F.ltrim("value").startswith("{"), "no object")
-              .when(F.col("_j").isNull() | F.col(f"_j.{_CORRUPT}").isNotNull(), "malformed"))
-    rows = lines.withColumn("reason", reason).withColumn("accepted", F.col("reason").isNull())
+    lines = numbered_lines(spark, path).withColumn("_j", parsed_line(schema))
+    rows = lines.withColumn("reason", line_fault()).withColumn("accepted", F.col("reason").isNull())
     rows = rows.select("file", "split", "line", *[F.when(F.col("accepted"), F.col(f"_j.{f.name}")).alias(f"json_{f.name}") for f in schema.fields],
                        "reason", F.when(~F.col("accepted"), F.col("value")).alias("value"),
                        F.when(F.col("accepted"), "accepted").otherwise("rejected").alias("went"))
