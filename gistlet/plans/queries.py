@@ -718,6 +718,31 @@ def q_quantize_weights(spark, sf_dir):
     return q.select("vec_id", "dim", F.round("scale", 9).alias("scale"), F.col("q").cast("bigint").alias("q"))
 
 
+def q_quantize_weights_model(spark, sf_dir):
+    """G11 as an ML stage: fitted, saved, loaded, and applied."""
+    from gistlet.operators.ml import ColumnQuantizer, ColumnQuantizerModel
+    from gistlet.session import new_work_path
+    path = new_work_path(spark, "quantizer")
+    values = embedding_values(spark, sf_dir)
+    ColumnQuantizer(inputCols=["dim"], inputCol="x", outputCol="q").fit(values).save(path)
+    q = ColumnQuantizerModel.load(path).transform(values)
+    return q.select("vec_id", "dim", F.round("scale", 9).alias("scale"), F.col("q").cast("bigint").alias("q"))
+
+
+def q_ml_pipeline(spark, sf_dir):
+    """G2, G3, G8, A15 as ML stages: a vocabulary fitted and a scorer put behind it, saved, loaded, and every sentence scored."""
+    from pyspark.ml import PipelineModel
+    from gistlet.operators.ml import SentenceScorerModel, SentenceVocabulary
+    from gistlet.session import new_work_path
+    rows = sentence_rows(spark, sf_dir)
+    encoder = SentenceVocabulary(maxTokens=VOCAB_TOKENS).fit(rows.where(F.col("split") == "train"))
+    path = new_work_path(spark, "ml-pipeline")
+    PipelineModel([encoder, SentenceScorerModel(fixture_weights(encoder.vocabulary.size))]).save(path)
+    scored = PipelineModel.load(path).transform(rows)
+    return scored.select("split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
+                         F.round("score", 6).alias("score"))
+
+
 def q_score_quantized(spark, sf_dir):
     from gistlet.operators.quantize import quantized_score_udf
     from gistlet.operators.scorer import score_udf
@@ -841,5 +866,7 @@ QUERIES = {
     "learned_abbreviations": q_learned_abbreviations,
     "split_sentences_learned": q_split_sentences_learned,
     "model_drift": q_model_drift,
+    "quantize_weights_model": q_quantize_weights_model,
+    "ml_pipeline": q_ml_pipeline,
     "summarize_line_stream": q_summarize_line_stream,
 }

@@ -383,6 +383,7 @@ FROM flat""")
 SELECT split, article_id, CAST(sent_index AS BIGINT) AS sent_index, round(score, 6) AS score FROM scored""")
 
     t["score_sentences_joined"] = t["score_sentences"]
+    t["ml_pipeline"] = t["score_sentences"]
 
     t["topk_sentences"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, body=f"""
 SELECT split, article_id, CAST(sent_index AS BIGINT) AS sent_index, CAST(rk AS BIGINT) AS rank
@@ -538,6 +539,7 @@ top AS (SELECT dim, max(abs(x)) AS top FROM ev GROUP BY dim),
 sc AS (SELECT dim, CASE WHEN top > 0 THEN top / 127.0 ELSE 1.0 END AS scale FROM top)
 SELECT vec_id, ev.dim, round(scale, 9) AS scale, CAST(greatest(least(round_even(x / scale, 0), 127.0), -128.0) AS BIGINT) AS q
 FROM ev JOIN sc ON ev.dim = sc.dim"""
+    t["quantize_weights_model"] = t["quantize_weights"]
     t["quantization_drift"] = with_ctes(emb, body="""
 SELECT CAST(count(*) AS BIGINT) AS n, round(avg(power(x - xd, 2)), 9) AS mse, round(corr(x, xd), 6) AS pearson,
        round(max(abs(x - xd)), 6) AS max_abs_err FROM dq""")
