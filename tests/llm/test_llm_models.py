@@ -1,6 +1,8 @@
 """Language, quality and URL models: held-out accuracy, odd rows, missing training rows."""
 
 import zlib
+from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
@@ -161,12 +163,60 @@ def test_url_model_parts_known_styles(spark):
     assert np.mean([(v == "allow") == bool(i % 2) for i, _, v in got]) > 0.98
 
 
-def test_url_model_is_a_distribution():
-    rng = np.random.default_rng(0)
-    n = rng.integers(0, 3, urlfilter.ALPHABET ** urlfilter.ORDER) * (rng.random(urlfilter.ALPHABET ** urlfilter.ORDER) < 0.01)
-    p = np.exp(urlfilter.log_model(n)).reshape(-1, urlfilter.ALPHABET)
-    assert np.allclose(p.sum(1), 1) and (p > 0).all()
-    assert np.allclose(np.exp(urlfilter.log_model(np.zeros_like(n))), 1 / urlfilter.ALPHABET)
+def brute_ratios(urls):
+    """The mean log ratio of each (url, class or None, fold) by dictionaries of byte strings, and the threshold."""
+    size = urlfilter.TUPLE
+
+    def pieces(url):
+        text = bytes(size) + bytes(b + 32 if 65 <= b <= 90 else b for b in url.encode())
+        return [text[i - size + 1:i + 1] for i in range(size, len(text))]
+
+    def model(texts):
+        n = Counter(t[-k:] for text in texts for t in pieces(text) for k in range(1, size + 1))
+        total, kinds = Counter(), Counter()
+        for t, m in n.items():
+            total[len(t), t[:-1]] += m
+            kinds[len(t), t[:-1]] += 1
+
+        def p(t):
+            if not t:
+                return 1 / 256
+            key = len(t), t[:-1]
+            return (n[t] + kinds[key] * p(t[1:])) / (total[key] + kinds[key]) if total[key] else p(t[1:])
+        return p
+
+    out = []
+    for url, ok, fold in urls:
+        good, bad = (model([u for u, y, f in urls if y is c and (ok is None or f != fold)]) for c in (True, False))
+        if not url:
+            out.append(0.0)
+        else:
+            out.append(np.mean([np.log(good(t)) - np.log(bad(t)) for t in pieces(url)]))
+    return out
+
+
+@pytest.mark.parametrize("head", [1, 40, 100_000])
+def test_url_ratios_equal_brute_force(spark, head):
+    hosts = ["a.good", "b.good", "x.bad", "y.bad", "n.net", "M.Net"]
+    urls = [f"http://{h}/{w}/{i % 3}" for i, (h, w) in enumerate(product(hosts, ["river", "qz77", "ü?=&", ""]))]
+    urls += [urls[0]] * 15 + [urls[9]] * 4 + [None, "", "no scheme", "n", "http://x.bad/" + "ab" * 200]
+    rules = (("allow", "good", "/"), ("block", "bad", "/"))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    fold = dict(plain(pages.select("page_id", F.pmod(F.xxhash64(F.lit("fold"), "url"), F.lit(urlfilter.FOLDS)).alias("f")), "page_id", "f"))
+    got = {i: (rule, verdict, r) for i, rule, verdict, r in plain(urlfilter.judge(pages, rules, head=head), "page_id", "rule", "verdict", "ratio")}
+    known = [(u, None if got[i][0] is None else got[i][0].startswith("good"), fold[i]) for i, u in enumerate(urls)]
+    want = brute_ratios(known)
+    assert np.allclose([got[i][2] for i in range(len(urls))], want, atol=1e-12)
+    bins = np.clip(np.floor((np.array(want) + urlfilter.REACH) / (2 * urlfilter.REACH) * urlfilter.BINS), 0, urlfilter.BINS - 1).astype(int)
+    counts = [np.bincount([b for b, k in zip(bins, known, strict=True) if k[1] is y], minlength=urlfilter.BINS) for y in (True, False)]
+    cut = urlfilter.calibrate(*counts)
+    # every decided row is in the histogram: no other threshold does better on them
+    rate = lambda t: (np.mean([w >= t for w, k in zip(want, known, strict=True) if k[1] is True])
+                      + np.mean([w < t for w, k in zip(want, known, strict=True) if k[1] is False]))
+    assert rate(cut) >= max(map(rate, want)) - 1e-9
+    for i, u in enumerate(urls):
+        if known[i][1] is None:
+            assert got[i][1] == ("allow" if not u or want[i] >= cut else "block")
 
 
 def test_url_filter_without_training_rows(spark):
