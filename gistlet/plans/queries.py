@@ -117,6 +117,21 @@ def q_encode_tokens_joined(spark, sf_dir):
     return enc.select("split", "article_id", "sent_index", F.array_join(F.col("x")[0], ",").alias("x"))
 
 
+def q_hash_tokens(spark, sf_dir):
+    """Hashed ids and signed features of every sentence, in 1000 buckets."""
+    from gistlet.operators.hashing import hash_features, hash_ids
+    f = F.transform(hash_features(F.col("sentence"), 1000), lambda e: F.concat_ws(":", e["bucket"].cast("string"), e["value"].cast("string")))
+    return sentence_rows(spark, sf_dir).select(
+        "split", "article_id", F.col("sent_index").cast("bigint").alias("sent_index"),
+        F.array_join(hash_ids(F.col("sentence"), 1000, C.SEQ_LEN), ",").alias("x"), F.array_join(f, ",").alias("features"))
+
+
+def q_hash_collisions(spark, sf_dir):
+    """Tokens per bucket, over all sentences."""
+    from gistlet.operators.hashing import collisions
+    return collisions(sentence_rows(spark, sf_dir), 1000).withColumn("bucket", F.col("bucket").cast("bigint"))
+
+
 def q_infer_vocab_size(spark, sf_dir):
     return VO.infer_vocab_size(encoded_flat(spark, sf_dir).where(F.col("split") == "train"))
 
@@ -810,6 +825,8 @@ QUERIES = {
     "build_vocab": q_build_vocab,
     "encode_tokens": q_encode_tokens,
     "encode_tokens_joined": q_encode_tokens_joined,
+    "hash_tokens": q_hash_tokens,
+    "hash_collisions": q_hash_collisions,
     "infer_vocab_size": q_infer_vocab_size,
     "flatten_stats": q_flatten_stats,
     "score_sentences": q_score_sentences,

@@ -368,6 +368,20 @@ SELECT token, id, CAST(coalesce(n, 0) AS BIGINT) AS n FROM vocab""")
 SELECT split, article_id, CAST(sent_index AS BIGINT) AS sent_index, array_to_string(x, ',') AS x FROM enc""")
 
     t["encode_tokens_joined"] = t["encode_tokens"]
+    bucket = "(CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % 1000)"
+    t["hash_tokens"] = with_ctes(ARTICLES, f"""
+ht AS (SELECT split, article_id, sent_index, unnest(t) AS token, unnest(range(len(t))) AS p
+       FROM (SELECT *, {tokens('sentence')} AS t FROM flat)),
+coded AS (SELECT *, {bucket} AS b, CASE WHEN CAST('0x' || substr(md5(token), 9, 1) AS BIGINT) % 2 = 0 THEN 1 ELSE -1 END AS v FROM ht),
+ids AS (SELECT split, article_id, sent_index, list(b + 2 ORDER BY p) FILTER (WHERE p < {SEQ}) AS x FROM coded GROUP BY ALL),
+sums AS (SELECT split, article_id, sent_index, b, sum(v) AS v FROM coded GROUP BY ALL),
+feats AS (SELECT split, article_id, sent_index, string_agg(b || ':' || v, ',' ORDER BY b) AS features FROM sums GROUP BY ALL)""", body=f"""
+SELECT f.split, f.article_id, CAST(f.sent_index AS BIGINT) AS sent_index,
+       array_to_string(list_resize(coalesce(x, []::BIGINT[]), {SEQ}, 0), ',') AS x, coalesce(features, '') AS features
+FROM flat f LEFT JOIN ids USING (split, article_id, sent_index) LEFT JOIN feats USING (split, article_id, sent_index)""")
+    t["hash_collisions"] = with_ctes(ARTICLES, body=f"""
+SELECT {bucket} AS bucket, count(DISTINCT token) AS n_tokens, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT unnest({tokens('sentence')}) AS token FROM flat) GROUP BY 1""")
     t["infer_vocab_size"] = with_ctes(ARTICLES, VOCAB, ENCODE, body="""
 SELECT CAST(max(list_max(x)) + 1 AS BIGINT) AS vocab_size FROM enc WHERE split = 'train'""")
 
