@@ -184,6 +184,15 @@ def q_summarize_articles(spark, sf_dir):
                     _ids_string("selected_indices").alias("selected_indices"), "summary")
 
 
+def q_summarize_unlike(spark, sf_dir):
+    """Summaries by score and unlikeness, of whole articles."""
+    from gistlet.operators.redundancy import summarize_unlike
+    s = summarize_unlike(articles(spark, sf_dir), vocabulary(spark, sf_dir), weights(spark, sf_dir))
+    return s.select("split", "id", F.col("n_sentences").cast("bigint").alias("n_sentences"),
+                    _ids_string("picked_indices").alias("picked_indices"),
+                    _ids_string("selected_indices").alias("selected_indices"), "summary")
+
+
 def _limited(spark, sf_dir, n):
     from gistlet.operators.limits import limit_per_split
     a = articles(spark, sf_dir).select("split", "id", "pos")
@@ -818,6 +827,7 @@ def q_summarize_line_stream(spark, sf_dir):
 
 QUERIES = {
     "summarize_articles": q_summarize_articles,
+    "summarize_unlike": q_summarize_unlike,
     "normalize_articles": q_normalize_articles,
     "split_sentences": q_split_sentences,
     "standardize_text": q_standardize_text,

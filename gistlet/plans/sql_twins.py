@@ -152,6 +152,32 @@ summ AS (
   GROUP BY r.split, r.article_id)"""
 
 
+def _alike(a: str, b: str) -> str:
+    both = f"len(list_intersect({a}, {b}))"
+    either = f"(len({a}) + len({b}) - {both})"
+    return f"CASE WHEN {either} = 0 THEN 1.0::DOUBLE ELSE {both}::DOUBLE / {either}::DOUBLE END"
+
+
+def unlike_ctes() -> str:
+    """Three rounds of greedy maximal marginal relevance at weight 0.75, one after the other."""
+    ctes = [f"""
+near1 AS (
+  SELECT split, article_id, sent_index, sentence, score, list_distinct({tokens('sentence')}) AS t, 0.0::DOUBLE AS m FROM scored)"""]
+    for r in range(1, K + 1):
+        ctes.append(f"""
+took{r} AS (
+  SELECT article_id, sent_index, sentence, t, {r} AS round FROM near{r}
+  QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY 0.75::DOUBLE * score - 0.25::DOUBLE * m DESC, sent_index DESC) = 1)""")
+        if r < K:
+            ctes.append(f"""
+near{r + 1} AS (
+  SELECT n.split, n.article_id, n.sent_index, n.sentence, n.score, n.t, greatest(n.m, {_alike('n.t', 'p.t')}) AS m
+  FROM near{r} n JOIN took{r} p ON n.article_id = p.article_id AND n.sent_index <> p.sent_index)""")
+    every = " UNION ALL ".join(f"SELECT article_id, sent_index, sentence, round FROM took{r}" for r in range(1, K + 1))
+    return ",".join(ctes) + f""",
+took AS ({every})"""
+
+
 # Learned sentence boundaries: counts by type, their scores, pairs, and the texts with the learned periods hidden.
 BOUNDARIES = f"""
 doc_words AS MATERIALIZED (
@@ -406,6 +432,13 @@ FROM ranked WHERE rk <= {K}""")
     t["summarize_articles"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, SUMM, body="""
 SELECT split, id, n_sentences, selected_indices, summary FROM summ""")
 
+    t["summarize_unlike"] = with_ctes(ARTICLES, VOCAB, ENCODE, SCORED, unlike_ctes(), body="""
+SELECT s.split, s.id, CAST(any_value(len(s.sentences)) AS BIGINT) AS n_sentences,
+       string_agg(CAST(k.sent_index AS VARCHAR), ',' ORDER BY k.round) AS picked_indices,
+       string_agg(CAST(k.sent_index AS VARCHAR), ',' ORDER BY k.sent_index) AS selected_indices,
+       string_agg(k.sentence, ' ' ORDER BY k.sent_index) AS summary
+FROM took k JOIN sents2 s ON k.article_id = s.id GROUP BY s.split, s.id""")
+
     t["rouge_tokens"] = with_ctes(ARTICLES, body=f"""
 SELECT split, id, array_to_string({rouge_tokens('article')}, ' ') AS tokens,
        CAST(len({rouge_tokens('article')}) AS BIGINT) AS n_tokens
