@@ -24,7 +24,7 @@ def tokenizer_path() -> str:
 
 
 def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonyms(table(spark, sf_dir, "documents"))
+    return pii.pseudonyms(table(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:

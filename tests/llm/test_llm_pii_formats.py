@@ -1,0 +1,107 @@
+"""Wider formats of op1: other scripts, telephone numbers with a plus, IBAN, IPv6, and the key outside the plan."""
+
+import hashlib
+import ipaddress
+import re
+
+import pytest
+from llm_cases import plain
+
+from gistlet.llm import pii
+
+
+@pytest.fixture(scope="module")
+def changed(spark):
+    def run(texts, key=pii.TEST_KEY):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = dict(plain(pii.pseudonyms(docs, key), "doc_id", "text"))
+        return [got[i] for i in range(len(texts))]
+    return run
+
+
+def feistel(text, key, kind):
+    """The text permutation in plain Python, from its description."""
+    ranges = [*pii.ALPHABETS, (0xE000, 0xE00F)]
+
+    def place(c):
+        for a, b in ranges:
+            if a <= ord(c) <= b:
+                return [ord(c) - a, b - a + 1, a]
+        return [0, 1, ord(c)]
+
+    cells = [place(c) for c in text]
+    left, right = cells[:len(cells) // 2], cells[len(cells) // 2:]
+    for i in range(1, pii.ROUNDS + 1):
+        moved, other = (left, right) if i % 2 else (right, left)
+        said = ",".join(str(o[0]) for o in other)
+        for j, o in enumerate(moved):
+            h = hashlib.sha512("|".join([key, kind, str(i), said, str(j // 16)]).encode()).hexdigest()
+            o[0] = (o[0] + int(h[j % 16 * 8:j % 16 * 8 + 8], 16)) % o[1]
+    return "".join(chr(o[2] + o[0]) for o in left + right)
+
+
+def mod97(s):
+    return int("".join(str(int(c, 36)) for c in s)) % 97
+
+
+LOCALS = ["anna.meier7", "иван.петров", "Γιώργος", "王小明", "김철수", "שלום", "муха_99", "müller.ß", "नमस्ते", "ひらカタ", "x" * 60]
+
+
+def test_local_parts_of_other_scripts_equal_plain_python(changed):
+    got = changed([f"to {x}@mail7.example.com, bye" for x in LOCALS])
+    assert got == [f"to {feistel(x, pii.TEST_KEY, 'email')}@mail7.example.com, bye" for x in LOCALS]
+    assert all(x not in g for x, g in zip(LOCALS, got, strict=True))
+
+
+def test_scripts_without_an_alphabet_become_hex(changed):
+    a, b, c = changed(["ᏣᎳᎩ@mail.com", "x ᏣᎳᎩ@mail.com.", "ᏣᎳᏣ@mail.com"])
+    assert re.fullmatch(r"u[0-9a-f]{16}@mail\.com", a) and b == f"x {a}." and c != a
+
+
+def test_telephone_numbers_with_a_plus(changed):
+    same = ["+49 30 1234567", "+49301234567", "+49 (30) 123-45-67"]
+    got = changed(same + ["call +353 1 234 5678.", "+1 0175557713", "+1 (017) 555-7713"])
+    digits = [re.sub(r"\D", "", g) for g in got]
+    assert digits[0] == digits[1] == digits[2] == "49" + feistel("301234567", pii.TEST_KEY, "phone") != "49301234567"
+    assert [re.sub("[0-9]", "9", g) for g in got[:3]] == [re.sub("[0-9]", "9", g) for g in same]
+    assert got[3] == "call +353 {} {} {}.".format(*re.match(r"(.)(...)(....)", feistel("12345678", pii.TEST_KEY, "phone")).groups())
+    assert digits[4] == digits[5]
+    stay = ["+1234567", "1+2 3 4 5 6 7 8 9", "+12345678901234567890", "x+49301234567", "C++ 11 12"]
+    assert changed(stay) == stay
+
+
+IBANS = ["DE89370400440532013000", "GB82WEST12345698765432", "NO9386011117947", "FR1420041010050500013M02606", "MT84MALT011000012345MTLCAST001S"]
+
+
+def test_ibans_stay_valid_and_linked(changed):
+    got = changed(IBANS)
+    for old, new in zip(IBANS, got, strict=True):
+        assert new != old and new[:2] == old[:2] and mod97(new[4:] + new[:4]) == 1
+        assert new[4:] == feistel(old[4:], pii.TEST_KEY, "iban")
+    spaced = [" ".join(re.findall(".{1,4}", x)) for x in IBANS]
+    assert changed([f"to {x} NOW" for x in spaced]) == [f"to {' '.join(re.findall('.{1,4}', x))} NOW" for x in got]
+    stay = ["DE88370400440532013000", "XX89370400440532013000", "DE8937040044053201300", "ADE89370400440532013000"]
+    assert changed(stay) == stay
+
+
+def test_ipv6_spellings_get_one_address(changed):
+    same = ["2001:db8::1", "2001:0DB8:0:0:0:0:0:1", "2001:db8:0:0::1"]
+    got = changed([f"at {x}." for x in same] + ["fe80::a1:2%eth0", "2001:db8::"])
+    assert len(set(got[:3])) == 1
+    new = ipaddress.ip_address(got[0][3:-1])
+    raw = f"{int(ipaddress.ip_address(same[0])):032x}".translate(str.maketrans(pii.HEX, pii.PRIVATE))
+    assert int(new) == int(feistel(raw, pii.TEST_KEY, "ipv6").translate(str.maketrans(pii.PRIVATE, pii.HEX)), 16)
+    assert got[3].endswith("%eth0") and ipaddress.ip_address(got[3][:-5])
+    stay = ["12:30:45", "a[1::2]", "std::vector", "::1", "aa:bb:cc:dd:ee:f0", "1:2:3:4:5:6:7:8:9", "2001:db8::1::2", "abc1::"]
+    assert changed(stay) == stay
+
+
+def test_counts_and_the_key_outside_every_plan(spark):
+    docs = spark.createDataFrame([(1, f"{IBANS[0]} 2001:db8::1 +49 30 1234567 иван@mail.ru"), (None, None), (2, "")], "doc_id long, text string")
+    out = pii.pseudonyms(docs, "a key that nobody sees")
+    rows = {r.doc_id: r for r in out.collect()}
+    assert [rows[1][f"n_{k}"] for k in ("iban", "ipv6", "phone", "email", "card")] == [1, 1, 1, 1, 0]
+    assert rows[None].text is None and rows[2].text == ""
+    assert "nobody" not in out._jdf.queryExecution().toString()
+    with pytest.raises(TypeError):
+        pii.pseudonyms(docs)

@@ -21,7 +21,7 @@ def luhn(s):
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(d)) % 10 == 0
 
 
-def changed(spark, texts, key=pii.KEY):
+def changed(spark, texts, key=pii.TEST_KEY):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = dict(plain(pii.pseudonyms(docs, key), "doc_id", "text"))
     return [got[i] for i in range(len(texts))]
@@ -103,7 +103,7 @@ def test_clean_text_is_left_alone(spark):
 
 def test_no_planted_value_survives_on_the_table(spark):
     docs = docs_of(spark, "/root/testdata/sf0.01")
-    old, new = dict(plain(docs, "doc_id", "text")), dict(plain(pii.pseudonyms(docs), "doc_id", "text"))
+    old, new = dict(plain(docs, "doc_id", "text")), dict(plain(pii.pseudonyms(docs, pii.TEST_KEY), "doc_id", "text"))
     seen = 0
     for i, t in old.items():
         for p in (r"[\w.+-]+@[\w-]+\.[\w.]+\w", r"\+\d \(\d{3}\) \d{3}-\d{4}", r"(?<![\d.])\d+\.\d+\.\d+\.\d+(?!\d)", r"(?<!\d)\d{16}(?!\d)"):
@@ -120,10 +120,10 @@ def test_no_planted_value_survives_on_the_table(spark):
 
 
 def test_pseudonyms_of_odd_rows(spark):
-    got = plain(pii.pseudonyms(odd_docs(spark)), "doc_id", "text")
+    got = plain(pii.pseudonyms(odd_docs(spark), pii.TEST_KEY), "doc_id", "text")
     assert Counter(got) == Counter(plain(odd_docs(spark), "doc_id", "text"))
-    assert pii.pseudonyms(no_docs(spark)).count() == 0
-    plan = pii.pseudonyms(docs_of(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert pii.pseudonyms(no_docs(spark), pii.TEST_KEY).count() == 0
+    plan = pii.pseudonyms(docs_of(spark, SF), pii.TEST_KEY)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
