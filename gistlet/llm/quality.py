@@ -15,6 +15,7 @@ Null and empty texts have all features zero. Repeated rows are scored each for i
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,7 @@ from gistlet.llm.common import (SPACES, bound_batches, bounded_sample, row_slice
 
 PER_LABEL, PAIRS, RIDGE = 3000, 30000, 1.0
 EXTRA = 10
+COUNT_BYTES = 1 << 20       # bytes of a batch counted at once
 BINS = 4096         # counted in one pass of the search for a quantile
 
 
@@ -40,37 +42,96 @@ def _distinct(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.bincount(r[new], minlength=len(first) - 1)
 
 
-def features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """(n, 256 + EXTRA) features of byte rows."""
+def byte_counts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """(n, 256) counts of byte values, by blocks: what is held besides does not grow with a text."""
     n = len(offs) - 1
-    size = np.diff(offs)
-    row = np.repeat(np.arange(n, dtype=np.int32), size)
-    counts = np.bincount(row.astype(np.int64) * 256 + data, minlength=n * 256).reshape(n, 256)
-    per_byte = 1 / np.maximum(size, 1)
-    starts, ends, first = word_spans(~SPACES[data], offs)
-    words = np.diff(first)
-    per_word = 1 / np.maximum(words, 1)
-    lstarts, lends, lfirst = word_spans(data != 10, offs)
-    lines = np.diff(lfirst)
-    per_line = 1 / np.maximum(lines, 1)
-    owner = np.repeat(np.arange(n), words)
+    counts = np.zeros((n, 256), np.int64)
+    for lo in range(0, len(data), COUNT_BYTES):
+        hi = min(lo + COUNT_BYTES, len(data))
+        # rows that have bytes in this block
+        i, j = int(np.searchsorted(offs, lo, "right")) - 1, int(np.searchsorted(offs, hi, "left"))
+        cut = np.clip(offs[i:j + 1], lo, hi)
+        row = np.repeat(np.arange(j - i), np.diff(cut))
+        counts[i:j] += np.bincount(row * 256 + data[lo:hi], minlength=(j - i) * 256).reshape(j - i, 256)
+    return counts
+
+
+def _breaks(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``COUNT_BYTES`` that end before a byte of which ``at`` is true, so that no span is cut."""
+    lo, n = 0, len(data)
+    while lo < n:
+        hi = min(lo + COUNT_BYTES, n)
+        while hi < n:
+            found = np.flatnonzero(at[data[hi:hi + COUNT_BYTES]])
+            if len(found):
+                hi += int(found[0])
+                break
+            hi = min(hi + COUNT_BYTES, n)
+        yield lo, hi
+        lo = hi
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans; those of more than ``COUNT_BYTES`` are read as a stream."""
+    long = ends - starts > COUNT_BYTES
+    out = np.empty(len(starts), np.uint64)
+    out[~long] = span_hashes(data, starts[~long], ends[~long])
+    for k in np.flatnonzero(long):
+        digest = hashlib.blake2b(data[starts[k]:ends[k]], digest_size=8).digest()
+        out[k] = int.from_bytes(digest, "little")
+    return out
+
+
+def span_counts(data: np.ndarray, offs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(n, 7) whole numbers of the spans between bytes of which ``at`` is true: how many, their bytes and squared
+    bytes, how many distinct, closing without a letter, opening without one, opening with a capital. Then their hashes."""
+    n = len(offs) - 1
+    starts, ends, first = word_spans(~at[data], offs)
+    owner = np.repeat(np.arange(n), np.diff(first))
     lengths = ends - starts
     opening, closing = data[starts], data[ends - 1]
 
-    def share(mask: np.ndarray) -> np.ndarray:
-        return np.bincount(owner[mask], minlength=n) * per_word
-
     def letter(b: np.ndarray) -> np.ndarray:
         return ((b | 32) >= 97) & ((b | 32) <= 122) | (b >= 128)
 
+    def of(mask: np.ndarray) -> np.ndarray:
+        return np.bincount(owner[mask], minlength=n)
+
+    hashes = _hashes(data, starts, ends)
+    out = np.stack([np.diff(first), np.bincount(owner, lengths, n), np.bincount(owner, lengths.astype(float) ** 2, n),
+                    _distinct(hashes, first), of(~letter(closing)), of(~letter(opening)),
+                    of((opening >= 65) & (opening <= 90))], axis=1)
+    return out, hashes
+
+
+def long_span_counts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``span_counts`` of one text, by blocks that add up; only the hashes of distinct spans are held meanwhile."""
+    total, seen = np.zeros((1, 7)), np.zeros(0, np.uint64)
+    for lo, hi in _breaks(data, at):
+        counts, hashes = span_counts(data[lo:hi], np.array([0, hi - lo]), at)
+        total += counts
+        seen = np.union1d(seen, hashes)
+    total[0, 3] = len(seen)
+    return total
+
+
+LINE_END = np.arange(256) == 10
+
+
+def features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """(n, 256 + EXTRA) features of byte rows; a text of more than ``COUNT_BYTES`` is alone, and counted by blocks."""
+    n = len(offs) - 1
+    size = np.diff(offs)
+    if n == 1 and len(data) > COUNT_BYTES:
+        words, lines = long_span_counts(data, SPACES), long_span_counts(data, LINE_END)
+    else:
+        words, lines = span_counts(data, offs, SPACES)[0], span_counts(data, offs, LINE_END)[0]
+    per_byte, per_word, per_line = (1 / np.maximum(x, 1) for x in (size, words[:, 0], lines[:, 0]))
     out = np.zeros((n, 256 + EXTRA), np.float32)
-    out[:, :256] = counts * per_byte[:, None]
-    extra = [np.log1p(size), np.log1p(words), np.bincount(owner, lengths, n) * per_word,
-             np.bincount(owner, lengths.astype(float) ** 2, n) * per_word,
-             _distinct(span_hashes(data, starts, ends), first) * per_word,
-             _distinct(span_hashes(data, lstarts, lends), lfirst) * per_line,
-             np.log1p(size * per_line), share(~letter(closing)), share(~letter(opening)),
-             share((opening >= 65) & (opening <= 90))]
+    out[:, :256] = byte_counts(data, offs) * per_byte[:, None]
+    extra = [np.log1p(size), np.log1p(words[:, 0]), words[:, 1] * per_word, words[:, 2] * per_word, words[:, 3] * per_word,
+             lines[:, 3] * per_line, np.log1p(size * per_line), words[:, 4] * per_word, words[:, 5] * per_word,
+             words[:, 6] * per_word]
     out[:, 256:] = np.stack(extra, axis=1) * (size > 0)[:, None]
     return out
 

@@ -1,5 +1,6 @@
 """Language, quality and URL models: held-out accuracy, odd rows, missing training rows."""
 
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import product
@@ -94,6 +95,31 @@ def test_bradley_terry_orders_by_the_preferred_direction():
     assert abs(share - 0.2) < 0.01         # the threshold is that quantile
 
 
+def test_features_of_long_texts_add_up_over_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    words = b" ".join(b"%x" % i for i in range(3000))
+    mixed = bytes(rng.choice(np.frombuffer(b"abcdEF  \n.\xc3\xa4", np.uint8), 20000))
+    texts = [words, mixed, mixed + b"\n" + mixed, b"a " * 5000, b"x" * 5000, b"\n" * 5000, b" x" + b"y" * 3000 + b" " + b"y" * 3000]
+    for text in texts:
+        data, offs = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        whole = quality.features(data, offs)
+        for size in (64, 1000, 4999, 5000):
+            with monkeypatch.context() as m:
+                m.setattr(quality, "COUNT_BYTES", size)
+                assert np.array_equal(quality.features(data, offs), whole)
+
+
+def test_features_of_a_long_text_stay_small():
+    for text in (b" ".join(b"%x" % i for i in range(1500000)), b"a " * 5_000_000, b"x" * 10_000_000):
+        data, offs = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        quality.features(data, offs)        # tables that are made once
+        tracemalloc.start()
+        quality.features(data, offs)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 8 * len(text)
+
+
 def test_features_of_rows_do_not_touch_each_other():
     texts = [b"", b"One two two", b"a\nb\na", b"!!", "é1".encode()]
     data = np.frombuffer(b"".join(texts), np.uint8)
