@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from gistlet import config as C
 from gistlet.functions.text import default_strip
+from gistlet.session import bound_batches
 from gistlet.operators.scorer import ScorerWeights
 from gistlet.operators.summarize import summarize_articles
 from gistlet.operators.vocab import Vocabulary
@@ -71,6 +72,7 @@ def _places_in_split(batches):
 
 def placed_lines(lines: DataFrame) -> DataFrame:
     """(file, split, place, value) of a table of lines, or of a micro-batch of their stream."""
+    bound_batches(lines.sparkSession)
     splits = lines.groupBy("_path", "_block").agg(F.sum("_bytes").alias("_sum"))
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select("_path", "_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
