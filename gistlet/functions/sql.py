@@ -13,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from gistlet import config as C
-from gistlet.functions.text import CONTINUES, NEVER_ENDS
+from gistlet.functions.text import DOTTED, HIDDEN
 
 
 def sql_lit(s: str) -> str:
-    """A Spark SQL string literal; non-printable and non-ASCII characters as \\uXXXX."""
+    """A Spark SQL string literal; non-printable and non-ASCII characters as \\uXXXX or \\UXXXXXXXX."""
     out = []
     for ch in s:
         if ch == "\\":
@@ -27,7 +27,7 @@ def sql_lit(s: str) -> str:
         elif 32 <= ord(ch) < 127:
             out.append(ch)
         else:
-            out.append("\\u%04x" % ord(ch))
+            out.append(("\\u%04x" if ord(ch) < 0x10000 else "\\U%08x") % ord(ch))
     return "'" + "".join(out) + "'"
 
 
@@ -35,7 +35,7 @@ def _definitions() -> dict:
     ws = sql_lit(C.PY_WHITESPACE)
     sent_re = sql_lit(C.SENTENCE_END + C.WS_CLASS + "+")
     guarded = (f"regexp_replace(regexp_replace(trim(BOTH {ws} FROM translate(s, concat(chr(1), chr(2)), '')), "
-               f"{sql_lit(CONTINUES)}, concat('$1$2', chr(2))), {sql_lit(NEVER_ENDS)}, concat('$1$2', chr(2)))")
+               f"{sql_lit(DOTTED)}, concat('$1', chr(2))), {sql_lit(HIDDEN)}, chr(2))")
     std = f"translate(s, {sql_lit(C.UPPER_ASCII + C.PUNCT_CHARS)}, {sql_lit(C.LOWER_ASCII)})"
     tokens = (f"array_remove(split(translate({std}, {sql_lit(C.ASCII_WS_CHARS)}, "
               f"{sql_lit(' ' * len(C.ASCII_WS_CHARS))}), ' '), '')")
