@@ -9,18 +9,24 @@ from gistlet.operators import train as TR
 from gistlet.operators import vocab as VO
 
 
-def test_ties_of_the_count_vectors_do_not_depend_on_the_partitions(spark):
-    rows = [(list("aab"), 1), (list("aaczx"), 0), (list("dxyz"), 0), (list("bd"), 1), (["c"], 1)]
-    df = spark.createDataFrame(rows, "tokens ARRAY<STRING>, y INT")
-    for n in (1, 3, 7):       # a 4 times, each of the others but y twice
-        assert TR.train_baseline(df.repartition(n), vocab_size=5).stages[0].vocabulary == ["a", "z", "x"]
-    assert TR.train_baseline(df, vocab_size=5, terms=["a", "c"]).stages[0].vocabulary == ["a", "c"]
+def test_count_vectors_by_counts_unless_ties_leave_a_choice(spark, monkeypatch):
+    from pyspark.ml.feature import CountVectorizer
+    asked = []
+    monkeypatch.setattr(CountVectorizer, "fit", lambda self, df, fit=CountVectorizer.fit: asked.append(self) or fit(self, df))
+    rows = [(list("aab"), 1), (list("aaczx"), 0), (list("dxyz"), 0), (list("bd"), 1), (["c"], 1), (["x"], 0)]
+    df = spark.createDataFrame(rows, "tokens ARRAY<STRING>, y INT")        # a 4 times, x 3, b c d z twice, y once
+    for n in (1, 3, 7):
+        assert TR.train_baseline(df.repartition(n), vocab_size=4).stages[0].vocabulary == ["a", "x"]
+    assert set(TR.train_baseline(df, vocab_size=8).stages[0].vocabulary) == set("axbcdz")
+    assert set(TR.train_baseline(df, vocab_size=99).stages[0].vocabulary) == set("axbcdzy") and not asked
+    assert TR.train_baseline(df, vocab_size=5).stages[0].vocabulary[:2] == ["a", "x"] and len(asked) == 1
 
 
 def test_vocabulary_of_tokens_equals_that_of_their_text(spark):
     df = spark.createDataFrame([("A b, a-c!",), ("",), ("b B  c d",), (None,)], "sentence STRING")
     cut = df.select(text_tokens("sentence").alias("tokens"))
-    of_text, of_tokens = (VO.VocabularyBuilder(max_tokens=5, **kw).fit(x) for x, kw in ((df, {}), (cut, {"tokens_col": "tokens"})))
+    b = VO.VocabularyBuilder(max_tokens=5)
+    of_text, of_tokens = b.fit(df), b.fit_counts(VO.token_counts(cut, tokens_col="tokens"))
     assert of_tokens.tokens == of_text.tokens and of_tokens.size == of_text.size
     assert of_tokens.table.orderBy("id").collect() == of_text.table.orderBy("id").collect()
 
