@@ -17,6 +17,7 @@ A14 read_sentences         ``sentence`` field only, '' when missing, tolerant
 
 from __future__ import annotations
 
+import os
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from gistlet.functions.text import default_strip, py_strip
 from gistlet.session import new_work_path
+from gistlet.sources import textfiles
 
 RAW_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -257,31 +259,45 @@ def write_summaries(summaries: DataFrame, path: str) -> None:
 
 
 def write_text_articles(articles: DataFrame, path: str) -> None:
-    """One text file per article under id=<id>/ (the whole-text reader's input layout).
+    """One text file per article, named by its id (the whole-text reader's input layout).
 
     The time goes into making files, not into text: the articles are dealt out to all cores however few input splits
-    there are, and each task moves its own files into place (the committer's algorithm 2) instead of the driver all of them.
+    there are. On a local file system the tasks make the files themselves (``textfiles``); elsewhere Spark does, under
+    id=<id>/, and each task moves its own files into place (the committer's algorithm 2) instead of the driver all of them.
     """
-    tasks = 4 * articles.sparkSession.sparkContext.defaultParallelism
-    articles.select("id", F.col("article").alias("value")).repartition(tasks, "id").write.mode("overwrite") \
+    spark = articles.sparkSession
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    rows = articles.select("id", F.col("article").alias("value")).repartition(tasks, "id")
+    folder = textfiles.local_folder(spark, path)
+    if folder is not None:
+        textfiles.write_files(rows, folder)
+        return
+    rows.write.mode("overwrite") \
         .option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("id").text(path)
 
 
 def read_text_articles(spark: SparkSession, path: str) -> DataFrame:
     """(id, article) from one-article-per-file text.  Stripped; empty files dropped.
 
-    The id is the text of the id=<..> folder, else the file path; it is taken from the path, since
-    the folder's value as a partition column would be read as a number where it looks like one.
+    The id is the text of the id=<..> folder or that of the article's file, else the file path; it is taken from the path,
+    since the folder's value as a partition column would be read as a number where it looks like one. The tasks look a
+    local folder's articles up themselves (``textfiles``).
     """
-    file = F.col("_metadata.file_path")
-    named = F.regexp_extract(file, r"/id=([^/]*)/[^/]*$", 1)
-    # the folder's name is escaped, and the path that holds it once more; "+" stands for itself
-    plus = F.lit("%2B")
-    once = F.url_decode(F.replace(named, F.lit("+"), plus))
-    ident = F.when(named != "", F.url_decode(F.replace(once, F.lit("+"), plus))).otherwise(file)
-    # looked up without partition columns, which the driver would infer from every folder
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    out = files.select(ident.alias("id"), py_strip("value").alias("article"))
+    folder = textfiles.local_folder(spark, path)
+    found = textfiles.article_folders(folder) if folder is not None and os.path.isdir(folder) else None
+    if found is not None:
+        files = textfiles.read_files(spark, found)
+    else:
+        file = F.col("_metadata.file_path")
+        named = F.regexp_extract(file, r"/id=([^/]*)/[^/]*$", 1)
+        named = F.when(named != "", named).otherwise(F.regexp_extract(file, r"/part-\d{5,}\.id=([^/]*)\.txt$", 1))
+        # the folder's name is escaped, and the path that holds it once more; "+" stands for itself
+        plus = F.lit("%2B")
+        once = F.url_decode(F.replace(named, F.lit("+"), plus))
+        ident = F.when(named != "", F.url_decode(F.replace(once, F.lit("+"), plus))).otherwise(file)
+        # looked up without partition columns, which the driver would infer from every folder
+        files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(ident.alias("id"), "value")
+    out = files.select("id", py_strip("value").alias("article"))
     return out.where(F.length("article") > 0)
 
 

@@ -1,5 +1,7 @@
 """Files made by many tasks, words counted before they are trimmed, training steps that gather no padding."""
 
+import gzip
+import os
 import re
 import tracemalloc
 
@@ -8,7 +10,7 @@ import numpy as np
 from gistlet.operators import train as TR
 from gistlet.operators.boundaries import pair_counts, type_counts
 from gistlet.session import new_work_path
-from gistlet.sources import jsonl
+from gistlet.sources import jsonl, textfiles
 
 
 def test_text_files_of_one_input_split_are_made_by_many_tasks(spark):
@@ -50,3 +52,41 @@ def test_a_step_holds_what_its_tokens_need():
         e[i] = 1e-6
         up, down = (TR.loss_and_grads(TR.ScorerWeights.from_flat(p + s * e, 40, 16, 4, 512), x, y, sw, 0.0, rng)[0] for s in (1, -1))
         assert abs((up - down) / 2e-6 - grad[i]) < 1e-6
+
+
+def test_article_files_of_a_local_folder_are_made_and_read_by_the_tasks(spark, monkeypatch):
+    ids = ["007", "d 2", "a/b:c%41+", "é=1", "x.gz", "n" * 250, "", None]
+    rows = [(i, f" text {k}\nmore ") for k, i in enumerate(ids)] + [("twice", "one"), ("twice", "one"), ("none", None), ("blank", " ")]
+    arts = spark.createDataFrame(rows, "id STRING, article STRING").coalesce(1)
+    path = new_work_path(spark, "local-text")
+    for _ in range(2):      # the second takes the place of the first
+        jsonl.write_text_articles(arts, path)
+    # no checksum beside an article's file: those, and their rights, are what a process each was started for
+    folder = textfiles.local_folder(spark, path)
+    names = [n for _, _, names in os.walk(folder) for n in names]
+    assert len(names) == 12 and not [n for n in names if n.endswith(".crc")]
+    assert not [n for n in os.listdir(folder) if n != "_SUCCESS" and not re.fullmatch(r"task=\d{5}", n)]
+    want = sorted([(i or "__HIVE_DEFAULT_PARTITION__", f"text {k}\nmore") for k, i in enumerate(ids)] + [("twice", "one\none")])
+    monkeypatch.setattr(textfiles, "FILES", 1)
+    got = jsonl.read_text_articles(spark, path)
+    assert sorted(map(tuple, got.collect())) == want and "FileScan" not in got._jdf.queryExecution().toString()
+    # as Spark writes and reads it where the files are not local ones, but for names that a codec goes by
+    monkeypatch.setattr(textfiles, "local_folder", lambda spark, path: None)
+    plain = [r for r in want if r[0] != "x.gz"]
+    os.remove(next(os.path.join(d, n) for d, _, names in os.walk(folder) for n in names if n.endswith(".id=x.gz.txt")))
+    assert sorted(map(tuple, jsonl.read_text_articles(spark, path).collect())) == plain
+    jsonl.write_text_articles(arts.where("id is null or id <> 'x.gz'"), path)
+    monkeypatch.undo()
+    assert sorted(map(tuple, jsonl.read_text_articles(spark, path).collect())) == plain
+
+
+def test_files_that_no_article_id_names_are_left_to_spark(spark, tmp_path):
+    (tmp_path / "id=a").mkdir()
+    (tmp_path / "id=a" / "part-0.txt").write_text("text a")
+    assert textfiles.article_folders(str(tmp_path)) == [(str(tmp_path / "id=a"), 1)]
+    with gzip.open(tmp_path / "id=a" / "b.txt.gz", "wt") as f:
+        f.write("text b")
+    (tmp_path / "other.txt").write_text("text c")
+    assert textfiles.article_folders(str(tmp_path)) is None
+    got = sorted(map(tuple, jsonl.read_text_articles(spark, str(tmp_path)).collect()))
+    assert got[:2] == [("a", "text a"), ("a", "text b")] and got[2][0].endswith("/other.txt") and got[2][1] == "text c"
