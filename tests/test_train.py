@@ -154,3 +154,44 @@ def test_half_written_epoch_is_not_a_checkpoint(spark):
         pass
     else:
         raise AssertionError("a broken checkpoint is an error, not a new start")
+
+
+def test_step_touches_only_rows_with_a_gradient_and_equals_the_dense_step():
+    """The embedding's gradient is not made for all of the vocabulary; what a step does to the others is their decay."""
+    rng = np.random.default_rng(4)
+    wt = TR.init_weights(500, 8, 6, 2, 16)
+    x, y = rng.integers(0, 500, (300, 16)) * (rng.random((300, 16)) < 0.4), rng.integers(0, 2, 300).astype(np.int64)
+    x[0] = 0
+    start = wt.flat()
+    plain = TR.AdamState(start, np.zeros_like(start), np.zeros_like(start))
+    parts = TR.AdamState(start, np.zeros_like(start), np.zeros_like(start))
+    sw = np.where(y == 1, 3.0, 0.5)
+    order, draws = np.random.default_rng(9).permutation(300), np.random.default_rng(9)
+    draws.permutation(300)
+    for s in range(0, 300, 20):
+        at = order[s:s + 20]
+        loss, head, ids, rows, rest = TR._gradient(TR.ScorerWeights.from_flat(plain.params, 500, 8, 6, 16), x[at], y[at].astype(float), sw[at],
+                                                   0.2, np.random.default_rng(s))
+        assert len(head) == TR.HEAD and len(ids) <= len(np.unique(x[at])) and (ids >= TR.HEAD).all() and rows.shape == (len(ids), 8)
+        plain.step(TR.loss_and_grads(TR.ScorerWeights.from_flat(plain.params, 500, 8, 6, 16), x[at], y[at].astype(float), sw[at], 0.2, draws)[1], 0.01)
+    TR.train_shard(parts, x, y, {0: 0.5, 1: 3.0}, (500, 8, 6, 16), 20, 0.2, 0.01, np.random.default_rng(9))
+    for a, b in ((plain.params, parts.params), (plain.m, parts.m), (plain.v, parts.v)):
+        assert np.allclose(a, b, rtol=1e-9, atol=1e-12)
+    assert parts.t == 15 and np.array_equal(start, wt.flat())
+
+
+def test_shards_are_stored_as_a_row_for_each_buffer(spark, monkeypatch):
+    monkeypatch.setattr(TR, "SHUFFLE_BUFFER", 50)
+    rows = [([int(i % 7), 0, int(i % 3), 0][:4], i % 2, i) for i in range(230)] + [([0, 0, 0, 0], 1, 230), ([99, -5, 1, 2], 0, 231)]
+    data = spark.createDataFrame(rows, "x ARRAY<INT>, y INT, ord INT")
+    t = TR.ScorerTrainer(vocab_size=30, seq_len=4, emb_dim=4, dense_units=4, shards=2, seed=1)
+    sharded = t._sharded(data)
+    packed = t._packed(sharded)
+    assert packed.rdd.getNumPartitions() == 2
+    for want, got in zip(sharded.rdd.glom().collect(), packed.rdd.glom().collect()):
+        assert len(got) == -(-len(want) // 50)
+        pairs = [TR.unpack_buffer(bytes(r["x"]), bytes(r["y"]), 4) for r in got]
+        assert [len(y) for _, y in pairs[:-1]] == [50] * (len(got) - 1)
+        assert np.array_equal(np.concatenate([x for x, _ in pairs]), np.clip([r["x"] for r in want], 0, 29))
+        assert np.concatenate([y for _, y in pairs]).tolist() == [r["y"] for r in want]
+    assert sorted(r["y"] for r in t._labels(packed).collect()) == sorted(r[1] for r in rows)
